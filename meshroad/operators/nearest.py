@@ -16,7 +16,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from meshroad.config import BBox, EARTH_RADIUS_MILES, MAX_STATION_MILES
+from meshroad.config import BBox, EARTH_RADIUS_MILES, FIRST_YEAR, LAST_YEAR, MAX_STATION_MILES
 from meshroad.functions.geo import chord_squared, haversine_miles, unit_xyz
 from meshroad.operators.clean import first_per_key
 from meshroad.operators.grid import EPS_MILES, MAX_LEVEL, CellIndex, Grid
@@ -99,10 +99,9 @@ def unbounded_index(
                         max((box.lon_max - box.lon_min) / roots_per_side, 1e-3))
     rows = range(math.floor((box.lat_min + 90) / grid.height), math.floor((box.lat_max + 90) / grid.height) + 1)
     cols = range(math.floor((box.lon_min + 180) / grid.width), math.floor((box.lon_max + 180) / grid.width) + 1)
-    y = F.explode(F.sequence(F.lit(rows[0]), F.lit(rows[-1]))).cast("bigint")
-    x = F.explode(F.sequence(F.lit(cols[0]), F.lit(cols[-1]))).cast("bigint")
+    span = lambda r: F.explode(F.sequence(F.lit(r[0]).cast("bigint"), F.lit(r[-1]).cast("bigint")))
     unique = first_per_key(stations, [*by, "station_lat", "station_lon"], [F.col("station_id").asc_nulls_last()])
-    pairs = unique.withColumn("_row", y).withColumn("_col", x).withColumn("_col", grid.wrap(F.col("_col")))
+    pairs = unique.withColumn("_row", span(rows)).withColumn("_col", span(cols)).withColumn("_col", grid.wrap(F.col("_col")))
     return _refine(pairs, grid, tuple(by), None, max_candidates, broadcast_bytes)
 
 
@@ -207,28 +206,34 @@ def nearest_unbounded(
     return _station_columns(points, found, F.col("_miles") <= F.lit(radius_miles), F.col("_miles"))
 
 
-def best_history(
-    matched: DataFrame, records: DataFrame, *, by: Sequence[str] = (),
-    max_years: int = 1000, broadcast_bytes: int = BROADCAST_BYTES,
+def history_table(
+    records: DataFrame, *, first_year: int = FIRST_YEAR, last_year: int = LAST_YEAR, by: Sequence[str] = ()
 ) -> DataFrame:
-    """Replace count and year by the matched station's record closest in time to the crash.
+    """For each station and crash year, the station's record closest in time.
 
-    A station's records become one list: one record per year, at most `max_years` of them, since
-    of two records of a year the larger count wins. Order: smaller gap, missing year last, later
-    year, larger count. `matched` is joined once and never multiplied.
+    Order: smaller gap, missing year last, later year, larger count. Each record is copied to the
+    few crash years and reduced by a minimum, so a station with very many records is no hot spot.
     """
-    by = list(by)
-    per_year = first_per_key(records, [*by, "station_id", "Station_Year"], [F.col("Station_Count").desc()])
-    history = per_year.groupBy(*by, "station_id").agg(
-        F.collect_list(F.struct(F.col("Station_Year").alias("year"), F.col("Station_Count").alias("count"))).alias("history"),
-    ).withColumnRenamed("station_id", "Nearest_Station_LocationId")
-    small = records.count() * 64 <= broadcast_bytes
-    joined = lookup_join(matched, history, [*by, "Nearest_Station_LocationId"], broadcastable=small)
-    ranked = F.transform("history", lambda h: F.struct(
-        h["year"].isNull().alias("no_year"), F.abs(F.col("Crash_Year") - h["year"]).alias("gap"),
-        (-h["year"]).alias("later"), (-h["count"]).alias("larger"), h["year"].alias("year"), h["count"].alias("count"),
-    ))
-    best = joined.withColumn("_best", F.array_min(ranked)).drop("history")
-    columns = [F.col("_best.count").alias(c) if c == "Station_Count" else
-               F.col("_best.year").alias(c) if c == "Station_Year" else F.col(c) for c in matched.columns]
-    return best.select(*columns, F.col("_best.gap").alias("year_gap"))
+    year, count = F.col("Station_Year"), F.col("Station_Count")
+    gap = F.abs(F.col("Crash_Year").cast("bigint") - year)
+    years = F.explode(F.sequence(F.lit(first_year), F.lit(last_year))).alias("Crash_Year")
+    ranked = F.struct(year.isNull().alias("no_year"), gap.alias("gap"), (-year).alias("later"),
+                      (-count).alias("larger"), year.alias("year"), count.alias("count"))
+    return (
+        records.select(*by, "station_id", "Station_Year", "Station_Count", years)
+        .groupBy(*by, F.col("station_id").alias("Nearest_Station_LocationId"), "Crash_Year")
+        .agg(F.min(ranked).alias("_best"))
+    )
+
+
+def best_history(
+    matched: DataFrame, records: DataFrame, *, by: Sequence[str] = (), broadcast_bytes: int = BROADCAST_BYTES
+) -> DataFrame:
+    """Replace count and year by the matched station's record closest to the crash year."""
+    table = history_table(records, by=by)
+    rows = records.count() * (LAST_YEAR - FIRST_YEAR + 1)
+    keys = [*by, "Nearest_Station_LocationId", "Crash_Year"]
+    joined = lookup_join(matched, table, keys, broadcastable=rows * ENTRY_BYTES <= broadcast_bytes)
+    renamed = {"Station_Count": "_best.count", "Station_Year": "_best.year"}
+    columns = [F.col(renamed.get(c, c)).alias(c) for c in matched.columns if c != "year_gap"]
+    return joined.select(*columns, F.col("_best.gap").alias("year_gap"))

@@ -67,3 +67,23 @@ def zip_features(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("n_nationkey").cast("bigint").alias("polygon_id"), "zip",
         F.lit("Polygon").alias("geometry_type"), F.to_json(F.array(ring)).alias("coordinates"),
     )
+
+
+# Column-like names: known spellings with one letter dropped, by part, and the customers' names.
+HEADER_NAMES_SQL = """
+select name, position from (
+  select concat(substring(word, 1, n - 1), substring(word, n + 1)) as name, position
+  from (select word, position, 1 + (cast(floor(position / 16) as bigint) % length(word)) as n
+        from (select p_partkey as position, split_part('{words}', ',', cast(1 + p_partkey % 16 as int)) as word from {part}) a) b
+  union all
+  select c_name as name, 1000000000000 + c_custkey as position from {customer}
+) t"""
+HEADER_WORDS = (
+    "IncidentID,CrashDate,Latitude,Longitude,PostalCode,ReportNumber,IncidentDateTime,ZipCode,"
+    "LocationId,LATITUDE,LONGITUDE,LastCount_Daily,LastCountYear,AADT_Count,Station_ID,Date"
+)
+
+
+def header_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    text = HEADER_NAMES_SQL.replace("{words}", HEADER_WORDS)
+    return spark.sql(text, part=table(spark, sf_dir, "part"), customer=table(spark, sf_dir, "customer"))
