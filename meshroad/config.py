@@ -92,8 +92,8 @@ STATES = {"TX": TEXAS}
 
 def vmt_table(spark: SparkSession, states: Iterable[StateConfig], by_state: bool = False) -> DataFrame:
     """Mileage index as a dimension table; its size is the settings' size, years times states."""
-    rows = [(s.code, int(y), float(v)) for s in states for y, v in s.vmt.items()]
-    df = spark.createDataFrame(rows, "state string, vmt_year int, vmt double")
+    rows = ", ".join(f"('{s.code}', {int(y)}, {float(v)!r}D)" for s in states for y, v in s.vmt.items())
+    df = spark.sql(f"select * from values {rows} as t(state, vmt_year, vmt)")
     return df if by_state else df.drop("state")
 
 

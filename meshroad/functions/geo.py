@@ -1,36 +1,44 @@
-"""Great-circle geometry on a spherical earth, as column expressions."""
+"""Great-circle geometry on a spherical earth, as SQL expressions.
+
+The functions take and return SQL text, so that a long formula is one expression for Spark to
+parse instead of many calls from Python.
+"""
 
 from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 from meshroad.config import EARTH_RADIUS_MILES
 
 
-def haversine_miles(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Column:
-    half_dlat = (F.radians(lat2) - F.radians(lat1)) / F.lit(2.0)
-    half_dlon = (F.radians(lon2) - F.radians(lon1)) / F.lit(2.0)
-    s, t = F.sin(half_dlat), F.sin(half_dlon)
-    a = s * s + F.cos(F.radians(lat1)) * F.cos(F.radians(lat2)) * t * t
-    return F.lit(2.0 * EARTH_RADIUS_MILES) * F.asin(F.least(F.sqrt(a), F.lit(1.0)))
+def num(x: float) -> str:
+    """A double literal."""
+    return f"{float(x)!r}D"
+
+
+def haversine_miles(lat1: str, lon1: str, lat2: str, lon2: str) -> str:
+    s = f"sin((radians({lat2}) - radians({lat1})) / 2D)"
+    t = f"sin((radians({lon2}) - radians({lon1})) / 2D)"
+    a = f"pow({s}, 2D) + cos(radians({lat1})) * cos(radians({lat2})) * pow({t}, 2D)"
+    return f"({num(2.0 * EARTH_RADIUS_MILES)} * asin(least(sqrt({a}), 1D)))"
 
 
-def unit_xyz(lat: Column, lon: Column) -> tuple[Column, Column, Column]:
+def unit_xyz(lat: str, lon: str) -> tuple[str, str, str]:
     """Position on the unit sphere."""
-    phi, lam = F.radians(lat), F.radians(lon)
-    return F.cos(phi) * F.cos(lam), F.cos(phi) * F.sin(lam), F.sin(phi)
+    return (
+        f"(cos(radians({lat})) * cos(radians({lon})))",
+        f"(cos(radians({lat})) * sin(radians({lon})))",
+        f"sin(radians({lat}))",
+    )
 
 
-def chord_squared(a: tuple[Column, Column, Column], b: tuple[Column, Column, Column]) -> Column:
-    dx, dy, dz = (p - q for p, q in zip(a, b))
-    return dx * dx + dy * dy + dz * dz
+def chord(a: tuple[str, str, str], b: tuple[str, str, str]) -> str:
+    """Straight-line distance of two positions on the unit sphere; grows with the arc."""
+    return "sqrt(" + " + ".join(f"pow({p} - {q}, 2D)" for p, q in zip(a, b)) + ")"
 
 
-def chord_to_miles(chord: Column) -> Column:
-    return F.lit(2.0 * EARTH_RADIUS_MILES) * F.asin(F.least(chord / F.lit(2.0), F.lit(1.0)))
+def chord_to_miles(c: str) -> str:
+    return f"({num(2.0 * EARTH_RADIUS_MILES)} * asin(least({c} / 2D, 1D)))"
 
 
 def miles_to_chord(miles: float) -> float:

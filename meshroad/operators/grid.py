@@ -2,6 +2,7 @@
 
 Cells of level k are those of level 0 halved k times in each direction. An index over the grid is
 a table with one row per leaf cell, plus for each level the set of cells that were split further.
+Expressions are SQL text, as in `functions.geo`.
 """
 
 from __future__ import annotations
@@ -9,10 +10,11 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from meshroad.config import EARTH_RADIUS_MILES
+from meshroad.functions.geo import num
 from meshroad.operators.joins import lookup_join
 
 # Halving a cell of one mile 14 times gives about 10 cm, finer than any recorded coordinate.
@@ -21,6 +23,9 @@ MAX_LEVEL = 14
 EPS_DEGREES = 1e-9
 EPS_MILES = 1e-7
 
+# The four quarters of a cell, to be exploded.
+QUARTERS = "array(struct(0L as r, 0L as c), struct(0L as r, 1L as c), struct(1L as r, 0L as c), struct(1L as r, 1L as c))"
+
 
 @dataclass(frozen=True)
 class Grid:
@@ -42,60 +47,65 @@ class Grid:
         reach = math.sin(r) / max(math.cos(math.radians(min(max_abs_lat, 89.0))), math.sin(r))
         return cls.of_size(math.degrees(r) * 1.01, math.degrees(math.asin(min(1.0, reach))) * 1.01)
 
-    def row(self, lat: Column, level: int = 0) -> Column:
-        return F.floor((lat + F.lit(90.0)) / F.lit(self.height) * F.lit(float(2**level))).cast("bigint")
+    def row(self, lat: str, level: int = 0) -> str:
+        return f"floor(({lat} + 90D) / {num(self.height)} * {num(2**level)})"
 
-    def col(self, lon: Column, level: int = 0) -> Column:
+    def col(self, lon: str, level: int = 0) -> str:
         """Not yet wrapped around the globe."""
-        return F.floor((lon + F.lit(180.0)) / F.lit(self.width) * F.lit(float(2**level))).cast("bigint")
+        return f"floor(({lon} + 180D) / {num(self.width)} * {num(2**level)})"
 
-    def wrap(self, col: Column, level: int = 0) -> Column:
-        return F.pmod(col, F.lit(self.columns << level).cast("bigint"))
+    def wrap(self, col: str, level: int = 0) -> str:
+        return f"pmod({col}, {self.columns << level}L)"
 
-    def cell(self, row: Column, col: Column, level: int = 0) -> Column:
+    def cell(self, row: str, col: str, level: int = 0) -> str:
         """One number that tells row, column and level."""
-        across = F.lit(self.columns << level).cast("bigint")
-        return (row * across + self.wrap(col, level)) * F.lit(16).cast("bigint") + F.lit(level).cast("bigint")
+        return f"(({row} * {self.columns << level}L + {self.wrap(col, level)}) * 16L + {level}L)"
 
-    def cell_of(self, lat: Column, lon: Column, level: int = 0) -> Column:
+    def cell_of(self, lat: str, lon: str, level: int = 0) -> str:
         return self.cell(self.row(lat, level), self.col(lon, level), level)
 
-    def bottom(self, row: Column, level: int = 0) -> Column:
-        return row * F.lit(self.height / 2**level) - F.lit(90.0)
+    def bottom(self, row: str, level: int = 0) -> str:
+        return f"(({row}) * {num(self.height / 2**level)} - 90D)"
 
-    def left(self, col: Column, level: int = 0) -> Column:
-        return col * F.lit(self.width / 2**level) - F.lit(180.0)
+    def left(self, col: str, level: int = 0) -> str:
+        return f"(({col}) * {num(self.width / 2**level)} - 180D)"
 
-    def center(self, row: Column, col: Column, level: int = 0) -> tuple[Column, Column]:
-        half = F.lit(0.5)
-        return self.bottom(row + half, level), self.left(col + half, level)
+    def center(self, row: str, col: str, level: int = 0) -> tuple[str, str]:
+        return self.bottom(f"{row} + 0.5D", level), self.left(f"{col} + 0.5D", level)
 
-    def half_diagonal_miles(self, row: Column, level: int = 0) -> Column:
+    def half_diagonal_miles(self, row: str, level: int = 0) -> str:
         """Upper bound on the distance from the centre of a cell to any point in it."""
         dlat, dlon = math.radians(self.height / 2**level), math.radians(self.width / 2**level)
-        mid = self.bottom(row + F.lit(0.5), level)
-        nearest_equator = F.greatest(F.abs(mid) - F.lit(self.height / 2**level / 2), F.lit(0.0))
-        along_row = F.lit(dlon / 2) * F.cos(F.radians(nearest_equator))
-        return F.lit(EARTH_RADIUS_MILES) * (F.lit(dlat / 2) + along_row) + F.lit(EPS_MILES)
+        mid = self.bottom(f"{row} + 0.5D", level)
+        nearest_equator = f"greatest(abs({mid}) - {num(self.height / 2**level / 2)}, 0D)"
+        along_row = f"{num(dlon / 2)} * cos(radians({nearest_equator}))"
+        return f"({num(EARTH_RADIUS_MILES)} * ({num(dlat / 2)} + {along_row}) + {num(EPS_MILES)})"
 
-    def cells_within(self, lat: Column, lon: Column, miles: float) -> Column:
-        """Array of (row, col) of the level-0 cells that a circle around the point can reach.
+    def with_reach(self, df: DataFrame, lat: str, lon: str, miles: float) -> DataFrame:
+        """Adds `_r0`, `_r1`, `_c0`, `_c1`: the level-0 rows and columns a circle can reach.
 
         The circle's own longitude extent is used, so it holds at any latitude and across the
-        antimeridian; a circle around a pole reaches every column.
+        antimeridian; a circle around a pole reaches every column. Columns are not wrapped yet.
         """
         r = miles / EARTH_RADIUS_MILES
-        r_deg = F.lit(math.degrees(r) + EPS_DEGREES)
-        reach = F.when(
-            F.abs(lat) + r_deg < F.lit(90.0),
-            F.degrees(F.asin(F.least(F.lit(math.sin(r)) / F.cos(F.radians(lat)), F.lit(1.0)))) + F.lit(EPS_DEGREES),
-        ).otherwise(F.lit(180.0))
-        first, last = self.col(lon - reach), self.col(lon + reach)
-        last = F.least(last, first + F.lit(self.columns - 1).cast("bigint"))
-        rows = F.sequence(self.row(F.greatest(lat - r_deg, F.lit(-90.0))), self.row(F.least(lat + r_deg, F.lit(90.0))))
-        cols = F.sequence(first, last)
-        return F.flatten(F.transform(rows, lambda y: F.transform(
-            cols, lambda x: F.struct(y.alias("row"), self.wrap(x).alias("col")))))
+        r_deg, eps = num(math.degrees(r) + EPS_DEGREES), num(EPS_DEGREES)
+        extent = (
+            f"case when abs({lat}) + {r_deg} < 90D "
+            f"then degrees(asin(least({num(math.sin(r))} / cos(radians({lat})), 1D))) + {eps} else 180D end"
+        )
+        first = self.col(f"{lon} - ({extent})")
+        return df.selectExpr(
+            "*",
+            f"{self.row(f'greatest({lat} - {r_deg}, -90D)')} as _r0", f"{self.row(f'least({lat} + {r_deg}, 90D)')} as _r1",
+            f"{first} as _c0", f"least({self.col(f'{lon} + ({extent})')}, {first} + {self.columns - 1}L) as _c1",
+        )
+
+    def explode_reach(self, df: DataFrame) -> DataFrame:
+        """One row per cell of `with_reach`, in `_row` and `_col`."""
+        plain = [f"`{c}`" for c in df.columns if c not in ("_r0", "_r1", "_c0", "_c1")]
+        rows = df.selectExpr(*plain, "_c0", "_c1", "explode(sequence(_r0, _r1)) as _row")
+        cols = rows.selectExpr(*plain, "_row", "explode(sequence(_c0, _c1)) as _col")
+        return cols.selectExpr(*plain, "_row", f"{self.wrap('_col')} as _col")
 
 
 @dataclass(frozen=True)
@@ -109,17 +119,16 @@ class CellIndex:
     broadcastable: bool = False
 
     def attach(self, points: DataFrame, lat: str, lon: str) -> DataFrame:
-        """Left-join each point's leaf payload; the points keep their rows and order-free identity."""
+        """Left-join the payload of the leaf that each point lies in."""
         keys = [*self.by, "cell"]
-        grid, y, x = self.grid, F.col(lat), F.col(lon)
-        leaf = grid.cell_of(y, x, len(self.splits))
-        found = points
-        for level in reversed(range(len(self.splits))):
-            # Only points whose cell was split at `level` look at deeper levels.
-            leaf = F.when(F.col(f"_split{level}").isNull(), grid.cell_of(y, x, level)).otherwise(leaf)
+        found, depth = points, len(self.splits)
         for level, split in enumerate(self.splits):
             flagged = split.select(*keys, F.lit(True).alias(f"_split{level}"))
-            found = lookup_join(found.withColumn("cell", grid.cell_of(y, x, level)), flagged, keys,
+            found = lookup_join(found.selectExpr("*", f"{self.grid.cell_of(lat, lon, level)} as cell"), flagged, keys,
                                 broadcastable=self.broadcastable).drop("cell")
-        found = found.withColumn("cell", leaf).drop(*[f"_split{i}" for i in range(len(self.splits))])
+        # A point goes as deep as its cells were split.
+        tests = " ".join(f"when _split{i} is null then {self.grid.cell_of(lat, lon, i)}" for i in range(depth))
+        deepest = self.grid.cell_of(lat, lon, depth)
+        leaf = f"case {tests} else {deepest} end" if tests else deepest
+        found = found.selectExpr(*[f"`{c}`" for c in points.columns], f"{leaf} as cell")
         return lookup_join(found, self.leaves, keys, broadcastable=self.broadcastable).drop("cell")

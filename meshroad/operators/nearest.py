@@ -13,13 +13,13 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from meshroad.config import BBox, EARTH_RADIUS_MILES, FIRST_YEAR, LAST_YEAR, MAX_STATION_MILES
-from meshroad.functions.geo import chord_squared, haversine_miles, unit_xyz
+from meshroad.functions.geo import chord, haversine_miles, num, unit_xyz
 from meshroad.operators.clean import first_per_key
-from meshroad.operators.grid import EPS_MILES, MAX_LEVEL, CellIndex, Grid
+from meshroad.operators.grid import EPS_MILES, MAX_LEVEL, QUARTERS, CellIndex, Grid
 from meshroad.operators.joins import lookup_join
 from meshroad.session import BROADCAST_BYTES, materialize
 
@@ -30,17 +30,18 @@ ENTRY_BYTES = 128
 TIE_STEPS_PER_MILE = 1e9
 
 
-def _entry() -> Column:
-    x, y, z = unit_xyz(F.col("station_lat"), F.col("station_lon"))
-    return F.struct(
-        F.col("station_id"), x.alias("x"), y.alias("y"), z.alias("z"),
-        "station_lat", "station_lon", "Station_Count", "Station_Year",
-    )
-
-
 def _gather(pairs: DataFrame, keys: Sequence[str]) -> DataFrame:
     """One row per cell; the lists are bounded because crowded cells were split before."""
-    return pairs.groupBy(*keys).agg(F.collect_list(_entry()).alias("stations"))
+    x, y, z = unit_xyz("station_lat", "station_lon")
+    entry = F.expr(
+        f"struct(station_id as id, {x} as x, {y} as y, {z} as z, station_lat as lat, station_lon as lon, "
+        "Station_Count as count, Station_Year as year)")
+    return pairs.groupBy(*keys).agg(F.collect_list(entry).alias("stations"))
+
+
+def _one_per_place(stations: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Of stations at the same coordinates only the first by id can win a tie."""
+    return first_per_key(stations, [*by, "station_lat", "station_lon"], [F.col("station_id").asc_nulls_last()])
 
 
 def radius_index(
@@ -60,24 +61,20 @@ def radius_index(
     """
     by = tuple(by)
     grid = Grid.for_radius(radius_miles, max_abs_lat)
-    lat, lon = F.col("station_lat"), F.col("station_lon")
-    reach = grid.cells_within(lat, lon, radius_miles)
+    spread = lambda df: grid.with_reach(df, "station_lat", "station_lon", radius_miles)
 
     crowd = (
-        (crowd_bound if crowd_bound is not None else stations)
-        .select(*by, grid.cell_of(lat, lon).alias("cell"), F.size(reach).alias("_copies"))
-        .groupBy(*by, "cell").agg(F.count(F.lit(1)).alias("_n"), F.sum("_copies").alias("_copies"))
-        .agg(F.max("_n").alias("n"), F.sum("_copies").alias("copies")).first()
+        spread(crowd_bound if crowd_bound is not None else stations)
+        .selectExpr(*by, f"{grid.cell_of('station_lat', 'station_lon')} as cell", "(_r1 - _r0 + 1) * (_c1 - _c0 + 1) as copies")
+        .groupBy(*by, "cell").agg(F.count(F.lit(1)).alias("n"), F.sum("copies").alias("copies"))
+        .agg(F.max("n").alias("n"), F.sum("copies").alias("copies")).first()
     )
-    pairs = stations.withColumn("_at", F.explode(reach)).select(
-        *stations.columns, F.col("_at.row").alias("_row"), F.col("_at.col").alias("_col"))
-    # A circle of the cells' own size touches at most nine of them away from the poles.
+    # A circle of the cells' own size touches at most nine of them, away from the poles.
     if 9 * (crowd.n or 0) <= max_candidates:
-        leaves = _gather(pairs.withColumn("cell", grid.cell(F.col("_row"), F.col("_col"))), [*by, "cell"])
+        pairs = grid.explode_reach(spread(stations))
+        leaves = _gather(pairs.withColumn("cell", F.expr(grid.cell("_row", "_col"))), [*by, "cell"])
         return CellIndex(grid, leaves, (), by, (crowd.copies or 0) * ENTRY_BYTES <= broadcast_bytes)
-    unique = first_per_key(stations, [*by, "station_lat", "station_lon"], [F.col("station_id").asc_nulls_last()])
-    pairs = unique.withColumn("_at", F.explode(reach)).select(
-        *stations.columns, F.col("_at.row").alias("_row"), F.col("_at.col").alias("_col"))
+    pairs = grid.explode_reach(spread(_one_per_place(stations, by)))
     return _refine(pairs, grid, by, radius_miles, max_candidates, broadcast_bytes)
 
 
@@ -88,7 +85,7 @@ def unbounded_index(
     by: Sequence[str] = (),
     max_candidates: int = MAX_CANDIDATES,
     broadcast_bytes: int = BROADCAST_BYTES,
-    roots_per_side: int = 6,
+    roots_per_side: int = 8,
 ) -> CellIndex:
     """Index for "nearest station at any distance" of points inside `box`.
 
@@ -97,12 +94,11 @@ def unbounded_index(
     """
     grid = Grid.of_size(max((box.lat_max - box.lat_min) / roots_per_side, 1e-3),
                         max((box.lon_max - box.lon_min) / roots_per_side, 1e-3))
-    rows = range(math.floor((box.lat_min + 90) / grid.height), math.floor((box.lat_max + 90) / grid.height) + 1)
-    cols = range(math.floor((box.lon_min + 180) / grid.width), math.floor((box.lon_max + 180) / grid.width) + 1)
-    span = lambda r: F.explode(F.sequence(F.lit(r[0]).cast("bigint"), F.lit(r[-1]).cast("bigint")))
-    unique = first_per_key(stations, [*by, "station_lat", "station_lon"], [F.col("station_id").asc_nulls_last()])
-    pairs = unique.withColumn("_row", span(rows)).withColumn("_col", span(cols)).withColumn("_col", grid.wrap(F.col("_col")))
-    return _refine(pairs, grid, tuple(by), None, max_candidates, broadcast_bytes)
+    bounds = (math.floor((box.lat_min + 90) / grid.height), math.floor((box.lat_max + 90) / grid.height),
+              math.floor((box.lon_min + 180) / grid.width), math.floor((box.lon_max + 180) / grid.width))
+    covered = _one_per_place(stations, by).selectExpr(
+        "*", *[f"{v}L as {c}" for c, v in zip(("_r0", "_r1", "_c0", "_c1"), bounds)])
+    return _refine(grid.explode_reach(covered), grid, tuple(by), None, max_candidates, broadcast_bytes)
 
 
 def _refine(
@@ -116,38 +112,34 @@ def _refine(
     station_cols = [c for c in pairs.columns if c not in ("_row", "_col")]
     leaves, splits, entries = [], [], 0
     for level in range(MAX_LEVEL + 1):
-        row, col = F.col("_row"), F.col("_col")
-        scored = pairs.select(
-            *station_cols, "_row", "_col", grid.cell(row, col, level).alias("cell"),
-            haversine_miles(*grid.center(row, col, level), F.col("station_lat"), F.col("station_lon")).alias("_d"),
-            grid.half_diagonal_miles(row, level).alias("_h"),
-        )
+        scored = pairs.selectExpr(
+            *station_cols, "_row", "_col", f"{grid.cell('_row', '_col', level)} as cell",
+            f"{haversine_miles(*grid.center('_row', '_col', level), 'station_lat', 'station_lon')} as _d",
+            f"{grid.half_diagonal_miles('_row', level)} as _h")
         if radius is not None:
-            scored = scored.filter(F.col("_d") <= F.lit(radius) + F.col("_h"))
+            scored = scored.filter(F.expr(f"_d <= {radius!r}D + _h"))
         closest = materialize(scored.groupBy(*keys).agg(F.min("_d").alias("_closest")), "closest")
         small = closest.count() * 64 <= broadcast_bytes
         kept = materialize(
             lookup_join(scored, closest, keys, broadcastable=small, how="inner")
-            .filter(F.col("_d") <= F.col("_closest") + F.lit(2.0) * F.col("_h") + F.lit(EPS_MILES))
+            .filter(F.expr(f"_d <= _closest + 2D * _h + {EPS_MILES!r}D"))
             .select(*station_cols, "_row", "_col", "cell"), "candidates")
         sizes = kept.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
         limit = max_candidates if level < MAX_LEVEL else 2**62
-        crowded = materialize(sizes.filter(F.col("_n") > limit).select(*keys), "crowded")
-        n_crowded = crowded.count()
-        entries += kept.count()
-        if n_crowded == 0:
+        total = sizes.agg(F.sum("_n").alias("entries"), F.count_if(F.col("_n") > limit).alias("crowded")).first()
+        if not total.crowded:
+            entries += total.entries or 0
             leaves.append(kept)
             break
+        crowded = materialize(sizes.filter(F.col("_n") > limit).select(*keys), "crowded")
         marked = lookup_join(kept, crowded.withColumn("_crowded", F.lit(True)), keys,
-                             broadcastable=n_crowded * 64 <= broadcast_bytes)
-        leaves.append(marked.filter(F.col("_crowded").isNull()).drop("_crowded"))
+                             broadcastable=total.crowded * 64 <= broadcast_bytes)
+        settled = marked.filter(F.col("_crowded").isNull()).drop("_crowded")
+        entries += total.entries  # an upper bound: the split cells' entries count again below
+        leaves.append(settled)
         splits.append(crowded)
-        quarter = F.array(*[F.struct(F.lit(i).cast("bigint").alias("r"), F.lit(j).cast("bigint").alias("c"))
-                            for i in (0, 1) for j in (0, 1)])
-        pairs = (
-            marked.filter(F.col("_crowded")).withColumn("_q", F.explode(quarter))
-            .select(*station_cols, (row * 2 + F.col("_q.r")).alias("_row"), (col * 2 + F.col("_q.c")).alias("_col"))
-        )
+        pairs = marked.filter(F.col("_crowded")).selectExpr(*station_cols, "_row", "_col", f"explode({QUARTERS}) as _q").selectExpr(
+            *station_cols, "_row * 2 + _q.r as _row", "_col * 2 + _q.c as _col")
     together = leaves[0]
     for more in leaves[1:]:
         together = together.unionByName(more)
@@ -157,34 +149,21 @@ def _refine(
 
 def _best_station(points: DataFrame, index: CellIndex, lat: str, lon: str) -> DataFrame:
     """Adds `_best`, the nearest station's entry (ties by id), and `_miles`, its distance."""
-    found = index.attach(points, lat, lon)
-    x, y, z = unit_xyz(F.col(lat), F.col(lon))
-    found = found.withColumns({"_x": x, "_y": y, "_z": z})
-    here = (F.col("_x"), F.col("_y"), F.col("_z"))
-    scale = F.lit(EARTH_RADIUS_MILES * TIE_STEPS_PER_MILE)
-
-    def ranked(s: Column) -> Column:
-        chord = F.sqrt(chord_squared((s["x"], s["y"], s["z"]), here))
-        return F.struct(
-            F.floor(chord * scale + F.lit(0.5)).alias("steps"), s["station_id"].alias("id"),
-            s["station_lat"].alias("lat"), s["station_lon"].alias("lon"),
-            s["Station_Count"].alias("count"), s["Station_Year"].alias("year"),
-        )
-
-    found = found.withColumn("_best", F.array_min(F.transform("stations", ranked)))
-    found = found.withColumn("_miles", haversine_miles(F.col(lat), F.col(lon), F.col("_best.lat"), F.col("_best.lon")))
-    return found.drop("stations", "_x", "_y", "_z")
-
-
-def _station_columns(points: DataFrame, found: DataFrame, hit: Column, miles: Column) -> DataFrame:
-    kept = lambda field: F.when(hit, F.col(f"_best.{field}"))
-    return found.select(
-        *points.columns,
-        kept("id").alias("Nearest_Station_LocationId"),
-        kept("lat").alias("Station_Lat"), kept("lon").alias("Station_Lon"),
-        kept("count").alias("Station_Count"), kept("year").alias("Station_Year"),
-        miles.alias("Distance_Miles"),
-    )
+    plain = [f"`{c}`" for c in points.columns]
+    x, y, z = unit_xyz(f"`{lat}`", f"`{lon}`")
+    found = index.attach(points, lat, lon).selectExpr(*plain, "stations", f"{x} as _x", f"{y} as _y", f"{z} as _z")
+    steps = f"floor({chord(('s.x', 's.y', 's.z'), ('_x', '_y', '_z'))} * {num(EARTH_RADIUS_MILES * TIE_STEPS_PER_MILE)} + 0.5D)"
+    ranked = f"transform(stations, s -> struct({steps} as steps, s.id, s.lat, s.lon, s.count, s.year))"
+    return found.selectExpr(*plain, f"array_min({ranked}) as _best").selectExpr(
+        *plain, "_best", f"{haversine_miles(f'`{lat}`', f'`{lon}`', '_best.lat', '_best.lon')} as _miles")
+
+
+def _station_columns(points: DataFrame, found: DataFrame, radius_miles: float, miles: str) -> DataFrame:
+    near = lambda value, name: f"case when _miles <= {num(radius_miles)} then {value} end as {name}"
+    return found.selectExpr(
+        *[f"`{c}`" for c in points.columns], near("_best.id", "Nearest_Station_LocationId"),
+        near("_best.lat", "Station_Lat"), near("_best.lon", "Station_Lon"),
+        near("_best.count", "Station_Count"), near("_best.year", "Station_Year"), f"{miles} as Distance_Miles")
 
 
 def nearest_within(
@@ -193,8 +172,7 @@ def nearest_within(
 ) -> DataFrame:
     """Left semantics: every point once, station columns null when none is within the radius."""
     found = _best_station(points, index, lat, lon)
-    hit = F.col("_miles") <= F.lit(radius_miles)
-    return _station_columns(points, found, hit, F.when(hit, F.col("_miles")))
+    return _station_columns(points, found, radius_miles, f"case when _miles <= {num(radius_miles)} then _miles end")
 
 
 def nearest_unbounded(
@@ -202,8 +180,7 @@ def nearest_unbounded(
     lat: str = "Latitude", lon: str = "Longitude",
 ) -> DataFrame:
     """Distance to the nearest station at any distance; its columns only when within the radius."""
-    found = _best_station(points, index, lat, lon)
-    return _station_columns(points, found, F.col("_miles") <= F.lit(radius_miles), F.col("_miles"))
+    return _station_columns(points, _best_station(points, index, lat, lon), radius_miles, "_miles")
 
 
 def history_table(
@@ -214,15 +191,13 @@ def history_table(
     Order: smaller gap, missing year last, later year, larger count. Each record is copied to the
     few crash years and reduced by a minimum, so a station with very many records is no hot spot.
     """
-    year, count = F.col("Station_Year"), F.col("Station_Count")
-    gap = F.abs(F.col("Crash_Year").cast("bigint") - year)
-    years = F.explode(F.sequence(F.lit(first_year), F.lit(last_year))).alias("Crash_Year")
-    ranked = F.struct(year.isNull().alias("no_year"), gap.alias("gap"), (-year).alias("later"),
-                      (-count).alias("larger"), year.alias("year"), count.alias("count"))
+    ranked = (
+        "struct(Station_Year is null as no_year, abs(cast(Crash_Year as bigint) - Station_Year) as gap, "
+        "-Station_Year as later, -Station_Count as larger, Station_Year as year, Station_Count as count)")
     return (
-        records.select(*by, "station_id", "Station_Year", "Station_Count", years)
-        .groupBy(*by, F.col("station_id").alias("Nearest_Station_LocationId"), "Crash_Year")
-        .agg(F.min(ranked).alias("_best"))
+        records.selectExpr(*by, "station_id as Nearest_Station_LocationId", "Station_Year", "Station_Count",
+                           f"explode(sequence({first_year}, {last_year})) as Crash_Year")
+        .groupBy(*by, "Nearest_Station_LocationId", "Crash_Year").agg(F.min(F.expr(ranked)).alias("_best"))
     )
 
 

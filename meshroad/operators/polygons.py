@@ -10,10 +10,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from meshroad.operators.grid import EPS_DEGREES, MAX_LEVEL, CellIndex, Grid
+from meshroad.functions.geo import num
+from meshroad.operators.grid import EPS_DEGREES, MAX_LEVEL, QUARTERS, CellIndex, Grid
 from meshroad.operators.joins import lookup_join
 from meshroad.session import BROADCAST_BYTES, materialize
 
@@ -26,131 +27,107 @@ def polygon_edges(polygons: DataFrame, by: Sequence[str] = ()) -> DataFrame:
 
     Rings of holes need no special care under the even-odd rule.
     """
-    vertices = F.flatten(F.flatten("mp"))
-    rings = polygons.select(
-        *by, "polygon_id", "zip",
-        F.array_min(F.transform(vertices, lambda v: v[1])).alias("polygon_y_min"),
-        F.explode(F.flatten("mp")).alias("ring"),
-    )
-    n = F.size("ring")
-    ends = F.zip_with(F.slice("ring", F.lit(1), n - 1), F.slice("ring", F.lit(2), n - 1), lambda a, b: F.struct(
-        a[0].alias("x1"), a[1].alias("y1"), b[0].alias("x2"), b[1].alias("y2")))
-    exploded = rings.filter(n > 1).select(*by, "polygon_id", "zip", "polygon_y_min", F.explode(ends).alias("e"))
-    return exploded.select(*by, "polygon_id", "zip", "polygon_y_min", "e.x1", "e.y1", "e.x2", "e.y2")
-
-
-# Predicates on an edge (x1, y1)-(x2, y2). Each side test uses the sign of one cross product, so that
-# two tests at the same corner can never contradict each other by rounding.
+    own = [*by, "polygon_id", "zip", "polygon_y_min"]
+    rings = polygons.selectExpr(
+        *own[:-1], "array_min(transform(flatten(flatten(mp)), v -> v[1])) as polygon_y_min", "explode(flatten(mp)) as ring")
+    ends = ("zip_with(slice(ring, 1, size(ring) - 1), slice(ring, 2, size(ring) - 1), "
+            "(a, b) -> struct(a[0] as x1, a[1] as y1, b[0] as x2, b[1] as y2))")
+    return rings.filter("size(ring) > 1").selectExpr(*own, f"explode({ends}) as e").select(*own, "e.x1", "e.y1", "e.x2", "e.y2")
 
 
-def _cross(e, x: Column, y: Column) -> Column:
-    return (e["x2"] - e["x1"]) * (y - e["y1"]) - (e["y2"] - e["y1"]) * (x - e["x1"])
+# Predicates on an edge e, from (x1, y1) to (x2, y2), as SQL text. Each side test uses the sign of one
+# cross product, so that two tests at the same corner can never contradict each other by rounding.
 
 
-def _spans_x(e, x: Column) -> Column:
-    return (e["x1"] > x) != (e["x2"] > x)
+def _cross(e: str, x: str, y: str) -> str:
+    return f"(({e}.x2 - {e}.x1) * ({y} - {e}.y1) - ({e}.y2 - {e}.y1) * ({x} - {e}.x1))"
 
 
-def _spans_y(e, y: Column) -> Column:
-    return (e["y1"] > y) != (e["y2"] > y)
+def _spans(e: str, axis: str, at: str) -> str:
+    return f"(({e}.{axis}1 > {at}) <> ({e}.{axis}2 > {at}))"
 
 
-def _below(e, x: Column, y: Column) -> Column:
+def _below(e: str, x: str, y: str) -> str:
     """(x, y) lies strictly below an edge that spans x."""
-    c = _cross(e, x, y)
-    return F.when(e["x2"] > e["x1"], c < 0).otherwise(c > 0)
+    return f"(if({e}.x2 > {e}.x1, {_cross(e, x, y)} < 0D, {_cross(e, x, y)} > 0D))"
 
 
-def _left_of(e, x: Column, y: Column) -> Column:
+def _left_of(e: str, x: str, y: str) -> str:
     """(x, y) lies strictly left of an edge that spans y."""
-    c = _cross(e, x, y)
-    return F.when(e["y2"] > e["y1"], c > 0).otherwise(c < 0)
+    return f"(if({e}.y2 > {e}.y1, {_cross(e, x, y)} > 0D, {_cross(e, x, y)} < 0D))"
 
 
-def _crossings(e, x: Column, y: Column, right: Column, top: Column) -> Column:
+def _crossings(e: str, x: str, y: str, right: str, top: str) -> str:
     """Times (0 to 2) the edge is crossed going from (x, y) to (right, y) and on to (right, top)."""
-    sideways = _spans_y(e, y) & (_left_of(e, x, y) != _left_of(e, right, y))
-    upwards = _spans_x(e, right) & (_below(e, right, y) != _below(e, right, top))
-    return sideways.cast("int") + upwards.cast("int")
+    sideways = f"({_spans(e, 'y', y)} and {_left_of(e, x, y)} <> {_left_of(e, right, y)})"
+    upwards = f"({_spans(e, 'x', right)} and {_below(e, right, y)} <> {_below(e, right, top)})"
+    return f"(cast({sideways} as int) + cast({upwards} as int))"
 
 
-def _touches(e, x: Column, y: Column) -> Column:
+def _touches(e: str, x: str, y: str) -> str:
     return (
-        (_cross(e, x, y) == 0)
-        & x.between(F.least(e["x1"], e["x2"]), F.greatest(e["x1"], e["x2"]))
-        & y.between(F.least(e["y1"], e["y2"]), F.greatest(e["y1"], e["y2"]))
+        f"({x} between least({e}.x1, {e}.x2) and greatest({e}.x1, {e}.x2) "
+        f"and {y} between least({e}.y1, {e}.y2) and greatest({e}.y1, {e}.y2) and {_cross(e, x, y)} = 0D)"
     )
 
 
-class _Edge(dict):
-    """The current row's edge columns under the names the predicates use."""
-
-    def __init__(self, prefix: str = ""):
-        super().__init__({c: F.col(prefix + c) for c in ("x1", "y1", "x2", "y2")})
-
-
-def _meets(e, grid: Grid, row: Column, col: Column, level: int) -> Column:
+def _meets(e: str, grid: Grid, row: str, col: str, level: int) -> str:
     """The edge's bounding box meets the cell, widened against rounding."""
-    eps = F.lit(EPS_DEGREES)
+    eps = num(EPS_DEGREES)
     return (
-        (F.least(e["x1"], e["x2"]) <= grid.left(col + 1, level) + eps)
-        & (F.greatest(e["x1"], e["x2"]) >= grid.left(col, level) - eps)
-        & (F.least(e["y1"], e["y2"]) <= grid.bottom(row + 1, level) + eps)
-        & (F.greatest(e["y1"], e["y2"]) >= grid.bottom(row, level) - eps)
+        f"(least({e}.x1, {e}.x2) <= {grid.left(f'{col} + 1', level)} + {eps} "
+        f"and greatest({e}.x1, {e}.x2) >= {grid.left(col, level)} - {eps} "
+        f"and least({e}.y1, {e}.y2) <= {grid.bottom(f'{row} + 1', level)} + {eps} "
+        f"and greatest({e}.y1, {e}.y2) >= {grid.bottom(row, level)} - {eps})"
     )
 
 
 def _first_level(edges: DataFrame, grid: Grid, by: Sequence[str]) -> DataFrame:
-    """Rows (row, col, polygon, edge or null, flips): edges near a cell, and edges above its corner."""
-    e, eps, one = _Edge(), F.lit(EPS_DEGREES), F.lit(1).cast("bigint")
-    x_min, x_max = F.least("x1", "x2"), F.greatest("x1", "x2")
-    y_max = F.greatest("y1", "y2")
-    rows = F.sequence(grid.row(F.col("polygon_y_min") - eps), grid.row(y_max + eps))
-    cols = F.sequence(grid.col(x_min - eps), grid.col(x_max + eps))
-
-    def at(r: Column, c: Column) -> Column:
-        right, top = grid.left(c + one), grid.bottom(r + one)
-        flips = (_spans_x(e, right) & _below(e, right, top)).cast("int")
-        return F.struct(r.alias("row"), c.alias("col"), _meets(e, grid, r, c, 0).alias("near"), flips.alias("flips"))
-
-    # A column whose right border the edge does not span matters only where the edge itself is.
-    cells = F.filter(F.flatten(F.transform(rows, lambda r: F.transform(cols, lambda c: at(r, c)))),
-                     lambda k: k["near"] | (k["flips"] > 0))
-    edge = F.struct("x1", "y1", "x2", "y2")
-    return edges.select(*by, "polygon_id", "zip", edge.alias("edge"), F.explode(cells).alias("k")).select(
-        *by, "polygon_id", "zip", F.when(F.col("k.near"), F.col("edge")).alias("edge"),
-        F.col("k.flips").alias("flips"), F.col("k.row").alias("_row"), F.col("k.col").alias("_col"))
+    """Rows (row, col, polygon, edge or null, flips): edges near a cell, and edges above its corner.
+
+    An edge within one column concerns only the cells it meets. One that spans a column border also
+    concerns the cells below it, down to the polygon's lowest row.
+    """
+    own, eps = [*by, "polygon_id", "zip"], num(EPS_DEGREES)
+    reach = edges.selectExpr(
+        *own, "polygon_y_min", "struct(x1, y1, x2, y2) as edge",
+        f"{grid.col(f'least(x1, x2) - {eps}')} as _c0", f"{grid.col(f'greatest(x1, x2) + {eps}')} as _c1")
+    lowest = f"if(_c0 = _c1, least(edge.y1, edge.y2), polygon_y_min) - {eps}"
+    cells = reach.selectExpr(
+        *own, "edge", "_c0", "_c1",
+        f"explode(sequence({grid.row(lowest)}, {grid.row(f'greatest(edge.y1, edge.y2) + {eps}')})) as _row",
+    ).selectExpr(*own, "edge", "_row", "explode(sequence(_c0, _c1)) as _col")
+    right, top = grid.left("_col + 1"), grid.bottom("_row + 1")
+    return cells.selectExpr(
+        *own, f"case when {_meets('edge', grid, '_row', '_col', 0)} then edge end as edge",
+        f"cast({_spans('edge', 'x', right)} and {_below('edge', right, top)} as int) as flips", "_row", "_col",
+    ).filter("edge is not null or flips > 0")
 
 
 def _children(cells: DataFrame, grid: Grid, by: Sequence[str], level: int) -> DataFrame:
     """Rows of the four quarters of each cell of `level`."""
-    own = [*by, "polygon_id", "zip", "_row", "_col"]
-    quarter = F.array(*[F.struct(F.lit(i).cast("bigint").alias("r"), F.lit(j).cast("bigint").alias("c"))
-                        for i in (0, 1) for j in (0, 1)])
+    own = [*by, "polygon_id", "zip"]
     # The parent's corner bit passes to every quarter as one edgeless row per polygon.
-    corner = cells.groupBy(*own).agg((F.sum("flips") % 2).cast("int").alias("flips"))
-    no_edge = F.lit(None).cast("struct<x1:double,y1:double,x2:double,y2:double>")
-    rows = cells.filter(F.col("edge").isNotNull()).select(*own, "edge", F.lit(None).cast("int").alias("bit"))
-    rows = rows.unionByName(corner.select(*own, no_edge.alias("edge"), F.col("flips").alias("bit")))
-    rows = rows.withColumn("_q", F.explode(quarter)).select(
-        *own[:-2], "edge", "bit",
-        grid.left(F.col("_col") + 1, level).alias("_right"), grid.bottom(F.col("_row") + 1, level).alias("_top"),
-        (F.col("_row") * 2 + F.col("_q.r")).alias("_row"), (F.col("_col") * 2 + F.col("_q.c")).alias("_col"))
-    e, r, c = _Edge("edge."), F.col("_row"), F.col("_col")
+    corner = cells.groupBy(*own, "_row", "_col").agg((F.sum("flips") % 2).cast("int").alias("bit")).selectExpr(
+        *own, "_row", "_col", "cast(null as struct<x1:double,y1:double,x2:double,y2:double>) as edge", "bit")
+    rows = cells.filter("edge is not null").selectExpr(*own, "_row", "_col", "edge", "cast(null as int) as bit")
+    rows = rows.unionByName(corner).selectExpr(
+        *own, "edge", "bit", f"{grid.left('_col + 1', level)} as _right", f"{grid.bottom('_row + 1', level)} as _top",
+        "_row", "_col", f"explode({QUARTERS}) as _q",
+    ).selectExpr(*own, "edge", "bit", "_right", "_top", "_row * 2 + _q.r as _row", "_col * 2 + _q.c as _col")
     # A quarter's corner is a point of the parent cell, so its bit follows from the parent's edges.
-    turned = _crossings(e, grid.left(c + 1, level + 1), grid.bottom(r + 1, level + 1), F.col("_right"), F.col("_top"))
-    out = rows.select(
-        *own, F.when(_meets(e, grid, r, c, level + 1), F.col("edge")).alias("edge"),
-        F.coalesce("bit", turned % 2, F.lit(0)).alias("flips"))
-    return out.filter(F.col("edge").isNotNull() | (F.col("flips") > 0))
+    x, y = grid.left("_col + 1", level + 1), grid.bottom("_row + 1", level + 1)
+    return rows.selectExpr(
+        *own, f"case when {_meets('edge', grid, '_row', '_col', level + 1)} then edge end as edge",
+        f"coalesce(bit, {_crossings('edge', x, y, '_right', '_top')} % 2, 0) as flips", "_row", "_col",
+    ).filter("edge is not null or flips > 0")
 
 
 def _gather(cells: DataFrame, by: Sequence[str]) -> DataFrame:
-    keys = [*by, "cell"]
-    per_polygon = cells.groupBy(*keys, "right", "top", "polygon_id", "zip").agg(
+    keys = [*by, "cell", "right", "top"]
+    per_polygon = cells.groupBy(*keys, "polygon_id", "zip").agg(
         (F.sum("flips") % 2).cast("int").alias("corner"), F.collect_list("edge").alias("edges"))
-    useful = per_polygon.filter((F.col("corner") > 0) | (F.size("edges") > 0))
-    return useful.groupBy(*keys, "right", "top").agg(
+    return per_polygon.filter("corner > 0 or size(edges) > 0").groupBy(*keys).agg(
         F.collect_list(F.struct("polygon_id", "zip", "corner", "edges")).alias("polygons"))
 
 
@@ -165,11 +142,10 @@ def polygon_index(
     by = tuple(by)
     keys = [*by, "cell"]
     grid = Grid.of_size(cell_degrees, cell_degrees)
-    row, col = F.col("_row"), F.col("_col")
 
     def keyed(cells: DataFrame, level: int) -> DataFrame:
-        return cells.withColumns({
-            "cell": grid.cell(row, col, level), "right": grid.left(col + 1, level), "top": grid.bottom(row + 1, level)})
+        return cells.selectExpr("*", f"{grid.cell('_row', '_col', level)} as cell",
+                                f"{grid.left('_col + 1', level)} as right", f"{grid.bottom('_row + 1', level)} as top")
 
     cells = keyed(_first_level(polygon_edges(polygons, by), grid, by), 0)
     leaves, splits, entries = [], [], 0
@@ -199,16 +175,13 @@ def polygon_index(
 
 def containing_zips(points: DataFrame, index: CellIndex, lat: str = "Latitude", lon: str = "Longitude") -> DataFrame:
     """Adds `zips`, the array of the `zip` of every polygon the point is strictly inside of."""
-    x, y, right, top = F.col(lon), F.col(lat), F.col("right"), F.col("top")
-
-    def inside(g: Column) -> Column:
-        turns = F.aggregate(g["edges"], g["corner"], lambda n, e: n + _crossings(e, x, y, right, top))
-        return ((turns % 2) == 1) & ~F.exists(g["edges"], lambda e: _touches(e, x, y))
-
-    found = index.attach(points, lat, lon)
+    x, y = f"`{lon}`", f"`{lat}`"
+    turns = f"aggregate(g.edges, g.corner, (n, e) -> n + {_crossings('e', x, y, 'right', 'top')})"
+    inside = f"({turns} % 2 = 1 and not exists(g.edges, e -> {_touches('e', x, y)}))"
     # Most points lie in cells without edges, where the corner bit answers alone.
-    hits = F.filter("polygons", lambda g: F.when(F.size(g["edges"]) == 0, g["corner"] == 1).otherwise(inside(g)))
-    return found.withColumn("zips", F.transform(hits, lambda g: g["zip"])).drop("polygons", "right", "top")
+    hits = f"filter(polygons, g -> if(size(g.edges) = 0, g.corner = 1, {inside}))"
+    return index.attach(points, lat, lon).selectExpr(
+        *[f"`{c}`" for c in points.columns], f"transform({hits}, g -> g.zip) as zips")
 
 
 def assign_zip(
@@ -223,10 +196,7 @@ def assign_zip(
     """
     bare = points.drop("ZIP_Code")
     found = containing_zips(bare, index, lat, lon)
-    codes = F.transform("zips", lambda z: z.try_cast("bigint"))
-    if overlaps == "smallest":
-        out = found.withColumn("ZIP_Code", F.array_min(codes)).drop("zips")
-    else:
-        explode = F.explode_outer if keep_outside else F.explode
-        out = found.withColumn("ZIP_Code", explode(codes)).drop("zips")
+    codes = "transform(zips, z -> try_cast(z as bigint))"
+    pick = "array_min" if overlaps == "smallest" else "explode_outer" if keep_outside else "explode"
+    out = found.selectExpr(*[f"`{c}`" for c in bare.columns], f"{pick}({codes}) as ZIP_Code")
     return out if keep_outside else out.filter(F.col("ZIP_Code").isNotNull())

@@ -12,25 +12,22 @@ from meshroad.config import FILLED_LABEL, MISSING_LABEL
 
 def with_vmt(df: DataFrame, vmt: DataFrame, year: str, name: str, by: Sequence[str] = ()) -> DataFrame:
     """Look the year up in the mileage table, which is as small as the settings it comes from."""
-    dim = vmt.select(*by, F.col("vmt_year").cast("bigint").alias("_year"), F.col("vmt").alias(name))
-    joined = df.withColumn("_year", F.col(year).cast("bigint"))
+    dim = vmt.selectExpr(*by, "cast(vmt_year as bigint) as _year", f"vmt as {name}")
+    joined = df.selectExpr("*", f"cast(`{year}` as bigint) as _year")
     return joined.join(F.broadcast(dim), [*by, "_year"], "left").drop("_year")
 
 
 def vmt_multiplier(df: DataFrame, vmt: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Adds VMT_Crash, VMT_Station and their ratio; null for unknown years and zero mileage."""
     both = with_vmt(with_vmt(df, vmt, "Crash_Year", "VMT_Crash", by), vmt, "Station_Year", "VMT_Station", by)
-    ratio = F.when(F.col("VMT_Station") > 0, F.col("VMT_Crash") / F.col("VMT_Station"))
-    return both.withColumn("VMT_Multiplier", ratio)
+    return both.selectExpr("*", "case when VMT_Station > 0 then VMT_Crash / VMT_Station end as VMT_Multiplier")
 
 
 def adjust_volume(df: DataFrame, vmt: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Adds the columns from year_gap to aadt_match_type."""
-    gap = F.abs(F.col("Crash_Year").cast("bigint") - F.col("Station_Year"))
-    scaled = vmt_multiplier(df.withColumn("year_gap", gap), vmt, by)
-    filled = F.col("Station_Count").isNotNull() & F.col("VMT_Multiplier").isNotNull()
-    return scaled.withColumns({
-        "Adt_Curnt_Amt": F.col("Station_Count") * F.col("VMT_Multiplier"),
-        "Adt_Curnt_Year": F.col("Crash_Year").cast("bigint"),
-        "aadt_match_type": F.when(filled, FILLED_LABEL).otherwise(MISSING_LABEL),
-    })
+    kept = [f"`{c}`" for c in df.columns if c != "year_gap"]
+    gap = df.selectExpr(*kept, "abs(cast(Crash_Year as bigint) - Station_Year) as year_gap")
+    return vmt_multiplier(gap, vmt, by).selectExpr(
+        "*", "Station_Count * VMT_Multiplier as Adt_Curnt_Amt", "cast(Crash_Year as bigint) as Adt_Curnt_Year",
+        f"case when Station_Count is not null and VMT_Multiplier is not null then '{FILLED_LABEL}' "
+        f"else '{MISSING_LABEL}' end as aadt_match_type")

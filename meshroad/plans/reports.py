@@ -152,8 +152,8 @@ def distance_bins(out: DataFrame, closed: str = "left") -> DataFrame:
     place = sum((p.cast("int") for p in passed[1:]), passed[0].cast("int"))
     bin_no = F.when(_filled() & d.between(0.0, 1.0), place)
     counts = out.groupBy(bin_no.alias("bin")).agg(F.count(F.lit(1)).alias("n")).filter(F.col("bin").isNotNull())
-    labels = out.sparkSession.createDataFrame(
-        [(i, BIN_EDGES[i], BIN_EDGES[i + 1]) for i in range(10)], "bin int, lower double, upper double")
+    rows = ", ".join(f"({i}, {BIN_EDGES[i]}D, {BIN_EDGES[i + 1]}D)" for i in range(10))
+    labels = out.sparkSession.sql(f"select * from values {rows} as t(bin, lower, upper)")
     return labels.join(F.broadcast(counts), "bin", "left").select("bin", "lower", "upper", F.coalesce("n", F.lit(0)).alias("n"))
 
 

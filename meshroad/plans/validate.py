@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from meshroad.config import (EARTH_RADIUS_MILES, FILLED_LABEL, MAX_STATION_MILES, MISSING_LABEL, REQUIRED_COLUMNS,
                              StateConfig, vmt_table)
-from meshroad.functions.geo import haversine_miles
+from meshroad.functions.geo import haversine_miles, num
 from meshroad.operators.nearest import TIE_STEPS_PER_MILE
 from meshroad.operators.quantiles import exact_quantiles
 from meshroad.operators.volume import with_vmt
@@ -128,11 +130,10 @@ def nearest_audit(out: DataFrame, stations: DataFrame, *, n: int = 1000, seed: i
     top = matched.withColumn("_order", order).orderBy(F.col("Crash_Year").desc(), "_order", "Crash_ID").limit(n)
     last = top.groupBy().agg(F.max("Crash_Year").alias("Crash_Year"))
     sample = top.join(F.broadcast(last), "Crash_Year")
-    degrees_per_mile = F.degrees(F.lit(1.0 / EARTH_RADIUS_MILES)) * F.lit(1.000001)
-    belt = lambda lat: F.floor(lat / degrees_per_mile).cast("bigint")
-    asked = sample.withColumn("_belt", F.explode(F.sequence(belt(F.col("Latitude")) - 1, belt(F.col("Latitude")) + 1)))
-    tried = stations.withColumn("_belt", belt(F.col("station_lat"))).join(F.broadcast(asked), "_belt")
-    d = haversine_miles(F.col("Latitude"), F.col("Longitude"), F.col("station_lat"), F.col("station_lon"))
+    belt = lambda lat: f"floor({lat} / {num(math.degrees(1.0 / EARTH_RADIUS_MILES) * 1.000001)})"
+    asked = sample.selectExpr("*", f"explode(sequence({belt('Latitude')} - 1, {belt('Latitude')} + 1)) as _belt")
+    tried = stations.selectExpr("*", f"{belt('station_lat')} as _belt").join(F.broadcast(asked), "_belt")
+    d = F.expr(haversine_miles("Latitude", "Longitude", "station_lat", "station_lon"))
     steps = F.floor(d * F.lit(TIE_STEPS_PER_MILE) + F.lit(0.5))
     true_best = tried.groupBy("Crash_ID", "Nearest_Station_LocationId", "Distance_Miles").agg(
         F.min(F.struct(steps.alias("steps"), F.col("station_id").alias("id"), d.alias("d"))).alias("best"))

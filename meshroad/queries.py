@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from meshroad.config import INCIDENT_NAME_VARIANTS, STATION_NAME_VARIANTS, vmt_table
-from meshroad.functions.geo import chord_squared, chord_to_miles, haversine_miles, unit_xyz
+from meshroad.functions import geo
 from meshroad.operators import clean, match, nearest, polygons, volume
 from meshroad.plans import reports, validate
 from meshroad.plans.enrich import enrich, match_stations
@@ -24,7 +24,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 def _round(df: DataFrame, digits: int = 6, **special: int) -> DataFrame:
     """Doubles rounded, so that two engines' trigonometry can be compared."""
-    return df.select(*[F.round(c, special.get(c, digits)).alias(c) if t == "double" else F.col(c) for c, t in df.dtypes])
+    return df.selectExpr(*[f"round(`{c}`, {special.get(c, digits)}) as `{c}`" if t == "double" else f"`{c}`" for c, t in df.dtypes])
 
 
 def _crashes(spark, d):
@@ -88,21 +88,19 @@ def station_years(spark, d):
 # ---- geometry ----
 
 
-def unit_xyz_chord(spark, d):
-    s = clean_stations(spark, d)
-    here = unit_xyz(F.col("station_lat"), F.col("station_lon"))
-    there = unit_xyz(F.lit(CENTER[0]), F.lit(CENTER[1]))
+def unit_xyz(spark, d):
+    here = geo.unit_xyz("station_lat", "station_lon")
+    there = geo.unit_xyz(*map(geo.num, CENTER))
     x, y, z = here
-    miles = chord_to_miles(F.sqrt(chord_squared(here, there)))
-    return _round(s.select("station_id", x.alias("x"), y.alias("y"), z.alias("z"), miles.alias("chord_miles")), 6)
+    miles = geo.chord_to_miles(geo.chord(here, there))
+    return _round(clean_stations(spark, d).selectExpr("station_id", f"{x} as x", f"{y} as y", f"{z} as z", f"{miles} as chord_miles"))
 
 
 def haversine_pairs(spark, d):
-    c = testdata.crashes_raw(spark, d).select("Crash_ID", "Latitude", "Longitude").filter(F.col("Latitude").isNotNull())
-    lat, lon = F.col("Latitude"), F.col("Longitude")
-    return _round(c.select(
-        "Crash_ID", haversine_miles(lat, lon, F.lit(CENTER[0]), F.lit(CENTER[1])).alias("miles_to_center"),
-        haversine_miles(lat, lon, F.lit(BOX.lat_min), F.lit(BOX.lon_min)).alias("miles_to_corner")))
+    c = testdata.crashes_raw(spark, d).filter("Latitude is not null")
+    to = lambda lat, lon: geo.haversine_miles("Latitude", "Longitude", geo.num(lat), geo.num(lon))
+    return _round(c.selectExpr("Crash_ID", f"{to(*CENTER)} as miles_to_center",
+                               f"{to(BOX.lat_min, BOX.lon_min)} as miles_to_corner"))
 
 
 # ---- joins ----
@@ -239,10 +237,9 @@ QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         clean_stations, clean_crashes, distinct_rows, crash_years, dup_ids_per_year, station_profile, station_years,
-        haversine_pairs, nearest_within_radius, nearest_unbounded, best_history_year, volume_adjust, zip_edges,
+        unit_xyz, haversine_pairs, nearest_within_radius, nearest_unbounded, best_history_year, volume_adjust, zip_edges,
         zip_join, fuzzy_match, brute_force_audit, enriched_output, write_readback, union_years, final_export,
         sample_filled, per_year_summary, missing_reasons, fill_totals, distance_stats, year_gap_dist, volume_range,
         hist_year_gap, hist_distance, hist_volume, distance_bins, distance_bins_right_closed, validation_report,
     )
 }
-QUERIES["unit_xyz"] = unit_xyz_chord

@@ -7,7 +7,6 @@ sides of a comparison.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from meshroad.config import BBox, StateConfig, TEXAS_VMT
 
@@ -42,8 +41,17 @@ select n_nationkey, cast(78000 + n_nationkey as string) as zip,
 from (select n_nationkey, n_nationkey % 5 as u, cast(floor(n_nationkey/5) as bigint) as v from {nation}) t"""
 
 
+SCHEMAS = {
+    "part": "p_partkey bigint, p_size int, p_retailprice double",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_shipdate timestamp_ntz",
+    "nation": "n_nationkey int",
+    "customer": "c_custkey bigint, c_name string",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """The columns used here, with their types stated rather than looked up in the files."""
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def stations_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -60,13 +68,11 @@ def zip_tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def zip_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tiles as GeoJSON polygon features: `polygon_id`, `zip`, `geometry_type`, `coordinates` text."""
-    pt = lambda x, y: F.array(F.col(x), F.col(y))
-    ring = F.array(pt("x0", "y0"), pt("x1", "y0"), pt("x1", "ym"), pt("xm", "ym"), pt("xm", "y1"),
-                   pt("x0", "y1"), pt("x0", "y0"))
-    return zip_tiles(spark, sf_dir).select(
-        F.col("n_nationkey").cast("bigint").alias("polygon_id"), "zip",
-        F.lit("Polygon").alias("geometry_type"), F.to_json(F.array(ring)).alias("coordinates"),
-    )
+    ring = ("array(array(x0, y0), array(x1, y0), array(x1, ym), array(xm, ym), array(xm, y1), "
+            "array(x0, y1), array(x0, y0))")
+    return zip_tiles(spark, sf_dir).selectExpr(
+        "cast(n_nationkey as bigint) as polygon_id", "zip", "'Polygon' as geometry_type",
+        f"to_json(array({ring})) as coordinates")
 
 
 # Column-like names: known spellings with one letter dropped, by part, and the customers' names.
