@@ -33,8 +33,12 @@ def unit_xyz(lat: str, lon: str) -> tuple[str, str, str]:
 
 
 def chord(a: tuple[str, str, str], b: tuple[str, str, str]) -> str:
-    """Straight-line distance of two positions on the unit sphere; grows with the arc."""
-    return "sqrt(" + " + ".join(f"pow({p} - {q}, 2D)" for p, q in zip(a, b)) + ")"
+    """Straight-line distance of two positions on the unit sphere; grows with the arc.
+
+    Written as products: a position that is mentioned twice stays a column of its own in the plan
+    instead of being computed anew inside a lambda for each candidate.
+    """
+    return "sqrt(" + " + ".join(f"({p} - {q}) * ({p} - {q})" for p, q in zip(a, b)) + ")"
 
 
 def chord_to_miles(c: str) -> str:

@@ -95,4 +95,5 @@ def clean_crashes(
         "Crash_ID", "Crash_Date", to_double(F.col("Latitude")).alias("Latitude"),
         to_double(F.col("Longitude")).alias("Longitude"), "Crash_Year", "ZIP_Code",
     )
-    return typed.filter(box & F.col("Crash_Year").between(FIRST_YEAR, LAST_YEAR))
+    # A list test mentions the parsed year once, a range test would parse the date twice.
+    return typed.filter(box & F.col("Crash_Year").isin(*range(FIRST_YEAR, LAST_YEAR + 1)))

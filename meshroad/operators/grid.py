@@ -1,6 +1,6 @@
-"""A latitude/longitude grid whose crowded cells are halved, and lookups of a point's cell.
+"""A latitude/longitude grid whose crowded cells are divided, and lookups of a point's cell.
 
-Cells of level k are those of level 0 halved k times in each direction. An index over the grid is
+Cells of level k are those of level 0 cut in four, k times, in each direction. An index over the grid is
 a table with one row per leaf cell, plus for each level the set of cells that were split further.
 Expressions are SQL text, as in `functions.geo`.
 """
@@ -17,14 +17,15 @@ from meshroad.config import EARTH_RADIUS_MILES
 from meshroad.functions.geo import num
 from meshroad.operators.joins import lookup_join
 
-# Halving a cell of one mile 14 times gives about 10 cm, finer than any recorded coordinate.
-MAX_LEVEL = 14
+SPLIT = 4  # a crowded cell becomes SPLIT * SPLIT cells
+# Cutting a cell of one mile in four 7 times gives about 10 cm, finer than any recorded coordinate.
+MAX_LEVEL = 7
 # Slack for rounding in cell arithmetic: 1e-9 degrees is a tenth of a millimetre.
 EPS_DEGREES = 1e-9
 EPS_MILES = 1e-7
 
-# The four quarters of a cell, to be exploded.
-QUARTERS = "array(struct(0L as r, 0L as c), struct(0L as r, 1L as c), struct(1L as r, 0L as c), struct(1L as r, 1L as c))"
+# The parts of a crowded cell, to be exploded.
+PARTS = f"transform(sequence(0L, {SPLIT * SPLIT - 1}L), i -> struct(i div {SPLIT} as r, i % {SPLIT} as c))"
 
 
 @dataclass(frozen=True)
@@ -48,36 +49,36 @@ class Grid:
         return cls.of_size(math.degrees(r) * 1.01, math.degrees(math.asin(min(1.0, reach))) * 1.01)
 
     def row(self, lat: str, level: int = 0) -> str:
-        return f"floor(({lat} + 90D) / {num(self.height)} * {num(2**level)})"
+        return f"floor(({lat} + 90D) / {num(self.height)} * {num(SPLIT**level)})"
 
     def col(self, lon: str, level: int = 0) -> str:
         """Not yet wrapped around the globe."""
-        return f"floor(({lon} + 180D) / {num(self.width)} * {num(2**level)})"
+        return f"floor(({lon} + 180D) / {num(self.width)} * {num(SPLIT**level)})"
 
     def wrap(self, col: str, level: int = 0) -> str:
-        return f"pmod({col}, {self.columns << level}L)"
+        return f"pmod({col}, {self.columns * SPLIT**level}L)"
 
     def cell(self, row: str, col: str, level: int = 0) -> str:
         """One number that tells row, column and level."""
-        return f"(({row} * {self.columns << level}L + {self.wrap(col, level)}) * 16L + {level}L)"
+        return f"(({row} * {self.columns * SPLIT**level}L + {self.wrap(col, level)}) * 16L + {level}L)"
 
     def cell_of(self, lat: str, lon: str, level: int = 0) -> str:
         return self.cell(self.row(lat, level), self.col(lon, level), level)
 
     def bottom(self, row: str, level: int = 0) -> str:
-        return f"(({row}) * {num(self.height / 2**level)} - 90D)"
+        return f"(({row}) * {num(self.height / SPLIT**level)} - 90D)"
 
     def left(self, col: str, level: int = 0) -> str:
-        return f"(({col}) * {num(self.width / 2**level)} - 180D)"
+        return f"(({col}) * {num(self.width / SPLIT**level)} - 180D)"
 
     def center(self, row: str, col: str, level: int = 0) -> tuple[str, str]:
         return self.bottom(f"{row} + 0.5D", level), self.left(f"{col} + 0.5D", level)
 
     def half_diagonal_miles(self, row: str, level: int = 0) -> str:
         """Upper bound on the distance from the centre of a cell to any point in it."""
-        dlat, dlon = math.radians(self.height / 2**level), math.radians(self.width / 2**level)
+        dlat, dlon = math.radians(self.height / SPLIT**level), math.radians(self.width / SPLIT**level)
         mid = self.bottom(f"{row} + 0.5D", level)
-        nearest_equator = f"greatest(abs({mid}) - {num(self.height / 2**level / 2)}, 0D)"
+        nearest_equator = f"greatest(abs({mid}) - {num(self.height / SPLIT**level / 2)}, 0D)"
         along_row = f"{num(dlon / 2)} * cos(radians({nearest_equator}))"
         return f"({num(EARTH_RADIUS_MILES)} * ({num(dlat / 2)} + {along_row}) + {num(EPS_MILES)})"
 

@@ -51,3 +51,11 @@ def lookup_join(
         .drop("_slices")
     )
     return sliced_left.join(sliced_right.hint("shuffle_merge"), [*on, "_slice"], how).drop("_slice")
+
+
+def union_all(frames: Sequence[DataFrame]) -> DataFrame:
+    """Union by column name; types widen, and columns missing in a frame become nulls."""
+    together = frames[0]
+    for more in frames[1:]:
+        together = together.unionByName(more, allowMissingColumns=True)
+    return together

@@ -3,7 +3,7 @@
 Spark has no spatial index, so the index is a table: grid cell -> the stations that can be the
 nearest one for some point of the cell. A station s can be that only if
     d(centre, s) <= min over stations of d(centre, .) + 2 * half diagonal,
-by the triangle inequality. Cells that keep too many stations are split in four and pruned again,
+by the triangle inequality. Cells that keep too many stations are split and pruned again,
 so no cell's list grows with the data, however dense the stations are in one place. The points
 then need one equi join on the cell.
 """
@@ -19,11 +19,14 @@ from pyspark.sql import functions as F
 from meshroad.config import BBox, EARTH_RADIUS_MILES, FIRST_YEAR, LAST_YEAR, MAX_STATION_MILES
 from meshroad.functions.geo import chord, haversine_miles, num, unit_xyz
 from meshroad.operators.clean import first_per_key
-from meshroad.operators.grid import EPS_MILES, MAX_LEVEL, QUARTERS, CellIndex, Grid
-from meshroad.operators.joins import lookup_join
+from meshroad.operators.grid import EPS_MILES, MAX_LEVEL, PARTS, SPLIT, CellIndex, Grid
+from meshroad.operators.joins import lookup_join, union_all
 from meshroad.session import BROADCAST_BYTES, materialize
 
+# Lists up to this length are taken as they come; beyond it cells are split.
 MAX_CANDIDATES = 128
+# Length up to which a cell is not split further.
+SPLIT_ABOVE = 32
 # Upper bound of one station entry in the index, in bytes.
 ENTRY_BYTES = 128
 # Distances are compared in steps of 1e-9 mile, so that rounding noise cannot break a tie.
@@ -75,7 +78,7 @@ def radius_index(
         leaves = _gather(pairs.withColumn("cell", F.expr(grid.cell("_row", "_col"))), [*by, "cell"])
         return CellIndex(grid, leaves, (), by, (crowd.copies or 0) * ENTRY_BYTES <= broadcast_bytes)
     pairs = grid.explode_reach(spread(_one_per_place(stations, by)))
-    return _refine(pairs, grid, by, radius_miles, max_candidates, broadcast_bytes)
+    return _refine(pairs, grid, by, radius_miles, crowd.copies, min(max_candidates, SPLIT_ABOVE), broadcast_bytes)
 
 
 def unbounded_index(
@@ -83,9 +86,9 @@ def unbounded_index(
     box: BBox,
     *,
     by: Sequence[str] = (),
-    max_candidates: int = MAX_CANDIDATES,
+    max_candidates: int = SPLIT_ABOVE,
     broadcast_bytes: int = BROADCAST_BYTES,
-    roots_per_side: int = 8,
+    roots_per_side: int = 4,
 ) -> CellIndex:
     """Index for "nearest station at any distance" of points inside `box`.
 
@@ -98,15 +101,20 @@ def unbounded_index(
               math.floor((box.lon_min + 180) / grid.width), math.floor((box.lon_max + 180) / grid.width))
     covered = _one_per_place(stations, by).selectExpr(
         "*", *[f"{v}L as {c}" for c, v in zip(("_r0", "_r1", "_c0", "_c1"), bounds)])
-    return _refine(grid.explode_reach(covered), grid, tuple(by), None, max_candidates, broadcast_bytes)
+    roots = (bounds[1] - bounds[0] + 1) * (bounds[3] - bounds[2] + 1)
+    if by:
+        roots *= stations.select(*by).distinct().count()
+    return _refine(grid.explode_reach(covered), grid, tuple(by), None, roots, max_candidates, broadcast_bytes)
 
 
 def _refine(
-    pairs: DataFrame, grid: Grid, by: tuple[str, ...], radius: float | None, max_candidates: int, broadcast_bytes: int
+    pairs: DataFrame, grid: Grid, by: tuple[str, ...], radius: float | None, cells_bound: int,
+    max_candidates: int, broadcast_bytes: int,
 ) -> CellIndex:
     """Prune (cell, station) pairs and split crowded cells until every list is short.
 
     The loop runs on the driver, once per level; the pairs stay in tables in the shared folder.
+    `cells_bound` is an upper bound on the number of cells of the first level.
     """
     keys = [*by, "cell"]
     station_cols = [c for c in pairs.columns if c not in ("_row", "_col")]
@@ -117,33 +125,30 @@ def _refine(
             f"{haversine_miles(*grid.center('_row', '_col', level), 'station_lat', 'station_lon')} as _d",
             f"{grid.half_diagonal_miles('_row', level)} as _h")
         if radius is not None:
-            scored = scored.filter(F.expr(f"_d <= {radius!r}D + _h"))
-        closest = materialize(scored.groupBy(*keys).agg(F.min("_d").alias("_closest")), "closest")
-        small = closest.count() * 64 <= broadcast_bytes
+            scored = scored.filter(f"_d <= {num(radius)} + _h")
+        closest = scored.groupBy(*keys).agg(F.min("_d").alias("_closest"))
         kept = materialize(
-            lookup_join(scored, closest, keys, broadcastable=small, how="inner")
-            .filter(F.expr(f"_d <= _closest + 2D * _h + {EPS_MILES!r}D"))
+            lookup_join(scored, closest, keys, broadcastable=cells_bound * 64 <= broadcast_bytes, how="inner")
+            .filter(f"_d <= _closest + 2D * _h + {num(EPS_MILES)}")
             .select(*station_cols, "_row", "_col", "cell"), "candidates")
-        sizes = kept.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
         limit = max_candidates if level < MAX_LEVEL else 2**62
+        sizes = kept.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
         total = sizes.agg(F.sum("_n").alias("entries"), F.count_if(F.col("_n") > limit).alias("crowded")).first()
+        entries += total.entries or 0  # an upper bound: entries of split cells count again below
         if not total.crowded:
-            entries += total.entries or 0
             leaves.append(kept)
             break
-        crowded = materialize(sizes.filter(F.col("_n") > limit).select(*keys), "crowded")
+        crowded = sizes.filter(F.col("_n") > limit).select(*keys)
         marked = lookup_join(kept, crowded.withColumn("_crowded", F.lit(True)), keys,
                              broadcastable=total.crowded * 64 <= broadcast_bytes)
-        settled = marked.filter(F.col("_crowded").isNull()).drop("_crowded")
-        entries += total.entries  # an upper bound: the split cells' entries count again below
-        leaves.append(settled)
+        leaves.append(marked.filter("_crowded is null").drop("_crowded"))
         splits.append(crowded)
-        pairs = marked.filter(F.col("_crowded")).selectExpr(*station_cols, "_row", "_col", f"explode({QUARTERS}) as _q").selectExpr(
-            *station_cols, "_row * 2 + _q.r as _row", "_col * 2 + _q.c as _col")
-    together = leaves[0]
-    for more in leaves[1:]:
-        together = together.unionByName(more)
-    table = materialize(_gather(together, keys), "station-cells")
+        cells_bound = total.crowded * SPLIT * SPLIT
+        pairs = marked.filter("_crowded").selectExpr(*station_cols, "_row", "_col", f"explode({PARTS}) as _q").selectExpr(
+            *station_cols, f"_row * {SPLIT} + _q.r as _row", f"_col * {SPLIT} + _q.c as _col")
+    table = _gather(union_all(leaves), keys)
+    if splits:
+        table = materialize(table, "station-cells")
     return CellIndex(grid, table, tuple(splits), by, entries * ENTRY_BYTES <= broadcast_bytes)
 
 
@@ -153,8 +158,8 @@ def _best_station(points: DataFrame, index: CellIndex, lat: str, lon: str) -> Da
     x, y, z = unit_xyz(f"`{lat}`", f"`{lon}`")
     found = index.attach(points, lat, lon).selectExpr(*plain, "stations", f"{x} as _x", f"{y} as _y", f"{z} as _z")
     steps = f"floor({chord(('s.x', 's.y', 's.z'), ('_x', '_y', '_z'))} * {num(EARTH_RADIUS_MILES * TIE_STEPS_PER_MILE)} + 0.5D)"
-    ranked = f"transform(stations, s -> struct({steps} as steps, s.id, s.lat, s.lon, s.count, s.year))"
-    return found.selectExpr(*plain, f"array_min({ranked}) as _best").selectExpr(
+    ranked = f"transform(stations, s -> struct({steps} as steps, s.id as id, s as s))"
+    return found.selectExpr(*plain, f"array_min({ranked}) as _ranked").selectExpr(*plain, "_ranked.s as _best").selectExpr(
         *plain, "_best", f"{haversine_miles(f'`{lat}`', f'`{lon}`', '_best.lat', '_best.lon')} as _miles")
 
 

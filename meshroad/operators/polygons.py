@@ -3,7 +3,7 @@
 The index is a table: grid cell -> polygons meeting it, each with only the edges near the cell and
 one bit telling whether the cell's upper right corner is inside. Whether a point is inside follows
 from that bit and the edges crossed on the way from the point to the right border and up to the
-corner. Cells without edges need the bit alone; cells with many edges are split in four.
+corner. Cells without edges need the bit alone; cells with many edges are split.
 """
 
 from __future__ import annotations
@@ -14,8 +14,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from meshroad.functions.geo import num
-from meshroad.operators.grid import EPS_DEGREES, MAX_LEVEL, QUARTERS, CellIndex, Grid
-from meshroad.operators.joins import lookup_join
+from meshroad.operators.grid import EPS_DEGREES, MAX_LEVEL, PARTS, SPLIT, CellIndex, Grid
+from meshroad.operators.joins import lookup_join, union_all
 from meshroad.session import BROADCAST_BYTES, materialize
 
 MAX_EDGES = 64
@@ -105,17 +105,17 @@ def _first_level(edges: DataFrame, grid: Grid, by: Sequence[str]) -> DataFrame:
 
 
 def _children(cells: DataFrame, grid: Grid, by: Sequence[str], level: int) -> DataFrame:
-    """Rows of the four quarters of each cell of `level`."""
+    """Rows of the parts of each cell of `level`."""
     own = [*by, "polygon_id", "zip"]
-    # The parent's corner bit passes to every quarter as one edgeless row per polygon.
+    # The parent's corner bit passes to every part as one edgeless row per polygon.
     corner = cells.groupBy(*own, "_row", "_col").agg((F.sum("flips") % 2).cast("int").alias("bit")).selectExpr(
         *own, "_row", "_col", "cast(null as struct<x1:double,y1:double,x2:double,y2:double>) as edge", "bit")
     rows = cells.filter("edge is not null").selectExpr(*own, "_row", "_col", "edge", "cast(null as int) as bit")
     rows = rows.unionByName(corner).selectExpr(
         *own, "edge", "bit", f"{grid.left('_col + 1', level)} as _right", f"{grid.bottom('_row + 1', level)} as _top",
-        "_row", "_col", f"explode({QUARTERS}) as _q",
-    ).selectExpr(*own, "edge", "bit", "_right", "_top", "_row * 2 + _q.r as _row", "_col * 2 + _q.c as _col")
-    # A quarter's corner is a point of the parent cell, so its bit follows from the parent's edges.
+        "_row", "_col", f"explode({PARTS}) as _q",
+    ).selectExpr(*own, "edge", "bit", "_right", "_top", f"_row * {SPLIT} + _q.r as _row", f"_col * {SPLIT} + _q.c as _col")
+    # A part's corner is a point of the parent cell, so its bit follows from the parent's edges.
     x, y = grid.left("_col + 1", level + 1), grid.bottom("_row + 1", level + 1)
     return rows.selectExpr(
         *own, f"case when {_meets('edge', grid, '_row', '_col', level + 1)} then edge end as edge",
@@ -164,10 +164,7 @@ def polygon_index(
         leaves.append(marked.filter(F.col("_crowded").isNull()).drop("_crowded"))
         splits.append(crowded)
         cells = keyed(_children(marked.filter(F.col("_crowded")), grid, by, level), level + 1)
-    together = leaves[0]
-    for more in leaves[1:]:
-        together = together.unionByName(more.select(*together.columns))
-    table = _gather(together, by)
+    table = _gather(union_all(leaves), by)
     if splits:
         table = materialize(table, "polygon-cells")
     return CellIndex(grid, table, tuple(splits), by, entries * EDGE_BYTES <= broadcast_bytes)

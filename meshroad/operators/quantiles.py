@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from meshroad.operators.joins import union_all
 from meshroad.session import BROADCAST_BYTES, materialize
 
 # Distinct values of one group that a single task may hold.
@@ -62,10 +63,7 @@ def exact_quantiles(
             buckets.withColumn("_upto", upto).withColumn("_before", F.col("_upto") - F.col("_c"))
             .filter((F.col("_before") <= F.col("_rank")) & (F.col("_rank") < F.col("_upto")))
             .select(*by, "_rank", "_lo", "_hi", F.col("_before").alias("_below")), "ranks")
-    values = found[0]
-    for more in found[1:]:
-        values = values.unionByName(more)
-    values = values.select(*by, "_rank", F.col("_lo").alias("_value"))
+    values = union_all(found).select(*by, "_rank", F.col("_lo").alias("_value"))
     both = asked.withColumn("_rank", ranks).join(values, keys)
     per_prob = both.groupBy(*by, F.col("_w.name").alias("name")).agg(
         F.min("_value").alias("lo"), F.max("_value").alias("hi"), F.first(F.col("_at") - F.floor("_at")).alias("part"))

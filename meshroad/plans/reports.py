@@ -194,10 +194,3 @@ def final_export(out: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     cols = [F.col(c) if c in out.columns else F.lit(None).cast(types.get(c, "double")).alias(c) for c in REQUIRED_COLUMNS]
     return out.select(*keep, *cols)
 
-
-def union_relaxed(frames: Sequence[DataFrame]) -> DataFrame:
-    """Union by column name; types widen, and columns missing in a frame become nulls."""
-    together = frames[0]
-    for more in frames[1:]:
-        together = together.unionByName(more, allowMissingColumns=True)
-    return together

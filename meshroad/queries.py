@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from meshroad.config import INCIDENT_NAME_VARIANTS, STATION_NAME_VARIANTS, vmt_table
 from meshroad.functions import geo
 from meshroad.operators import clean, match, nearest, polygons, volume
+from meshroad.operators.joins import union_all
 from meshroad.plans import reports, validate
 from meshroad.plans.enrich import enrich, match_stations
 from meshroad.session import new_table_path
@@ -172,7 +173,7 @@ def union_years(spark, d):
     slices = [written.filter(F.col("file_year") == y).select(
         "Crash_ID", "Crash_Year", "Latitude", F.col("Station_Year").cast("int" if y % 2 else "bigint").alias("Station_Year"),
         *(["ZIP_Code"] if y % 2 else [])) for y in sorted(years)]
-    return _round(reports.union_relaxed(slices).select(
+    return _round(union_all(slices).select(
         "Crash_ID", "Crash_Year", "Latitude", F.col("Station_Year").cast("bigint").alias("Station_Year"),
         F.col("ZIP_Code").cast("bigint").alias("ZIP_Code")))
 

@@ -16,6 +16,11 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
 }
+# Small local inputs: let a stage keep as many tasks as there are cores.
+LOCAL_SETTINGS = {
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64KB",
+    "spark.sql.files.openCostInBytes": "524288",
+}
 
 
 def local_session(cores: str | int = "*", shuffle_partitions: int = 8, **extra: str) -> SparkSession:
@@ -26,7 +31,7 @@ def local_session(cores: str | int = "*", shuffle_partitions: int = 8, **extra:
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", extra.pop("driver_memory", "8g"))
     )
-    for key, value in {**SETTINGS, **extra}.items():
+    for key, value in {**SETTINGS, **LOCAL_SETTINGS, **extra}.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
