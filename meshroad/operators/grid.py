@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from meshroad.config import EARTH_RADIUS_MILES
 from meshroad.functions.geo import num
 from meshroad.operators.joins import lookup_join
+from meshroad.session import materialize
 
 SPLIT = 4  # a crowded cell becomes SPLIT * SPLIT cells
 # Cutting a cell of one mile in four 7 times gives about 10 cm, finer than any recorded coordinate.
@@ -118,15 +119,19 @@ class CellIndex:
     splits: tuple[DataFrame, ...]  # by..., cell; one table per level that was split
     by: tuple[str, ...] = ()
     broadcastable: bool = False
+    splits_broadcastable: bool = False
 
     def attach(self, points: DataFrame, lat: str, lon: str) -> DataFrame:
         """Left-join the payload of the leaf that each point lies in."""
         keys = [*self.by, "cell"]
+        if not self.broadcastable:
+            # The shuffle join counts its keys first, which should not repeat the work so far.
+            points = materialize(points, "points")
         found, depth = points, len(self.splits)
         for level, split in enumerate(self.splits):
             flagged = split.select(*keys, F.lit(True).alias(f"_split{level}"))
             found = lookup_join(found.selectExpr("*", f"{self.grid.cell_of(lat, lon, level)} as cell"), flagged, keys,
-                                broadcastable=self.broadcastable).drop("cell")
+                                broadcastable=self.splits_broadcastable).drop("cell")
         # A point goes as deep as its cells were split.
         tests = " ".join(f"when _split{i} is null then {self.grid.cell_of(lat, lon, i)}" for i in range(depth))
         deepest = self.grid.cell_of(lat, lon, depth)

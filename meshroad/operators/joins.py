@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from meshroad.session import materialize
+
 # Rows of one key that a single task may get; hotter keys are cut into slices of about this size.
 SLICE_ROWS = 2_000_000
 
@@ -29,12 +31,13 @@ def lookup_join(
     on = list(on)
     if broadcastable:
         return left.join(F.broadcast(right), on, how)
-    # At most total_rows / slice_rows keys are hot, so this table stays small.
-    hot = (
-        left.select(*on).groupBy(*on).agg(F.count(F.lit(1)).alias("_n"))
-        .filter(F.col("_n") > slice_rows)
-        .select(*on, F.ceil(F.col("_n") / slice_rows).cast("int").alias("_slices"))
-    )
+    # At most total_rows / slice_rows keys are hot, so this table stays small. It is written out, as
+    # a plan that held `left` three times would triple with every further join.
+    hot = materialize(
+        left.select(*on).groupBy(*on).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > slice_rows)
+        .select(*on, F.ceil(F.col("_n") / slice_rows).cast("int").alias("_slices")), "hot-keys")
+    if hot.isEmpty():
+        return left.join(right.hint("shuffle_merge"), on, how)
     row_hash = F.xxhash64(*[F.col(f"`{c}`") for c in left.columns])
     no_key = F.lit(False)
     for c in on:

@@ -3,7 +3,7 @@
 Spark has no spatial index, so the index is a table: grid cell -> the stations that can be the
 nearest one for some point of the cell. A station s can be that only if
     d(centre, s) <= min over stations of d(centre, .) + 2 * half diagonal,
-by the triangle inequality. Cells that keep too many stations are split and pruned again,
+by the triangle inequality, and if it beats the centre's nearest station at some corner. Cells that keep too many stations are split and pruned again,
 so no cell's list grows with the data, however dense the stations are in one place. The points
 then need one equi join on the cell.
 """
@@ -107,6 +107,25 @@ def unbounded_index(
     return _refine(grid.explode_reach(covered), grid, tuple(by), None, roots, max_candidates, broadcast_bytes)
 
 
+def _beaten(grid: Grid, level: int) -> str:
+    """The station at `_p` is farther than the one at `_closest._p` from every point of the cell.
+
+    p is nearer to a than to b where p . (a - b) > 0. That is linear in p, so the four corners
+    decide, up to the little that a cell on the sphere bulges out of its corners' flat hull.
+    """
+    v = {c: f"(_closest._p.{c} - _p.{c})" for c in "xyz"}
+    bottom, top = grid.bottom("_row", level), grid.bottom("_row + 1", level)
+    dots = []
+    for lat in (bottom, top):
+        for lon in (grid.left("_col", level), grid.left("_col + 1", level)):
+            x, y, z = unit_xyz(lat, lon)
+            dots.append(f"{x} * {v['x']} + {y} * {v['y']} + {z} * {v['z']}")
+    length = "sqrt(" + " + ".join(f"{v[c]} * {v[c]}" for c in "xyz") + ")"
+    narrowest = f"cos(radians(greatest(abs({bottom}), abs({top}))))"
+    bulge = f"{length} * pow(_h / {num(EARTH_RADIUS_MILES)}, 2D) * (1D + 1D / {narrowest}) + 1e-15D"
+    return f"({narrowest} > 0.01D and least({', '.join(dots)}) > {bulge})"
+
+
 def _refine(
     pairs: DataFrame, grid: Grid, by: tuple[str, ...], radius: float | None, cells_bound: int,
     max_candidates: int, broadcast_bytes: int,
@@ -118,18 +137,19 @@ def _refine(
     """
     keys = [*by, "cell"]
     station_cols = [c for c in pairs.columns if c not in ("_row", "_col")]
-    leaves, splits, entries = [], [], 0
+    leaves, splits, entries, n_split = [], [], 0, 0
     for level in range(MAX_LEVEL + 1):
         scored = pairs.selectExpr(
             *station_cols, "_row", "_col", f"{grid.cell('_row', '_col', level)} as cell",
             f"{haversine_miles(*grid.center('_row', '_col', level), 'station_lat', 'station_lon')} as _d",
-            f"{grid.half_diagonal_miles('_row', level)} as _h")
+            f"{grid.half_diagonal_miles('_row', level)} as _h",
+            "struct({} as x, {} as y, {} as z) as _p".format(*unit_xyz("station_lat", "station_lon")))
         if radius is not None:
             scored = scored.filter(f"_d <= {num(radius)} + _h")
-        closest = scored.groupBy(*keys).agg(F.min("_d").alias("_closest"))
+        closest = scored.groupBy(*keys).agg(F.min(F.struct("_d", "_p")).alias("_closest"))
         kept = materialize(
             lookup_join(scored, closest, keys, broadcastable=cells_bound * 64 <= broadcast_bytes, how="inner")
-            .filter(f"_d <= _closest + 2D * _h + {num(EPS_MILES)}")
+            .filter(f"_d <= _closest._d + 2D * _h + {num(EPS_MILES)} and not {_beaten(grid, level)}")
             .select(*station_cols, "_row", "_col", "cell"), "candidates")
         limit = max_candidates if level < MAX_LEVEL else 2**62
         sizes = kept.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
@@ -143,13 +163,14 @@ def _refine(
                              broadcastable=total.crowded * 64 <= broadcast_bytes)
         leaves.append(marked.filter("_crowded is null").drop("_crowded"))
         splits.append(crowded)
+        n_split += total.crowded
         cells_bound = total.crowded * SPLIT * SPLIT
         pairs = marked.filter("_crowded").selectExpr(*station_cols, "_row", "_col", f"explode({PARTS}) as _q").selectExpr(
             *station_cols, f"_row * {SPLIT} + _q.r as _row", f"_col * {SPLIT} + _q.c as _col")
     table = _gather(union_all(leaves), keys)
     if splits:
         table = materialize(table, "station-cells")
-    return CellIndex(grid, table, tuple(splits), by, entries * ENTRY_BYTES <= broadcast_bytes)
+    return CellIndex(grid, table, tuple(splits), by, entries * ENTRY_BYTES <= broadcast_bytes, n_split * 64 <= broadcast_bytes)
 
 
 def _best_station(points: DataFrame, index: CellIndex, lat: str, lon: str) -> DataFrame:

@@ -148,7 +148,7 @@ def polygon_index(
                                 f"{grid.left('_col + 1', level)} as right", f"{grid.bottom('_row + 1', level)} as top")
 
     cells = keyed(_first_level(polygon_edges(polygons, by), grid, by), 0)
-    leaves, splits, entries = [], [], 0
+    leaves, splits, entries, n_split = [], [], 0, 0
     for level in range(MAX_LEVEL + 1):
         sizes = cells.groupBy(*keys).agg(F.count("edge").alias("_n"), F.count(F.lit(1)).alias("_rows"))
         total = sizes.agg(F.max("_n").alias("n"), F.sum("_rows").alias("rows")).first()
@@ -159,15 +159,17 @@ def polygon_index(
         cells = materialize(cells, "polygon-edges")
         crowded = materialize(
             cells.groupBy(*keys).agg(F.count("edge").alias("_n")).filter(F.col("_n") > max_edges).select(*keys), "crowded")
+        n_crowded = crowded.count()
+        n_split += n_crowded
         marked = lookup_join(cells, crowded.withColumn("_crowded", F.lit(True)), keys,
-                             broadcastable=crowded.count() * 64 <= broadcast_bytes)
+                             broadcastable=n_crowded * 64 <= broadcast_bytes)
         leaves.append(marked.filter(F.col("_crowded").isNull()).drop("_crowded"))
         splits.append(crowded)
         cells = keyed(_children(marked.filter(F.col("_crowded")), grid, by, level), level + 1)
     table = _gather(union_all(leaves), by)
     if splits:
         table = materialize(table, "polygon-cells")
-    return CellIndex(grid, table, tuple(splits), by, entries * EDGE_BYTES <= broadcast_bytes)
+    return CellIndex(grid, table, tuple(splits), by, entries * EDGE_BYTES <= broadcast_bytes, n_split * 64 <= broadcast_bytes)
 
 
 def containing_zips(points: DataFrame, index: CellIndex, lat: str = "Latitude", lon: str = "Longitude") -> DataFrame:

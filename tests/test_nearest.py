@@ -56,7 +56,7 @@ def cloud(n, seed, lat=(29, 31), lon=(-99, -97)):
     return [(rnd.uniform(*lat), rnd.uniform(*lon)) for _ in range(n)]
 
 
-PATHS = [dict(), dict(broadcast_bytes=0), dict(max_candidates=4), dict(max_candidates=4, broadcast_bytes=0)]
+PATHS = [dict(), dict(broadcast_bytes=0), dict(max_candidates=8), dict(max_candidates=16, broadcast_bytes=0)]
 
 
 @pytest.mark.parametrize("how", PATHS, ids=["plain", "shuffle", "split", "split-shuffle"])
@@ -70,7 +70,7 @@ def test_random_and_dense_places(spark, how):
 
 def test_split_lists_are_short(spark):
     stations = cloud(500, 5, (30.0, 30.002), (-98.0, -97.998)) + cloud(20, 6)
-    _, s = frames(spark, [], stations) if False else frames(spark, [(30, -98)], stations)
+    _, s = frames(spark, [(30, -98)], stations)
     index = radius_index(s, max_candidates=8)
     assert index.splits
     assert index.leaves.selectExpr("max(size(stations)) as n").first().n <= 8
