@@ -72,13 +72,19 @@ def _touches(e: str, x: str, y: str) -> str:
 
 
 def _meets(e: str, grid: Grid, row: str, col: str, level: int) -> str:
-    """The edge's bounding box meets the cell, widened against rounding."""
+    """The edge meets the cell: their boxes meet and the cell's corners are not all on one side.
+
+    Widened against rounding, so that an edge which is left out keeps a clear distance.
+    """
     eps = num(EPS_DEGREES)
+    x0, x1 = grid.left(col, level), grid.left(f"{col} + 1", level)
+    y0, y1 = grid.bottom(row, level), grid.bottom(f"{row} + 1", level)
+    sides = ", ".join(_cross(e, x, y) for x in (x0, x1) for y in (y0, y1))
+    slack = f"{eps} * (abs({e}.x2 - {e}.x1) + abs({e}.y2 - {e}.y1))"
     return (
-        f"(least({e}.x1, {e}.x2) <= {grid.left(f'{col} + 1', level)} + {eps} "
-        f"and greatest({e}.x1, {e}.x2) >= {grid.left(col, level)} - {eps} "
-        f"and least({e}.y1, {e}.y2) <= {grid.bottom(f'{row} + 1', level)} + {eps} "
-        f"and greatest({e}.y1, {e}.y2) >= {grid.bottom(row, level)} - {eps})"
+        f"(least({e}.x1, {e}.x2) <= {x1} + {eps} and greatest({e}.x1, {e}.x2) >= {x0} - {eps} "
+        f"and least({e}.y1, {e}.y2) <= {y1} + {eps} and greatest({e}.y1, {e}.y2) >= {y0} - {eps} "
+        f"and least({sides}) <= {slack} and greatest({sides}) >= -({slack}))"
     )
 
 
