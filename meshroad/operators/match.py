@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def _plain(name: Column) -> Column:
-    return F.lower(F.regexp_replace(name, "[^A-Za-z0-9]", ""))
+def _plain(word: str) -> str:
+    return re.sub("[^A-Za-z0-9]", "", word).lower()
 
 
 def propose_names(
@@ -22,27 +23,22 @@ def propose_names(
     first, ties to the earlier variant and then the earlier position. The variants are settings,
     a few dozen words, so every distinct name is scored against them in place, without a join.
     """
-    distinct = names.groupBy(F.col(name).alias("name")).agg(F.min(position).alias("position"))
-    distinct = distinct.withColumn("plain", _plain(F.col("name")))
+    distinct = names.groupBy(F.col(name).alias("name")).agg(F.min(position).alias("position")).selectExpr(
+        "name", "position", "lower(regexp_replace(name, '[^A-Za-z0-9]', '')) as plain")
 
-    def scored(canonical: str, words: Sequence[str]) -> Column:
-        exact = F.col("name").isin(list(words))
+    def scored(canonical: str, words: Sequence[str]) -> str:
         tries = []
         for order, word in enumerate(words):
-            w = _plain(F.lit(word))
-            longer = F.greatest(F.length("plain"), F.length(w))
-            score = F.floor(F.lit(100) * (longer - F.levenshtein(F.col("plain"), w)) / longer).cast("int")
-            tries.append(F.struct(score.alias("score"), F.lit(-order).alias("earlier")))
-        fuzzy = F.array_max(F.array(*tries))
-        return F.struct(
-            F.lit(canonical).alias("canonical"), exact.alias("exact"),
-            F.when(exact, 100).otherwise(fuzzy["score"]).alias("score"),
-            F.when(exact, 0).otherwise(fuzzy["earlier"]).alias("earlier"),
-        )
-
-    rows = distinct.withColumn("m", F.explode(F.array(*[scored(c, v) for c, v in variants.items()])))
-    rank = F.struct("m.exact", "m.score", "m.earlier", (-F.col("position")).alias("first"), F.col("name").alias("name"))
-    best = rows.groupBy(F.col("m.canonical").alias("canonical")).agg(F.max(rank).alias("best"))
-    score = F.col("best.score")
-    tag = F.when(score == 100, "exact").when(score >= 95, "fuzzy").otherwise("check")
-    return best.select("canonical", F.col("best.name").alias("actual"), score.alias("score"), tag.alias("tag"))
+            longer = f"greatest(length(plain), {len(_plain(word))})"
+            score = f"cast(floor(100D * ({longer} - levenshtein(plain, '{_plain(word)}')) / {longer}) as int)"
+            tries.append(f"struct({score} as score, {-order} as earlier)")
+        listed = ", ".join(f"'{w}'" for w in words)
+        return (f"struct('{canonical}' as canonical, name in ({listed}) as exact, "
+                f"if(name in ({listed}), struct(100 as score, 0 as earlier), array_max(array({', '.join(tries)}))) as m)")
+
+    rows = distinct.selectExpr("name", "position", f"inline(array({', '.join(scored(c, v) for c, v in variants.items())}))")
+    best = rows.groupBy("canonical").agg(F.expr(
+        "max(struct(exact, m.score as score, m.earlier as earlier, -position as first, name))").alias("best"))
+    return best.selectExpr(
+        "canonical", "best.name as actual", "best.score as score",
+        "case when best.score = 100 then 'exact' when best.score >= 95 then 'fuzzy' else 'check' end as tag")

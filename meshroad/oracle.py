@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from meshroad.config import INCIDENT_NAME_VARIANTS, REQUIRED_COLUMNS, STATION_NAME_VARIANTS, TEXAS_VMT
-from meshroad.sources.testdata import (CRASHES_SQL, HEADER_NAMES_SQL, HEADER_WORDS, STATIONS_SQL, TILES_SQL)
+from meshroad.sources.testdata import (CRASHES_SQL, HEADER_NAMES_SQL, HEADER_WORDS, OTHER_STATE, STATIONS_SQL, TILES_SQL)
 
 R = "cast(3958.8 as double)"
 
@@ -193,7 +193,39 @@ _EDGES = "\nunion all\n".join(
     f"select n_nationkey::bigint as polygon_id, zip, {a[0]} as x1, {a[1]} as y1, {b[0]} as x2, {b[1]} as y2 from tiles"
     for a, b in zip(_CORNERS, _CORNERS[1:]))
 
+
+
+def _multi_state() -> str:
+    other = ", ".join(f"('XX', {y}, {v}::double)" for y, v in OTHER_STATE.vmt.items())
+    texas = ", ".join(f"('TX', {y}, {v}::double)" for y, v in TEXAS_VMT.items())
+    state = "case when {} % 2 = 0 then 'TX' else 'XX' end"
+    ctes = [
+        CRASHES_RAW, STATIONS_RAW, TILES, RECORDS, f"vmt(state, vmt_year, vmt) as (values {texas}, {other})",
+        STATIONS, f"st as (select *, {state.format('substring(station_id, 2)::bigint')} as state from stations)",
+        f"""cr as (select {state.format('Crash_ID')} as state, Crash_ID, Latitude, Longitude, cast(year(d) as int) as Crash_Year from (
+    select *, {DATE} as d, row_number() over (partition by Crash_ID order by Crash_Date asc nulls last,
+      Latitude asc nulls last, Longitude asc nulls last, ZIP_Code asc nulls last) as k from crashes_raw) t
+  where k = 1 and year(d) between 2015 and 2024 and case when Crash_ID % 2 = 0 then Latitude between 29 and 31 and Longitude between -99 and -97
+    else Latitude between 29.5 and 30.5 and Longitude between -98.5 and -97.5 end)""",
+        f"""nn as (select * from (select p.*, row_number() over (partition by Crash_ID order by {_steps('dist')}, station_id) as k from (
+    select c.Crash_ID, s.*, {_D} as dist from cr c join st s on s.state = c.state
+      and s.station_lat between c.Latitude - 0.02 and c.Latitude + 0.02 and s.station_lon between c.Longitude - 0.03 and c.Longitude + 0.03) p
+    where dist <= 1) q where k = 1)""",
+    ]
+    return _with(ctes, f"""select c.state, c.Crash_ID, round(c.Latitude, 6) as Latitude, round(c.Longitude, 6) as Longitude, c.Crash_Year,
+  n.station_id as Nearest_Station_LocationId, round(n.station_lat, 6) as Station_Lat, round(n.station_lon, 6) as Station_Lon,
+  n.Station_Count, n.Station_Year, round(n.dist, 6) as Distance_Miles, abs(c.Crash_Year::bigint - n.Station_Year) as year_gap,
+  a.vmt as VMT_Crash, b.vmt as VMT_Station, round(a.vmt / b.vmt, 6) as VMT_Multiplier, round(n.Station_Count * (a.vmt / b.vmt), 6) as Adt_Curnt_Amt,
+  c.Crash_Year::bigint as Adt_Curnt_Year,
+  case when n.Station_Count is not null and a.vmt / b.vmt is not null then 'NEAREST_STATION_VMT_NORM' else 'MISSING' end as aadt_match_type,
+  t.zip::bigint as ZIP_Code
+from cr c join tiles t on {INSIDE.format(p='c')} and {state.format('t.n_nationkey')} = c.state
+left join nn n on n.Crash_ID = c.Crash_ID left join vmt a on a.state = c.state and a.vmt_year = c.Crash_Year
+left join vmt b on b.state = c.state and b.vmt_year = n.Station_Year""")
+
+
 ORACLE: dict[str, str] = {
+    "multi_state": _multi_state(),
     "clean_stations": _with(STATION_CTES, "select * from stations"),
     "clean_crashes": _with(CRASH_CTES, "select * from crashes"),
     "distinct_rows": _with([CRASHES_RAW], "select distinct * from crashes_raw"),

@@ -14,6 +14,7 @@ from meshroad.operators.nearest import TIE_STEPS_PER_MILE
 from meshroad.operators.quantiles import exact_quantiles
 from meshroad.operators.volume import with_vmt
 from meshroad.plans.reports import shuffled_order
+from meshroad.session import materialize
 
 VMT_TOLERANCE = 1e-9
 AMOUNT_TOLERANCE = 1e-6
@@ -127,7 +128,8 @@ def nearest_audit(out: DataFrame, stations: DataFrame, *, n: int = 1000, seed: i
     matched = out.filter(F.col("Nearest_Station_LocationId").isNotNull()).select(
         "Crash_ID", "Crash_Year", "Latitude", "Longitude", "Nearest_Station_LocationId", "Distance_Miles")
     order = shuffled_order(F.col("Crash_ID"), seed) if dict(out.dtypes)["Crash_ID"] in ("bigint", "int") else F.xxhash64("Crash_ID", F.lit(seed))
-    top = matched.withColumn("_order", order).orderBy(F.col("Crash_Year").desc(), "_order", "Crash_ID").limit(n)
+    top = materialize(
+        matched.withColumn("_order", order).orderBy(F.col("Crash_Year").desc(), "_order", "Crash_ID").limit(n), "sample")
     last = top.groupBy().agg(F.max("Crash_Year").alias("Crash_Year"))
     sample = top.join(F.broadcast(last), "Crash_Year")
     belt = lambda lat: f"floor({lat} / {num(math.degrees(1.0 / EARTH_RADIUS_MILES) * 1.000001)})"

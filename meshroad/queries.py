@@ -152,6 +152,15 @@ def brute_force_audit(spark, d):
     return _round(audit)
 
 
+def multi_state(spark, d):
+    """Two states in one job: boxes, mileage, stations and tiles are each state's own."""
+    crashes = testdata.with_state(testdata.crashes_raw(spark, d), "Crash_ID")
+    stations = testdata.with_state(testdata.stations_raw(spark, d), "cast(substring(trim(TRFC_STATN_ID), 2) as bigint)")
+    zips = testdata.with_state(_zips(spark, d), "polygon_id")
+    out = enrich(crashes, stations, STATE, polygons=zips, states=[STATE, testdata.OTHER_STATE], by=["state"])
+    return _round(out.drop("Crash_Date"))
+
+
 # ---- output and reports over it ----
 
 
@@ -239,7 +248,7 @@ QUERIES: dict[str, Query] = {
     for f in (
         clean_stations, clean_crashes, distinct_rows, crash_years, dup_ids_per_year, station_profile, station_years,
         unit_xyz, haversine_pairs, nearest_within_radius, nearest_unbounded, best_history_year, volume_adjust, zip_edges,
-        zip_join, fuzzy_match, brute_force_audit, enriched_output, write_readback, union_years, final_export,
+        zip_join, fuzzy_match, brute_force_audit, multi_state, enriched_output, write_readback, union_years, final_export,
         sample_filled, per_year_summary, missing_reasons, fill_totals, distance_stats, year_gap_dist, volume_range,
         hist_year_gap, hist_distance, hist_volume, distance_bins, distance_bins_right_closed, validation_report,
     )
