@@ -107,23 +107,24 @@ def unbounded_index(
     return _refine(grid.explode_reach(covered), grid, tuple(by), None, roots, max_candidates, broadcast_bytes)
 
 
-def _beaten(grid: Grid, level: int) -> str:
-    """The station at `_p` is farther than the one at `_closest._p` from every point of the cell.
+def _mark_beaten(near: DataFrame, grid: Grid, level: int, keep: Sequence[str]) -> DataFrame:
+    """Adds `_beaten`: the cell's `_closest._p` is nearer than `_p` to every point of the cell.
 
     p is nearer to a than to b where p . (a - b) > 0. That is linear in p, so the four corners
     decide, up to the little that a cell on the sphere bulges out of its corners' flat hull.
+    Built in small steps, as one large expression would be too big for the JVM to compile.
     """
-    v = {c: f"(_closest._p.{c} - _p.{c})" for c in "xyz"}
-    bottom, top = grid.bottom("_row", level), grid.bottom("_row + 1", level)
-    dots = []
-    for lat in (bottom, top):
-        for lon in (grid.left("_col", level), grid.left("_col + 1", level)):
-            x, y, z = unit_xyz(lat, lon)
-            dots.append(f"{x} * {v['x']} + {y} * {v['y']} + {z} * {v['z']}")
-    length = "sqrt(" + " + ".join(f"{v[c]} * {v[c]}" for c in "xyz") + ")"
-    narrowest = f"cos(radians(greatest(abs({bottom}), abs({top}))))"
-    bulge = f"{length} * pow(_h / {num(EARTH_RADIUS_MILES)}, 2D) * (1D + 1D / {narrowest}) + 1e-15D"
-    return f"({narrowest} > 0.01D and least({', '.join(dots)}) > {bulge})"
+    degrees = {"_s": grid.bottom("_row", level), "_n": grid.bottom("_row + 1", level),
+               "_w": grid.left("_col", level), "_e": grid.left("_col + 1", level)}
+    steps = near.selectExpr(
+        *keep, "_h", *[f"_closest._p.{c} - _p.{c} as _{c}" for c in "xyz"], *[f"radians({v}) as {k}" for k, v in degrees.items()])
+    steps = steps.selectExpr(
+        *keep, "sqrt(_x * _x + _y * _y + _z * _z) as _length", f"_h / {num(EARTH_RADIUS_MILES)} as _angle",
+        "cos(_s) as _cs", "cos(_n) as _cn", "sin(_s) * _z as _zs", "sin(_n) * _z as _zn",
+        "cos(_w) * _x + sin(_w) * _y as _aw", "cos(_e) * _x + sin(_e) * _y as _ae")
+    bulge = "_length * _angle * _angle * (1D + 1D / least(_cs, _cn)) + 1e-15D"
+    worst = "least(_cs * _aw + _zs, _cs * _ae + _zs, _cn * _aw + _zn, _cn * _ae + _zn)"
+    return steps.selectExpr(*keep, f"(least(_cs, _cn) > 0.01D and {worst} > {bulge}) as _beaten")
 
 
 def _refine(
@@ -147,10 +148,10 @@ def _refine(
         if radius is not None:
             scored = scored.filter(f"_d <= {num(radius)} + _h")
         closest = scored.groupBy(*keys).agg(F.min(F.struct("_d", "_p")).alias("_closest"))
-        kept = materialize(
-            lookup_join(scored, closest, keys, broadcastable=cells_bound * 64 <= broadcast_bytes, how="inner")
-            .filter(f"_d <= _closest._d + 2D * _h + {num(EPS_MILES)} and not {_beaten(grid, level)}")
-            .select(*station_cols, "_row", "_col", "cell"), "candidates")
+        near = lookup_join(scored, closest, keys, broadcastable=cells_bound * 64 <= broadcast_bytes, how="inner").filter(
+            f"_d <= _closest._d + 2D * _h + {num(EPS_MILES)}")
+        marked = _mark_beaten(near, grid, level, [*station_cols, "_row", "_col", "cell"])
+        kept = materialize(marked, "candidates").filter("not _beaten").drop("_beaten")
         limit = max_candidates if level < MAX_LEVEL else 2**62
         sizes = kept.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
         total = sizes.agg(F.sum("_n").alias("entries"), F.count_if(F.col("_n") > limit).alias("crowded")).first()
