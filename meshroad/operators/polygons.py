@@ -71,23 +71,32 @@ def _touches(e: str, x: str, y: str) -> str:
     )
 
 
-def _meets(e: str, grid: Grid, row: str, col: str, level: int) -> str:
+def _borders(grid: Grid, level: int) -> list[str]:
+    """Columns for the borders of the cell (_row, _col), which the tests below mention by name."""
+    return [f"{grid.left('_col', level)} as _x0", f"{grid.left('_col + 1', level)} as _x1",
+            f"{grid.bottom('_row', level)} as _y0", f"{grid.bottom('_row + 1', level)} as _y1"]
+
+
+def _meets(e: str) -> str:
     """The edge meets the cell: their boxes meet and the cell's corners are not all on one side.
 
     Widened against rounding, so that an edge which is left out keeps a clear distance.
     """
     eps = num(EPS_DEGREES)
-    x0, x1 = grid.left(col, level), grid.left(f"{col} + 1", level)
-    y0, y1 = grid.bottom(row, level), grid.bottom(f"{row} + 1", level)
-    sides = ", ".join(_cross(e, x, y) for x in (x0, x1) for y in (y0, y1))
+    sides = ", ".join(_cross(e, x, y) for x in ("_x0", "_x1") for y in ("_y0", "_y1"))
     slack = f"{eps} * (abs({e}.x2 - {e}.x1) + abs({e}.y2 - {e}.y1))"
     return (
-        f"(least({e}.x1, {e}.x2) <= {x1} + {eps} and greatest({e}.x1, {e}.x2) >= {x0} - {eps} "
-        f"and least({e}.y1, {e}.y2) <= {y1} + {eps} and greatest({e}.y1, {e}.y2) >= {y0} - {eps} "
+        f"(least({e}.x1, {e}.x2) <= _x1 + {eps} and greatest({e}.x1, {e}.x2) >= _x0 - {eps} "
+        f"and least({e}.y1, {e}.y2) <= _y1 + {eps} and greatest({e}.y1, {e}.y2) >= _y0 - {eps} "
         f"and least({sides}) <= {slack} and greatest({sides}) >= -({slack}))"
     )
 
 
+# Keeps an edge where it meets the cell, and a bare flip where it only turns the corner's bit. A generator
+# rather than a filter, since a filter would be moved down and evaluate the tests a second time.
+_KEEP = "inline(if(_near or _flips > 0, array(struct(if(_near, edge, null) as edge, _flips as flips)), array()))"
+
+
 def _first_level(edges: DataFrame, grid: Grid, by: Sequence[str]) -> DataFrame:
     """Rows (row, col, polygon, edge or null, flips): edges near a cell, and edges above its corner.
 
@@ -103,11 +112,10 @@ def _first_level(edges: DataFrame, grid: Grid, by: Sequence[str]) -> DataFrame:
         *own, "edge", "_c0", "_c1",
         f"explode(sequence({grid.row(lowest)}, {grid.row(f'greatest(edge.y1, edge.y2) + {eps}')})) as _row",
     ).selectExpr(*own, "edge", "_row", "explode(sequence(_c0, _c1)) as _col")
-    right, top = grid.left("_col + 1"), grid.bottom("_row + 1")
-    return cells.selectExpr(
-        *own, f"case when {_meets('edge', grid, '_row', '_col', 0)} then edge end as edge",
-        f"cast({_spans('edge', 'x', right)} and {_below('edge', right, top)} as int) as flips", "_row", "_col",
-    ).filter("edge is not null or flips > 0")
+    return cells.selectExpr("*", *_borders(grid, 0)).selectExpr(
+        *own, "edge", "_row", "_col", f"coalesce({_meets('edge')}, false) as _near",
+        f"cast({_spans('edge', 'x', '_x1')} and {_below('edge', '_x1', '_y1')} as int) as _flips",
+    ).selectExpr(*own, "_row", "_col", _KEEP)
 
 
 def _children(cells: DataFrame, grid: Grid, by: Sequence[str], level: int) -> DataFrame:
@@ -122,11 +130,10 @@ def _children(cells: DataFrame, grid: Grid, by: Sequence[str], level: int) -> Da
         "_row", "_col", f"explode({PARTS}) as _q",
     ).selectExpr(*own, "edge", "bit", "_right", "_top", f"_row * {SPLIT} + _q.r as _row", f"_col * {SPLIT} + _q.c as _col")
     # A part's corner is a point of the parent cell, so its bit follows from the parent's edges.
-    x, y = grid.left("_col + 1", level + 1), grid.bottom("_row + 1", level + 1)
-    return rows.selectExpr(
-        *own, f"case when {_meets('edge', grid, '_row', '_col', level + 1)} then edge end as edge",
-        f"coalesce(bit, {_crossings('edge', x, y, '_right', '_top')} % 2, 0) as flips", "_row", "_col",
-    ).filter("edge is not null or flips > 0")
+    turned = _crossings("edge", "_x1", "_y1", "_right", "_top")
+    return rows.selectExpr("*", *_borders(grid, level + 1)).selectExpr(
+        *own, "edge", "_row", "_col", f"coalesce({_meets('edge')}, false) as _near", f"coalesce(bit, {turned} % 2, 0) as _flips",
+    ).selectExpr(*own, "_row", "_col", _KEEP)
 
 
 def _gather(cells: DataFrame, by: Sequence[str]) -> DataFrame:
