@@ -5,14 +5,27 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meshroad.llm import byte_bpe, mixing
-from meshroad.llm.common import table
+from meshroad.llm import byte_bpe, language, mixing, toxicity
+from meshroad.llm.common import remainder, table
 
 
 def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents", "doc_id", "text", "source"))
 
 
+def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text", "lang").withColumn("held_out", remainder("doc_id", 3) == 1)
+    model = language.train(docs.filter(~F.col("held_out")))
+    return language.identify(docs, model, keep=["doc_id", "held_out"])
+
+
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text").withColumn("held_out", remainder("doc_id", 4) == 2)
+    labels = table(spark, sf_dir, "labels", "doc_id", "toxic")
+    model = toxicity.train(docs.filter(~F.col("held_out")), labels.filter(remainder("doc_id", 4) != 2))
+    return toxicity.score(docs, model, keep=["doc_id", "held_out"])
+
+
 def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ids = byte_bpe.encode(table(spark, sf_dir, "documents", "doc_id", "text"), keep=["doc_id"])
     back = byte_bpe.decode(ids)
@@ -21,6 +34,8 @@ def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_mixing": op1_mixing,
+    "op5_language": op5_language,
+    "op6_toxicity": op6_toxicity,
     "op7_byte_bpe": op7_byte_bpe,
 }
 
