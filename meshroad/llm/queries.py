@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meshroad.llm import byte_bpe, language, mixing, toxicity
+from meshroad.llm import byte_bpe, html_text, language, merkle, mixing, toxicity
 from meshroad.llm.common import remainder, table
 
 
@@ -13,6 +13,15 @@ def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents", "doc_id", "text", "source"))
 
 
+def op3_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    text = html_text.extract(table(spark, sf_dir, "pages", "page_id", "url", "html"), keep=["page_id", "url"])
+    return text.withColumn("n_chars", F.char_length("text").cast("long"))
+
+
+def op4_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.with_neighbour_edits(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents", "doc_id", "text", "lang").withColumn("held_out", remainder("doc_id", 3) == 1)
     model = language.train(docs.filter(~F.col("held_out")))
@@ -34,6 +43,8 @@ def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_mixing": op1_mixing,
+    "op3_html": op3_html,
+    "op4_merkle": op4_merkle,
     "op5_language": op5_language,
     "op6_toxicity": op6_toxicity,
     "op7_byte_bpe": op7_byte_bpe,
