@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meshroad.llm import byte_bpe, html_text, language, merkle, mixing, toxicity
+from meshroad.llm import byte_bpe, html_text, language, merkle, mixing, shingle_join, toxicity
 from meshroad.llm.common import remainder, table
 
 
@@ -41,6 +41,10 @@ def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return back.select("doc_id", "n_tokens", F.sha2("token_ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shingle_join.join(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 QUERIES = {
     "op1_mixing": op1_mixing,
     "op3_html": op3_html,
@@ -48,6 +52,7 @@ QUERIES = {
     "op5_language": op5_language,
     "op6_toxicity": op6_toxicity,
     "op7_byte_bpe": op7_byte_bpe,
+    "op9_ngram_join": op9_ngram_join,
 }
 
 ORACLE = {
