@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meshroad.llm import byte_bpe, html_text, language, merkle, mixing, shingle_join, toxicity
+from meshroad.llm import byte_bpe, html_text, language, merkle, mixing, shingle_join, toxicity, vector_dedup
 from meshroad.llm.common import remainder, table
 
 
@@ -45,6 +45,10 @@ def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shingle_join.join(table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def op10_vector_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_dedup.dedup(table(spark, sf_dir, "embeddings", "vec_id", "embedding", "label"))
+
+
 QUERIES = {
     "op1_mixing": op1_mixing,
     "op3_html": op3_html,
@@ -53,6 +57,7 @@ QUERIES = {
     "op6_toxicity": op6_toxicity,
     "op7_byte_bpe": op7_byte_bpe,
     "op9_ngram_join": op9_ngram_join,
+    "op10_vector_dedup": op10_vector_dedup,
 }
 
 ORACLE = {
