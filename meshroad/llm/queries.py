@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meshroad.llm import byte_bpe, html_text, language, merkle, mixing, shingle_join, toxicity, vector_dedup
+from meshroad.llm import byte_bpe, cotraining, html_text, language, lm_score, merkle, mixing, shingle_join, toxicity, vector_dedup
 from meshroad.llm.common import remainder, table
 
 
@@ -13,6 +13,11 @@ def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents", "doc_id", "text", "source"))
 
 
+def op2_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    good = table(spark, sf_dir, "labels", "doc_id", "quality").filter("quality = 1")
+    return lm_score.score(table(spark, sf_dir, "documents", "doc_id", "text"), good)
+
+
 def op3_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = html_text.extract(table(spark, sf_dir, "pages", "page_id", "url", "html"), keep=["page_id", "url"])
     return text.withColumn("n_chars", F.char_length("text").cast("long"))
@@ -41,6 +46,12 @@ def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return back.select("doc_id", "n_tokens", F.sha2("token_ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text", "source", "lang")
+    model = cotraining.train(docs, table(spark, sf_dir, "labels", "doc_id", "quality"))
+    return cotraining.score(docs, model, keep=["doc_id"])
+
+
 def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shingle_join.join(table(spark, sf_dir, "documents", "doc_id", "text"))
 
@@ -51,11 +62,13 @@ def op10_vector_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_mixing": op1_mixing,
+    "op2_lm_score": op2_lm_score,
     "op3_html": op3_html,
     "op4_merkle": op4_merkle,
     "op5_language": op5_language,
     "op6_toxicity": op6_toxicity,
     "op7_byte_bpe": op7_byte_bpe,
+    "op8_quality": op8_quality,
     "op9_ngram_join": op9_ngram_join,
     "op10_vector_dedup": op10_vector_dedup,
 }
