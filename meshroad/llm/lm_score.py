@@ -7,7 +7,7 @@ background loss minus target loss (nats): the higher, the closer it is to the ta
 
 Tokens are lower-case words and runs of punctuation; a start mark stands before the first. The vocabulary holds the
 `VOCABULARY` most frequent tokens of all documents; the others are one token, `unknown`. The probability of a token is
-P(w) = (c(w) + ALPHA) / (N + ALPHA * V) and P(w | h) = (c(h, w) + PRIOR * P(w)) / (c(h) + PRIOR). A document's own counts
+P(w) = (c(w) + ALPHA) / (N + ALPHA * V) and P(w | h) = (c(h, w) + PRIOR * P(w)) / (c(h) + PRIOR), c(h) being all occurrences of h. A document's own counts
 are taken out of both models before it is scored, else target documents would be known by heart.
 
 Every bigram of every document is counted; none is dropped or pruned, so the tables grow with the corpus. Documents are
@@ -273,7 +273,8 @@ def score(docs: DataFrame, target_ids: DataFrame, doc_id: str = "doc_id", text:
                     made.append((number, 0, None, None))
                     continue
                 at = np.searchsorted(pairs, mine)
-                own = _own(mine), _own(mine >> 32), _own(mine & 0xFFFFFFFF)
+                alone = _own(mine & 0xFFFFFFFF)
+                own = _own(mine), np.concatenate([[1], alone[:-1]]), alone  # the first history is the start mark, once
                 made.append((number, len(mine), models.loss(1, mine, target[at], own if mark else None), models.loss(0, mine, every[at], own)))
             return batch_of(out, list(zip(*made)))
 
