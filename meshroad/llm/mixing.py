@@ -25,7 +25,7 @@ from meshroad.llm.common import BROADCAST_ROWS, WORD, materialize
 
 WEIGHTS = (5.0, 2.0, 1.0)
 MOST_PASSES = 3
-SLICE_ROWS = 20_000
+SLICE_ROWS = 2_000
 SEED = "mix-1:"
 
 
