@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import ctypes
+import functools
+import gc
 from collections.abc import Callable, Iterable, Iterator, Sequence
 
 import pyarrow as pa
@@ -13,6 +16,8 @@ from meshroad.session import materialize  # noqa: F401  (shared by the operators
 
 # A side of a join is broadcast only if it has been counted and has at most so many rows of a few numbers each.
 BROADCAST_ROWS = 1_000_000
+# Rows that Python objects are made of at a time; Arrow batches may hold many more.
+ROWS_AT_ONCE = 1_000
 # Words are runs of anything but the six ASCII white-space characters.
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -23,6 +28,27 @@ def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFra
     return df.select(*columns) if columns else df
 
 
+def _release() -> None:
+    """Give memory back to the system: a Python worker stays for the tasks of later stages."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
+def tidy(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
+    """A function for `mapInArrow` that releases its memory at the end of a task."""
+
+    @functools.wraps(run)
+    def tidied(batches):
+        yield from run(batches)
+        _release()
+
+    return tidied
+
+
 def map_arrow(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], Iterable[pa.RecordBatch] | pa.RecordBatch]],
               schema: str | T.StructType) -> DataFrame:
     """`mapInArrow` for a function of one batch; `make` builds it once for each task."""
@@ -30,14 +56,14 @@ def map_arrow(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], Itera
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         work = make()
         for batch in batches:
-            if batch.num_rows:
-                made = work(batch)
+            for start in range(0, batch.num_rows, ROWS_AT_ONCE):
+                made = work(batch.slice(start, ROWS_AT_ONCE))
                 if isinstance(made, pa.RecordBatch):
                     yield made
                 else:
                     yield from made
 
-    return df.mapInArrow(run, schema)
+    return df.mapInArrow(tidy(run), schema)
 
 
 def batch_of(schema: pa.Schema, columns: Sequence) -> pa.RecordBatch:

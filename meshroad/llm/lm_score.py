@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from meshroad.llm.common import BROADCAST_ROWS, batch_of, map_arrow, materialize
+from meshroad.llm.common import BROADCAST_ROWS, batch_of, map_arrow, materialize, tidy
 
 VOCABULARY = 50_000
 PRIOR = 5.0
@@ -129,7 +129,7 @@ def _blocks(docs: DataFrame, shared) -> DataFrame:
             if made:
                 yield batch_of(schema, list(zip(*made)))
 
-    return docs.select("_id", "_text", "_target").mapInArrow(run, "block long, row long, _id long, _target boolean, ids binary")
+    return docs.select("_id", "_text", "_target").mapInArrow(tidy(run), "block long, row long, _id long, _target boolean, ids binary")
 
 
 def _pairs(ids: bytes, kind: str) -> np.ndarray:
@@ -189,7 +189,7 @@ def _bigrams(blocks: DataFrame, kind: str, parts: int) -> DataFrame:
         if held:
             yield finish()
 
-    return blocks.select("block", "_target", "ids").mapInArrow(run, "part long, block long, pairs binary, every binary, target binary")
+    return blocks.select("block", "_target", "ids").mapInArrow(tidy(run), "part long, block long, pairs binary, every binary, target binary")
 
 
 def _halves(raw: bytes, count: int) -> np.ndarray:
@@ -225,7 +225,7 @@ def _added(bigrams: DataFrame) -> DataFrame:
             yield finish()
 
     ordered = bigrams.repartition("part").sortWithinPartitions("part", "block")
-    return ordered.mapInArrow(run, "block long, part long, every binary, target binary")
+    return ordered.mapInArrow(tidy(run), "block long, part long, every binary, target binary")
 
 
 def score(docs: DataFrame, target_ids: DataFrame, doc_id: str = "doc_id", text: str = "text", vocabulary: int = VOCABULARY) -> DataFrame:
@@ -292,7 +292,7 @@ def score(docs: DataFrame, target_ids: DataFrame, doc_id: str = "doc_id", text:
         if texts:
             yield finish()
 
-    scored = together.mapInArrow(apply, T.StructType([T.StructField("_id", T.LongType()), T.StructField("n_tokens", T.LongType()),
+    scored = together.mapInArrow(tidy(apply), T.StructType([T.StructField("_id", T.LongType()), T.StructField("n_tokens", T.LongType()),
                                                       T.StructField("target_loss", T.DoubleType()), T.StructField("background_loss", T.DoubleType())]))
     return scored.select(F.col("_id").alias(doc_id), "n_tokens", "target_loss", "background_loss",
                          (F.col("background_loss") - F.col("target_loss")).alias("score"))

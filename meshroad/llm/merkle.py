@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from meshroad.llm.common import field, materialize, pa_type, with_columns_from
+from meshroad.llm.common import field, materialize, pa_type, tidy, with_columns_from
 
 LEAF = re.compile(r"[^.!?\n]{1,64}[.!? ]{0,16}|[.!? ]{1,64}")
 # The leaves of a short line are its words.
@@ -192,5 +192,5 @@ def with_neighbour_edits(docs: DataFrame, doc_id: str = "doc_id", text: str = "t
             if made:
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*made), schema)], schema=schema)
 
-    return rows.select("doc_id", "_text", "_part", "_copy").mapInArrow(run, T.StructType([field(n, k) for n, k in zip(names, kinds)]))
+    return rows.select("doc_id", "_text", "_part", "_copy").mapInArrow(tidy(run), T.StructType([field(n, k) for n, k in zip(names, kinds)]))
 

@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from meshroad.llm.common import batch_of, map_arrow, materialize
+from meshroad.llm.common import batch_of, map_arrow, materialize, tidy
 from meshroad.llm.components import components
 
 THRESHOLD = 0.93
@@ -227,7 +227,7 @@ def dedup(table: DataFrame, vec_id: str = "vec_id", vector: str = "embedding", l
         if made is not None:
             yield made
 
-    found = materialize(ordered.mapInArrow(run, "cls long, links long, other long"), "vector-links")
+    found = materialize(ordered.mapInArrow(tidy(run), "cls long, links long, other long"), "vector-links")
     counts = found.groupBy("cls").agg(F.sum("links").alias("links"))
     joined = components(found.filter("other is not null").select(F.col("cls").alias("a"), F.col("other").alias("b")))
     named = classes.select("cls", "rep", "rows").join(joined.select(F.col("id").alias("cls"), "component"), "cls", "left")
