@@ -25,7 +25,9 @@ from meshroad.llm.common import field, with_columns_from
 CACHE_PIECES = 300_000
 LONG_PIECE = 64
 # The pieces of a batch are gathered for about so many characters before new ones are encoded together.
-GATHER_CHARS = 2_000_000
+GATHER_CHARS = 1_000_000
+# So many pieces are encoded at once: the library's result objects take about a kilobyte each.
+ENCODE_PIECES = 4_000
 
 
 def byte_characters() -> dict[str, int]:
@@ -37,16 +39,17 @@ def byte_characters() -> dict[str, int]:
 
 
 class Codec:
-    """Encoder and decoder for one vocabulary; lives in a task."""
+    """Encoder and decoder for one vocabulary; lives in a task. Without a pattern it only decodes."""
 
-    def __init__(self, path: str, pattern: str):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        import regex
-        from tokenizers import Tokenizer
+    def __init__(self, path: str, pattern: str | None = None):
+        if pattern is not None:
+            os.environ["TOKENIZERS_PARALLELISM"] = "false"
+            import regex
+            from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
-        self.pieces = regex.compile(pattern).findall
+            self.tokenizer = Tokenizer.from_file(path)
+            self.tokenizer.encode_special_tokens = True
+            self.pieces = regex.compile(pattern).findall
         to_byte = byte_characters()
         with open(path, encoding="utf-8") as f:
             vocabulary = json.load(f)["model"]["vocab"]
@@ -57,8 +60,12 @@ class Codec:
         self.cache: dict[str, bytes] = {}
 
     def _encode_new(self, pieces: list[str]) -> dict[str, bytes]:
-        made = self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)
-        return {p: np.array(e.ids, dtype="<u4").tobytes() for p, e in zip(pieces, made)}
+        found: dict[str, bytes] = {}
+        for i in range(0, len(pieces), ENCODE_PIECES):
+            some = pieces[i:i + ENCODE_PIECES]
+            made = self.tokenizer.encode_batch_fast(some, add_special_tokens=False)
+            found.update((p, np.array(e.ids, dtype="<u4").tobytes()) for p, e in zip(some, made))
+        return found
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit integers."""
@@ -139,7 +146,7 @@ def decode(df: DataFrame, token_ids: str = "token_ids", *, path: str | None = No
     added = [field("decoded", T.BinaryType())] + ([field("decoded_text", T.StringType())] if as_text else [])
 
     def make():
-        codec = Codec(path or default_vocabulary()[0], "")
+        codec = Codec(path or default_vocabulary()[0])
 
         def work(columns):
             raw = [codec.decode(i or b"") for i in columns[0].to_pylist()]
