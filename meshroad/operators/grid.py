@@ -88,7 +88,9 @@ class Grid:
 
         The circle's own longitude extent is used, so it holds at any latitude and across the
         antimeridian; a circle around a pole reaches every column. Columns are not wrapped yet.
+        A centre that is not on the globe reaches nothing: its row is left out.
         """
+        df = df.filter(f"abs({lat}) <= 90D and abs({lon}) <= 180D")
         r = miles / EARTH_RADIUS_MILES
         r_deg, eps = num(math.degrees(r) + EPS_DEGREES), num(EPS_DEGREES)
         extent = (

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from meshroad.config import INCIDENT_NAME_VARIANTS, REQUIRED_COLUMNS, STATION_NAME_VARIANTS, TEXAS_VMT
-from meshroad.sources.testdata import (CRASHES_SQL, HEADER_NAMES_SQL, HEADER_WORDS, OTHER_STATE, STATIONS_SQL, TILES_SQL)
+from meshroad.sources.testdata import (CRASHES_SQL, HEADER_NAMES_SQL, HEADER_WORDS, NOTE_SQL, OTHER_STATE, STATIONS_SQL, TILES_SQL)
 
 R = "cast(3958.8 as double)"
 
@@ -186,7 +186,12 @@ _AUDIT = f"""audit as (
 _BEST = f"""best as (
   select n.Crash_ID, n.Crash_Year, n.Nearest_Station_LocationId, r.Station_Count, r.Station_Year, abs(n.Crash_Year::bigint - r.Station_Year) as year_gap,
     row_number() over (partition by n.Crash_ID order by abs(n.Crash_Year::bigint - r.Station_Year) asc nulls last, r.Station_Year desc, r.Station_Count desc) as k
-  from near n join records r on r.station_id = n.Nearest_Station_LocationId)"""
+  from near n left join records r on r.station_id = n.Nearest_Station_LocationId)"""
+
+# Every tenth match is moved away, and every next one has half a mile too much.
+_WRONG = f"""wrong as (
+  select c.Crash_ID, case when c.Crash_ID % 10 = 0 then 'nowhere' else c.Nearest_Station_LocationId end as Nearest_Station_LocationId,
+    c.Distance_Miles + case when c.Crash_ID % 10 = 1 then 0.5::double else 0::double end as Distance_Miles, c.true_id, c.true_d as true_miles from audit c)"""
 
 _CORNERS = [("x0", "y0"), ("x1", "y0"), ("x1", "ym"), ("xm", "ym"), ("xm", "y1"), ("x0", "y1"), ("x0", "y0")]
 _EDGES = "\nunion all\n".join(
@@ -202,7 +207,7 @@ def _multi_state() -> str:
     ctes = [
         CRASHES_RAW, STATIONS_RAW, TILES, RECORDS, f"vmt(state, vmt_year, vmt) as (values {texas}, {other})",
         STATIONS, f"st as (select *, {state.format('substring(station_id, 2)::bigint')} as state from stations)",
-        f"""cr as (select {state.format('Crash_ID')} as state, Crash_ID, Latitude, Longitude, cast(year(d) as int) as Crash_Year from (
+        f"""cr as (select {state.format('Crash_ID')} as state, Crash_ID, Crash_Date, Latitude, Longitude, cast(year(d) as int) as Crash_Year from (
     select *, {DATE} as d, row_number() over (partition by Crash_ID order by Crash_Date asc nulls last,
       Latitude asc nulls last, Longitude asc nulls last, ZIP_Code asc nulls last) as k from crashes_raw) t
   where k = 1 and year(d) between 2015 and 2024 and case when Crash_ID % 2 = 0 then Latitude between 29 and 31 and Longitude between -99 and -97
@@ -212,7 +217,7 @@ def _multi_state() -> str:
       and s.station_lat between c.Latitude - 0.02 and c.Latitude + 0.02 and s.station_lon between c.Longitude - 0.03 and c.Longitude + 0.03) p
     where dist <= 1) q where k = 1)""",
     ]
-    return _with(ctes, f"""select c.state, c.Crash_ID, round(c.Latitude, 6) as Latitude, round(c.Longitude, 6) as Longitude, c.Crash_Year,
+    return _with(ctes, f"""select c.state, c.Crash_ID, c.Crash_Date, round(c.Latitude, 6) as Latitude, round(c.Longitude, 6) as Longitude, c.Crash_Year,
   n.station_id as Nearest_Station_LocationId, round(n.station_lat, 6) as Station_Lat, round(n.station_lon, 6) as Station_Lon,
   n.Station_Count, n.Station_Year, round(n.dist, 6) as Distance_Miles, abs(c.Crash_Year::bigint - n.Station_Year) as year_gap,
   a.vmt as VMT_Crash, b.vmt as VMT_Station, round(a.vmt / b.vmt, 6) as VMT_Multiplier, round(n.Station_Count * (a.vmt / b.vmt), 6) as Adt_Curnt_Amt,
@@ -228,7 +233,8 @@ ORACLE: dict[str, str] = {
     "multi_state": _multi_state(),
     "clean_stations": _with(STATION_CTES, "select * from stations"),
     "clean_crashes": _with(CRASH_CTES, "select * from crashes"),
-    "distinct_rows": _with([CRASHES_RAW], "select distinct * from crashes_raw"),
+    "distinct_rows": _with([CRASHES_RAW], """select distinct * from (
+  select * from crashes_raw union all select * from crashes_raw where ZIP_Code::bigint % 2 = 0) t"""),
     "crash_years": _with([CRASHES_RAW], f"""select cast(year(d) as int) as Crash_Year, count(*) as rows, min(d)::date as first_date, max(d)::date as last_date
 from (select {DATE} as d from crashes_raw) t group by 1"""),
     "dup_ids_per_year": _with([CRASHES_RAW], f"""select Crash_Year, cast(sum(n) as bigint) as rows, cast(sum(n - 1) as bigint) as duplicate_ids from (
@@ -244,7 +250,7 @@ from (select station_id, cos(radians(station_lat)) * cos(radians(station_lon)) a
   sin(radians(station_lat)) as z, cos(radians(30::double)) * cos(radians(-98::double)) as cx, cos(radians(30::double)) * sin(radians(-98::double)) as cy,
   sin(radians(30::double)) as cz from stations) t"""),
     "haversine_pairs": _with([CRASHES_RAW], f"""select Crash_ID, round({_miles('Latitude', 'Longitude', '30::double', '(-98)::double')}, 6) as miles_to_center,
-  round({_miles('Latitude', 'Longitude', '29::double', '(-99)::double')}, 6) as miles_to_corner from crashes_raw where Latitude is not null"""),
+  round({_miles('Latitude', 'Longitude', '29::double', '(-99)::double')}, 6) as miles_to_corner from crashes_raw"""),
     "nearest_within_radius": _with(NEAR_CTES, f"""select Crash_ID, {_r('Latitude, Longitude')}, Crash_Year, Nearest_Station_LocationId,
   {_r('Station_Lat, Station_Lon, Station_Count')}, Station_Year, {_r('Distance_Miles')} from near"""),
     "nearest_unbounded": _with([*CRASH_CTES, *STATION_CTES, FAR], f"""select Crash_ID, {_r('Latitude, Longitude')}, Crash_Year,
@@ -266,8 +272,8 @@ from best left join {VMT.format('a')} on a.vmt_year = Crash_Year left join {VMT.
     "enriched_output": _with(OUTPUT_CTES, f"select {OUT_COLS} from output"),
     "write_readback": _with(OUTPUT_CTES, """select Crash_Year::int as file_year, count(*) as rows, count(Adt_Curnt_Amt) as filled, round(sum(Adt_Curnt_Amt), 2) as sum_amt,
   cast(sum(ZIP_Code) as bigint) as sum_zip, min(Crash_Year) as first_year, max(Crash_Year) as last_year from output group by 1"""),
-    "union_years": _with(OUTPUT_CTES, """select Crash_ID, Crash_Year, round(Latitude, 6) as Latitude, Station_Year,
-  case when Crash_Year % 2 = 1 then ZIP_Code end as ZIP_Code from output"""),
+    "union_years": _with(OUTPUT_CTES, f"""select * replace (Crash_ID::varchar as Crash_ID,
+  case when Crash_Year % 2 = 1 then aadt_match_type end as aadt_match_type) from (select {OUT_COLS} from output) t"""),
     "final_export": _with(OUTPUT_CTES, f"""select Crash_ID, {_r('Latitude, Longitude')}, ZIP_Code, {_r('Adt_Curnt_Amt, Distance_Miles')}, Station_Year,
   year_gap, aadt_match_type, {_r('VMT_Multiplier')} from output"""),
     "sample_filled": _with(OUTPUT_CTES, f"""select Crash_ID, Crash_Year as crash_year, {_r('Latitude, Longitude')}, ZIP_Code, Nearest_Station_LocationId as station_id,
@@ -298,4 +304,20 @@ from (select Crash_Year, Adt_Curnt_Amt as v from output where Adt_Curnt_Amt is n
     "distance_bins": _bins(">="),
     "distance_bins_right_closed": _bins(">"),
     "validation_report": _validation(),
+    "csv_crashes": _with([CRASHES_RAW], f"""select Crash_ID, {NOTE_SQL.format(id='Crash_ID').replace(' as string)', ' as varchar)')} as note, Crash_Date,
+  round(Latitude, 6) as Latitude, round(Longitude, 6) as Longitude, ZIP_Code from crashes_raw"""),
+    "csv_stations": _with(STATION_CTES, "select * from stations"),
+    "validation_from_csv": f"""select case when passed then 'pass' else 'FAIL' end as status, validation, passed, msg from (
+  select validation, case when validation in ('V01 schema 2017') then false else passed end as passed,
+    case when validation = 'V01 schema 2017' then 'missing [''VMT_Multiplier'']' else msg end as msg from ({_validation()}) v) w""",
+    "audit_of_errors": _with([*OUTPUT_CTES, _AUDIT, _WRONG], """select count(*) as n, count(*) filter (where true_id = Nearest_Station_LocationId) as agree,
+  count(*) filter (where true_id <> Nearest_Station_LocationId) as id_mismatches, count(*) filter (where abs(true_miles - Distance_Miles) > 1e-4) as distance_mismatches,
+  round(max(abs(true_miles - Distance_Miles)), 6) as worst_miles,
+  count(*) > 0 and count(*) filter (where true_id <> Nearest_Station_LocationId) = 0 and count(*) filter (where abs(true_miles - Distance_Miles) > 1e-4) = 0 as passed from wrong"""),
+    "audit_examples": _with([*OUTPUT_CTES, _AUDIT, _WRONG], """select Crash_ID, Nearest_Station_LocationId, round(Distance_Miles, 6) as Distance_Miles, true_id,
+  round(true_miles, 6) as true_miles from wrong where true_id <> Nearest_Station_LocationId or abs(true_miles - Distance_Miles) > 1e-4 order by Crash_ID, Nearest_Station_LocationId limit 5"""),
+    "zip_overlaps": _with([*CRASH_CTES, TILES], f"""select c.Crash_ID, t.zip::bigint as ZIP_Code, b.by_line from crashes c join tiles t on {INSIDE.format(p='c')}
+join (values (1), (2)) as k(k) on k.k = 1 or t.n_nationkey % 2 = 1 or not (c.Longitude >= t.x0 + 0.05::double and c.Longitude <= t.x0 + 0.1::double
+  and c.Latitude >= t.y0 + 0.05::double and c.Latitude <= t.y0 + 0.1::double)
+join (values (false), (true)) as b(by_line) on true"""),
 }

@@ -12,12 +12,14 @@ from meshroad.operators.nearest import nearest_within, radius_index
 from meshroad.operators.polygons import assign_zip, polygon_index
 from meshroad.operators.volume import adjust_volume
 
-OUTPUT_COLUMNS = (
-    "Crash_ID", "Crash_Date", "Latitude", "Longitude", "Crash_Year", "Nearest_Station_LocationId",
-    "Station_Lat", "Station_Lon", "Station_Count", "Station_Year", "Distance_Miles", "year_gap",
-    "VMT_Crash", "VMT_Station", "VMT_Multiplier", "Adt_Curnt_Amt", "Adt_Curnt_Year",
-    "aadt_match_type", "ZIP_Code",
-)
+# Names and types of the output, in its order.
+OUTPUT_SCHEMA = {
+    "Crash_ID": "string", "Crash_Date": "string", "Latitude": "double", "Longitude": "double", "Crash_Year": "int",
+    "Nearest_Station_LocationId": "string", "Station_Lat": "double", "Station_Lon": "double", "Station_Count": "double",
+    "Station_Year": "bigint", "Distance_Miles": "double", "year_gap": "bigint", "VMT_Crash": "double", "VMT_Station": "double",
+    "VMT_Multiplier": "double", "Adt_Curnt_Amt": "double", "Adt_Curnt_Year": "bigint", "aadt_match_type": "string", "ZIP_Code": "bigint",
+}
+OUTPUT_COLUMNS = tuple(OUTPUT_SCHEMA)
 
 
 def match_stations(

@@ -29,14 +29,17 @@ def _whole(x: Column) -> Column:
     return F.bround(x, 0).cast("bigint")
 
 
-def validate(out: DataFrame, state: StateConfig, year: str = "file_year") -> DataFrame:
+def validate(out: DataFrame, state: StateConfig, year: str = "file_year", *, present: DataFrame | None = None,
+             radius_miles: float = MAX_STATION_MILES) -> DataFrame:
     """Checks V01 to V09 and V12 to V14 for each value of `year`, the tag of the file a row is from.
 
+    `present` (`file_year`, `column`) holds the columns of each year's own file, for V01; without it all years
+    have the columns of `out`. A year with a header and no row has no result. `radius_miles` is that of the run.
+
     Returns `file_year`, `validation`, `passed`, `status`, `msg`. All checks share one scan, except
     the volume quantiles, which are exact on groups of any size and therefore take their own.
     """
     columns = [c for c in out.columns if c != year]
-    absent = [c for c in REQUIRED_COLUMNS if c not in columns]
     have = lambda c: F.col(c) if c in out.columns else F.lit(None).cast("double")
     lat, lon, amount, dist = have("Latitude"), have("Longitude"), have("Adt_Curnt_Amt"), have("Distance_Miles")
     multiplier, station_year, gap, label = have("VMT_Multiplier"), have("Station_Year"), have("year_gap"), have("aadt_match_type")
@@ -55,10 +58,10 @@ def validate(out: DataFrame, state: StateConfig, year: str = "file_year") -> Dat
 
     facts = base.groupBy(F.col(year).cast("bigint").alias("file_year")).agg(
         F.count(F.lit(1)).alias("rows"), F.count(amount).alias("filled"),
-        F.sort_array(F.collect_set("Crash_Year")).alias("years"),
+        F.min("Crash_Year").alias("first_year"), F.max("Crash_Year").alias("last_year"),
         count_if(lat.isNull() | lon.isNull()).alias("null_xy"),
         count_if((lat < box.lat_min) | (lat > box.lat_max) | (lon < box.lon_min) | (lon > box.lon_max)).alias("outside"),
-        count_if(filled & (dist > MAX_STATION_MILES)).alias("too_far"), F.max(F.when(filled, dist)).alias("farthest"),
+        count_if(filled & (dist > radius_miles)).alias("too_far"), F.max(F.when(filled, dist)).alias("farthest"),
         count_if(have("ZIP_Code").isNull()).alias("null_zip"),
         count_if(station_year.isNotNull() & gap.isNotNull()
                  & (F.abs(F.col("Crash_Year").cast("bigint") - station_year) != gap)).alias("bad_gap"),
@@ -74,15 +77,25 @@ def validate(out: DataFrame, state: StateConfig, year: str = "file_year") -> Dat
                              {"p5": 0.05, "median": 0.5, "p95": 0.95}, by=["file_year"])
     facts = facts.join(F.broadcast(spread), "file_year", "left")  # one row per year
 
+    if present is None:
+        facts = facts.withColumn("columns", F.array(*map(F.lit, columns)))
+    else:  # at most the names of one file in a row
+        named = present.groupBy(F.col("file_year").cast("bigint").alias("file_year")).agg(F.collect_set("column").alias("columns"))
+        facts = facts.join(F.broadcast(named), "file_year", "left").withColumn("columns", F.coalesce("columns", F.array().cast("array<string>")))
+    facts = facts.withColumn("absent", F.array_except(F.array(*map(F.lit, REQUIRED_COLUMNS)), "columns"))
+
     c = F.col
     required = len(REQUIRED_COLUMNS)
-    schema_msg = f"missing {absent}" if absent else f"{required}/{required} present, {len(columns)} cols total"
+    schema_msg = F.when(F.size("absent") > 0, F.concat(F.lit("missing ['"), F.array_join("absent", "', '"), F.lit("']"))).otherwise(
+        F.concat(F.lit(f"{required}/{required} present, "), F.size("columns").cast("string"), F.lit(" cols total")))
+    one_year = c("first_year") == c("last_year")
     in_tail = lambda n: c(n) < c("filled") * 0.01
     pct = F.round(F.when(c("rows") > 0, F.lit(100.0) * c("filled") / c("rows")).otherwise(0.0), 2)
     checks = [
-        ("V01 schema", F.lit(not absent), F.lit(schema_msg)),
-        ("V02 Crash_Year", (F.size("years") == 1) & (F.element_at("years", 1).cast("bigint") == c("file_year")),
-         F.concat(F.lit("distinct values = ["), F.array_join(c("years").cast("array<string>"), ", "), F.lit("]"))),
+        ("V01 schema", F.size("absent") == 0, schema_msg),
+        ("V02 Crash_Year", one_year & (c("first_year").cast("bigint") == c("file_year")),
+         F.concat(F.lit("distinct values = ["), F.when(one_year, c("first_year").cast("string")).when(
+             c("first_year").isNull(), "").otherwise(F.concat_ws(" to ", "first_year", "last_year")), F.lit("]"))),
         ("V03 bounds", (c("null_xy") == 0) & (c("outside") == 0),
          F.format_string("%d null, %d out-of-state", "null_xy", "outside")),
         ("V04 dist cap", c("too_far") == 0,
@@ -118,12 +131,12 @@ def totals(results: DataFrame) -> DataFrame:
     return results.agg(F.count_if("passed").alias("n_pass"), F.count_if(~F.col("passed")).alias("n_fail"))
 
 
-def nearest_audit(out: DataFrame, stations: DataFrame, *, n: int = 1000, seed: int = 42) -> DataFrame:
-    """V10: recompute the nearest station of up to `n` sampled matched crashes of the last year.
+def _audited(out: DataFrame, stations: DataFrame, n: int, seed: int, radius_miles: float) -> DataFrame:
+    """Up to `n` sampled matched crashes of the last year, each with the truly nearest station within reach.
 
-    Independent of the grid index: every station whose latitude is within a mile is tried. No
-    station outside that belt can beat a stored match, which lies within a mile. The sample is the
-    broadcast side, at most three rows per sampled crash; the stations are only streamed through.
+    Independent of the grid index: every station whose latitude is within the radius is tried. No station outside
+    that belt can beat a match within the radius. A crash with no station in reach has none, so its match is wrong.
+    The sample is the broadcast side, at most three rows per sampled crash; the stations are only streamed through.
     """
     matched = out.filter(F.col("Nearest_Station_LocationId").isNotNull()).select(
         "Crash_ID", "Crash_Year", "Latitude", "Longitude", "Nearest_Station_LocationId", "Distance_Miles")
@@ -131,17 +144,37 @@ def nearest_audit(out: DataFrame, stations: DataFrame, *, n: int = 1000, seed: i
     top = materialize(
         matched.withColumn("_order", order).orderBy(F.col("Crash_Year").desc(), "_order", "Crash_ID").limit(n), "sample")
     last = top.groupBy().agg(F.max("Crash_Year").alias("Crash_Year"))
-    sample = top.join(F.broadcast(last), "Crash_Year")
-    belt = lambda lat: f"floor({lat} / {num(math.degrees(1.0 / EARTH_RADIUS_MILES) * 1.000001)})"
-    asked = sample.selectExpr("*", f"explode(sequence({belt('Latitude')} - 1, {belt('Latitude')} + 1)) as _belt")
-    tried = stations.selectExpr("*", f"{belt('station_lat')} as _belt").join(F.broadcast(asked), "_belt")
+    sample = top.join(F.broadcast(last), "Crash_Year").drop("_order")
+    belt = lambda lat: f"floor({lat} / {num(math.degrees(radius_miles / EARTH_RADIUS_MILES) * 1.000001)})"
+    asked = sample.filter("abs(Latitude) <= 90").select("Crash_ID", "Latitude", "Longitude").distinct().selectExpr(
+        "*", f"explode(sequence({belt('Latitude')} - 1, {belt('Latitude')} + 1)) as _belt")
+    tried = stations.filter("abs(station_lat) <= 90").selectExpr("*", f"{belt('station_lat')} as _belt").join(F.broadcast(asked), "_belt")
     d = F.expr(haversine_miles("Latitude", "Longitude", "station_lat", "station_lon"))
     steps = F.floor(d * F.lit(TIE_STEPS_PER_MILE) + F.lit(0.5))
-    true_best = tried.groupBy("Crash_ID", "Nearest_Station_LocationId", "Distance_Miles").agg(
+    found = tried.groupBy("Crash_ID", "Latitude", "Longitude").agg(
         F.min(F.struct(steps.alias("steps"), F.col("station_id").alias("id"), d.alias("d"))).alias("best"))
-    diff = F.abs(F.col("best.d") - F.col("Distance_Miles"))
-    same = F.col("best.id") == F.col("Nearest_Station_LocationId")
-    return true_best.agg(
-        F.count(F.lit(1)).alias("n"), F.count_if(same).alias("agree"), F.count_if(~same).alias("id_mismatches"),
-        F.count_if(diff > DISTANCE_TOLERANCE).alias("distance_mismatches"), F.max(diff).alias("worst_miles"),
-    ).withColumn("passed", (F.col("id_mismatches") == 0) & (F.col("distance_mismatches") == 0))
+    joined = sample.join(found, ["Crash_ID", "Latitude", "Longitude"], "left")
+    near = F.col("best.d") <= radius_miles
+    return joined.select(
+        *sample.columns, F.when(near, F.col("best.id")).alias("true_id"), F.when(near, F.col("best.d")).alias("true_miles")).withColumns({
+            "same_id": F.coalesce(F.col("true_id") == F.col("Nearest_Station_LocationId"), F.lit(False)),
+            "miles_off": F.abs(F.col("true_miles") - F.col("Distance_Miles"))})
+
+
+def nearest_audit(out: DataFrame, stations: DataFrame, *, n: int = 1000, seed: int = 42, radius_miles: float = MAX_STATION_MILES) -> DataFrame:
+    """V10: recompute the nearest station of sampled crashes. An audit of no crash does not pass."""
+    rows = _audited(out, stations, n, seed, radius_miles)
+    far = ~F.coalesce(F.col("miles_off") <= DISTANCE_TOLERANCE, F.lit(False))
+    return rows.agg(
+        F.count(F.lit(1)).alias("n"), F.count_if("same_id").alias("agree"), F.count_if(~F.col("same_id")).alias("id_mismatches"),
+        F.count_if(far).alias("distance_mismatches"), F.max("miles_off").alias("worst_miles"),
+    ).withColumn("passed", (F.col("n") > 0) & (F.col("id_mismatches") == 0) & (F.col("distance_mismatches") == 0))
+
+
+def audit_examples(out: DataFrame, stations: DataFrame, *, n: int = 1000, seed: int = 42, radius_miles: float = MAX_STATION_MILES,
+                   show: int = 5) -> DataFrame:
+    """The first `show` wrong matches of the audit's sample, by id, with the station that should be there."""
+    far = ~F.coalesce(F.col("miles_off") <= DISTANCE_TOLERANCE, F.lit(False))
+    return _audited(out, stations, n, seed, radius_miles).filter(~F.col("same_id") | far).orderBy(
+        "Crash_ID", "Nearest_Station_LocationId").limit(show).select(
+            "Crash_ID", "Nearest_Station_LocationId", "Distance_Miles", "true_id", "true_miles")

@@ -13,8 +13,8 @@ from meshroad.operators import clean, match, nearest, polygons, volume
 from meshroad.operators.joins import union_all
 from meshroad.plans import reports, validate
 from meshroad.plans.enrich import enrich, match_stations
-from meshroad.session import new_table_path
-from meshroad.sources import sinks, testdata
+from meshroad.session import materialize, new_table_path
+from meshroad.sources import csv, geojson, sinks, testdata
 from meshroad.sources.geojson import polygons_from_features
 from meshroad.sources.testdata import BOX, STATE
 
@@ -67,7 +67,8 @@ def clean_crashes(spark, d):
 
 
 def distinct_rows(spark, d):
-    return testdata.crashes_raw(spark, d).distinct()
+    """Distinct rows of a table that holds every crash of an even supplier twice."""
+    return testdata.crashes_twice(spark, d).distinct()
 
 
 def crash_years(spark, d):
@@ -98,7 +99,7 @@ def unit_xyz(spark, d):
 
 
 def haversine_pairs(spark, d):
-    c = testdata.crashes_raw(spark, d).filter("Latitude is not null")
+    c = testdata.crashes_raw(spark, d)
     to = lambda lat, lon: geo.haversine_miles("Latitude", "Longitude", geo.num(lat), geo.num(lon))
     return _round(c.selectExpr("Crash_ID", f"{to(*CENTER)} as miles_to_center",
                                f"{to(BOX.lat_min, BOX.lon_min)} as miles_to_corner"))
@@ -120,7 +121,7 @@ def nearest_unbounded(spark, d):
 def best_history_year(spark, d):
     found = nearest.best_history(_matched(spark, d), _records(spark, d))
     adjusted = volume.adjust_volume(found, vmt_table(spark, [STATE]))
-    return _round(adjusted.filter(F.col("Nearest_Station_LocationId").isNotNull()).select(
+    return _round(adjusted.select(
         "Crash_ID", "Crash_Year", "Nearest_Station_LocationId", "Station_Count", "Station_Year", "year_gap", "Adt_Curnt_Amt"))
 
 
@@ -158,7 +159,7 @@ def multi_state(spark, d):
     stations = testdata.with_state(testdata.stations_raw(spark, d), "cast(substring(trim(TRFC_STATN_ID), 2) as bigint)")
     zips = testdata.with_state(_zips(spark, d), "polygon_id")
     out = enrich(crashes, stations, STATE, polygons=zips, states=[STATE, testdata.OTHER_STATE], by=["state"])
-    return _round(out.drop("Crash_Date"))
+    return _round(out)
 
 
 # ---- output and reports over it ----
@@ -176,15 +177,15 @@ def write_readback(spark, d):
 
 
 def union_years(spark, d):
-    """Yearly slices, read one folder each and put together again; some lack a column."""
-    written = _written(spark, d)
-    years = [r.file_year for r in written.select("file_year").distinct().collect()]
-    slices = [written.filter(F.col("file_year") == y).select(
-        "Crash_ID", "Crash_Year", "Latitude", F.col("Station_Year").cast("int" if y % 2 else "bigint").alias("Station_Year"),
-        *(["ZIP_Code"] if y % 2 else [])) for y in sorted(years)]
-    return _round(union_all(slices).select(
-        "Crash_ID", "Crash_Year", "Latitude", F.col("Station_Year").cast("bigint").alias("Station_Year"),
-        F.col("ZIP_Code").cast("bigint").alias("ZIP_Code")))
+    """The years read one folder each and put together again; every second one has its station years as text and no labels."""
+    path = new_table_path(spark, "output")
+    sinks.write_yearly(_output(spark, d), path)
+    years = sorted({r.file_year for r in sinks.yearly_columns(spark, path).collect()})
+    slices = []
+    for y in years:
+        rows = spark.read.parquet(f"{path}/file_year={y}")
+        slices.append(rows if y % 2 else rows.withColumn("Station_Year", F.col("Station_Year").cast("string")).drop("aadt_match_type"))
+    return _round(sinks.typed_output(union_all(slices).withColumn("Crash_ID", F.col("Crash_ID").cast("string"))))
 
 
 def final_export(spark, d):
@@ -243,6 +244,73 @@ def validation_report(spark, d):
     return validate.validate(_written(spark, d), STATE)
 
 
+# ---- files ----
+
+
+def csv_crashes(spark, d):
+    """Crashes written as CSV, two column orders, a preamble, a note with commas and quotes, and read back."""
+    raw = testdata.crashes_with_notes(spark, d)
+    path = new_table_path(spark, "crash-csv")
+    orders = (["Crash_ID", "note", "Crash_Date", "Latitude", "Longitude", "ZIP_Code"], ["ZIP_Code", "Longitude", "Latitude", "Crash_Date", "note", "Crash_ID"])
+    for k, columns in enumerate(orders):
+        rows = raw.filter(F.col("Crash_ID") % 2 == k).select(*columns)
+        testdata.write_csv_text(rows, f"{path}/{k}", preamble=[f"export {k}", "columns, as follows", ",".join(columns)])
+    back = csv.read_csv_text(spark, [f"{path}/0", f"{path}/1"], preamble_lines=2)
+    return _round(back.select(F.col("Crash_ID").try_cast("bigint").alias("Crash_ID"), "note", "Crash_Date", F.col("Latitude").try_cast("double").alias("Latitude"),
+                              F.col("Longitude").try_cast("double").alias("Longitude"), "ZIP_Code"))
+
+
+def csv_stations(spark, d):
+    """Stations written as CSV with a header with spaces, a blank name and a column too many, read back and cleaned."""
+    path = new_table_path(spark, "station-csv")
+    raw = testdata.stations_raw(spark, d).select(F.lit("x").alias(""), F.col("TRFC_STATN_ID").alias(" TRFC_STATN_ID "), "LATITUDE", "LONGITUDE",
+                                                 "LATEST_AADT_QTY", F.col("LATEST_AADT_YR").alias("LATEST_AADT_YR "))
+    testdata.write_csv_text(raw, path)
+    return clean.clean_stations(csv.read_stations(spark, path, STATE), STATE)
+
+
+def validation_from_csv(spark, d):
+    """Yearly CSV files, one year without a required column and one in another order, read back and validated."""
+    out, path = _output(spark, d), new_table_path(spark, "output-csv")
+    out = out.withColumn("Crash_ID", F.col("Crash_ID").cast("string")).withColumn("year_tag", F.col("Crash_Year"))
+    out = materialize(out, "output")
+    sinks.write_yearly(out.filter("year_tag not in (2017, 2018)").drop("year_tag"), path, fmt="csv")
+    sinks.write_yearly(out.filter("year_tag = 2017").drop("year_tag", "VMT_Multiplier"), path, fmt="csv")
+    sinks.write_yearly(out.filter("year_tag = 2018").select(*reversed(out.drop("year_tag").columns)), path, fmt="csv")
+    results = validate.validate(sinks.read_yearly(spark, path, fmt="csv"), STATE, present=sinks.yearly_columns(spark, path, "csv"))
+    where = new_table_path(spark, "results")
+    sinks.write_validation(results, where)
+    return sinks.read_validation(spark, where).select("status", "validation", "passed", "msg")
+
+
+def _misplaced(spark, d):
+    """The output with every tenth match moved to a station that does not exist or a wrong distance."""
+    return _output(spark, d).withColumns({
+        "Nearest_Station_LocationId": F.when((F.col("Crash_ID") % 10 == 0) & F.col("Nearest_Station_LocationId").isNotNull(), "nowhere").otherwise(F.col("Nearest_Station_LocationId")),
+        "Distance_Miles": F.when(F.col("Crash_ID") % 10 == 1, F.col("Distance_Miles") + 0.5).otherwise(F.col("Distance_Miles"))})
+
+
+def audit_of_errors(spark, d):
+    return _round(validate.nearest_audit(_misplaced(spark, d), clean_stations(spark, d)))
+
+
+def audit_examples(spark, d):
+    return _round(validate.audit_examples(_misplaced(spark, d), clean_stations(spark, d)))
+
+
+def zip_overlaps(spark, d):
+    """Tiles, each a second time under the same code, and one with a hole, read from GeoJSON in both layouts."""
+    document, lines = (new_table_path(spark, f"geojson-{k}") for k in ("document", "lines"))
+    features = testdata.geojson_features(spark, d)
+    features.write.text(lines)
+    features.groupBy().agg(F.concat(F.lit('{"type": "FeatureCollection", "features": ['), F.array_join(F.collect_list("value"), ","), F.lit("]}")).alias("value")).write.text(document)
+    parts = []
+    for path, by_line in ((document, False), (lines, True)):
+        index = polygons.polygon_index(geojson.read_zip_polygons(spark, path, line_delimited=by_line))
+        parts.append(polygons.assign_zip(_crashes(spark, d), index).select("Crash_ID", "ZIP_Code").withColumn("by_line", F.lit(by_line)))
+    return parts[0].union(parts[1])
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -251,5 +319,6 @@ QUERIES: dict[str, Query] = {
         zip_join, fuzzy_match, brute_force_audit, multi_state, enriched_output, write_readback, union_years, final_export,
         sample_filled, per_year_summary, missing_reasons, fill_totals, distance_stats, year_gap_dist, volume_range,
         hist_year_gap, hist_distance, hist_volume, distance_bins, distance_bins_right_closed, validation_report,
+        csv_crashes, csv_stations, validation_from_csv, audit_of_errors, audit_examples, zip_overlaps,
     )
 }

@@ -1,4 +1,7 @@
-"""CSV sources. Every column is read as text; typing is left to the cleaning step."""
+"""CSV sources. Every column is read as text; typing is left to the cleaning step.
+
+Quotes follow RFC 4180: a doubled quote inside a quoted field is one quote.
+"""
 
 from __future__ import annotations
 
@@ -9,31 +12,69 @@ from pyspark.sql import functions as F
 
 from meshroad.config import StateConfig
 from meshroad.operators.clean import rename_columns
+from meshroad.operators.joins import union_all
 
 _OVERFLOW = "_overflow"
+CSV_OPTIONS = {"escape": '"', "mode": "PERMISSIVE"}
 
 
 def read_csv_text(
-    spark: SparkSession, path: str | Sequence[str], *, preamble_lines: int = 0, bad_lines: str = "null",
+    spark: SparkSession, path: str | Sequence[str], *, preamble_lines: int = 0, bad_lines: str = "null", multi_line: bool = False,
+    file_column: str | None = None,
 ) -> DataFrame:
-    """All columns as strings, header names trimmed, `preamble_lines` skipped before the header.
+    """All columns as strings, header names trimmed, `preamble_lines` skipped before the header of each file.
+
+    Preamble and header are skipped by their place in the file, so an equal line further down is data. Each file
+    is read by its own header; columns that a file lacks are null there. A blank header name becomes `_c<place>`, a
+    repeated one gets its place as a suffix. A short line has nulls at its end. A line with too many fields keeps
+    the first ones (`bad_lines="null"`) or is dropped (`"drop"`).
 
-    A short line has nulls at its end. A line with too many fields keeps the first ones
-    (`bad_lines="null"`) or is dropped (`"drop"`).
+    `multi_line` lets quoted fields hold line breaks. A file is then read by one task, and cannot have a preamble. `file_column` names a column for the path of each row's file.
     """
-    if preamble_lines:
-        head = [r.value for r in spark.read.text(path).limit(preamble_lines + 1).collect()]
-        names = _header_names(spark, head[-1])
-        lines = spark.read.text(path).filter(~F.col("value").isin(head))
+    if preamble_lines and multi_line:
+        raise ValueError("a file with a preamble is read line by line, so its fields cannot hold line breaks")
+    groups: dict[tuple[str, ...], list[str]] = {}
+    for file in sorted(spark.read.option("recursiveFileLookup", True).text(path).inputFiles()):  # folder names are no columns
+        groups.setdefault(_file_header(spark, file, preamble_lines), []).append(file)
+    parts = []
+    for names, files in groups.items():
+        if not names:  # no header, so nothing to read
+            continue
         schema = _text_schema(names)
-        rows = lines.select(F.from_csv("value", schema, {"mode": "PERMISSIVE"}).alias("r")).select("r.*")
-    else:
-        names = spark.read.option("header", True).csv(path).columns
-        rows = spark.read.schema(_text_schema([n.strip() for n in names])).option("header", True).option(
-            "enforceSchema", True).csv(path)
-    if bad_lines == "drop":
-        rows = rows.filter(F.col(_OVERFLOW).isNull())
-    return rows.drop(_OVERFLOW)
+        if preamble_lines:
+            rows = _lines_after(spark, files, preamble_lines + 1).select(
+                F.from_csv("value", schema, CSV_OPTIONS).alias("r"), "_file").select("r.*", *([F.col("_file").alias(file_column)] if file_column else []))
+        else:
+            rows = spark.read.schema(schema).options(header=True, enforceSchema=True, multiLine=multi_line, **CSV_OPTIONS).csv(files)
+            if file_column:
+                rows = rows.select("*", F.col("_metadata.file_path").alias(file_column))
+        if bad_lines == "drop":
+            rows = rows.filter(F.col(_OVERFLOW).isNull())
+        parts.append(rows.drop(_OVERFLOW))
+    if not parts:
+        raise ValueError(f"no header in {path}")
+    return union_all(parts)
+
+
+def _file_header(spark: SparkSession, file: str, preamble_lines: int) -> tuple[str, ...]:
+    """Column names of one file; only its beginning is read."""
+    head = [r.value for r in spark.read.text(file).limit(preamble_lines + 1).collect()]
+    return tuple(_header_names(spark, head[-1])) if len(head) > preamble_lines else ()
+
+
+def _lines_after(spark: SparkSession, files: list[str], skip: int) -> DataFrame:
+    """Lines of the files but for the first `skip` of each.
+
+    Lines are numbered in the order in which a task reads them, and the number of a file's first line is found in
+    a pass of its own over the text. Both passes cut the files in the same way.
+    """
+    lines = spark.read.text(files).select(
+        "value", F.col("_metadata.file_path").alias("_file"), (F.col("_metadata.file_block_start") == 0).alias("_front"),
+        F.monotonically_increasing_id().alias("_line"))
+    first = lines.filter("_front").groupBy("_file").agg(F.min("_line").alias("_first"))
+    # One row for each file.
+    return lines.join(F.broadcast(first), "_file").filter(
+        ~F.col("_front") | (F.col("_line") >= F.col("_first") + skip)).filter("trim(value) <> ''").select("value", "_file")
 
 
 def csv_columns(spark: SparkSession, path: str, preamble_lines: int = 0) -> DataFrame:
@@ -45,17 +86,32 @@ def csv_columns(spark: SparkSession, path: str, preamble_lines: int = 0) -> Data
 def _header_names(spark: SparkSession, line: str) -> list[str]:
     n = line.count(",") + 1
     schema = ", ".join(f"c{i} string" for i in range(n))
-    row = spark.range(1).select(F.from_csv(F.lit(line), schema).alias("r")).select("r.*").first()
-    return [v.strip() for v in row if v is not None]
+    row = spark.range(1).select(F.from_csv(F.lit(line), schema, CSV_OPTIONS).alias("r")).select("r.*").first()
+    fields = [v.strip() if v is not None else "" for v in row]
+    while fields and not fields[-1] and n > 1:  # commas inside quotes made room for more names than there are
+        if _fields_in(line) >= len(fields):
+            break
+        fields.pop()
+    names: list[str] = []
+    for i, name in enumerate(fields):
+        name = name or f"_c{i}"
+        names.append(name if name.lower() not in {x.lower() for x in names} else f"{name}_{i}")
+    return names
+
+
+def _fields_in(line: str) -> int:
+    """Commas outside quotes, and one."""
+    return 1 + sum(part.count(",") for part in line.split('"')[::2])
 
 
 def _text_schema(names: Sequence[str]) -> str:
     # One column more than the header: it is filled only on lines with too many fields.
-    return ", ".join(f"`{n}` string" for n in [*names, _OVERFLOW])
+    quoted = [n.replace("`", "``") for n in [*names, _OVERFLOW]]
+    return ", ".join(f"`{n}` string" for n in quoted)
 
 
-def read_crashes(spark: SparkSession, path: str | Sequence[str], state: StateConfig) -> DataFrame:
-    raw = read_csv_text(spark, path, preamble_lines=state.preamble_lines, bad_lines=state.bad_lines)
+def read_crashes(spark: SparkSession, path: str | Sequence[str], state: StateConfig, multi_line: bool = False) -> DataFrame:
+    raw = read_csv_text(spark, path, preamble_lines=state.preamble_lines, bad_lines=state.bad_lines, multi_line=multi_line)
     return rename_columns(raw, dict(state.incident_columns)).withColumn("state", F.lit(state.code))
 
 

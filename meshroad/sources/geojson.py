@@ -5,44 +5,75 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from meshroad.session import materialize
+
 _POLYGON = "array<array<array<double>>>"
 
 
 def parse_coordinates(geometry_type: Column, coordinates: Column) -> Column:
-    """Coordinate text of a Polygon or MultiPolygon -> polygon -> ring -> vertex -> [x, y]."""
-    return (
-        F.when(geometry_type == "Polygon", F.array(F.from_json(coordinates, _POLYGON)))
-        .when(geometry_type == "MultiPolygon", F.from_json(coordinates, f"array<{_POLYGON}>"))
-    )
+    """Coordinate text of a Polygon or MultiPolygon -> polygon -> ring -> vertex -> [x, y].
+
+    Null for other types, text that cannot be read and vertices that are not on the globe.
+    """
+    off_globe = lambda v: ~F.coalesce((F.abs(v[0]) <= 180) & (F.abs(v[1]) <= 90), F.lit(False))
+    one, many = F.from_json(coordinates, _POLYGON), F.from_json(coordinates, f"array<{_POLYGON}>")
+    found = F.when((geometry_type == "Polygon") & one.isNotNull(), F.array(one)).when(geometry_type == "MultiPolygon", many)
+    bad = F.exists(found, lambda p: p.isNull() | F.exists(p, lambda r: r.isNull() | F.exists(r, off_globe)))
+    return F.when(~bad, found)
 
 
 def polygons_from_features(features: DataFrame) -> DataFrame:
-    """Features with `polygon_id`, `zip`, `geometry_type`, `coordinates` -> the polygon table."""
+    """Features with `polygon_id`, `zip`, `geometry_type`, `coordinates` -> the polygon table.
+
+    Features that are no polygon, or cannot be read, have none; `unreadable_features` lists them.
+    """
     mp = parse_coordinates(F.col("geometry_type"), F.col("coordinates"))
     return features.select("polygon_id", "zip", mp.alias("mp")).filter(F.col("mp").isNotNull())
 
 
-def read_zip_polygons(
-    spark: SparkSession, path: str, zip_attribute: str = "ZCTA5CE10", line_delimited: bool = False
-) -> DataFrame:
-    """A FeatureCollection document, or one feature per line for files too big for one task.
+def unreadable_features(features: DataFrame) -> DataFrame:
+    """How many features of each geometry type give no polygon, and the ZIP codes concerned (their least and greatest)."""
+    mp = parse_coordinates(F.col("geometry_type"), F.col("coordinates"))
+    return features.filter(mp.isNull()).groupBy("geometry_type").agg(
+        F.count(F.lit(1)).alias("features"), F.min("zip").alias("first_zip"), F.max("zip").alias("last_zip"))
 
-    Coordinates are longitude, latitude in WGS 84, as the format prescribes.
+
+def read_features(spark: SparkSession, path: str, zip_attribute: str = "ZCTA5CE10", line_delimited: bool = False) -> DataFrame:
+    """Features of a FeatureCollection document, or one feature per line for files too big for one task.
+
+    Each feature gets an id of its own, also if another one is equal: equal features are kept as they are, and
+    a point in both gets both codes. The parts of a GeometryCollection become features that share the id. The
+    result is written once, since ids that depend on the reading order must not change between uses.
     """
-    feature = (
-        f"struct<properties: struct<`{zip_attribute}`: string>, "
-        "geometry: struct<type: string, coordinates: string>>"
-    )
+    geometry = "struct<type: string, coordinates: string, geometries: array<struct<type: string, coordinates: string>>>"
+    properties = f"struct<`{zip_attribute}`: string>"
     if line_delimited:
-        lines = spark.read.schema("properties struct<`%s`: string>, geometry struct<type: string, coordinates: string>"
-                                  % zip_attribute).json(path)
-        rows = lines.select(F.xxhash64("geometry.coordinates", f"properties.{zip_attribute}").alias("polygon_id"),
-                            "properties", "geometry")
+        rows = spark.read.schema(f"properties {properties}, geometry {geometry}").json(path).filter("properties is not null or geometry is not null")
     else:
-        doc = spark.read.schema(f"features array<{feature}>").option("multiLine", True).json(path)
-        rows = doc.select(F.posexplode("features").alias("polygon_id", "f"), F.input_file_name().alias("_file")).select(
-            F.xxhash64("_file", "polygon_id").alias("polygon_id"), "f.properties", "f.geometry")
-    features = rows.select(
+        doc = spark.read.schema(f"features array<struct<properties: {properties}, geometry: {geometry}>>").option("multiLine", True).json(path)
+        rows = doc.select(F.explode("features").alias("f")).select("f.properties", "f.geometry")
+    rows = rows.withColumn("polygon_id", F.monotonically_increasing_id())
+    parts = F.when(F.col("geometry.type") == "GeometryCollection", F.col("geometry.geometries")).otherwise(
+        F.array(F.struct(F.col("geometry.type").alias("type"), F.col("geometry.coordinates").alias("coordinates"))))
+    rows = rows.withColumn("part", F.explode_outer(parts))
+    return materialize(rows.select(
         "polygon_id", F.col(f"properties.`{zip_attribute}`").alias("zip"),
-        F.col("geometry.type").alias("geometry_type"), F.col("geometry.coordinates").alias("coordinates"))
-    return polygons_from_features(features)
+        F.col("part.type").alias("geometry_type"), F.col("part.coordinates").alias("coordinates")), "features")
+
+
+def read_zip_polygons(
+    spark: SparkSession, path: str, zip_attribute: str = "ZCTA5CE10", line_delimited: bool = False, unreadable: str = "fail"
+) -> DataFrame:
+    """Polygons with ZIP codes; coordinates are longitude, latitude in WGS 84, as the format prescribes.
+
+    A feature without a readable polygon would lose the crashes in it, so it fails the job (`unreadable="fail"`)
+    unless it is to be left out (`"drop"`).
+    """
+    features = read_features(spark, path, zip_attribute, line_delimited)
+    if unreadable == "fail":
+        bad = unreadable_features(features).collect()
+        if bad:
+            raise ValueError(f"features without a readable polygon: {[r.asDict() for r in bad]}")
+    # The parts of a collection are one multipolygon.
+    polygons = polygons_from_features(features)
+    return polygons.groupBy("polygon_id", "zip").agg(F.flatten(F.collect_list("mp")).alias("mp"))

@@ -2,45 +2,101 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from meshroad.plans.enrich import OUTPUT_SCHEMA
 from meshroad.plans.validate import totals
+from meshroad.sources.csv import read_csv_text
+
+
+YEAR_FOLDER = r"file_year=(-?\d+)"
+YEAR_FILE = r"Cleaned_Data_(\d+)\.csv$"
 
 
 def write_yearly(
-    out: DataFrame, path: str, *, fmt: str = "parquet", max_records_per_file: int = 20_000_000, compact: bool = False
+    out: DataFrame, path: str, *, fmt: str = "parquet", max_records_per_file: int = 20_000_000, compact: bool = True
 ) -> None:
-    """One folder `file_year=<year>` per crash year; the year stays in the rows too.
+    """One folder `file_year=<year>` per crash year, below `state=<state>` if there is a state; the year stays in the rows too.
 
-    Rows are written where they are. `compact` first rebalances by year, which joins small files
-    and splits big years over several tasks, at the price of a shuffle.
+    Only the folders that get rows are replaced, so a rerun of one year or state leaves the others. Rows are first
+    rebalanced by year, which joins small files and splits big years over several tasks; without `compact` they are
+    written where they are, which saves the shuffle and may write a file for each task and year.
     """
+    folders = [*(["state"] if "state" in out.columns else []), "file_year"]
     tagged = out.withColumn("file_year", F.col("Crash_Year"))
     if compact:
-        tagged = tagged.hint("rebalance", "file_year")
-    writer = tagged.write.mode("overwrite").partitionBy("file_year").option("maxRecordsPerFile", max_records_per_file)
+        tagged = tagged.hint("rebalance", *folders)
+    writer = (tagged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*folders)
+              .option("maxRecordsPerFile", max_records_per_file))
     if fmt == "csv":
-        writer.option("header", True).csv(path)
+        writer.options(header=True, escape='"').csv(path)
     else:
         writer.format(fmt).save(path)
 
 
-def read_yearly(spark: SparkSession, path: str, schema=None) -> DataFrame:
-    """All years with the folder's year as `file_year`; a filter on it prunes folders."""
+def typed_output(rows: DataFrame) -> DataFrame:
+    """Columns of the output with their types, from text; what does not fit is null. Other columns stay as they are."""
+    return rows.withColumns({c: F.col(c).try_cast("double").try_cast(t) if t in ("int", "bigint") else F.col(c).try_cast(t)
+                             for c, t in OUTPUT_SCHEMA.items() if c in rows.columns and dict(rows.dtypes)[c] != t})
+
+
+def read_yearly(spark: SparkSession, path: str, schema=None, fmt: str = "parquet", merge_schema: bool = False) -> DataFrame:
+    """All years with the folder's year as `file_year`; with parquet a filter on it prunes folders.
+
+    CSV files are read each by its own header and typed. `merge_schema` is for parquet years with different columns.
+    """
+    if fmt == "csv":
+        rows = read_csv_text(spark, [f"{d}/*" for d in _year_folders(spark, path)], file_column="_file")
+        rows = rows.withColumn("file_year", F.regexp_extract("_file", YEAR_FOLDER, 1).try_cast("int"))
+        state = F.regexp_extract("_file", r"state=([^/]+)/", 1)
+        if not rows.filter(state != "").isEmpty():
+            rows = rows.withColumn("state", state)
+        return typed_output(rows.drop("_file"))
     reader = spark.read if schema is None else spark.read.schema(schema)
-    return reader.parquet(path)
+    return reader.option("mergeSchema", merge_schema).parquet(path)
+
+
+def _year_folders(spark: SparkSession, path: str) -> list[str]:
+    files = spark.read.option("recursiveFileLookup", True).text(path).inputFiles()
+    return sorted({f.rpartition("/")[0] for f in files if re.search(YEAR_FOLDER, f)})
 
 
 def read_yearly_csv(spark: SparkSession, folder: str) -> DataFrame:
-    """Files named `Cleaned_Data_<year>.csv`; final exports and other names are left out."""
-    pattern = r"Cleaned_Data_(\d+)\.csv$"
-    files = spark.read.option("header", True).option("pathGlobFilter", "Cleaned_Data_*.csv").csv(folder)
-    year = F.regexp_extract(F.col("_metadata.file_name"), pattern, 1)
-    return files.withColumn("file_year", year.try_cast("int")).filter(F.col("file_year").isNotNull())
+    """Files named `Cleaned_Data_<year>.csv`, each read by its own header and typed; other names are left out."""
+    rows = read_csv_text(spark, _year_files(spark, folder), file_column="_file")
+    return typed_output(rows.withColumn("file_year", F.regexp_extract("_file", YEAR_FILE, 1).try_cast("int")).drop("_file"))
+
+
+def _year_files(spark: SparkSession, folder: str) -> list[str]:
+    files = spark.read.option("pathGlobFilter", "Cleaned_Data_*.csv").text(folder).inputFiles()
+    return [f for f in files if re.search(YEAR_FILE, f)]
+
+
+def yearly_columns(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
+    """`file_year`, `column`: what each year's own header or footer holds; one file of each folder is opened.
+
+    `fmt` is "parquet" or "csv" for folders of `write_yearly`, "files" for files `Cleaned_Data_<year>.csv`.
+    """
+    found: list[tuple[int, str]] = []
+    if fmt == "files":
+        for f in _year_files(spark, path):
+            found += [(int(re.search(YEAR_FILE, f)[1]), c) for c in read_csv_text(spark, f).columns]
+    else:
+        for d in _year_folders(spark, path):
+            columns = spark.read.parquet(d).columns if fmt == "parquet" else read_csv_text(spark, f"{d}/*").columns
+            found += [(int(re.search(YEAR_FOLDER, d)[1]), c) for c in columns]
+    return spark.createDataFrame(sorted(set(found)), "file_year long, column string")
 
 
 def write_validation(results: DataFrame, path: str) -> DataFrame:
     """Write the result rows and return the pass and fail totals."""
-    results.select("status", "validation", "passed", "msg").write.mode("overwrite").option("header", True).csv(path)
+    results.select("status", "validation", "passed", "msg").write.mode("overwrite").options(header=True, escape='"').csv(path)
     return totals(results)
+
+
+def read_validation(spark: SparkSession, path: str) -> DataFrame:
+    """The written result rows, typed."""
+    return read_csv_text(spark, f"{path}/*.csv").withColumn("passed", F.col("passed").try_cast("boolean"))

@@ -7,6 +7,7 @@ sides of a comparison.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from meshroad.config import BBox, StateConfig, TEXAS_VMT
 
@@ -102,3 +103,38 @@ HEADER_WORDS = (
 def header_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = HEADER_NAMES_SQL.replace("{words}", HEADER_WORDS)
     return spark.sql(text, part=table(spark, sf_dir, "part"), customer=table(spark, sf_dir, "customer"))
+
+
+def crashes_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The crashes, those with an even ZIP code twice: full duplicates, as the original files have them."""
+    raw = crashes_raw(spark, sf_dir)
+    return raw.union(raw.filter("cast(ZIP_Code as bigint) % 2 = 0"))
+
+
+NOTE_SQL = """concat('said "no, ', cast({id} % 7 as string), '" twice, then ""', cast({id} % 3 as string), '""')"""
+
+
+def crashes_with_notes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return crashes_raw(spark, sf_dir).selectExpr("*", f"{NOTE_SQL.format(id='Crash_ID')} as note")
+
+
+def write_csv_text(rows: DataFrame, path: str, preamble: list[str] | None = None) -> None:
+    """Rows as CSV lines; with a preamble, each file begins with its lines, and the header is the caller's last one."""
+    fields = [F.concat(F.lit('"'), F.replace(F.col(f"`{c}`").cast("string"), F.lit('"'), F.lit('""')), F.lit('"')) for c in rows.columns]
+    line = F.concat_ws(",", *[F.coalesce(f, F.lit("")) for f in fields])
+    head = preamble or [",".join(rows.columns)]
+    # The low 33 bits of the id count the rows of a partition, which is one file.
+    first = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)) == 0
+    with_head = F.when(first, F.array(*map(F.lit, head), line)).otherwise(F.array(line))
+    rows.select(F.explode(with_head).alias("value")).write.text(path)
+
+
+def geojson_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One feature per row: every tile twice, in the second copy of the tiles with even codes with a hole in its lower left part."""
+    ring = "array(array(x0, y0), array(x1, y0), array(x1, ym), array(xm, ym), array(xm, y1), array(x0, y1), array(x0, y0))"
+    hole = "array(array(x0 + 0.05D, y0 + 0.05D), array(x0 + 0.05D, y0 + 0.1D), array(x0 + 0.1D, y0 + 0.1D), array(x0 + 0.1D, y0 + 0.05D), array(x0 + 0.05D, y0 + 0.05D))"
+    tiles = zip_tiles(spark, sf_dir)
+    feature = ("to_json(named_struct('type', 'Feature', 'properties', named_struct('ZCTA5CE10', zip), "
+               "'geometry', named_struct('type', 'Polygon', 'coordinates', {rings})))")
+    return tiles.selectExpr(feature.format(rings=f"array({ring})") + " as value").union(
+        tiles.selectExpr(f"if(n_nationkey % 2 = 0, {feature.format(rings=f'array({ring}, {hole})')}, {feature.format(rings=f'array({ring})')}) as value"))
