@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from meshroad.session import materialize
 
 _POLYGON = "array<array<array<double>>>"
+# Geometry types that enclose no area.
+_NO_AREA = ("Point", "MultiPoint", "LineString", "MultiLineString")
 
 
 def parse_coordinates(geometry_type: Column, coordinates: Column) -> Column:
@@ -66,12 +68,12 @@ def read_zip_polygons(
 ) -> DataFrame:
     """Polygons with ZIP codes; coordinates are longitude, latitude in WGS 84, as the format prescribes.
 
-    A feature without a readable polygon would lose the crashes in it, so it fails the job (`unreadable="fail"`)
-    unless it is to be left out (`"drop"`).
+    Points and lines hold no crash and are left out. Any other feature without a readable polygon would lose the
+    crashes in it, so it fails the job (`unreadable="fail"`) unless it is to be left out (`"drop"`).
     """
     features = read_features(spark, path, zip_attribute, line_delimited)
     if unreadable == "fail":
-        bad = unreadable_features(features).collect()
+        bad = unreadable_features(features.filter(~F.coalesce(F.col("geometry_type").isin(*_NO_AREA), F.lit(False)))).collect()
         if bad:
             raise ValueError(f"features without a readable polygon: {[r.asDict() for r in bad]}")
     # The parts of a collection are one multipolygon.
