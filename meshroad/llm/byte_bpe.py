@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from meshroad.llm.common import field, with_columns_from
+from meshroad.llm.common import field, release, with_columns_from
 
 CACHE_PIECES = 300_000
 LONG_PIECE = 64
@@ -113,17 +113,21 @@ def default_vocabulary() -> tuple[str, str]:
 
 
 def encode(df: DataFrame, text: str = "text", *, path: str | None = None, pattern: str | None = None,
-           spans: bool = False, keep: list[str] | None = None) -> DataFrame:
+           spans: bool = False, decoded: bool = False, keep: list[str] | None = None) -> DataFrame:
     """Add `token_ids` (packed little-endian unsigned 32-bit integers, as token shards hold them) and `n_tokens`.
 
-    With `spans`, also `byte_end`, `char_start` and `char_end`, one entry for each token.
+    With `spans`, also `byte_end`, `char_start` and `char_end`, one entry for each token. With `decoded`, also the bytes
+    that `decode` would give, made of the ids in the same Python worker instead of in a second one beside it.
     """
     added = [field("token_ids", T.BinaryType()), field("n_tokens", T.LongType())]
     if spans:
         added += [field(n, T.ArrayType(T.LongType())) for n in ("byte_end", "char_start", "char_end")]
+    if decoded:
+        added.append(field("decoded", T.BinaryType()))
 
     def make():
         codec = Codec(path or default_vocabulary()[0], pattern or default_vocabulary()[1])
+        release()  # what reading the vocabulary took
 
         def work(columns):
             texts = [t or "" for t in columns[0].to_pylist()]
@@ -132,6 +136,8 @@ def encode(df: DataFrame, text: str = "text", *, path: str | None = None, patter
             if spans:
                 found = [codec.spans(t, i) for t, i in zip(texts, ids)]
                 out += [[f[k].tolist() for f in found] for k in range(3)]
+            if decoded:
+                out.append(pa.array([codec.decode(i) for i in ids], pa.binary()))
             return out
 
         return work

@@ -28,7 +28,7 @@ def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFra
     return df.select(*columns) if columns else df
 
 
-def _release() -> None:
+def release() -> None:
     """Give memory back to the system: a Python worker stays for the tasks of later stages."""
     gc.collect()
     pa.default_memory_pool().release_unused()
@@ -44,7 +44,7 @@ def tidy(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
     @functools.wraps(run)
     def tidied(batches):
         yield from run(batches)
-        _release()
+        release()
 
     return tidied
 

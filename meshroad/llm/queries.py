@@ -41,8 +41,7 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ids = byte_bpe.encode(table(spark, sf_dir, "documents", "doc_id", "text"), keep=["doc_id"])
-    back = byte_bpe.decode(ids)
+    back = byte_bpe.encode(table(spark, sf_dir, "documents", "doc_id", "text"), decoded=True, keep=["doc_id"])
     return back.select("doc_id", "n_tokens", F.sha2("token_ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 

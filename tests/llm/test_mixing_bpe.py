@@ -85,6 +85,12 @@ def test_ids_equal_the_plain_library_and_decode_to_the_text(spark, edge_docs, pl
             assert r.byte_end[-1] == len(text.encode()) and r.char_start[0] == 0 and r.char_end[-1] == len(text)
 
 
+def test_decoding_beside_encoding_is_decoding(spark, edge_docs):
+    rows = byte_bpe.decode(byte_bpe.encode(clashing(edge_docs), decoded=True).withColumnRenamed("decoded", "beside")).collect()
+    assert len(rows) == edge_docs.count()
+    assert all(bytes(r.beside) == bytes(r.decoded) == (r.text or "").encode() for r in rows)
+
+
 def test_split_characters(spark):
     codec = byte_bpe.Codec(*byte_bpe.default_vocabulary())
     text = "x\U0001f9ff"  # more tokens than characters
