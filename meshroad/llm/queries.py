@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meshroad.llm import byte_bpe, cotraining, html_text, language, lm_score, merkle, mixing, shingle_join, toxicity, vector_dedup
+from meshroad.llm import byte_bpe, collocations, conversations, cotraining, html_text, language, lm_score, merkle, mixing, pii, shingle_join, toxicity, vector_dedup
 from meshroad.llm.common import remainder, table
 
 
@@ -59,6 +59,18 @@ def op10_vector_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_dedup.dedup(table(spark, sf_dir, "embeddings", "vec_id", "embedding", "label"))
 
 
+def op11_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations.report(conversations.damage(table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text")))
+
+
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.mine(table(spark, sf_dir, "documents", "text", "lang"))
+
+
+def op13_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.report(pii.find(table(spark, sf_dir, "documents", "doc_id", "text"), keep=["doc_id"]))
+
+
 QUERIES = {
     "op1_mixing": op1_mixing,
     "op2_lm_score": op2_lm_score,
@@ -70,6 +82,9 @@ QUERIES = {
     "op8_quality": op8_quality,
     "op9_ngram_join": op9_ngram_join,
     "op10_vector_dedup": op10_vector_dedup,
+    "op11_conversations": op11_conversations,
+    "op12_collocations": op12_collocations,
+    "op13_pii": op13_pii,
 }
 
 ORACLE = {
