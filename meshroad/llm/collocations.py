@@ -44,8 +44,8 @@ UNKNOWN = "und"
 BITS_A_KEY, LEAST_BITS, MOST_BITS = 64, 20, 28
 # Bytes of text that a task reads together, keys that it sorts together, and words that it remembers.
 GATHER_BYTES = 2_000_000
-SORT_KEYS = 4_000_000
-REMEMBER = 300_000
+SORT_KEYS = 2_000_000
+REMEMBER = 200_000
 SEGMENT = 15  # a bit map is put together in segments of 2^15 bits
 
 BREAK = b"\xff"  # no byte of UTF-8
@@ -204,7 +204,7 @@ def phrase_counts(docs: DataFrame, frequent, linked) -> DataFrame:
 
     def run(batches):
         known = {}
-        for lang, tokens in _by_language(batches, 4 * GATHER_BYTES):
+        for lang, tokens in _by_language(batches, 2 * GATHER_BYTES):
             words = known.setdefault(lang, _Words(lang, frequent.value))
             made, counts = phrases(words, tokens)
             if sum(map(len, known.values())) > REMEMBER:
@@ -263,7 +263,7 @@ def count_streams(docs: DataFrame, least: int = LEAST) -> tuple[DataFrame, DataF
     linked = _bit_map(spark, pair_counts(docs, frequent).filter(F.col("f") >= least), "frequent-pairs")
     phrases = phrase_counts(docs, frequent, linked).filter(F.col("f") >= least)
     stream = often.unionByName(phrases).select("lang", F.split("phrase", " ").alias("words"), "f")
-    return totals, stream
+    return totals, materialize(stream, "frequent-phrases")
 
 
 def _joined(words: str) -> Column:
