@@ -159,11 +159,42 @@ def test_co_training_teaches_one_view_by_the_other():
     a, b = (np.stack([y * 1.5 + rng.normal(size=2000) * s, np.ones(2000)], axis=1).astype(np.float32) for s in (0.5, 1.0))
     labels = np.where(np.arange(2000) < 40, y, -1)
     model = cotraining.co_train([a, b], labels, y.mean())
-    assert model.rounds and sum(model.rounds[0]) > 0
+    assert cotraining._teach([a, b], labels, np.arange(40), list(range(40, 2000)), y.mean(), {0: 1.0, 1: 1.0}, 5)[1][0] > (0, 0)
     _, _, both = model.probabilities(a, b)
     assert ((both > 0.5) == (y == 1))[40:].mean() > 0.9
 
 
+@pytest.mark.parametrize("seed", [1, 2, 3, 4, 5])
+def test_rounds_do_not_hurt(seed):
+    rng = np.random.default_rng(seed)
+    y = rng.integers(0, 2, 2000)
+    views = [np.stack([y * 1.5 + rng.normal(size=2000) * s, np.ones(2000)], axis=1).astype(np.float32) for s in (0.5, 1.0)]
+    labels = np.where(np.arange(2000) < 40, y, -1)
+    right = []
+    for rounds in (0, 5):
+        model = cotraining.co_train(views, labels, y.mean(), rounds)
+        a, b, both = model.probabilities(*views)
+        right.append(((both > 0.5) == (y == 1))[40:].mean())
+        assert model.calibrated == [True, True]
+        # The combination: both views' odds, the prior counted once.
+        prior, for_1, for_0 = y.mean(), a * b / y.mean(), (1 - a) * (1 - b) / (1 - y.mean())
+        assert prior == model.prior and both == pytest.approx(for_1 / (for_1 + for_0), abs=1e-4)
+    assert right[1] >= right[0] - 0.02
+
+
+def test_calibration_settles_at_the_least_loss():
+    rng = np.random.default_rng(0)
+    for n in (10, 40, 400):
+        z = rng.normal(size=n) * 18
+        y = (rng.random(n) < 1 / (1 + np.exp(-(0.3 * z + 1)))).astype(float)
+        slope, shift, settled = cotraining.platt(z, y, np.ones(n))
+        loss = lambda s, t: (np.logaddexp(0, s * z + t) - y * (s * z + t)).sum() + 0.5 * (s - 1) ** 2 + 0.0005 * t * t  # noqa: B023, E731
+        grid = min(loss(s, t) for s in np.linspace(0, 3, 301) for t in np.linspace(-8, 8, 321))
+        assert settled and loss(slope, shift) <= grid + 1e-3
+    assert cotraining.platt(np.array([3.0, -3.0]), np.array([0.0, 1.0]), np.ones(2))[2] in (True, False)
+    assert cotraining.platt(np.array([9.0, -9.0] * 50), np.array([0.0, 1.0] * 50), np.ones(100)) == (1.0, 0.0, False)
+
+
 def test_quality_of_edge_rows(spark, edge_docs, no_docs):
     rows = [(i, "good clean sentences about things." if i % 2 else "!!! ### $$$ junk", "en", "s") for i in range(60)]
     docs, labels = documents(spark, rows), spark.createDataFrame([(i, i % 2) for i in range(60)] + [(None, 1), (5, None)], "doc_id long, quality int")
