@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from meshroad.llm.common import BROADCAST_ROWS, materialize, tidy
+from meshroad.llm.common import BROADCAST_ROWS, in_arrow, materialize
 
 LEAST = 100
 LONGEST = 5
@@ -151,7 +151,7 @@ def word_counts(docs: DataFrame) -> DataFrame:
         for lang in list(held):
             yield rows(lang)
 
-    return docs.mapInArrow(tidy(run), "lang string, phrase string, f long").groupBy("lang", "phrase").agg(F.sum("f").alias("f"))
+    return in_arrow(docs, run, "lang string, phrase string, f long").groupBy("lang", "phrase").agg(F.sum("f").alias("f"))
 
 
 def pair_counts(docs: DataFrame, frequent) -> DataFrame:
@@ -178,7 +178,7 @@ def pair_counts(docs: DataFrame, frequent) -> DataFrame:
         if size:
             yield rows()
 
-    return docs.mapInArrow(tidy(run), "h long, f long").groupBy("h").agg(F.sum("f").alias("f"))
+    return in_arrow(docs, run, "h long, f long").groupBy("h").agg(F.sum("f").alias("f"))
 
 
 def phrase_counts(docs: DataFrame, frequent, linked) -> DataFrame:
@@ -212,7 +212,7 @@ def phrase_counts(docs: DataFrame, frequent, linked) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array([lang] * len(made), pa.binary()).cast(pa.string()), pa.array(made, pa.binary()).cast(pa.string()),
                                               pa.array(counts.astype(np.int64))], schema=schema)
 
-    return docs.mapInArrow(tidy(run), "lang string, phrase string, f long").groupBy("lang", "phrase").agg(F.sum("f").alias("f"))
+    return in_arrow(docs, run, "lang string, phrase string, f long").groupBy("lang", "phrase").agg(F.sum("f").alias("f"))
 
 
 def _bit_map(spark: SparkSession, hashes: DataFrame, name: str):
@@ -224,7 +224,7 @@ def _bit_map(spark: SparkSession, hashes: DataFrame, name: str):
     # A segment is a set of 2^15 places at most, so neither a group nor what the driver gets is larger than the map.
     bits = np.zeros(1 << (size - 3), dtype=np.uint8)
     sets = parts.groupBy("segment").agg(F.collect_set("place").alias("places"))
-    made = sets.mapInArrow(tidy(_packed_segments), "segment long, bits binary")
+    made = in_arrow(sets, _packed_segments, "segment long, bits binary")
     for row in made.collect():
         start = row["segment"] << (SEGMENT - 3)
         bits[start:start + (1 << (SEGMENT - 3))] = np.frombuffer(row["bits"], dtype=np.uint8)
@@ -250,7 +250,7 @@ def _hash_words(words: DataFrame) -> DataFrame:
                     zip(batch.column(0).cast(pa.binary()).to_pylist(), batch.column(1).cast(pa.binary()).to_pylist())]
             yield pa.RecordBatch.from_arrays([pa.array(np.array(keys, dtype=np.uint64).view(np.int64))], names=["h"])
 
-    return words.select("lang", "phrase").mapInArrow(tidy(run), "h long")
+    return in_arrow(words.select("lang", "phrase"), run, "h long")
 
 
 def count_streams(docs: DataFrame, least: int = LEAST) -> tuple[DataFrame, DataFrame]:

@@ -18,6 +18,7 @@ from meshroad.session import materialize  # noqa: F401  (shared by the operators
 BROADCAST_ROWS = 1_000_000
 # Rows that Python objects are made of at a time; Arrow batches may hold many more.
 ROWS_AT_ONCE = 1_000
+BATCH_SETTING, DEFAULT_BATCH_BYTES, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", "67108864b", "8m"
 # Words are runs of anything but the six ASCII white-space characters.
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -49,6 +50,22 @@ def tidy(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
     return tidied
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Bound what Spark hands to Python at a time by `BATCH_BYTES`, unless the session has a bound of its own.
+
+    Spark's default bound of 64 MB is held several times over for each task: as vectors outside the heap, as the worker's
+    copy and as its objects.
+    """
+    if spark.conf.get(BATCH_SETTING) == DEFAULT_BATCH_BYTES:
+        spark.conf.set(BATCH_SETTING, BATCH_BYTES)
+
+
+def in_arrow(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str | T.StructType) -> DataFrame:
+    """`mapInArrow` in small batches for a function of all batches of a task."""
+    small_batches(df.sparkSession)
+    return df.mapInArrow(tidy(run), schema)
+
+
 def map_arrow(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], Iterable[pa.RecordBatch] | pa.RecordBatch]],
               schema: str | T.StructType) -> DataFrame:
     """`mapInArrow` for a function of one batch; `make` builds it once for each task."""

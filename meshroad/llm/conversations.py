@@ -40,7 +40,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from meshroad.llm.common import BROADCAST_ROWS, materialize, tidy
+from meshroad.llm.common import BROADCAST_ROWS, in_arrow, materialize
 
 BLOCK_ROWS = 4_096
 BLOCK_CHARS = 256 * 1024
@@ -357,7 +357,7 @@ def _arrow(schema: T.StructType) -> pa.Schema:
 def blocks(rows: DataFrame) -> DataFrame:
     """Conversations in blocks, ordered by (`part`, `no`) within each; one with no rows has an empty block."""
     schema = _schema(rows.schema["conv_id"].dataType, BLOCK)
-    return sorted_rows(rows).mapInArrow(tidy(_cut(_arrow(schema))), schema)
+    return in_arrow(sorted_rows(rows), _cut(_arrow(schema)), schema)
 
 
 def _in_grammars(rows: list[dict], sequence_of) -> Iterator[tuple[dict, Grammar | None, int]]:
@@ -417,7 +417,7 @@ def _per_batch(df: DataFrame, make, schema: T.StructType, at_once: int = 1_000)
                 made = list(make(batch.slice(at, at_once).to_pylist()))
                 yield pa.RecordBatch.from_pylist(made, schema=out)
 
-    return df.mapInArrow(tidy(run), schema)
+    return in_arrow(df, run, schema)
 
 
 def _leaf_nodes(several: DataFrame) -> DataFrame:
@@ -550,7 +550,8 @@ def _digests(parts: DataFrame) -> DataFrame:
             yield row()
 
     made = parts.select("conv_id", "part", "no", "audit", "cost", F.expr(LINES).alias("lines"), (F.size("repaired") > 0).alias("has"))
-    return made.repartition("conv_id").sortWithinPartitions("conv_id", "part", "no").select("conv_id", "audit", "cost", "lines", "has").mapInArrow(tidy(run), schema)
+    ordered = made.repartition("conv_id").sortWithinPartitions("conv_id", "part", "no").select("conv_id", "audit", "cost", "lines", "has")
+    return in_arrow(ordered, run, schema)
 
 
 def repair(rows: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame | None]:

@@ -54,3 +54,16 @@ def test_toxicity_of_an_empty_document_lets_it_stay(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").union(documents(spark, [(10 ** 9, None, None, None)]))
     assert corpus_pipeline.toxic_removed(spark, docs, sf_dir).filter("doc_id = 1000000000").count() == 1
     assert toxicity.THRESHOLD == 0.3
+
+
+def test_run_on_empty_tables_and_without_labels(spark, edge_docs, no_docs, tmp_path):
+    labels = spark.createDataFrame([], "doc_id long, toxic int, quality int")
+    for name, docs in (("empty", no_docs), ("unmarked", edge_docs)):
+        docs.write.parquet(f"{tmp_path}/{name}/documents.parquet")
+        labels.write.parquet(f"{tmp_path}/{name}/labels.parquet")
+    assert corpus_pipeline.run(spark, f"{tmp_path}/empty").columns == ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
+    assert corpus_pipeline.run(spark, f"{tmp_path}/empty").count() == 0
+    kept = corpus_pipeline.toxic_removed(spark, edge_docs, f"{tmp_path}/unmarked")
+    assert kept.count() == edge_docs.count()
+    unknown = edge_docs.withColumn("lang", edge_docs.lang.substr(99, 1)).selectExpr("doc_id", "text", "nullif(lang, '') lang", "source", "n_chars")
+    assert corpus_pipeline.language_known(spark, unknown, str(tmp_path)).count() == 0
