@@ -18,7 +18,8 @@ from meshroad.session import materialize  # noqa: F401  (shared by the operators
 BROADCAST_ROWS = 1_000_000
 # Rows that Python objects are made of at a time; Arrow batches may hold many more.
 ROWS_AT_ONCE = 1_000
-BATCH_SETTING, DEFAULT_BATCH_BYTES, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", "67108864b", "8m"
+# Settings that hold many whole texts in memory at a time: Spark's own value, and the one used here.
+BATCHES = {"spark.sql.execution.arrow.maxBytesPerBatch": ("67108864b", "2m"), "spark.sql.parquet.columnarReaderBatchSize": ("4096", "512")}
 # Words are runs of anything but the six ASCII white-space characters.
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -51,13 +52,14 @@ def tidy(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
 
 
 def small_batches(spark: SparkSession) -> None:
-    """Bound what Spark hands to Python at a time by `BATCH_BYTES`, unless the session has a bound of its own.
+    """Read and hand texts to Python in smaller batches, unless the session has sizes of its own.
 
-    Spark's default bound of 64 MB is held several times over for each task: as vectors outside the heap, as the worker's
-    copy and as its objects.
+    A batch is held several times over for each task: as columns on the heap, as vectors outside it, as the worker's copy and
+    as its objects. Spark's own bounds are 4,096 rows read and 64 MB handed over, whatever the length of the texts.
     """
-    if spark.conf.get(BATCH_SETTING) == DEFAULT_BATCH_BYTES:
-        spark.conf.set(BATCH_SETTING, BATCH_BYTES)
+    for setting, (own, small) in BATCHES.items():
+        if spark.conf.get(setting) == own:
+            spark.conf.set(setting, small)
 
 
 def in_arrow(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str | T.StructType) -> DataFrame:
