@@ -5,7 +5,9 @@ Quotes follow RFC 4180: a doubled quote inside a quoted field is one quote.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,9 +15,11 @@ from pyspark.sql import functions as F
 from meshroad.config import StateConfig
 from meshroad.operators.clean import rename_columns
 from meshroad.operators.joins import union_all
+from meshroad.session import BROADCAST_BYTES, materialize
 
-_OVERFLOW = "_overflow"
 CSV_OPTIONS = {"escape": '"', "mode": "PERMISSIVE"}
+# Upper bound of one row of the table of files (a path and a few numbers), in bytes.
+FILE_ROW_BYTES = 1024
 
 
 def read_csv_text(
@@ -29,74 +33,130 @@ def read_csv_text(
     repeated one gets its place as a suffix. A short line has nulls at its end. A line with too many fields keeps
     the first ones (`bad_lines="null"`) or is dropped (`"drop"`).
 
-    `multi_line` lets quoted fields hold line breaks. A file is then read by one task, and cannot have a preamble. `file_column` names a column for the path of each row's file.
+    The number of jobs does not depend on the number of files: the headers come from one pass over the lines, and files of
+    one header are read together. `multi_line` lets quoted fields hold line breaks. A file is then read by one task, and
+    cannot have a preamble. `file_column` names a column for the path of each row's file.
     """
     if preamble_lines and multi_line:
         raise ValueError("a file with a preamble is read line by line, so its fields cannot hold line breaks")
-    groups: dict[tuple[str, ...], list[str]] = {}
-    for file in sorted(spark.read.option("recursiveFileLookup", True).text(path).inputFiles()):  # folder names are no columns
-        groups.setdefault(_file_header(spark, file, preamble_lines), []).append(file)
+    heads = headers(spark, path, preamble_lines)
+    lines = _different(heads)
+    if not lines:
+        raise ValueError(f"no header in {path}")
+    names_of = dict(zip(lines, _header_names(spark, lines)))
+    groups = list(dict.fromkeys(names_of.values()))
+    if preamble_lines:
+        return _read_lines(spark, path, heads, names_of, groups, preamble_lines, bad_lines, file_column)
+    files_of: dict[tuple[str, ...], list[str]] = {}
+    for r in heads.select("file", "header").collect():  # paths, as in the listing that any reader keeps
+        files_of.setdefault(names_of[r.header], []).append(r.file)
     parts = []
-    for names, files in groups.items():
-        if not names:  # no header, so nothing to read
-            continue
-        schema = _text_schema(names)
-        if preamble_lines:
-            rows = _lines_after(spark, files, preamble_lines + 1).select(
-                F.from_csv("value", schema, CSV_OPTIONS).alias("r"), "_file").select("r.*", *([F.col("_file").alias(file_column)] if file_column else []))
-        else:
-            rows = spark.read.schema(schema).options(header=True, enforceSchema=True, multiLine=multi_line, **CSV_OPTIONS).csv(files)
-            if file_column:
-                rows = rows.select("*", F.col("_metadata.file_path").alias(file_column))
+    for names in groups:
+        schema, overflow = _text_schema(names)
+        rows = spark.read.schema(schema).options(header=True, enforceSchema=True, multiLine=multi_line, **CSV_OPTIONS).csv(
+            [plain_path(f) for f in sorted(files_of[names])])
+        if file_column:
+            rows = rows.select("*", F.col("_metadata.file_path").alias(file_column))
         if bad_lines == "drop":
-            rows = rows.filter(F.col(_OVERFLOW).isNull())
-        parts.append(rows.drop(_OVERFLOW))
-    if not parts:
-        raise ValueError(f"no header in {path}")
+            rows = rows.filter(F.col(f"`{overflow}`").isNull())
+        parts.append(rows.drop(overflow))
     return union_all(parts)
 
 
-def _file_header(spark: SparkSession, file: str, preamble_lines: int) -> tuple[str, ...]:
-    """Column names of one file; only its beginning is read."""
-    head = [r.value for r in spark.read.text(file).limit(preamble_lines + 1).collect()]
-    return tuple(_header_names(spark, head[-1])) if len(head) > preamble_lines else ()
+def plain_path(uri: str) -> str:
+    """A listed file's name as a path to read: a listing writes it as a URI, a reader takes it as a pattern."""
+    return re.sub(r"([\[\]{}*?\\])", r"\\\1", unquote(uri))
+
+
+def _different(heads: DataFrame) -> list[str]:
+    """The different header lines, by their first file; each becomes a part of the plan."""
+    found = heads.groupBy("header").agg(F.min("file").alias("file")).collect()
+    return [r.header for r in sorted(found, key=lambda r: (r.file, r.header))]
+
 
+def _read_lines(spark: SparkSession, path, heads: DataFrame, names_of: dict, groups: list, preamble_lines: int, bad_lines: str,
+                file_column: str | None) -> DataFrame:
+    """Lines behind the headers, each parsed by the header of its file, in one pass over all files."""
+    numbered = spark.createDataFrame([(line, groups.index(names)) for line, names in names_of.items()], "header string, _group int")
+    starts = heads.join(F.broadcast(numbered), "header").select(F.col("file").alias("_file"), "first", "_group")  # one row for each part of the plan
+    small = heads.count() * FILE_ROW_BYTES <= BROADCAST_BYTES
+    rows = _lines(spark, path).join(F.broadcast(starts) if small else starts.hint("shuffle_merge"), "_file").filter(
+        ~F.col("_front") | (F.col("_line") > F.col("first") + preamble_lines)).filter("trim(value) <> ''")
+    schemas = [_text_schema(names) for names in groups]
+    rows = rows.select("_file", *[F.when(F.col("_group") == k, F.from_csv("value", schema, CSV_OPTIONS)).alias(f"r{k}") for k, (schema, _) in enumerate(schemas)])
+    if bad_lines == "drop":
+        for k, (_, overflow) in enumerate(schemas):
+            rows = rows.filter(F.col(f"r{k}.`{overflow}`").isNull())
+    columns: dict[str, list] = {}
+    for k, names in enumerate(groups):
+        for n in names:
+            columns.setdefault(n, []).append(F.col("r{}.`{}`".format(k, n.replace("`", "``"))))
+    out = [F.coalesce(*found).alias(n) for n, found in columns.items()]
+    return rows.select(*out, *([F.col("_file").alias(file_column)] if file_column else []))
 
-def _lines_after(spark: SparkSession, files: list[str], skip: int) -> DataFrame:
-    """Lines of the files but for the first `skip` of each.
 
-    Lines are numbered in the order in which a task reads them, and the number of a file's first line is found in
-    a pass of its own over the text. Both passes cut the files in the same way.
+def _lines(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
+    """All lines with their file, whether they are in its first split, and a number that grows within each split.
+
+    Every pass over the same files cuts them in the same way, so the numbers are the same in each.
     """
-    lines = spark.read.text(files).select(
+    return spark.read.option("recursiveFileLookup", True).text(path).select(  # folder names are no columns
         "value", F.col("_metadata.file_path").alias("_file"), (F.col("_metadata.file_block_start") == 0).alias("_front"),
         F.monotonically_increasing_id().alias("_line"))
-    first = lines.filter("_front").groupBy("_file").agg(F.min("_line").alias("_first"))
-    # One row for each file.
-    return lines.join(F.broadcast(first), "_file").filter(
-        ~F.col("_front") | (F.col("_line") >= F.col("_first") + skip)).filter("trim(value) <> ''").select("value", "_file")
+
+
+def headers(spark: SparkSession, path: str | Sequence[str], preamble_lines: int = 0) -> DataFrame:
+    """`file`, `first` (the number of its first line) and `header` (its header line) of each file that has one.
+
+    A file's first line is a minimum over its first split, which combines within the tasks; with a preamble, a second pass
+    takes the line that stands that far behind it.
+    """
+    front = _lines(spark, path).filter("_front")
+    if not preamble_lines:
+        first = front.groupBy(F.col("_file").alias("file")).agg(F.min(F.struct("_line", "value")).alias("h"))
+        return materialize(first.select("file", F.col("h._line").alias("first"), F.col("h.value").alias("header")), "csv-headers")
+    first = materialize(front.groupBy("_file").agg(F.min("_line").alias("first")), "csv-first-lines")
+    small = first.count() * FILE_ROW_BYTES <= BROADCAST_BYTES
+    found = front.join(F.broadcast(first) if small else first.hint("shuffle_merge"), "_file").filter(F.col("_line") == F.col("first") + preamble_lines)
+    return materialize(found.select(F.col("_file").alias("file"), "first", F.col("value").alias("header")), "csv-headers")
+
+
+def file_columns(spark: SparkSession, path: str | Sequence[str], preamble_lines: int = 0) -> DataFrame:
+    """`file`, `names`: the header names of each file, in the order of the file; no other line is parsed."""
+    heads = headers(spark, path, preamble_lines)
+    lines = _different(heads)
+    named = spark.createDataFrame([(line, list(names)) for line, names in zip(lines, _header_names(spark, lines))], "header string, names array<string>")
+    return heads.join(named, "header").select("file", "names")
 
 
 def csv_columns(spark: SparkSession, path: str, preamble_lines: int = 0) -> DataFrame:
-    """Header names with their positions, the input of name matching; no data is read."""
-    names = read_csv_text(spark, path, preamble_lines=preamble_lines).columns
-    return spark.createDataFrame(list(enumerate(names)), "position int, name string").select("name", "position")
-
-
-def _header_names(spark: SparkSession, line: str) -> list[str]:
-    n = line.count(",") + 1
-    schema = ", ".join(f"c{i} string" for i in range(n))
-    row = spark.range(1).select(F.from_csv(F.lit(line), schema, CSV_OPTIONS).alias("r")).select("r.*").first()
-    fields = [v.strip() if v is not None else "" for v in row]
-    while fields and not fields[-1] and n > 1:  # commas inside quotes made room for more names than there are
-        if _fields_in(line) >= len(fields):
-            break
+    """Header names with their positions, the input of name matching; no data line is parsed.
+
+    With several headers a name has its first position in any of them, in the order of the files.
+    """
+    placed = file_columns(spark, path, preamble_lines).select("file", F.posexplode("names").alias("position", "name"))
+    return placed.groupBy("name").agg(F.min("position").alias("position"))
+
+
+def _header_names(spark: SparkSession, lines: Sequence[str]) -> list[tuple[str, ...]]:
+    """Column names of header lines, all parsed in one job."""
+    if not lines:
+        return []
+    most = max(line.count(",") for line in lines) + 1
+    schema = ", ".join(f"c{i} string" for i in range(most))
+    rows = spark.createDataFrame(list(enumerate(lines)), "place int, line string").select("place", F.from_csv("line", schema, CSV_OPTIONS).alias("r")).collect()
+    return [_names([r.r[i] for i in range(most)], lines[r.place]) for r in sorted(rows)]
+
+
+def _names(values: Sequence[str | None], line: str) -> tuple[str, ...]:
+    fields = [v.strip() if v is not None else "" for v in values[:line.count(",") + 1]]
+    while len(fields) > max(1, _fields_in(line)) and not fields[-1]:  # commas inside quotes made room for more names than there are
         fields.pop()
     names: list[str] = []
     for i, name in enumerate(fields):
         name = name or f"_c{i}"
         names.append(name if name.lower() not in {x.lower() for x in names} else f"{name}_{i}")
-    return names
+    return tuple(names)
 
 
 def _fields_in(line: str) -> int:
@@ -104,10 +164,12 @@ def _fields_in(line: str) -> int:
     return 1 + sum(part.count(",") for part in line.split('"')[::2])
 
 
-def _text_schema(names: Sequence[str]) -> str:
-    # One column more than the header: it is filled only on lines with too many fields.
-    quoted = [n.replace("`", "``") for n in [*names, _OVERFLOW]]
-    return ", ".join(f"`{n}` string" for n in quoted)
+def _text_schema(names: Sequence[str]) -> tuple[str, str]:
+    """The schema of a header, and the name of its last column, which is filled only on lines with too many fields."""
+    overflow = "_overflow"
+    while overflow in {n.lower() for n in names}:
+        overflow += "_"
+    return ", ".join("`{}` string".format(n.replace("`", "``")) for n in [*names, overflow]), overflow
 
 
 def read_crashes(spark: SparkSession, path: str | Sequence[str], state: StateConfig, multi_line: bool = False) -> DataFrame:

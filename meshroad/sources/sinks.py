@@ -4,15 +4,16 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from meshroad.plans.enrich import OUTPUT_SCHEMA
 from meshroad.plans.validate import totals
-from meshroad.sources.csv import read_csv_text
+from meshroad.sources.csv import file_columns, plain_path, read_csv_text
 
 
 YEAR_FOLDER = r"file_year=(-?\d+)"
+STATE_FOLDER = r"state=([^/]+)/"
 YEAR_FILE = r"Cleaned_Data_(\d+)\.csv$"
 
 
@@ -49,11 +50,11 @@ def read_yearly(spark: SparkSession, path: str, schema=None, fmt: str = "parquet
     CSV files are read each by its own header and typed. `merge_schema` is for parquet years with different columns.
     """
     if fmt == "csv":
-        rows = read_csv_text(spark, [f"{d}/*" for d in _year_folders(spark, path)], file_column="_file")
+        folders = _year_folders(spark, path)
+        rows = read_csv_text(spark, [f"{d}/*" for d in folders], file_column="_file")
         rows = rows.withColumn("file_year", F.regexp_extract("_file", YEAR_FOLDER, 1).try_cast("int"))
-        state = F.regexp_extract("_file", r"state=([^/]+)/", 1)
-        if not rows.filter(state != "").isEmpty():
-            rows = rows.withColumn("state", state)
+        if any(re.search(STATE_FOLDER, f"{d}/") for d in folders):
+            rows = rows.withColumn("state", _folder_value("_file", STATE_FOLDER))
         return typed_output(rows.drop("_file"))
     reader = spark.read if schema is None else spark.read.schema(schema)
     return reader.option("mergeSchema", merge_schema).parquet(path)
@@ -61,7 +62,15 @@ def read_yearly(spark: SparkSession, path: str, schema=None, fmt: str = "parquet
 
 def _year_folders(spark: SparkSession, path: str) -> list[str]:
     files = spark.read.option("recursiveFileLookup", True).text(path).inputFiles()
-    return sorted({f.rpartition("/")[0] for f in files if re.search(YEAR_FOLDER, f)})
+    return sorted({plain_path(f.rpartition("/")[0]) for f in files if re.search(YEAR_FOLDER, f)})
+
+
+def _folder_value(file: str, pattern: str) -> Column:
+    """What the folder of a file says: written with its odd characters escaped, and escaped again in the file's URI."""
+    value = F.regexp_extract(file, pattern, 1)
+    for _ in range(2):
+        value = F.url_decode(F.replace(value, F.lit("+"), F.lit("%2B")))
+    return value
 
 
 def read_yearly_csv(spark: SparkSession, folder: str) -> DataFrame:
@@ -72,23 +81,20 @@ def read_yearly_csv(spark: SparkSession, folder: str) -> DataFrame:
 
 def _year_files(spark: SparkSession, folder: str) -> list[str]:
     files = spark.read.option("pathGlobFilter", "Cleaned_Data_*.csv").text(folder).inputFiles()
-    return [f for f in files if re.search(YEAR_FILE, f)]
+    return [plain_path(f) for f in files if re.search(YEAR_FILE, f)]
 
 
 def yearly_columns(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
-    """`file_year`, `column`: what each year's own header or footer holds; one file of each folder is opened.
+    """`file_year`, `column`: what each year's own headers or footer hold.
 
     `fmt` is "parquet" or "csv" for folders of `write_yearly`, "files" for files `Cleaned_Data_<year>.csv`.
     """
-    found: list[tuple[int, str]] = []
-    if fmt == "files":
-        for f in _year_files(spark, path):
-            found += [(int(re.search(YEAR_FILE, f)[1]), c) for c in read_csv_text(spark, f).columns]
-    else:
-        for d in _year_folders(spark, path):
-            columns = spark.read.parquet(d).columns if fmt == "parquet" else read_csv_text(spark, f"{d}/*").columns
-            found += [(int(re.search(YEAR_FOLDER, d)[1]), c) for c in columns]
-    return spark.createDataFrame(sorted(set(found)), "file_year long, column string")
+    if fmt == "parquet":
+        found = [(int(re.search(YEAR_FOLDER, d)[1]), c) for d in _year_folders(spark, path) for c in spark.read.parquet(d).columns]
+        return spark.createDataFrame(sorted(set(found)), "file_year long, column string")
+    files = file_columns(spark, _year_files(spark, path) if fmt == "files" else [f"{d}/*" for d in _year_folders(spark, path)])
+    year = F.regexp_extract("file", YEAR_FILE if fmt == "files" else YEAR_FOLDER, 1).cast("long")
+    return files.select(year.alias("file_year"), F.explode("names").alias("column")).distinct()
 
 
 def write_validation(results: DataFrame, path: str) -> DataFrame:

@@ -1,9 +1,12 @@
 import json
 
+import pytest
+
 from meshroad.config import BBox, INCIDENT_NAME_VARIANTS, STATION_NAME_VARIANTS, StateConfig, TEXAS, TEXAS_VMT
 from meshroad.operators.match import propose_names
 from meshroad.plans.enrich import OUTPUT_COLUMNS, enrich
-from meshroad.sources.csv import csv_columns, read_crashes, read_csv_text, read_stations
+from meshroad.sources import sinks
+from meshroad.sources.csv import csv_columns, file_columns, read_crashes, read_csv_text, read_stations
 from meshroad.sources.geojson import read_zip_polygons
 
 PREAMBLE = "State export\nmade on, 2024\n\nsee notes\n"
@@ -35,6 +38,78 @@ def test_preamble_and_bad_lines(spark, tmp_path):
     assert sorted(r.Crash_ID for r in read_csv_text(spark, str(f2), bad_lines="drop").select("Crash_ID").collect()) == ["1", "2", "4"]
 
 
+def text_rows(df):
+    return sorted(map(tuple, df.collect()), key=str)
+
+
+def jobs_of(spark, run):
+    spark.sparkContext.setJobGroup(name := f"counted-{run}", "counted")
+    made = run()
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    return len(spark.sparkContext.statusTracker().getJobIdsForGroup(name)), made
+
+
+def test_jobs_do_not_grow_with_the_files(spark, tmp_path):
+    counts = []
+    for n in (3, 2000):
+        folder = tmp_path / str(n)
+        folder.mkdir()
+        for i in range(n):
+            header = ("id,a", "a,id,b", " id ,a")[i % 3]
+            (folder / f"f {i:04d} [x]%2B.csv").write_text(f"{header}\n{i},x\n")
+        jobs, df = jobs_of(spark, lambda: read_csv_text(spark, str(folder)))  # noqa: B023
+        counts.append(jobs)
+        assert sorted(df.columns) == ["a", "b", "id"] and df.count() == n
+        assert df.filter("a = 'x'").count() == n - (n + 1) // 3
+    assert counts[1] <= counts[0] + 2  # Spark lists many paths in a job of its own
+
+
+def test_files_with_preambles_and_headers_of_their_own(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("made today\nid,note\nid,note\n1,made today\nmade today\n2,\"say \"\"hi\"\", then\"\n")
+    (tmp_path / "b.csv").write_text("other, preamble\nnote,id,more\nx,3,y\n\n")
+    (tmp_path / "c.csv").write_text("only a preamble\n")
+    (tmp_path / "d.csv").write_text("")
+    (tmp_path / "e.csv").write_text("p\nid,note\n")
+    got = read_csv_text(spark, str(tmp_path), preamble_lines=1, file_column="file").selectExpr("id", "note", "more", "right(file, 5) file")
+    assert text_rows(got) == sorted([("id", "note", None, "a.csv"), ("1", "made today", None, "a.csv"), ("made today", None, None, "a.csv"),
+                                     ("2", 'say "hi", then', None, "a.csv"), ("3", "x", "y", "b.csv")], key=str)
+    assert {r.file[-5:]: r.names for r in file_columns(spark, str(tmp_path), 1).collect()} == {
+        "a.csv": ["id", "note"], "b.csv": ["note", "id", "more"], "e.csv": ["id", "note"]}
+    with pytest.raises(ValueError, match="no header"):
+        read_csv_text(spark, str(tmp_path / "d.csv"))
+    with pytest.raises(ValueError, match="line breaks"):
+        read_csv_text(spark, str(tmp_path), preamble_lines=1, multi_line=True)
+
+
+def test_quoted_line_breaks_blank_and_repeated_names(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('id,,Id,_overflow,"a, b"\n1,2,3,4,"first\nsecond ""x"""\n5,6,7,8,9,10\n11\n')
+    got = read_csv_text(spark, str(tmp_path / "a.csv"), multi_line=True)
+    assert got.columns == ["id", "_c1", "Id_2", "_overflow", "a, b"]
+    assert text_rows(got) == [("1", "2", "3", "4", 'first\nsecond "x"'), ("11", None, None, None, None), ("5", "6", "7", "8", "9")]
+    assert text_rows(read_csv_text(spark, str(tmp_path / "a.csv"), multi_line=True, bad_lines="drop"))[-1][0] == "11"
+    assert text_rows(csv_columns(spark, str(tmp_path / "a.csv"))) == [("Id_2", 2), ("_c1", 1), ("_overflow", 3), ("a, b", 4), ("id", 0)]
+
+
+def test_yearly_files_and_their_columns(spark, tmp_path):
+    for year, text in ((2020, "Crash_ID,Adt_Curnt_Amt\n1,5.0\n"), (2021, "Adt_Curnt_Amt,Crash_ID,Extra\nbad,2,z\n")):
+        (tmp_path / f"Cleaned_Data_{year}.csv").write_text(text)
+    (tmp_path / "Cleaned_Data_notes.csv").write_text("x\n1\n")
+    rows = sinks.read_yearly_csv(spark, str(tmp_path)).select("Crash_ID", "Adt_Curnt_Amt", "Extra", "file_year")
+    assert text_rows(rows.selectExpr("cast(Crash_ID as string) i", "Adt_Curnt_Amt", "Extra", "file_year")) == [("1", 5.0, None, 2020), ("2", None, "z", 2021)]
+    assert text_rows(sinks.yearly_columns(spark, str(tmp_path), "files")) == [
+        (2020, "Adt_Curnt_Amt"), (2020, "Crash_ID"), (2021, "Adt_Curnt_Amt"), (2021, "Crash_ID"), (2021, "Extra")]
+
+
+def test_only_the_years_and_states_that_are_written_change(spark, tmp_path):
+    rows = lambda *r: spark.createDataFrame(r, "state string, Crash_ID string, Crash_Year int")
+    for fmt in ("parquet", "csv"):
+        path = str(tmp_path / fmt)
+        sinks.write_yearly(rows(("TX", "1", 2020), ("TX", "2", 2021), ("N+ Y:%", "3", 2020)), path, fmt=fmt)
+        sinks.write_yearly(rows(("TX", "9", 2020)), path, fmt=fmt)
+        got = sinks.read_yearly(spark, path, fmt=fmt).selectExpr("state", "cast(Crash_ID as string) i", "file_year")
+        assert text_rows(got) == [("N+ Y:%", "3", 2020), ("TX", "2", 2021), ("TX", "9", 2020)]
+
+
 def test_geojson_both_layouts(spark, tmp_path):
     feats = [{"type": "Feature", "properties": {"ZCTA5CE10": "78701"}, "geometry": square(-98, 29, -97, 30)},
              {"type": "Feature", "properties": {"ZCTA5CE10": "78702"}, "geometry": {
