@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from meshroad.config import BBox, EARTH_RADIUS_MILES, FIRST_YEAR, LAST_YEAR, MAX_STATION_MILES
 from meshroad.functions.geo import chord, haversine_miles, num, unit_xyz
 from meshroad.operators.clean import first_per_key
-from meshroad.operators.grid import EPS_MILES, MAX_LEVEL, PARTS, SPLIT, CellIndex, Grid
+from meshroad.operators.grid import EPS_MILES, MAX_LEVEL, PARTS, SPLIT, WIDE_ENTRIES, CellIndex, Grid
 from meshroad.operators.joins import lookup_join, union_all
 from meshroad.session import BROADCAST_BYTES, materialize
 
@@ -29,6 +29,12 @@ MAX_CANDIDATES = 128
 SPLIT_ABOVE = 32
 # Upper bound of one station entry in the index, in bytes.
 ENTRY_BYTES = 128
+# Upper bound of one split cell in the index: each may be the only one in a bit map of 69 words.
+TREE_BYTES = 69 * 8 + 64
+# Levels that box cells and station cells go down together, at most.
+COARSE_LEVELS = 6
+# A cell of so many stations stays whole if its parts together have so many times its entries.
+STUCK_ABOVE, STUCK_GROWTH = 1024, 3
 # Distances are compared in steps of 1e-9 mile, so that rounding noise cannot break a tie.
 TIE_STEPS_PER_MILE = 1e9
 
@@ -76,9 +82,9 @@ def radius_index(
     if 9 * (crowd.n or 0) <= max_candidates:
         pairs = grid.explode_reach(spread(stations))
         leaves = _gather(pairs.withColumn("cell", F.expr(grid.cell("_row", "_col"))), [*by, "cell"])
-        return CellIndex(grid, leaves, (), by, (crowd.copies or 0) * ENTRY_BYTES <= broadcast_bytes)
+        return CellIndex(grid, leaves, None, 0, by, (crowd.copies or 0) * ENTRY_BYTES <= broadcast_bytes)
     pairs = grid.explode_reach(spread(_one_per_place(stations, by)))
-    return _refine(pairs, grid, by, radius_miles, crowd.copies, min(max_candidates, SPLIT_ABOVE), broadcast_bytes)
+    return _refine(pairs.selectExpr("*", "0 as _level"), grid, by, radius_miles, crowd.copies, min(max_candidates, SPLIT_ABOVE), broadcast_bytes)
 
 
 def unbounded_index(
@@ -92,30 +98,77 @@ def unbounded_index(
 ) -> CellIndex:
     """Index for "nearest station at any distance" of points inside `box`.
 
-    Starts from a few cells over the box, each with all stations as rows (never as one list), and
-    prunes and splits from there.
+    Two trees of cells go down together: cells of the box, and cells that hold stations, with their number and one station
+    of each. That station bounds a box cell's distance from above, so far cells of stations drop out before any of their
+    stations is paired. A box cell with few stations left is paired with them one by one.
     """
+    by = tuple(by)
     grid = Grid.of_size(max((box.lat_max - box.lat_min) / roots_per_side, 1e-3),
                         max((box.lon_max - box.lon_min) / roots_per_side, 1e-3))
-    bounds = (math.floor((box.lat_min + 90) / grid.height), math.floor((box.lat_max + 90) / grid.height),
-              math.floor((box.lon_min + 180) / grid.width), math.floor((box.lon_max + 180) / grid.width))
-    covered = _one_per_place(stations, by).selectExpr(
-        "*", *[f"{v}L as {c}" for c, v in zip(("_r0", "_r1", "_c0", "_c1"), bounds)])
-    roots = (bounds[1] - bounds[0] + 1) * (bounds[3] - bounds[2] + 1)
-    if by:
-        roots *= stations.select(*by).distinct().count()
-    return _refine(grid.explode_reach(covered), grid, tuple(by), None, roots, max_candidates, broadcast_bytes)
-
-
-def _mark_beaten(near: DataFrame, grid: Grid, level: int, keep: Sequence[str]) -> DataFrame:
+    bounds = {"_r0": math.floor((box.lat_min + 90) / grid.height), "_r1": math.floor((box.lat_max + 90) / grid.height),
+              "_c0": math.floor((box.lon_min + 180) / grid.width), "_c1": math.floor((box.lon_max + 180) / grid.width)}
+    places = materialize(_one_per_place(stations, by), "places")
+    depth = min(COARSE_LEVELS, max(0, math.ceil(math.log(max(1, places.count()) / max_candidates, SPLIT * SPLIT))))
+    pairs, splits = _descend(places, grid, by, bounds, depth, max_candidates, broadcast_bytes)
+    roots = (bounds["_r1"] - bounds["_r0"] + 1) * (bounds["_c1"] - bounds["_c0"] + 1)
+    return _refine(pairs, grid, by, None, roots * SPLIT ** (2 * depth), max_candidates, broadcast_bytes, splits)
+
+
+def _station_cells(places: DataFrame, grid: Grid, by: tuple[str, ...], depth: int) -> DataFrame:
+    """Cells of all levels down to `depth` that hold stations: level, row, column, number of stations, one of them."""
+    levels = f"explode(sequence(0, {depth})) as _l"
+    cells = places.selectExpr(*by, "struct(station_lat as lat, station_lon as lon) as one", levels).selectExpr(
+        *by, "_l", f"{grid.row('one.lat', '_l')} as _sr", f"{grid.wrap(grid.col('one.lon', '_l'), '_l')} as _sc", "one")
+    return materialize(cells.groupBy(*by, "_l", "_sr", "_sc").agg(F.count(F.lit(1)).alias("n"), F.min("one").alias("one")), "station-tree")
+
+
+def _descend(places: DataFrame, grid: Grid, by: tuple[str, ...], bounds: dict[str, int], depth: int, max_candidates: int, broadcast_bytes: int
+             ) -> tuple[DataFrame, list[DataFrame]]:
+    """(box cell, station) pairs that may be nearest ones, box cells of several levels, and the box cells that were split."""
+    tree = _station_cells(places, grid, by, depth)
+    keys, ready, splits = [*by, "_row", "_col"], [], []
+    here = [*keys, "_level", "_sr", "_sc", "n", "one"]
+    pairs = grid.explode_reach(tree.filter("_l = 0").selectExpr("*", *[f"{v}L as {c}" for c, v in bounds.items()])).withColumnRenamed("_l", "_level")
+    for level in range(depth + 1):
+        q, c = grid.center("_row", "_col", level), grid.center("_sr", "_sc", level)
+        scored = pairs.select(*here).selectExpr(
+            "*", f"{haversine_miles(*q, 'one.lat', 'one.lon')} as _one", f"{haversine_miles(*q, *c)} as _d",
+            f"{grid.half_diagonal_miles('_row', level)} as _h", f"{grid.half_diagonal_miles('_sr', level)} as _hs")
+        least = scored.groupBy(*keys).agg(F.min("_one").alias("_u"))
+        near = scored.join(least.hint("shuffle_merge"), keys).filter(f"_d - _hs <= _u + 2D * _h + {num(EPS_MILES)}")
+        kept = materialize(near.select(*here), "cell-pairs")
+        sizes = kept.groupBy(*keys).agg(F.sum("n").alias("_all"))
+        crowded = materialize(sizes.filter(F.col("_all") > 4 * max_candidates).select(*keys), "crowded") if level < depth else None
+        n_crowded = crowded.count() if crowded is not None else 0
+        if not n_crowded:
+            ready.append(kept)
+            break
+        marked = lookup_join(kept, crowded.withColumn("_crowded", F.lit(True)), keys, broadcastable=n_crowded * 64 <= broadcast_bytes)
+        ready.append(marked.filter("_crowded is null").drop("_crowded"))
+        splits.append(crowded.selectExpr(*by, f"{grid.cell('_row', '_col', level)} as cell"))
+        # Parts of the box cell, with the parts of the station cell that hold stations.
+        finer = tree.filter(f"_l = {level + 1}").selectExpr(
+            *by, "_sr as _fr", "_sc as _fc", "n as _fn", "one as _fone", f"_sr div {SPLIT} as _sr", f"_sc div {SPLIT} as _sc")
+        parts = marked.filter("_crowded").select(*keys, "_sr", "_sc").join(finer.hint("shuffle_merge"), [*by, "_sr", "_sc"])
+        pairs = parts.selectExpr(*by, "_row", "_col", "_fr", "_fc", "_fn", "_fone", f"explode({PARTS}) as _q").selectExpr(
+            *by, f"_row * {SPLIT} + _q.r as _row", f"_col * {SPLIT} + _q.c as _col", f"{level + 1} as _level",
+            "_fr as _sr", "_fc as _sc", "_fn as n", "_fone as one")
+    out = []
+    for level, cells in enumerate(ready):
+        at = places.selectExpr("*", f"{grid.row('station_lat', level)} as _sr", f"{grid.wrap(grid.col('station_lon', level), level)} as _sc")
+        out.append(at.join(cells.select(*keys, "_level", "_sr", "_sc").hint("shuffle_merge"), [*by, "_sr", "_sc"]).select(*places.columns, "_row", "_col", "_level"))
+    return union_all(out), splits
+
+
+def _mark_beaten(near: DataFrame, grid: Grid, keep: Sequence[str]) -> DataFrame:
     """Adds `_beaten`: the cell's `_closest._p` is nearer than `_p` to every point of the cell.
 
     p is nearer to a than to b where p . (a - b) > 0. That is linear in p, so the four corners
     decide, up to the little that a cell on the sphere bulges out of its corners' flat hull.
     Built in small steps, as one large expression would be too big for the JVM to compile.
     """
-    degrees = {"_s": grid.bottom("_row", level), "_n": grid.bottom("_row + 1", level),
-               "_w": grid.left("_col", level), "_e": grid.left("_col + 1", level)}
+    degrees = {"_s": grid.bottom("_row", "_level"), "_n": grid.bottom("_row + 1", "_level"),
+               "_w": grid.left("_col", "_level"), "_e": grid.left("_col + 1", "_level")}
     steps = near.selectExpr(
         *keep, "_h", *[f"_closest._p.{c} - _p.{c} as _{c}" for c in "xyz"], *[f"radians({v}) as {k}" for k, v in degrees.items()])
     steps = steps.selectExpr(
@@ -129,59 +182,88 @@ def _mark_beaten(near: DataFrame, grid: Grid, level: int, keep: Sequence[str]) -
 
 def _refine(
     pairs: DataFrame, grid: Grid, by: tuple[str, ...], radius: float | None, cells_bound: int,
-    max_candidates: int, broadcast_bytes: int,
+    max_candidates: int, broadcast_bytes: int, splits: Sequence[DataFrame] = (),
 ) -> CellIndex:
     """Prune (cell, station) pairs and split crowded cells until every list is short.
 
-    The loop runs on the driver, once per level; the pairs stay in tables in the shared folder.
-    `cells_bound` is an upper bound on the number of cells of the first level.
+    The pairs may be of cells of several levels (`_level`). The loop runs on the driver; the pairs stay in tables in the
+    shared folder. `cells_bound` is an upper bound on the number of cells at first, `splits` those split before. Cells whose
+    parts do not get shorter lists, and those of the last level that are still too long, get several rows.
     """
     keys = [*by, "cell"]
-    station_cols = [c for c in pairs.columns if c not in ("_row", "_col")]
-    leaves, splits, entries, n_split = [], [], 0, 0
-    for level in range(MAX_LEVEL + 1):
+    cell = ["_row", "_col", "_level"]
+    station_cols = [c for c in pairs.columns if c not in cell]
+    leaves, splits, wide, entries, n_wide = [], list(splits), [], 0, 0
+    before, n_before = None, 0  # rows of the cells that were split last
+    parent = grid.cell(f"(_row div {SPLIT})", f"(_col div {SPLIT})", "(_level - 1)")
+    while True:
         scored = pairs.selectExpr(
-            *station_cols, "_row", "_col", f"{grid.cell('_row', '_col', level)} as cell",
-            f"{haversine_miles(*grid.center('_row', '_col', level), 'station_lat', 'station_lon')} as _d",
-            f"{grid.half_diagonal_miles('_row', level)} as _h",
+            *station_cols, *cell, f"{grid.cell('_row', '_col', '_level')} as cell",
+            f"{haversine_miles(*grid.center('_row', '_col', '_level'), 'station_lat', 'station_lon')} as _d",
+            f"{grid.half_diagonal_miles('_row', '_level')} as _h",
             "struct({} as x, {} as y, {} as z) as _p".format(*unit_xyz("station_lat", "station_lon")))
         if radius is not None:
             scored = scored.filter(f"_d <= {num(radius)} + _h")
         closest = scored.groupBy(*keys).agg(F.min(F.struct("_d", "_p")).alias("_closest"))
         near = lookup_join(scored, closest, keys, broadcastable=cells_bound * 64 <= broadcast_bytes, how="inner").filter(
             f"_d <= _closest._d + 2D * _h + {num(EPS_MILES)}")
-        marked = _mark_beaten(near, grid, level, [*station_cols, "_row", "_col", "cell"])
-        kept = materialize(marked, "candidates").filter("not _beaten").drop("_beaten")
-        limit = max_candidates if level < MAX_LEVEL else 2**62
-        sizes = kept.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-        total = sizes.agg(F.sum("_n").alias("entries"), F.count_if(F.col("_n") > limit).alias("crowded")).first()
+        kept = materialize(_mark_beaten(near, grid, [*station_cols, *cell, "cell"]).filter("not _beaten").drop("_beaten"), "candidates")
+        if before is not None:
+            # Where the parts together have much more than the whole had, splitting does not shorten the lists fast enough
+            # (stations around a circle, seen from near its centre): the whole stays, in several rows.
+            sums = kept.selectExpr(*by, f"{parent} as cell").groupBy(*keys).agg(F.count(F.lit(1)).alias("_parts"))
+            full = before.select(*keys, "_n").filter(F.col("_n") >= STUCK_ABOVE).distinct()
+            stuck = materialize(full.join(sums.hint("shuffle_merge"), keys).filter(f"_parts > {STUCK_GROWTH} * _n").select(*keys), "stuck")
+            n_stuck = stuck.count()
+            if n_stuck:
+                small = dict(broadcastable=n_stuck * 64 <= broadcast_bytes)
+                wide.append(lookup_join(before, stuck, keys, how="left_semi", **small))
+                splits[-1] = lookup_join(splits[-1], stuck, keys, how="left_anti", **small)
+                parts = lookup_join(kept.withColumnRenamed("cell", "_cell").withColumn("cell", F.expr(parent)), stuck, keys, how="left_anti", **small)
+                kept = materialize(parts.drop("cell").withColumnRenamed("_cell", "cell"), "candidates")
+        sizes = kept.groupBy(*keys, "_level").agg(F.count(F.lit(1)).alias("_n"))
+        last = F.col("_level") >= MAX_LEVEL
+        total = sizes.agg(F.sum("_n").alias("entries"), F.count_if((F.col("_n") > max_candidates) & ~last).alias("crowded"),
+                          F.count_if((F.col("_n") > max_candidates) & last).alias("last")).first()
         entries += total.entries or 0  # an upper bound: entries of split cells count again below
-        if not total.crowded:
+        if not total.crowded and not total.last:
             leaves.append(kept)
             break
-        crowded = sizes.filter(F.col("_n") > limit).select(*keys)
-        marked = lookup_join(kept, crowded.withColumn("_crowded", F.lit(True)), keys,
-                             broadcastable=total.crowded * 64 <= broadcast_bytes)
-        leaves.append(marked.filter("_crowded is null").drop("_crowded"))
-        splits.append(crowded)
-        n_split += total.crowded
+        full = materialize(sizes.filter(F.col("_n") > max_candidates).select(*keys, "_n"), "crowded")
+        marked = lookup_join(kept, full, keys, broadcastable=(total.crowded + total.last) * 64 <= broadcast_bytes)
+        leaves.append(marked.filter("_n is null").drop("_n"))
+        if total.last:
+            wide.append(marked.filter(f"_n is not null and _level >= {MAX_LEVEL}"))
+        if not total.crowded:
+            break
+        splits.append(full.filter(f"cell % 16 < {MAX_LEVEL}").select(*keys))
         cells_bound = total.crowded * SPLIT * SPLIT
-        pairs = marked.filter("_crowded").selectExpr(*station_cols, "_row", "_col", f"explode({PARTS}) as _q").selectExpr(
-            *station_cols, f"_row * {SPLIT} + _q.r as _row", f"_col * {SPLIT} + _q.c as _col")
+        before = marked.filter(f"_n is not null and _level < {MAX_LEVEL}")
+        pairs = before.selectExpr(*station_cols, *cell, f"explode({PARTS}) as _q").selectExpr(
+            *station_cols, f"_row * {SPLIT} + _q.r as _row", f"_col * {SPLIT} + _q.c as _col", "_level + 1 as _level")
+    several = None
+    if wide:
+        part = f"cast(pmod(xxhash64(station_id, station_lat, station_lon), ceil(_n / {WIDE_ENTRIES})) as int) as _part"
+        several = materialize(_gather(union_all(wide).selectExpr("*", part), [*keys, "_part"]).drop("_part"), "wide-cells")
+        n_wide = several.agg(F.sum(F.size("stations"))).first()[0] or 0
     table = _gather(union_all(leaves), keys)
-    if splits:
-        table = materialize(table, "station-cells")
-    return CellIndex(grid, table, tuple(splits), by, entries * ENTRY_BYTES <= broadcast_bytes, n_split * 64 <= broadcast_bytes)
+    fits = entries * ENTRY_BYTES <= broadcast_bytes
+    if not splits:
+        return CellIndex(grid, table, None, 0, by, fits, wide=several, wide_broadcastable=n_wide * ENTRY_BYTES <= broadcast_bytes)
+    found = materialize(union_all(splits).withColumn("_level", F.expr("cell % 16")), "split-cells")
+    size = found.agg(F.count(F.lit(1)).alias("n"), F.max("_level").alias("deepest")).first()
+    return CellIndex(grid, materialize(table, "station-cells"), found.drop("_level"), 0 if size.deepest is None else size.deepest + 1, by, fits,
+                     size.n * TREE_BYTES <= broadcast_bytes, several, n_wide * ENTRY_BYTES <= broadcast_bytes)
 
 
 def _best_station(points: DataFrame, index: CellIndex, lat: str, lon: str) -> DataFrame:
     """Adds `_best`, the nearest station's entry (ties by id), and `_miles`, its distance."""
     plain = [f"`{c}`" for c in points.columns]
     x, y, z = unit_xyz(f"`{lat}`", f"`{lon}`")
-    found = index.attach(points, lat, lon).selectExpr(*plain, "stations", f"{x} as _x", f"{y} as _y", f"{z} as _z")
     steps = f"floor({chord(('s.x', 's.y', 's.z'), ('_x', '_y', '_z'))} * {num(EARTH_RADIUS_MILES * TIE_STEPS_PER_MILE)} + 0.5D)"
-    ranked = f"transform(stations, s -> struct({steps} as steps, s.id as id, s as s))"
-    return found.selectExpr(*plain, f"array_min({ranked}) as _ranked").selectExpr(*plain, "_ranked.s as _best").selectExpr(
+    ranked = f"array_min(transform(stations, s -> struct({steps} as steps, s.id as id, s as s)))"
+    found = index.attach(points, f"`{lat}`", f"`{lon}`", ranked, "min(_value)", [f"{x} as _x", f"{y} as _y", f"{z} as _z"])
+    return found.selectExpr(*plain, "_value.s as _best").selectExpr(
         *plain, "_best", f"{haversine_miles(f'`{lat}`', f'`{lon}`', '_best.lat', '_best.lon')} as _miles")
 
 

@@ -14,12 +14,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from meshroad.functions.geo import num
-from meshroad.operators.grid import EPS_DEGREES, MAX_LEVEL, PARTS, SPLIT, CellIndex, Grid
+from meshroad.operators.grid import EPS_DEGREES, MAX_LEVEL, PARTS, SPLIT, WIDE_ENTRIES, CellIndex, Grid
 from meshroad.operators.joins import lookup_join, union_all
+from meshroad.operators.nearest import TREE_BYTES
 from meshroad.session import BROADCAST_BYTES, materialize
 
 MAX_EDGES = 64
-EDGE_BYTES = 64
+# Upper bound of what an edge, or a polygon in a cell without edges, takes in the index as it is broadcast, in bytes.
+EDGE_BYTES = 256
 
 
 def polygon_edges(polygons: DataFrame, by: Sequence[str] = ()) -> DataFrame:
@@ -136,12 +138,15 @@ def _children(cells: DataFrame, grid: Grid, by: Sequence[str], level: int) -> Da
     ).selectExpr(*own, "_row", "_col", _KEEP)
 
 
-def _gather(cells: DataFrame, by: Sequence[str]) -> DataFrame:
+def _per_polygon(cells: DataFrame, by: Sequence[str]) -> DataFrame:
+    """One row per cell and polygon: its corner bit and its edges in the cell, at most those of its own input row."""
     keys = [*by, "cell", "right", "top"]
-    per_polygon = cells.groupBy(*keys, "polygon_id", "zip").agg(
-        (F.sum("flips") % 2).cast("int").alias("corner"), F.collect_list("edge").alias("edges"))
-    return per_polygon.filter("corner > 0 or size(edges) > 0").groupBy(*keys).agg(
-        F.collect_list(F.struct("polygon_id", "zip", "corner", "edges")).alias("polygons"))
+    return cells.groupBy(*keys, "polygon_id", "zip").agg(
+        (F.sum("flips") % 2).cast("int").alias("corner"), F.collect_list("edge").alias("edges")).filter("corner > 0 or size(edges) > 0")
+
+
+def _gather(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+    return rows.groupBy(*keys).agg(F.collect_list(F.struct("polygon_id", "zip", "corner", "edges")).alias("polygons"))
 
 
 def polygon_index(
@@ -161,28 +166,39 @@ def polygon_index(
                                 f"{grid.left('_col + 1', level)} as right", f"{grid.bottom('_row + 1', level)} as top")
 
     cells = keyed(_first_level(polygon_edges(polygons, by), grid, by), 0)
-    leaves, splits, entries, n_split = [], [], 0, 0
-    for level in range(MAX_LEVEL + 1):
-        sizes = cells.groupBy(*keys).agg(F.count("edge").alias("_n"), F.count(F.lit(1)).alias("_rows"))
-        total = sizes.agg(F.max("_n").alias("n"), F.sum("_rows").alias("rows")).first()
-        entries += total.rows or 0
-        if (total.n or 0) <= max_edges or level == MAX_LEVEL:
+    leaves, splits, n_split, level = [], [], 0, 0
+    while True:
+        cells = materialize(cells, "polygon-edges")
+        crowded = cells.groupBy(*keys).agg(F.count("edge").alias("_n")).filter(F.col("_n") > max_edges).select(*keys)
+        crowded = materialize(crowded, "crowded") if level < MAX_LEVEL else None
+        n_crowded = crowded.count() if crowded is not None else 0
+        if not n_crowded:
             leaves.append(cells)
             break
-        cells = materialize(cells, "polygon-edges")
-        crowded = materialize(
-            cells.groupBy(*keys).agg(F.count("edge").alias("_n")).filter(F.col("_n") > max_edges).select(*keys), "crowded")
-        n_crowded = crowded.count()
         n_split += n_crowded
         marked = lookup_join(cells, crowded.withColumn("_crowded", F.lit(True)), keys,
                              broadcastable=n_crowded * 64 <= broadcast_bytes)
         leaves.append(marked.filter(F.col("_crowded").isNull()).drop("_crowded"))
         splits.append(crowded)
         cells = keyed(_children(marked.filter(F.col("_crowded")), grid, by, level), level + 1)
-    table = _gather(union_all(leaves), by)
-    if splits:
-        table = materialize(table, "polygon-cells")
-    return CellIndex(grid, table, tuple(splits), by, entries * EDGE_BYTES <= broadcast_bytes, n_split * 64 <= broadcast_bytes)
+        level += 1
+    # Cells with too much for one row, by edges or by polygons that cover them whole: several rows, by polygon.
+    rows = materialize(_per_polygon(union_all(leaves), by), "cell-polygons")
+    weight = F.lit(1) + F.size("edges")
+    sizes = rows.groupBy(*keys).agg(F.sum(weight).alias("_all"))
+    total = sizes.agg(F.sum("_all").alias("entries"), F.count_if(F.col("_all") > WIDE_ENTRIES).alias("wide")).first()
+    small = lambda n: n * EDGE_BYTES <= broadcast_bytes
+    own, wide, wide_entries = [*keys, "right", "top"], None, 0
+    if total.wide:
+        full = materialize(sizes.filter(F.col("_all") > WIDE_ENTRIES), "wide")
+        marked = lookup_join(rows, full, keys, broadcastable=small(total.wide))
+        part = F.pmod(F.xxhash64("polygon_id"), F.ceil(F.col("_all") / (WIDE_ENTRIES // 2))).alias("_part")
+        wide = _gather(marked.filter("_all is not null").select("*", part), [*own, "_part"]).drop("_part")
+        wide, wide_entries = materialize(wide, "wide-cells"), full.agg(F.sum("_all")).first()[0]
+        rows = marked.filter("_all is null").drop("_all")
+    table = materialize(_gather(rows, own), "polygon-cells")
+    found = union_all(splits) if splits else None
+    return CellIndex(grid, table, found, level, by, small(total.entries or 0), n_split * TREE_BYTES <= broadcast_bytes, wide, small(wide_entries))
 
 
 def containing_zips(points: DataFrame, index: CellIndex, lat: str = "Latitude", lon: str = "Longitude") -> DataFrame:
@@ -192,8 +208,8 @@ def containing_zips(points: DataFrame, index: CellIndex, lat: str = "Latitude",
     inside = f"({turns} % 2 = 1 and not exists(g.edges, e -> {_touches('e', x, y)}))"
     # Most points lie in cells without edges, where the corner bit answers alone.
     hits = f"filter(polygons, g -> if(size(g.edges) = 0, g.corner = 1, {inside}))"
-    return index.attach(points, lat, lon).selectExpr(
-        *[f"`{c}`" for c in points.columns], f"transform({hits}, g -> g.zip) as zips")
+    return index.attach(points, y, x, f"transform({hits}, g -> g.zip)", "flatten(collect_list(_value))").selectExpr(
+        *[f"`{c}`" for c in points.columns], "_value as zips")
 
 
 def assign_zip(

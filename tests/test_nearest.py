@@ -169,3 +169,76 @@ def test_best_history(spark):
     for bytes_ in (nearest.BROADCAST_BYTES, 0):
         got = {r.Crash_ID: (r.Station_Count, r.Station_Year, r.year_gap) for r in nearest.best_history(m, rec, broadcast_bytes=bytes_).collect()}
         assert got == want
+
+
+def test_the_way_down_several_levels_takes_one_join(spark):
+    stations = cloud(400, 20, (30.0, 30.0002), (-98.0, -97.9998)) + cloud(40, 21, (30.0, 30.01), (-98.0, -97.99))
+    points = cloud(200, 22, (30.0, 30.0003), (-98.0, -97.9997)) + cloud(30, 23, (29.98, 30.02), (-98.02, -97.98))
+    p, s = frames(spark, points, stations)
+    for how, join in ((dict(), "BroadcastHashJoin"), (dict(broadcast_bytes=0), "SortMergeJoin")):
+        index = radius_index(s, max_candidates=8, **how)
+        assert 3 <= index.depth <= 8
+        found = nearest_within(p, index)
+        plan = found._jdf.queryExecution().optimizedPlan().toString()
+        # One join for each four levels, and one with the leaves (the work before a shuffle join is written first).
+        assert plan.count("Join ") <= 1 + -(-index.depth // 4), plan
+        assert join in found._jdf.queryExecution().executedPlan().toString()
+        check(found, points, stations, cap=1.0)
+
+
+def test_split_trees_hold_every_split_cell(spark):
+    from meshroad.operators.grid import Grid, split_trees
+
+    grid, rnd = Grid.of_size(0.5, 0.5), random.Random(3)
+    splits = {(level, rnd.randrange(3 * 4**level), rnd.randrange(3 * 4**level)) for level in range(4) for _ in range(40)}
+    cells = spark.createDataFrame([(int(eval_cell(grid, *x)),) for x in splits], "cell long")  # noqa: S307
+    trees = {r.cell: r.tree for r in split_trees(grid, cells, (), 0, 4).collect()}
+    assert all(len(t) == 69 for t in trees.values())
+    found = set()
+    for level in range(4):
+        side = 4**level
+        for row in range(3 * side):
+            for col in range(3 * side):
+                place = (side * side - 1) // 15 + row % side * side + col % side
+                tree = trees.get(int(eval_cell(grid, 0, row // side, col // side)))
+                if tree and tree[place // 64] >> (place % 64) & 1:
+                    found.add((level, row, col))
+    assert found == splits
+
+
+def eval_cell(grid, level, row, col):
+    return (row * grid.columns * 4**level + col) * 16 + level
+
+
+@pytest.mark.parametrize("how", [dict(), dict(broadcast_bytes=0)], ids=["plain", "shuffle"])
+def test_a_cell_that_cannot_be_split_has_several_rows(spark, how):
+    # Stations on a circle: near its centre all of them are nearest somewhere in each small cell.
+    n, center = 4_000, (10.0, 20.0)
+    s = spark.range(n).selectExpr(
+        "concat('s', lpad(id, 6, '0')) station_id", f"{center[0]} + 0.005 * sin(2 * pi() * id / {n}) station_lat",
+        f"{center[1]} + 0.005 * cos(2 * pi() * id / {n}) / cos(radians({center[0]})) station_lon", "1D Station_Count", "2000L Station_Year")
+    points = [center, (center[0] + 1e-7, center[1]), (center[0], center[1] + 2e-7), center, (10.004, 20.0), (11.0, 20.0)]
+    p, _ = frames(spark, points, [(0, 0)])
+    index = radius_index(s, max_abs_lat=10, max_candidates=32, **how)
+    assert index.wide is not None
+    assert index.leaves.selectExpr("max(size(stations)) as n").first().n <= 32
+    assert index.wide.selectExpr("max(size(stations)) as n").first().n <= 2 * 1024
+    rows = {r.station_id: (r.station_lat, r.station_lon) for r in s.collect()}
+    ids = sorted(rows)
+    places = np.array([rows[i] for i in ids])
+    got = {r.Crash_ID: r for r in nearest_within(p, index).collect()}
+    for i, (a, o) in enumerate(points):
+        d = miles(a, o, places[:, 0], places[:, 1])
+        if d.min() > 1:
+            assert got[i].Nearest_Station_LocationId is None
+        else:
+            assert got[i].Distance_Miles == pytest.approx(d.min(), abs=2e-9)
+            assert d[ids.index(got[i].Nearest_Station_LocationId)] == pytest.approx(d.min(), abs=2e-9)
+
+
+def test_two_trees_pair_few_stations(spark):
+    stations = cloud(5000, 30)
+    _, s = frames(spark, [(30, -98)], stations)
+    index = unbounded_index(s, BBox(29, 31, -99, -97))
+    entries = index.leaves.selectExpr("sum(size(stations)) as n", "max(size(stations)) as longest").first()
+    assert entries.longest <= nearest.SPLIT_ABOVE and entries.n <= 8 * len(stations)

@@ -104,3 +104,22 @@ def test_split_cells_have_few_edges(spark):
     assert index.splits
     worst = index.leaves.selectExpr("max(aggregate(polygons, 0, (n, g) -> n + size(g.edges))) as n").first().n
     assert worst <= 16
+
+
+def test_many_polygons_over_one_cell(spark):
+    # All polygons cover the points' cell whole, and one has a border through it.
+    n, rnd = 1_100, random.Random(4)
+    spread = lambda: rnd.uniform(0.5, 3)
+    boxes = [(-spread(), -spread(), spread(), spread()) for _ in range(n)] + [(-0.01, 0.01, 0.01, 0.03)]
+    polygons = polys(spark, [(str(i), poly([(a, b), (c, b), (c, d), (a, d)])) for i, (a, b, c, d) in enumerate(boxes)])
+    p = points(spark, [(0, 0.02), (0, 0), (40, 45), (0, 0)])
+    for how in (dict(), dict(broadcast_bytes=0)):
+        index = polygon_index(polygons, cell_degrees=0.5, **how)
+        assert index.wide is not None and index.wide.selectExpr("max(size(polygons)) n").first().n <= 1024
+        assert index.leaves.selectExpr("max(size(polygons)) n").first().n <= 1024
+        got = {}
+        for r in assign_zip(p, index).collect():
+            got.setdefault(r.Crash_ID, []).append(r.ZIP_Code)
+        assert {i: sorted(z) for i, z in got.items()} == {0: list(range(n + 1)), 1: list(range(n)), 3: list(range(n))}
+        least = assign_zip(p, index, overlaps="smallest", keep_outside=True).collect()
+        assert {r.Crash_ID: r.ZIP_Code for r in least} == {0: 0, 1: 0, 2: None, 3: 0}
