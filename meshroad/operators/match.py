@@ -1,4 +1,4 @@
-"""Propose which of a table's names stands for each canonical name, by spelling."""
+"""Match names by spelling: a table's names to a few canonical ones, and the names of one table to those of another."""
 
 from __future__ import annotations
 
@@ -8,6 +8,11 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from meshroad.operators.joins import lookup_join
+from meshroad.session import BROADCAST_BYTES, materialize
+
+# Length of the pieces that names are cut into.
+GRAM = 3
 
 def _plain(word: str) -> str:
     return re.sub("[^A-Za-z0-9]", "", word).lower()
@@ -42,3 +47,52 @@ def propose_names(
     return best.selectExpr(
         "canonical", "best.name as actual", "best.score as score",
         "case when best.score = 100 then 'exact' when best.score >= 95 then 'fuzzy' else 'check' end as tag")
+
+
+def _grams(names: DataFrame, kept: str) -> DataFrame:
+    """The pieces of each name (`plain`), the ends filled up; an equal piece counts as another one with its number."""
+    filled = f"concat('{'^' * (GRAM - 1)}', plain, '{'$' * (GRAM - 1)}')"
+    pieces = names.selectExpr("plain", f"explode(transform(sequence(1, length(plain) + {GRAM - 1}), i -> substr({filled}, i, {GRAM}))) as piece")
+    numbered = pieces.groupBy("plain", "piece").agg(F.count(F.lit(1)).cast("int").alias("n"))
+    return numbered.selectExpr("plain", "explode(transform(sequence(1, n), i -> concat(piece, i))) as gram").withColumnRenamed("plain", kept)
+
+
+def match_names(left: DataFrame, right: DataFrame, *, name: str = "name", least: int = 80, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """For every different name of `left` its best name of `right`: `name`, `match`, `score` (null below `least`).
+
+    The score is 100 * (1 - edit distance / longer length), rounded down, on lower-cased letters and digits; ties go to the
+    smaller name. An empty or null name matches nothing.
+
+    Names at most k edits apart share all but 3k of the longer one's pieces of three letters. So with the pieces of each name
+    in one order, rare ones first, a pair shares a piece among the first ones of either name; only these are joined, as lists
+    of names by piece. Pairs that pass the length and count filters are compared in full. `least` must be above 67, as the
+    filters need names that share something.
+    """
+    if not 67 < least <= 100:
+        raise ValueError("least must be above 67 and at most 100")
+    plain = "lower(regexp_replace({0}, '[^A-Za-z0-9]', ''))"
+    sides = [materialize(df.selectExpr(f"`{name}` as name", f"{plain.format(f'`{name}`')} as plain").groupBy("plain").agg(
+        F.min("name").alias("name")).filter("plain <> ''"), side) for df, side in ((left, "left-names"), (right, "right-names"))]
+    # How often a piece occurs on the right decides the order.
+    found = materialize(_grams(sides[1], "plain"), "right-grams")
+    common = materialize(found.groupBy("gram").agg(F.count(F.lit(1)).alias("names")), "gram-counts")
+    small = common.count() * 64 <= broadcast_bytes
+    # Of the longer name's L + 2 pieces at least L + 2 - 3k are shared, k <= L * (1 - least / 100), and L is at least the own length.
+    share = 1 - GRAM * (100 - least) / 100
+    first = f"size(l) - cast(ceil({share}D * length(plain) + {GRAM - 1} - 1e-9D) as int) + 1"
+
+    def prefixes(grams: DataFrame, kept: str) -> DataFrame:
+        placed = lookup_join(grams, common, ["gram"], broadcastable=small)
+        lists = placed.groupBy("plain").agg(F.sort_array(F.collect_list(F.struct(F.coalesce("names", F.lit(0)).alias("names"), "gram"))).alias("l"))
+        return lists.selectExpr(f"plain as {kept}", "size(l) as grams", f"explode(slice(l, 1, greatest({first}, 1))) as g").selectExpr(kept, "g.gram")
+
+    ours = prefixes(_grams(sides[0], "plain"), "_l")
+    theirs = prefixes(found, "_r")
+    longer, shorter = "greatest(length(_l), length(_r))", "least(length(_l), length(_r))"
+    most = f"cast(floor({longer} * {100 - least} / 100 + 1e-9D) as int)"  # edits that the score allows
+    pairs = ours.join(theirs.hint("merge"), "gram").filter(f"{longer} - {shorter} <= {most}").groupBy("_l", "_r").agg(F.count(F.lit(1)).alias("c"))
+    scored = pairs.selectExpr("_l", "_r", f"cast(floor(100D * ({longer} - levenshtein(_l, _r)) / {longer}) as int) as score").filter(F.col("score") >= least)
+    named = scored.join(sides[1].select(F.col("plain").alias("_r"), F.col("name").alias("match")).hint("merge"), "_r")
+    best = named.groupBy("_l").agg(F.min(F.struct((-F.col("score")).alias("s"), "match")).alias("b")).selectExpr("_l as plain", "b.match", "-b.s as score")
+    names = left.selectExpr(f"`{name}` as name").distinct().selectExpr("name", f"{plain.format('name')} as plain")
+    return names.join(best.hint("merge"), "plain", "left").select("name", "match", "score")

@@ -320,4 +320,13 @@ from (select Crash_Year, Adt_Curnt_Amt as v from output where Adt_Curnt_Amt is n
 join (values (1), (2)) as k(k) on k.k = 1 or t.n_nationkey % 2 = 1 or not (c.Longitude >= t.x0 + 0.05::double and c.Longitude <= t.x0 + 0.1::double
   and c.Latitude >= t.y0 + 0.05::double and c.Latitude <= t.y0 + 0.1::double)
 join (values (false), (true)) as b(by_line) on true"""),
+    "name_match": """with part_names as (select p_partkey as k, concat_ws(' ', p_name, p_brand, p_type) as name from part),
+misspelt as (select distinct case k % 3 when 0 then substr(name, 1, (k % length(name))::int) || substr(name, (k % length(name))::int + 2)
+  when 1 then replace(name, 'e', 'a') else upper(name) end as name from part_names),
+l as (select name, lower(regexp_replace(name, '[^A-Za-z0-9]', '', 'g')) as plain from misspelt),
+r as (select lower(regexp_replace(name, '[^A-Za-z0-9]', '', 'g')) as plain, min(name) as name from part_names group by 1),
+scored as (select l.name, r.name as other, floor(100::double * (greatest(length(l.plain), length(r.plain)) - levenshtein(l.plain, r.plain))
+  / greatest(length(l.plain), length(r.plain)))::int as score from l, r where l.plain <> '' and r.plain <> ''),
+best as (select *, row_number() over (partition by name order by score desc, other) as n from scored where score >= 80)
+select l.name, best.other as match, best.score from l left join best on best.name = l.name and best.n = 1""",
 }

@@ -298,6 +298,14 @@ def audit_examples(spark, d):
     return _round(validate.audit_examples(_misplaced(spark, d), clean_stations(spark, d)))
 
 
+def name_match(spark, d):
+    """Part names with a letter left out, and some with another one in place, matched to the right ones."""
+    part = spark.read.parquet(f"{d}/part.parquet").selectExpr("p_partkey as k", "concat_ws(' ', p_name, p_brand, p_type) as name")
+    misspelt = part.selectExpr("case k % 3 when 0 then concat(substr(name, 1, cast(k % length(name) as int)), substr(name, cast(k % length(name) as int) + 2)) "
+                               "when 1 then replace(name, 'e', 'a') else upper(name) end as name")
+    return match.match_names(misspelt, part)
+
+
 def zip_overlaps(spark, d):
     """Tiles, each a second time under the same code, and one with a hole, read from GeoJSON in both layouts."""
     document, lines = (new_table_path(spark, f"geojson-{k}") for k in ("document", "lines"))
@@ -319,6 +327,6 @@ QUERIES: dict[str, Query] = {
         zip_join, fuzzy_match, brute_force_audit, multi_state, enriched_output, write_readback, union_years, final_export,
         sample_filled, per_year_summary, missing_reasons, fill_totals, distance_stats, year_gap_dist, volume_range,
         hist_year_gap, hist_distance, hist_volume, distance_bins, distance_bins_right_closed, validation_report,
-        csv_crashes, csv_stations, validation_from_csv, audit_of_errors, audit_examples, zip_overlaps,
+        csv_crashes, csv_stations, validation_from_csv, audit_of_errors, audit_examples, zip_overlaps, name_match,
     )
 }

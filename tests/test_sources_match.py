@@ -3,7 +3,7 @@ import json
 import pytest
 
 from meshroad.config import BBox, INCIDENT_NAME_VARIANTS, STATION_NAME_VARIANTS, StateConfig, TEXAS, TEXAS_VMT
-from meshroad.operators.match import propose_names
+from meshroad.operators.match import match_names, propose_names
 from meshroad.plans.enrich import OUTPUT_COLUMNS, enrich
 from meshroad.sources import sinks
 from meshroad.sources.csv import csv_columns, file_columns, read_crashes, read_csv_text, read_stations
@@ -151,3 +151,43 @@ def test_name_proposals(spark, tmp_path):
     assert got == {"Crash_ID": ("CaseNumbr", 90, "check"), "Crash_Date": ("IncidentDate", 100, "exact"),
                    "Latitude": ("LAT", 100, "exact"), "Longitude": ("LNG", 100, "exact"), "ZIP_Code": ("Postal Code", 100, "exact")}
     assert {r.canonical for r in propose_names(names, STATION_NAME_VARIANTS).collect()} == set(STATION_NAME_VARIANTS)
+
+
+def test_names_of_two_tables(spark):
+    import random
+
+    def distance(a, b):
+        row = list(range(len(b) + 1))
+        for i, x in enumerate(a, 1):
+            before, row[0] = row[0], i
+            for j, y in enumerate(b, 1):
+                before, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, before + (x != y))
+        return row[-1]
+
+    rnd = random.Random(1)
+    right = ["".join(rnd.choice("abab ") for _ in range(rnd.randrange(1, 14))) for _ in range(60)] + ["aaaaaaaaaa", "Main Street", "main street", "", None, "--", "Market Street"]
+    left = []
+    for w in [w for w in right if w]:
+        cut, letter = rnd.randrange(len(w) + 1), rnd.choice("abxyz")
+        left += [w, w[:cut] + w[cut + 1:], w[:cut] + letter + w[cut:], w.upper()]
+    left += [None, "", "!!", "nothing alike"]
+    plain = lambda w: "".join(c for c in w.lower() if c.isascii() and c.isalnum())
+    for least in (68, 80, 100):
+        want = {}
+        for w in set(left):
+            best = None
+            for r in sorted({min(x for x in right if x and plain(x) == p) for p in {plain(x) for x in right if x} if p}):
+                if w and plain(w):
+                    n = max(len(plain(w)), len(plain(r)))
+                    score = 100 * (n - distance(plain(w), plain(r))) // n
+                    if score >= least and (best is None or score > best[1]):
+                        best = (r, score)
+            want[w] = best or (None, None)
+        for bytes_ in (1 << 20, 0):
+            df = match_names(spark.createDataFrame([(w,) for w in left], "name string"), spark.createDataFrame([(w,) for w in right], "name string"),
+                             least=least, broadcast_bytes=bytes_)
+            assert {r.name: (r.match, r.score) for r in df.collect()} == want
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        assert "Cross" not in plan and "SortMergeJoin" in df._jdf.queryExecution().executedPlan().toString()
+    with pytest.raises(ValueError, match="least"):
+        match_names(df, df, least=60)
