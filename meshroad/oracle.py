@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 from meshroad.config import INCIDENT_NAME_VARIANTS, REQUIRED_COLUMNS, STATION_NAME_VARIANTS, TEXAS_VMT
-from meshroad.sources.testdata import (CRASHES_SQL, HEADER_NAMES_SQL, HEADER_WORDS, NOTE_SQL, OTHER_STATE, STATIONS_SQL, TILES_SQL)
+from meshroad.sources.testdata import (CRASHES_SQL, HEADER_NAMES_SQL, HEADER_WORDS, NOTE_SQL, OTHER_STATE, STATE, STATIONS_SQL,
+                                        TILES_SQL)
 
 R = "cast(3958.8 as double)"
 
@@ -183,6 +184,13 @@ _AUDIT = f"""audit as (
         order by {_MIX}, Crash_ID limit 1000) c cross join stations s
   group by 1, 2, 3)"""
 
+# The audit of a sample of every year; a match moved to no station counts as matched, as it has an id.
+_AUDIT_YEARS = f"""audit as (
+  select c.Crash_Year, c.Crash_ID, c.Nearest_Station_LocationId, c.Distance_Miles, arg_min(s.station_id, ({_steps(_D)}, s.station_id)) as true_id, min({_D}) as true_d
+  from (select * from output where Nearest_Station_LocationId is not null
+        qualify row_number() over (partition by Crash_Year order by {_MIX}, Crash_ID, ZIP_Code) <= 1000) c cross join stations s
+  group by 1, 2, 3, 4)"""
+
 _BEST = f"""best as (
   select n.Crash_ID, n.Crash_Year, n.Nearest_Station_LocationId, r.Station_Count, r.Station_Year, abs(n.Crash_Year::bigint - r.Station_Year) as year_gap,
     row_number() over (partition by n.Crash_ID order by abs(n.Crash_Year::bigint - r.Station_Year) asc nulls last, r.Station_Year desc, r.Station_Count desc) as k
@@ -229,7 +237,23 @@ left join nn n on n.Crash_ID = c.Crash_ID left join vmt a on a.state = c.state a
 left join vmt b on b.state = c.state and b.vmt_year = n.Station_Year""")
 
 
+def _state_validation() -> str:
+    boxes = ", ".join(f"('{s.code}', {s.bbox.lat_min}::double, {s.bbox.lat_max}::double, {s.bbox.lon_min}::double, {s.bbox.lon_max}::double)" for s in (STATE, OTHER_STATE))
+    return f"""with m as ({_multi_state()}),
+moved as (select * replace (Longitude + case when Crash_ID % 20 < 2 then 1 else 0 end as Longitude) from m),
+facts as (
+  select m.state, m.Crash_Year::bigint as file_year, count(*) as n, count(Adt_Curnt_Amt) as filled,
+    count(*) filter (where Latitude < la or Latitude > lb or Longitude < oa or Longitude > ob) as outside
+  from moved m join (values {boxes}) b(state, la, lb, oa, ob) on b.state = m.state group by 1, 2)
+select state, file_year, 'V03 bounds ' || file_year as validation, outside = 0 as passed, '0 null, ' || outside || ' out-of-state' as msg from facts
+union all select state, file_year, 'V07 VMT ' || file_year, true, '0 mismatches (rtol > 1e-09)' from facts
+union all select state, file_year, 'V08 AADT ' || file_year, true, '0 mismatches (rtol > 1e-6)' from facts
+union all select state, file_year, 'V14 fill rate ' || file_year, true,
+  format('{{:,}}', filled) || '/' || format('{{:,}}', n) || printf(' (%.2f%%)', round(100.0::double * filled / n, 2)) from facts"""
+
+
 ORACLE: dict[str, str] = {
+    "state_validation": _state_validation(),
     "multi_state": _multi_state(),
     "clean_stations": _with(STATION_CTES, "select * from stations"),
     "clean_crashes": _with(CRASH_CTES, "select * from crashes"),
@@ -314,6 +338,11 @@ from (select Crash_Year, Adt_Curnt_Amt as v from output where Adt_Curnt_Amt is n
   count(*) filter (where true_id <> Nearest_Station_LocationId) as id_mismatches, count(*) filter (where abs(true_miles - Distance_Miles) > 1e-4) as distance_mismatches,
   round(max(abs(true_miles - Distance_Miles)), 6) as worst_miles,
   count(*) > 0 and count(*) filter (where true_id <> Nearest_Station_LocationId) = 0 and count(*) filter (where abs(true_miles - Distance_Miles) > 1e-4) = 0 as passed from wrong"""),
+    "audit_by_year": _with([*OUTPUT_CTES, _AUDIT_YEARS, _WRONG.replace("select c.Crash_ID", "select c.Crash_Year, c.Crash_ID")], """select Crash_Year, count(*) as n,
+  count(*) filter (where true_id = Nearest_Station_LocationId) as agree,
+  count(*) filter (where true_id <> Nearest_Station_LocationId) as id_mismatches, count(*) filter (where abs(true_miles - Distance_Miles) > 1e-4) as distance_mismatches,
+  round(max(abs(true_miles - Distance_Miles)), 6) as worst_miles,
+  count(*) filter (where true_id <> Nearest_Station_LocationId) = 0 and count(*) filter (where abs(true_miles - Distance_Miles) > 1e-4) = 0 as passed from wrong group by 1"""),
     "audit_examples": _with([*OUTPUT_CTES, _AUDIT, _WRONG], """select Crash_ID, Nearest_Station_LocationId, round(Distance_Miles, 6) as Distance_Miles, true_id,
   round(true_miles, 6) as true_miles from wrong where true_id <> Nearest_Station_LocationId or abs(true_miles - Distance_Miles) > 1e-4 order by Crash_ID, Nearest_Station_LocationId limit 5"""),
     "zip_overlaps": _with([*CRASH_CTES, TILES], f"""select c.Crash_ID, t.zip::bigint as ZIP_Code, b.by_line from crashes c join tiles t on {INSIDE.format(p='c')}

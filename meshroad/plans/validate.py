@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from meshroad.config import (EARTH_RADIUS_MILES, FILLED_LABEL, MAX_STATION_MILES, MISSING_LABEL, REQUIRED_COLUMNS,
@@ -14,7 +15,7 @@ from meshroad.operators.nearest import TIE_STEPS_PER_MILE
 from meshroad.operators.quantiles import exact_quantiles
 from meshroad.operators.volume import with_vmt
 from meshroad.plans.reports import shuffled_order
-from meshroad.session import materialize
+from meshroad.session import BROADCAST_BYTES, materialize
 
 VMT_TOLERANCE = 1e-9
 AMOUNT_TOLERANCE = 1e-6
@@ -30,9 +31,12 @@ def _whole(x: Column) -> Column:
 
 
 def validate(out: DataFrame, state: StateConfig, year: str = "file_year", *, present: DataFrame | None = None,
-             radius_miles: float = MAX_STATION_MILES) -> DataFrame:
+             radius_miles: float = MAX_STATION_MILES, states: Sequence[StateConfig] = ()) -> DataFrame:
     """Checks V01 to V09 and V12 to V14 for each value of `year`, the tag of the file a row is from.
 
+    With `states` the output has a `state` column, and there is a result for each state and year: box and mileage are
+    those of the row's state, joined from a table of the settings. A state without settings has no box to be in.
+
     `present` (`file_year`, `column`) holds the columns of each year's own file, for V01; without it all years
     have the columns of `out`. A year with a header and no row has no result. `radius_miles` is that of the run.
 
@@ -43,12 +47,19 @@ def validate(out: DataFrame, state: StateConfig, year: str = "file_year", *, pre
     have = lambda c: F.col(c) if c in out.columns else F.lit(None).cast("double")
     lat, lon, amount, dist = have("Latitude"), have("Longitude"), have("Adt_Curnt_Amt"), have("Distance_Miles")
     multiplier, station_year, gap, label = have("VMT_Multiplier"), have("Station_Year"), have("year_gap"), have("aadt_match_type")
-    box = state.bbox
+    by = ["state"] if states else []
+    group = [*by, "file_year"]
     filled = amount.isNotNull()
 
     base = out.withColumns({c: have(c) for c in ("Crash_Year", "Station_Year") if c not in out.columns})
-    vmt = vmt_table(out.sparkSession, [state])
-    base = with_vmt(with_vmt(base, vmt, "Crash_Year", "_vmt_crash"), vmt, "Station_Year", "_vmt_station")
+    settings = list(states) or [state]
+    vmt = vmt_table(out.sparkSession, settings, by_state=bool(by))
+    base = with_vmt(with_vmt(base, vmt, "Crash_Year", "_vmt_crash", by), vmt, "Station_Year", "_vmt_station", by)
+    sides = ("lat_min", "lat_max", "lon_min", "lon_max")
+    boxes = out.sparkSession.createDataFrame(  # one row for each state of the settings
+        [(s.code, *(float(getattr(s.bbox, x)) for x in sides)) for s in settings], "state string, " + ", ".join(f"_{x} double" for x in sides))
+    base = base.join(F.broadcast(boxes), "state", "left") if by else base.withColumns(
+        {f"_{x}": F.lit(float(getattr(state.bbox, x))) for x in sides})
     expected = F.try_divide("_vmt_crash", "_vmt_station")
     vmt_wrong = expected.isNull() | (F.abs(F.try_divide(expected - multiplier, expected)) > VMT_TOLERANCE)
     product = have("Station_Count") * multiplier
@@ -56,11 +67,12 @@ def validate(out: DataFrame, state: StateConfig, year: str = "file_year", *, pre
     amount_wrong = F.when(amount == 0, product != 0).otherwise(F.abs((product - amount) / amount) > AMOUNT_TOLERANCE)
     count_if = lambda cond: F.count_if(F.coalesce(cond, F.lit(False)))
 
-    facts = base.groupBy(F.col(year).cast("bigint").alias("file_year")).agg(
+    outside = F.col("_lat_min").isNull() | (lat < F.col("_lat_min")) | (lat > F.col("_lat_max")) | (lon < F.col("_lon_min")) | (lon > F.col("_lon_max"))
+    facts = base.groupBy(*by, F.col(year).cast("bigint").alias("file_year")).agg(
         F.count(F.lit(1)).alias("rows"), F.count(amount).alias("filled"),
         F.min("Crash_Year").alias("first_year"), F.max("Crash_Year").alias("last_year"),
         count_if(lat.isNull() | lon.isNull()).alias("null_xy"),
-        count_if((lat < box.lat_min) | (lat > box.lat_max) | (lon < box.lon_min) | (lon > box.lon_max)).alias("outside"),
+        count_if(outside).alias("outside"),
         count_if(filled & (dist > radius_miles)).alias("too_far"), F.max(F.when(filled, dist)).alias("farthest"),
         count_if(have("ZIP_Code").isNull()).alias("null_zip"),
         count_if(station_year.isNotNull() & gap.isNotNull()
@@ -73,9 +85,9 @@ def validate(out: DataFrame, state: StateConfig, year: str = "file_year", *, pre
         F.max(gap).cast("bigint").alias("gap_max"), F.count(gap).alias("gaps"),
         count_if(amount < 10).alias("too_low"), count_if(amount > 500_000).alias("too_high"),
     )
-    spread = exact_quantiles(out.select(F.col(year).cast("bigint").alias("file_year"), amount.alias("v")), "v",
-                             {"p5": 0.05, "median": 0.5, "p95": 0.95}, by=["file_year"])
-    facts = facts.join(F.broadcast(spread), "file_year", "left")  # one row per year
+    spread = exact_quantiles(out.select(*by, F.col(year).cast("bigint").alias("file_year"), amount.alias("v")), "v",
+                             {"p5": 0.05, "median": 0.5, "p95": 0.95}, by=group)
+    facts = facts.join(F.broadcast(spread), group, "left")  # one row per state and year
 
     if present is None:
         facts = facts.withColumn("columns", F.array(*map(F.lit, columns)))
@@ -123,16 +135,16 @@ def validate(out: DataFrame, state: StateConfig, year: str = "file_year", *, pre
         F.struct(F.concat(F.lit(name + " "), c("file_year").cast("string")).alias("validation"),
                  F.coalesce(passed, F.lit(False)).alias("passed"), msg.alias("msg"))
         for name, passed, msg in checks]))
-    return facts.select("file_year", rows.alias("r")).select(
-        "file_year", "r.validation", "r.passed", F.when(c("r.passed"), "pass").otherwise("FAIL").alias("status"), "r.msg")
+    return facts.select(*group, rows.alias("r")).select(
+        *group, "r.validation", "r.passed", F.when(c("r.passed"), "pass").otherwise("FAIL").alias("status"), "r.msg")
 
 
 def totals(results: DataFrame) -> DataFrame:
     return results.agg(F.count_if("passed").alias("n_pass"), F.count_if(~F.col("passed")).alias("n_fail"))
 
 
-def _audited(out: DataFrame, stations: DataFrame, n: int, seed: int, radius_miles: float) -> DataFrame:
-    """Up to `n` sampled matched crashes of the last year, each with the truly nearest station within reach.
+def _audited(out: DataFrame, stations: DataFrame, n: int, seed: int, radius_miles: float, each_year: bool = False) -> DataFrame:
+    """Up to `n` sampled matched crashes of the last year, or of each year, with the truly nearest station within reach.
 
     Independent of the grid index: every station whose latitude is within the radius is tried. No station outside
     that belt can beat a match within the radius. A crash with no station in reach has none, so its match is wrong.
@@ -141,14 +153,21 @@ def _audited(out: DataFrame, stations: DataFrame, n: int, seed: int, radius_mile
     matched = out.filter(F.col("Nearest_Station_LocationId").isNotNull()).select(
         "Crash_ID", "Crash_Year", "Latitude", "Longitude", "Nearest_Station_LocationId", "Distance_Miles")
     order = shuffled_order(F.col("Crash_ID"), seed) if dict(out.dtypes)["Crash_ID"] in ("bigint", "int") else F.xxhash64("Crash_ID", F.lit(seed))
-    top = materialize(
-        matched.withColumn("_order", order).orderBy(F.col("Crash_Year").desc(), "_order", "Crash_ID").limit(n), "sample")
-    last = top.groupBy().agg(F.max("Crash_Year").alias("Crash_Year"))
-    sample = top.join(F.broadcast(last), "Crash_Year").drop("_order")
+    ordered = matched.withColumn("_order", order)
+    if each_year:
+        # Every task keeps its first n rows of each year before they are sent to one place.
+        first = Window.partitionBy("Crash_Year").orderBy("_order", "Crash_ID")
+        sample = materialize(ordered.withColumn("_k", F.row_number().over(first)).filter(F.col("_k") <= n).drop("_k", "_order"), "sample")
+    else:
+        top = materialize(ordered.orderBy(F.col("Crash_Year").desc(), "_order", "Crash_ID").limit(n), "sample")
+        last = top.groupBy().agg(F.max("Crash_Year").alias("Crash_Year"))
+        sample = top.join(F.broadcast(last), "Crash_Year").drop("_order")
     belt = lambda lat: f"floor({lat} / {num(math.degrees(radius_miles / EARTH_RADIUS_MILES) * 1.000001)})"
     asked = sample.filter("abs(Latitude) <= 90").select("Crash_ID", "Latitude", "Longitude").distinct().selectExpr(
         "*", f"explode(sequence({belt('Latitude')} - 1, {belt('Latitude')} + 1)) as _belt")
-    tried = stations.filter("abs(station_lat) <= 90").selectExpr("*", f"{belt('station_lat')} as _belt").join(F.broadcast(asked), "_belt")
+    belts = stations.filter("abs(station_lat) <= 90").selectExpr("*", f"{belt('station_lat')} as _belt")
+    small = not each_year or sample.count() * 3 * 64 <= BROADCAST_BYTES
+    tried = belts.join(F.broadcast(asked) if small else asked.hint("shuffle_merge"), "_belt")
     d = F.expr(haversine_miles("Latitude", "Longitude", "station_lat", "station_lon"))
     steps = F.floor(d * F.lit(TIE_STEPS_PER_MILE) + F.lit(0.5))
     found = tried.groupBy("Crash_ID", "Latitude", "Longitude").agg(
@@ -171,6 +190,16 @@ def nearest_audit(out: DataFrame, stations: DataFrame, *, n: int = 1000, seed: i
     ).withColumn("passed", (F.col("n") > 0) & (F.col("id_mismatches") == 0) & (F.col("distance_mismatches") == 0))
 
 
+def audit_by_year(out: DataFrame, stations: DataFrame, *, n: int = 1000, seed: int = 42, radius_miles: float = MAX_STATION_MILES) -> DataFrame:
+    """V10 for every year that has a match: the audit of up to `n` crashes of each, in one pass over the stations."""
+    rows = _audited(out, stations, n, seed, radius_miles, each_year=True)
+    far = ~F.coalesce(F.col("miles_off") <= DISTANCE_TOLERANCE, F.lit(False))
+    return rows.groupBy("Crash_Year").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if("same_id").alias("agree"), F.count_if(~F.col("same_id")).alias("id_mismatches"),
+        F.count_if(far).alias("distance_mismatches"), F.max("miles_off").alias("worst_miles"),
+    ).withColumn("passed", (F.col("id_mismatches") == 0) & (F.col("distance_mismatches") == 0))
+
+
 def audit_examples(out: DataFrame, stations: DataFrame, *, n: int = 1000, seed: int = 42, radius_miles: float = MAX_STATION_MILES,
                    show: int = 5) -> DataFrame:
     """The first `show` wrong matches of the audit's sample, by id, with the station that should be there."""

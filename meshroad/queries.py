@@ -158,8 +158,21 @@ def multi_state(spark, d):
     crashes = testdata.with_state(testdata.crashes_raw(spark, d), "Crash_ID")
     stations = testdata.with_state(testdata.stations_raw(spark, d), "cast(substring(trim(TRFC_STATN_ID), 2) as bigint)")
     zips = testdata.with_state(_zips(spark, d), "polygon_id")
-    out = enrich(crashes, stations, STATE, polygons=zips, states=[STATE, testdata.OTHER_STATE], by=["state"])
-    return _round(out)
+    return _round(_two_states(crashes, stations, zips))
+
+
+def _two_states(crashes, stations, zips):
+    return enrich(crashes, stations, STATE, polygons=zips, states=[STATE, testdata.OTHER_STATE], by=["state"])
+
+
+def state_validation(spark, d):
+    """Checks by state and year of the two-state output, some rows of which are moved east, out of one state's box or of both."""
+    crashes = testdata.with_state(testdata.crashes_raw(spark, d), "Crash_ID")
+    stations = testdata.with_state(testdata.stations_raw(spark, d), "cast(substring(trim(TRFC_STATN_ID), 2) as bigint)")
+    out = materialize(_two_states(crashes, stations, testdata.with_state(_zips(spark, d), "polygon_id")), "two-states")
+    moved = out.withColumn("Longitude", F.col("Longitude") + F.when(F.col("Crash_ID") % 20 < 2, 1.0).otherwise(0.0)).withColumn("file_year", F.col("Crash_Year"))
+    results = validate.validate(moved, STATE, states=[STATE, testdata.OTHER_STATE])
+    return results.filter(F.substring("validation", 1, 3).isin("V03", "V07", "V08", "V14")).select("state", "file_year", "validation", "passed", "msg")
 
 
 # ---- output and reports over it ----
@@ -294,6 +307,10 @@ def audit_of_errors(spark, d):
     return _round(validate.nearest_audit(_misplaced(spark, d), clean_stations(spark, d)))
 
 
+def audit_by_year(spark, d):
+    return _round(validate.audit_by_year(_misplaced(spark, d), clean_stations(spark, d)))
+
+
 def audit_examples(spark, d):
     return _round(validate.audit_examples(_misplaced(spark, d), clean_stations(spark, d)))
 
@@ -327,6 +344,7 @@ QUERIES: dict[str, Query] = {
         zip_join, fuzzy_match, brute_force_audit, multi_state, enriched_output, write_readback, union_years, final_export,
         sample_filled, per_year_summary, missing_reasons, fill_totals, distance_stats, year_gap_dist, volume_range,
         hist_year_gap, hist_distance, hist_volume, distance_bins, distance_bins_right_closed, validation_report,
-        csv_crashes, csv_stations, validation_from_csv, audit_of_errors, audit_examples, zip_overlaps, name_match,
+        csv_crashes, csv_stations, validation_from_csv, audit_of_errors, audit_examples, zip_overlaps, name_match, audit_by_year,
+        state_validation,
     )
 }

@@ -1,10 +1,10 @@
 from pyspark.sql import functions as F
 import pytest
 
-from meshroad.config import TEXAS, vmt_table
+from meshroad.config import BBox, StateConfig, TEXAS, vmt_table
 from meshroad.operators.volume import adjust_volume
 from meshroad.plans import reports
-from meshroad.plans.validate import nearest_audit, totals, validate
+from meshroad.plans.validate import _audited, audit_by_year, nearest_audit, totals, validate
 from meshroad.sources import sinks
 
 MATCHED = "Crash_ID long, Crash_Year int, Nearest_Station_LocationId string, Station_Count double, Station_Year long, Distance_Miles double"
@@ -111,3 +111,33 @@ def test_audit_finds_a_wrong_match(spark):
         n=2, agree=2, id_mismatches=0, distance_mismatches=0, worst_miles=0, passed=True)
     bad = nearest_audit(spark.createDataFrame([(1, 2020, 30.001, -97.0, "b", d)], cols), stations).first()
     assert (bad.id_mismatches, bad.distance_mismatches, bad.passed) == (1, 1, False)
+
+
+def test_audit_of_each_year_takes_its_first_crashes(spark):
+    stations = spark.createDataFrame([("a", 30.0, -97.0), ("b", 30.004, -97.0)], "station_id string, station_lat double, station_lon double")
+    d = 0.001 * 3.141592653589793 / 180 * 3958.8
+    cols = "Crash_ID long, Crash_Year int, Latitude double, Longitude double, Nearest_Station_LocationId string, Distance_Miles double"
+    rows = [(i, 2018 + i % 3, 30.001, -97.0, "b" if i % 3 == 1 and i > 10 else "a", d) for i in range(60)] + [(99, 2021, 30.0, -97.0, None, None)]
+    out = spark.createDataFrame(rows, cols).repartition(4)
+    found = {r.Crash_Year: r for r in audit_by_year(out, stations, n=1000).collect()}
+    assert sorted(found) == [2018, 2019, 2020] and all(r.n == 20 for r in found.values())
+    assert [found[y].passed for y in sorted(found)] == [True, False, True] and found[2019].id_mismatches == 16
+    some = audit_by_year(out, stations, n=5)
+    assert [r.n for r in some.collect()] == [5, 5, 5]
+    ids = [r.Crash_ID for r in _audited(out, stations, 5, 42, 1.0, each_year=True).collect()]
+    want = [i for y in range(3) for i in sorted((i for i in range(60) if i % 3 == y), key=lambda i: (i * 48271 + 42) % 2147483647)[:5]]
+    assert sorted(ids) == sorted(want)
+    plan = some._jdf.queryExecution().optimizedPlan().toString()
+    assert "Cartesian" not in plan
+
+
+def test_states_are_validated_with_their_own_box_and_mileage(spark, out):
+    other = StateConfig(code="XX", bbox=BBox(0, 1, 0, 1), vmt={y: 2 * v for y, v in TEXAS.vmt.items()})
+    both = out.withColumn("state", F.lit("TX")).unionByName(out.withColumn("state", F.lit("XX"))).unionByName(out.withColumn("state", F.lit("??")))
+    got = {(r.state, r.file_year, r.validation[:3]): r for r in validate(both, TEXAS, states=[TEXAS, other]).collect()}
+    alone = {(r.file_year, r.validation[:3]): r for r in validate(out, TEXAS).collect()}
+    for (year, check), r in alone.items():
+        assert (got["TX", year, check].passed, got["TX", year, check].msg.replace("20 cols", "")[-9:]) == (r.passed, r.msg.replace("19 cols", "")[-9:])
+        assert got["XX", year, check].passed == (r.passed and check != "V03")  # the ratio of doubled miles is the same
+    rows = {y: sum(1 for r in out.collect() if r.file_year == y) for y in {r.file_year for r in out.select("file_year").collect()}}
+    assert all(got["??", y, "V03"].msg == f"0 null, {n} out-of-state" for y, n in rows.items())
