@@ -1,6 +1,6 @@
 """Main text of web pages with a site style tree.
 
-The DOMs of a host's pages are merged: a node of the style tree is a path of container elements (tag and class). Over
+The DOMs of a host's pages are merged: a node of the style tree is a path of container elements (tag and class, but for classes with digits). Over
 all pages of the host it has a distribution of presentation styles (sequences of child tags) and one of contents. Its
 importance is the entropy of both, as a share of the greatest possible, mixed by its number of children: a branch that
 looks and reads alike on every page has importance 0, one that differs from page to page has 1. A branch of low
@@ -8,13 +8,14 @@ importance is removed, with all below it.
 
 Entropy alone cannot judge what differs on each page without being content (advertisements, related links), nor hosts
 of few pages. So the importance of a branch whose tag, role or class names its purpose is fixed: 0 for menus, headers,
-footers, sidebars, notices, adverts, forms, comments, scripts and styles, 1 for `article` and `main`, whose ancestors
-then count only through them. A page with such an element keeps what is in it; any other page keeps its whole body.
+footers, sidebars, notices, adverts, forms, comments, scripts and styles, 1 for `article` and `main`: a branch of low
+importance does not take an article below it along. Inside an article only containers with a name of advertisements,
+comments and the like go; titles and paragraphs stay whatever their class. A page with such an element keeps what is in it; any other page keeps its whole body.
 
 The statistics are sums over (host, path, value), so a host with most of the pages is split among tasks.
 
 Defined results: null or empty html and pages without any text give an empty text. A null url is a host of its own.
-Repeated pages count as often as they occur. Text outside `body` tags counts as body.
+Equal pages of a host count as one page in its tree. Text outside `body` tags counts as body.
 """
 
 from __future__ import annotations
@@ -50,9 +51,14 @@ PURPOSES = set("ad ads adv advert adverts advertisement advertising banner bread
                "disqus footer gdpr header masthead menu modal nav navbar navigation newsletter notice notices popup promo promoted promotion "
                "related replies reply respond share sharing sidebar social sponsor sponsored subscribe subscription toolbar".split())
 # Start tags that end an open paragraph or item of the same kind.
+# Names that tell a purpose inside an article too, where they are on a container.
+INSIDE = set("ad ads adv advert adverts advertisement advertising comments consent cookie cookies disqus modal newsletter popup promo "
+             "share sharing sidebar social sponsor sponsored subscribe subscription toolbar".split())
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"},
           "option": {"option"}}
 NAME = re.compile(r"[^a-z0-9]+")
+# Why text is removed: its branch is alike on all pages, or its tag or name tells its purpose.
+LOW, NAMED = 1, 2
 
 
 class Page(HTMLParser):
@@ -61,8 +67,9 @@ class Page(HTMLParser):
     def __init__(self, low: frozenset[str] = frozenset(), observe: bool = False):
         super().__init__(convert_charrefs=True)
         self.low, self.observe = low, observe
-        # Element: tag, container path, whether its text is removed, whether it is in an article or main element.
-        self.stack: list[tuple[str, str, bool, bool]] = [("", "", False, False)]
+        # Element: tag, container path, why its text is removed (0: it is not), whether it is in an article or main element.
+        self.stack: list[tuple[str, str, int, bool]] = [("", "", 0, False)]
+        self.open_p = 0
         self.blocks: list[tuple[bool, str]] = []
         self.current: list[str] = []
         self.children: dict[str, list[str]] = {}
@@ -81,6 +88,7 @@ class Page(HTMLParser):
             name = self.stack[i][0]
             if name == tag or isinstance(tag, set) and name in tag:
                 self.flush_for(name)
+                self.open_p -= sum(e[0] == "p" for e in self.stack[i:])
                 del self.stack[i:]
                 return
             if name in until:
@@ -93,7 +101,7 @@ class Page(HTMLParser):
     def handle_starttag(self, tag, attrs):
         if tag in BLOCK:
             self.flush()
-            if any(e[0] == "p" for e in self.stack):
+            if self.open_p:
                 self._pop_to("p", CONTAINER)
         if tag in CLOSES:
             self._pop_to(CLOSES[tag], CONTAINER)
@@ -107,17 +115,24 @@ class Page(HTMLParser):
         if tag in VOID:
             return
         names = dict(attrs) if attrs else {}
-        label = f"{names.get('class') or ''} {names.get('id') or ''}".lower() if names else ""
+        classes, label = (names.get("class") or "").lower(), f"{names.get('class') or ''} {names.get('id') or ''}".lower() if names else ""
         if tag in CONTAINER and path.count(">") < DEEPEST:
-            path = f"{path}>{tag}.{'.'.join(label.split())}"
+            # Names with digits are those of one page.
+            path = f"{path}>{tag}.{'.'.join(c for c in classes.split() if not any(d.isdigit() for d in c))}"
             if self.observe:
                 self.children.setdefault(path, [])
         if tag in MAIN:
+            # A branch that is alike on all pages cannot take the article below it along.
+            removed = 0 if removed == LOW else removed
             inside, self.has_main = True, self.has_main or not removed
         elif not removed:
-            removed = (tag in NO_TEXT or tag == "header" and not inside or (names.get("role") or "").lower() in ROLES or "hidden" in names
-                       or bool(label) and tag not in ("body", "html") and not PURPOSES.isdisjoint(NAME.split(label)) and not (inside and tag == "header"))
-            removed = removed or path in self.low and tag in CONTAINER and not inside
+            purposes = INSIDE if inside else PURPOSES
+            told = bool(label) and tag not in ("body", "html") and (tag in CONTAINER or not inside) and not purposes.isdisjoint(NAME.split(label))
+            if tag in NO_TEXT or tag == "header" and not inside or (names.get("role") or "").lower() in ROLES or "hidden" in names or told:
+                removed = NAMED
+            elif path in self.low and tag in CONTAINER and not inside:
+                removed = LOW
+        self.open_p += tag == "p"
         self.stack.append((tag, path, removed, inside))
 
     def handle_startendtag(self, tag, attrs):
@@ -151,12 +166,12 @@ class Page(HTMLParser):
 
 def _observations(pages: DataFrame) -> DataFrame:
     """Pages by host, path, kind (presentation style or content) and value, with the number of child tags."""
-    schema = pa.schema([("host", pa.string()), ("path", pa.string()), ("style", pa.bool_()), ("value", pa.int64()), ("children", pa.int64())])
+    schema = pa.schema([("host", pa.string()), ("path", pa.string()), ("style", pa.bool_()), ("value", pa.int64()), ("children", pa.float64()), ("n", pa.float64())])
 
     def make():
         def work(batch):
             rows = []
-            for host, html in zip(batch.column("_host").to_pylist(), batch.column("_html").to_pylist()):
+            for host, html, copies in zip(*(batch.column(c).to_pylist() for c in ("_host", "_html", "_copies"))):
                 page = Page(observe=True).read(html or "")
                 texts: dict[str, list[str]] = {}
                 for path, parts in page.texts.items():
@@ -165,12 +180,12 @@ def _observations(pages: DataFrame) -> DataFrame:
                         path = path.rpartition(">")[0]
                 for path, tags in page.children.items():
                     content = " ".join("".join(texts.get(path, ())).split())
-                    rows.append((host, path, True, _number(" ".join(tags)), len(tags)))
-                    rows.append((host, path, False, _number(content), len(tags)))
-            return batch_of(schema, list(zip(*rows)) if rows else [[]] * 5)
+                    rows.append((host, path, True, _number(" ".join(tags)), len(tags) / copies, 1 / copies))
+                    rows.append((host, path, False, _number(content), len(tags) / copies, 1 / copies))
+            return batch_of(schema, list(zip(*rows)) if rows else [[]] * 6)
         return work
 
-    return map_arrow(pages, make, "host string, path string, style boolean, value long, children long")
+    return map_arrow(pages, make, "host string, path string, style boolean, value long, children double, n double")
 
 
 def _number(text: str) -> int:
@@ -179,7 +194,12 @@ def _number(text: str) -> int:
 
 def style_tree(pages: DataFrame) -> DataFrame:
     """Nodes of the style trees: host, path, number of pages, entropies and importance."""
-    counts = _observations(pages).groupBy("host", "path", "style", "value").agg(F.count(F.lit(1)).alias("n"), F.sum("children").alias("children"))
+    # Equal pages of a host are one page: each of n copies counts as 1/n.
+    hashed = pages.withColumn("_hash", F.xxhash64("_html"))
+    copies = materialize(hashed.groupBy("_host", "_hash").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1"), "page-copies")
+    side = F.broadcast(copies) if copies.count() <= BROADCAST_ROWS else copies.hint("shuffle_merge")
+    weighed = hashed.join(side, ["_host", "_hash"], "left").select("_host", "_html", F.coalesce("_n", F.lit(1)).alias("_copies"))
+    counts = _observations(weighed).groupBy("host", "path", "style", "value").agg(F.round(F.sum("n"), 3).alias("n"), F.sum("children").alias("children"))
     sums = counts.groupBy("host", "path", "style").agg(F.sum("n").alias("pages"), F.sum(F.col("n") * F.log("n")).alias("s"), F.sum("children").alias("children"))
     entropy = F.when(F.col("pages") > 1, (F.log("pages") - F.col("s") / F.col("pages")) / F.log("pages")).otherwise(1.0)
     sums = sums.withColumn("entropy", entropy)

@@ -90,3 +90,38 @@ def test_neighbour_edits_of_few_documents(spark, no_docs, edge_docs):
     r, = merkle.with_neighbour_edits(edge_docs.filter("doc_id = 1")).collect()
     text = "The cat sat on the mat and the dog ran."
     assert r.edited_sha256 == hashlib.sha256((text[:20] + text[:19]).encode()).hexdigest()
+
+
+def extracted(spark, pages):
+    rows = [(i, f"https://{host}/p{i}", html) for i, (host, html) in enumerate(pages)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    return [r.text for r in html_text.extract(df, keep=["page_id"]).orderBy("page_id").collect()]
+
+
+def test_repeated_pages_keep_their_article(spark):
+    page = "<html><body><div class='top'><a>Home</a></div><div class='wrap'><article><h1>Title</h1><p>Story {}.</p></article></div></body></html>"
+    texts = extracted(spark, [("one.org", page.format(1))] * 30 + [("two.org", page.format(k % 2)) for k in range(30)])
+    assert texts == ["Title\n\nStory 1."] * 30 + [f"Title\n\nStory {k % 2}." for k in range(30)]
+    plain = "<body><div class='menu-bar'>Home News</div><div class='story'><p>Story {}.</p></div></body>"
+    assert extracted(spark, [("three.org", plain.format(1))] * 30) == ["Story 1."] * 30
+
+
+def test_names_inside_an_article(spark):
+    page = ("<article><div class='entry-header'><h1 class='header'>Title</h1></div><p class='notice'>Mind this.</p><section class='related work'>Others did "
+            "<a class='share'>this</a>.</section><div class='comments'>first!</div><div class='ad'>buy</div></article>")
+    assert extracted(spark, [("a.org", page)]) == ["Title\n\nMind this.\n\nOthers did this."]
+
+
+def test_the_tree_decides_on_pages_without_an_article(spark):
+    page = ("<body><div class='top' id='post-{0}'><ul class='x'><li>Home</li><li>News</li></ul></div><div class='post-{0} text'><p>Story number {0} of many.</p>"
+            "<p>It goes on {1}.</p></div><div class='end'><p>All rights reserved</p></div></body>")
+    got = extracted(spark, [(f"h{k % 3}.org", page.format(k, k * k)) for k in range(60)])
+    assert got == [f"Story number {k} of many.\n\nIt goes on {k * k}." for k in range(60)]
+
+
+def test_deep_nesting_takes_linear_time():
+    import time
+
+    start = time.process_time()
+    assert html_text.Page(observe=True).read("<div><p>" * 25_000 + "text").text() == "text"
+    assert time.process_time() - start < 20
