@@ -1,15 +1,14 @@
 """Document fingerprints: a Merkle tree over leaves, paragraphs and sections.
 
-A text is cut into paragraphs (lines), a paragraph into leaves (pieces of sentences, about 64 characters; words in
-short lines). A
-paragraph's hash is that of its leaves' hashes; paragraphs form sections, which end after a paragraph whose hash says
-so, so that an insertion moves no later section; the root's hash is that of its sections. The pieces join to the text,
+A text is cut into paragraphs (lines), a paragraph into leaves: the words of its
+beginning, then sentences in pieces of 64 characters. Leaves are cut from left to right, so an edit moves none before it. A
+paragraph's hash is that of its leaves' hashes; paragraphs form sections, which end after a paragraph whose hash says so, so that an insertion moves no later section; the root's hash is that of its sections. The pieces join to the text,
 so equal roots mean equal texts.
 
 The fingerprint is the root in hex, then the tree below it in base64: for each section its hash and number of
 paragraphs, for each paragraph its hash and number of leaves, for each leaf 24 bits of hash and its length. Two
 fingerprints are compared from the root down, and only branches with different hashes are opened: `likeness` weighs
-what they share by length, `edits` gives the character ranges of differing branches.
+what they share in the same order by length, `edits` gives the character ranges of differing branches.
 
 Defined results: a null text is an empty one, whose tree has no section; equal texts have likeness 1, also empty
 ones. Rows repeat as they do in the input.
@@ -20,6 +19,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import re
+from bisect import bisect_left
 from collections import Counter
 
 import numpy as np
@@ -33,9 +33,9 @@ from pyspark.sql import types as T
 from meshroad.llm.common import field, materialize, pa_type, tidy, with_columns_from
 
 LEAF = re.compile(r"[^.!?\n]{1,64}[.!? ]{0,16}|[.!? ]{1,64}")
-# The leaves of a short line are its words.
+# The leaves of a line's beginning are its words, so that short lines are compared by words.
 WORD_LEAF = re.compile(r"[^ ]{1,64} {0,16}| {1,64}")
-SHORT_LINE = 200
+BEGINNING = 200
 SECTION_EVERY = 4
 ROWS_A_PART = 4_000
 
@@ -51,7 +51,8 @@ def fingerprint(text: str | None) -> str:
     open_section: list[bytes] = []
     digest = xxhash.xxh3_128_digest
     for line in text.split("\n") if text else []:
-        pieces = (WORD_LEAF if len(line) <= SHORT_LINE else LEAF).findall(line) or [""]
+        end = len(line) if len(line) <= BEGINNING else line.rfind(" ", 0, BEGINNING) + 1 or BEGINNING
+        pieces = WORD_LEAF.findall(line[:end]) + LEAF.findall(line[end:]) or [""]
         pieces[-1] += "\n"  # the last line gets one too, which all texts share
         hashes = [digest(p.encode()) for p in pieces]
         leaves += [h[:3] + bytes((min(len(p), 255),)) for h, p in zip(hashes, pieces)]
@@ -83,14 +84,71 @@ class Tree:
         return int((self.leaves & 255).sum())
 
 
+def _in_order(a: np.ndarray, b: np.ndarray) -> list[tuple[int, int]]:
+    """Places of equal values in both lists, ascending in both: the k-th of a value meets the k-th, then the longest ascending run counts."""
+    mine, theirs = np.flatnonzero(np.isin(a, b)).tolist(), np.flatnonzero(np.isin(b, a)).tolist()
+    waiting: dict[int, list[int]] = {}
+    for j in reversed(theirs):
+        waiting.setdefault(int(b[j]), []).append(j)
+    met = [(i, q.pop()) for i in mine if (q := waiting[int(a[i])])]
+    ends, tails, before = [], [], []
+    for n, (_, j) in enumerate(met):
+        k = bisect_left(ends, j)
+        before.append(tails[k - 1] if k else -1)
+        ends[k:k + 1], tails[k:k + 1] = [j], [n]
+    out, n = [], tails[-1] if tails else -1
+    while n >= 0:
+        out.append(met[n])
+        n = before[n]
+    return out[::-1]
+
+
+def _gaps(matched: list[tuple[int, int]], a: tuple[int, int], b: tuple[int, int]):
+    """What lies between matched places, as ranges of both lists that are not empty."""
+    i0, j0 = a[0], b[0]
+    for i, j in [*matched, (a[1], b[1])]:
+        if i > i0 and j > j0:
+            yield (i0, i), (j0, j)
+        i0, j0 = i + 1, j + 1
+
+
+def _levels(body: str) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Per level of the tree the hashes of its nodes, and where the nodes below each begin (for leaves: the characters)."""
+    sections, paragraphs, leaves = (base64.b64decode(p) for p in body.split("."))
+    out = []
+    for raw in (sections, paragraphs):
+        nodes = np.frombuffer(raw, dtype=np.dtype([("high", ">u2"), ("low", ">u4"), ("n", ">u4")]))
+        out.append(((nodes["high"].astype(np.int64) << 32) | nodes["low"], np.concatenate([[0], np.cumsum(nodes["n"].astype(np.int64))])))
+    values = np.frombuffer(leaves, dtype=">u4").astype(np.int64)
+    return [*out, (values, np.concatenate([[0], np.cumsum(values & 255)]))]
+
+
 def likeness(a: str, b: str) -> float:
-    """Length of the leaves that two fingerprints share (as often as both hold them), as a share of the length of both."""
-    if a.partition(".")[0] == b.partition(".")[0]:
+    """Length of what two trees share in the same order, as a share of the length of both.
+
+    Equal roots are equal texts. Below differing roots, sections with equal hashes that stand in the same order are shared
+    whole; what lies between them is opened into paragraphs, and what lies between shared paragraphs into leaves.
+    """
+    root_a, _, body_a = a.partition(".")
+    root_b, _, body_b = b.partition(".")
+    if root_a == root_b:
         return 1.0
-    leaves_a, leaves_b = (np.frombuffer(base64.b64decode(x.rpartition(".")[2]), dtype=">u4").tolist() for x in (a, b))
-    total = sum(x & 255 for x in leaves_a) + sum(x & 255 for x in leaves_b)
-    shared = Counter(leaves_a) & Counter(leaves_b)
-    return min(1.0, 2.0 * sum((x & 255) * n for x, n in shared.items()) / total) if total else 0.0
+    x, y = _levels(body_a), _levels(body_b)
+    total, shared = int(x[2][1][-1] + y[2][1][-1]), 0
+    todo = [((0, len(x[0][0])), (0, len(y[0][0])))]
+    for level in range(3):
+        (hashes, below), (others, other_below) = x[level], y[level]
+        opened = []
+        for (i0, i1), (j0, j1) in todo:
+            matched = [(i0 + i, j0 + j) for i, j in _in_order(hashes[i0:i1], others[j0:j1])]
+            for i, _ in matched:
+                first, last = below[i], below[i + 1]
+                for deeper in x[level + 1:]:  # down to characters
+                    first, last = deeper[1][first], deeper[1][last]
+                shared += int(last - first)
+            opened += [((int(below[p]), int(below[q])), (int(other_below[r]), int(other_below[t]))) for (p, q), (r, t) in _gaps(matched, (i0, i1), (j0, j1))]
+        todo = opened
+    return min(1.0, 2.0 * shared / total) if total else 0.0
 
 
 def _unmatched(a: list, b: list) -> list[int]:

@@ -125,3 +125,33 @@ def test_deep_nesting_takes_linear_time():
     start = time.process_time()
     assert html_text.Page(observe=True).read("<div><p>" * 25_000 + "text").text() == "text"
     assert time.process_time() - start < 20
+
+
+def test_likeness_is_that_of_the_order():
+    import random
+
+    rnd = random.Random(2)
+    lines = [" ".join(f"w{rnd.randrange(300)}" for _ in range(12)) for _ in range(200)]
+    text, moved = "\n".join(lines), "\n".join(rnd.sample(lines, len(lines)))
+    f = merkle.fingerprint
+    assert merkle.likeness(f(text), f(text)) == 1.0 and merkle.likeness(f(""), f("")) == 1.0 and merkle.likeness(f(""), f("a")) == 0.0
+    assert merkle.likeness(f(text), f(moved)) < 0.5
+    one = "\n".join([*lines[:77], "another line", *lines[78:]])
+    assert 0.97 < merkle.likeness(f(text), f(one)) < 1.0 and merkle.likeness(f(one), f(text)) == merkle.likeness(f(text), f(one))
+    half = "\n".join(lines[:100] + [" ".join(f"v{rnd.randrange(300)}" for _ in range(12)) for _ in range(100)])
+    assert 0.45 < merkle.likeness(f(text), f(half)) < 0.55
+
+
+def test_edited_texts_are_nearer_than_the_next_documents(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    rows = merkle.with_neighbour_edits(docs.select("doc_id", "text")).collect()
+    texts = {r.doc_id: r.text or "" for r in docs.collect()}
+    order = sorted(texts, reverse=True)
+    following = dict(zip(order, [*order[1:], order[0]]))
+    for r in rows:
+        t, n = texts[r.doc_id], texts[following[r.doc_id]]
+        half = len(t) // 2
+        edited = t[:len(t) - half] + n[:half]
+        assert r.near_edited == pytest.approx(merkle.likeness(r.fingerprint, merkle.fingerprint(edited)))
+        assert len(t) <= 200 or t == n or r.near_edited > r.near_next, (r.doc_id, r.near_edited, r.near_next)
+        assert 0 <= r.near_next <= 1 and 0 <= r.near_edited <= 1
