@@ -16,11 +16,13 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from meshroad.config import BBox, EARTH_RADIUS_MILES, FIRST_YEAR, LAST_YEAR, MAX_STATION_MILES
+from meshroad.config import BBox, EARTH_RADIUS_MILES, MAX_STATION_MILES
 from meshroad.functions.geo import chord, haversine_miles, num, unit_xyz
+from meshroad.operators.asof import closest_in_time
 from meshroad.operators.clean import first_per_key
 from meshroad.operators.grid import EPS_MILES, MAX_LEVEL, PARTS, SPLIT, WIDE_ENTRIES, CellIndex, Grid
 from meshroad.operators.joins import lookup_join, union_all
+from meshroad.operators.slices import SLICE_ROWS
 from meshroad.session import BROADCAST_BYTES, materialize
 
 # Lists up to this length are taken as they come; beyond it cells are split.
@@ -292,32 +294,19 @@ def nearest_unbounded(
     return _station_columns(points, _best_station(points, index, lat, lon), radius_miles, "_miles")
 
 
-def history_table(
-    records: DataFrame, *, first_year: int = FIRST_YEAR, last_year: int = LAST_YEAR, by: Sequence[str] = ()
+def best_history(
+    matched: DataFrame, records: DataFrame, *, by: Sequence[str] = (), broadcast_bytes: int = BROADCAST_BYTES, slice_rows: int = SLICE_ROWS
 ) -> DataFrame:
-    """For each station and crash year, the station's record closest in time.
+    """Replace count and year by the matched station's record closest to the crash year, whatever the years.
 
-    Order: smaller gap, missing year last, later year, larger count. Each record is copied to the
-    few crash years and reduced by a minimum, so a station with very many records is no hot spot.
+    Order: smaller gap, missing year last, later year, larger count.
     """
-    ranked = (
-        "struct(Station_Year is null as no_year, abs(cast(Crash_Year as bigint) - Station_Year) as gap, "
-        "-Station_Year as later, -Station_Count as larger, Station_Year as year, Station_Count as count)")
-    return (
-        records.selectExpr(*by, "station_id as Nearest_Station_LocationId", "Station_Year", "Station_Count",
-                           f"explode(sequence({first_year}, {last_year})) as Crash_Year")
-        .groupBy(*by, "Nearest_Station_LocationId", "Crash_Year").agg(F.min(F.expr(ranked)).alias("_best"))
-    )
-
-
-def best_history(
-    matched: DataFrame, records: DataFrame, *, by: Sequence[str] = (), broadcast_bytes: int = BROADCAST_BYTES
-) -> DataFrame:
-    """Replace count and year by the matched station's record closest to the crash year."""
-    table = history_table(records, by=by)
-    rows = records.count() * (LAST_YEAR - FIRST_YEAR + 1)
     keys = [*by, "Nearest_Station_LocationId", "Crash_Year"]
-    joined = lookup_join(matched, table, keys, broadcastable=rows * ENTRY_BYTES <= broadcast_bytes)
-    renamed = {"Station_Count": "_best.count", "Station_Year": "_best.year"}
+    named = records.withColumnRenamed("station_id", "Nearest_Station_LocationId")
+    table, size = closest_in_time(
+        matched, named, by=keys[:-1], asked_time="Crash_Year", record_time="Station_Year", order="-Station_Count", payload=["Station_Count as count"],
+        slice_rows=slice_rows)
+    joined = lookup_join(matched, table, keys, broadcastable=size <= broadcast_bytes)
+    renamed = {"Station_Count": "_best.count", "Station_Year": "_best.time"}
     columns = [F.col(renamed.get(c, c)).alias(c) for c in matched.columns if c != "year_gap"]
     return joined.select(*columns, F.col("_best.gap").alias("year_gap"))

@@ -7,12 +7,11 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from meshroad.operators.joins import union_all
-from meshroad.session import BROADCAST_BYTES, materialize
+from meshroad.operators.slices import attach_carry, in_slices, spread_groups, within
+from meshroad.session import materialize
 
 # Distinct values of one group that a single task may hold.
 TASK_VALUES = 1_000_000
-BUCKETS = 4096
 
 
 def exact_quantiles(
@@ -21,8 +20,8 @@ def exact_quantiles(
     """One row per group, one column per named probability; nulls are ignored.
 
     Equal values are first combined to (value, count). When every group has few distinct values the
-    built-in aggregate takes the counts. Otherwise each wanted rank is narrowed to a bucket of the
-    value range, again and again, until the bucket holds a single value.
+    built-in aggregate takes the counts. Otherwise groups are cut into slices by value, and running
+    counts, carried from slice to slice, tell where each wanted rank lies.
     """
     by = list(by)
     counts = materialize(
@@ -32,40 +31,19 @@ def exact_quantiles(
     if most <= task_values:
         return counts.groupBy(*by).agg(*[F.percentile("_v", F.lit(p), F.col("_c")).alias(name) for name, p in probs.items()])
 
-    groups = counts.groupBy(*by).agg(F.sum("_c").alias("_n"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
-    wanted = F.explode(F.array(*[F.struct(F.lit(name).alias("name"), F.lit(p).alias("p")) for name, p in probs.items()]))
-    asked = groups.withColumn("_w", wanted).withColumn("_at", F.col("_w.p") * (F.col("_n") - 1))
-    ranks = F.explode(F.array_distinct(F.array(F.floor("_at"), F.ceil("_at"))))
-    state = materialize(
-        asked.withColumn("_rank", ranks).select(*by, "_rank", "_lo", "_hi", F.lit(0).cast("bigint").alias("_below")).distinct(),
-        "ranks")
-    keys = [*by, "_rank"]
-    found = []
-    while True:
-        found.append(state.filter(F.col("_lo") == F.col("_hi")))
-        unsettled = state.filter(F.col("_lo") < F.col("_hi"))
-        n_open = unsettled.count()
-        if n_open == 0:
-            break
-        brackets = F.broadcast(unsettled) if n_open * 64 <= BROADCAST_BYTES else unsettled
-        # An ungrouped frame has one bracket per rank, so the join on a constant is one on few rows.
-        left = counts.withColumn("_all", F.lit(0))
-        inside = left.join(brackets.withColumn("_all", F.lit(0)), [*by, "_all"]).filter(
-            F.col("_v").between(F.col("_lo"), F.col("_hi")))
-        # Halving the terms keeps the width finite for values near the largest double.
-        share = (F.col("_v") / 2 - F.col("_lo") / 2) / (F.col("_hi") / 2 - F.col("_lo") / 2)
-        bucket = F.least(F.floor(share * BUCKETS), F.lit(BUCKETS - 1).cast("bigint"))
-        buckets = inside.groupBy(*keys, "_below", bucket.alias("_b")).agg(
-            F.sum("_c").alias("_c"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
-        w = Window.partitionBy(*keys).orderBy("_b")  # at most BUCKETS rows per rank
-        upto = F.col("_below") + F.sum("_c").over(w)
-        state = materialize(
-            buckets.withColumn("_upto", upto).withColumn("_before", F.col("_upto") - F.col("_c"))
-            .filter((F.col("_before") <= F.col("_rank")) & (F.col("_rank") < F.col("_upto")))
-            .select(*by, "_rank", "_lo", "_hi", F.col("_before").alias("_below")), "ranks")
-    values = union_all(found).select(*by, "_rank", F.col("_lo").alias("_value"))
-    both = asked.withColumn("_rank", ranks).join(values, keys)
-    per_prob = both.groupBy(*by, F.col("_w.name").alias("name")).agg(
-        F.min("_value").alias("lo"), F.max("_value").alias("hi"), F.first(F.col("_at") - F.floor("_at")).alias("part"))
-    line = F.col("lo") + F.col("part") * (F.col("hi") - F.col("lo"))
-    return per_prob.groupBy(*by).agg(*[F.max(F.when(F.col("name") == name, line)).alias(name) for name in probs])
+    # Each group has slices of neighbouring values; the rows below a slice are carried into it, so each wanted
+    # rank is found in one slice.
+    sliced = in_slices(counts, by, ["_v"], counts.count(), task_values)
+    spread = spread_groups(sliced, by, F.sum("_c").alias("_sum"))
+    below = Window.partitionBy(*by).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    carry = spread.select(*by, "_slice", F.coalesce(F.sum("_sum").over(below), F.lit(0)).alias("_below"),
+                          F.sum("_sum").over(Window.partitionBy(*by)).alias("_all"))
+    ranked = attach_carry(sliced.withColumns({
+        "_upto": F.sum("_c").over(within(by, "_v")), "_n": F.sum("_c").over(Window.partitionBy("_slice", *by))}), carry, by)
+    ranked = ranked.withColumns({"_upto": F.col("_upto") + F.coalesce("_below", F.lit(0)), "_n": F.coalesce("_all", "_n")})
+    at = lambda p: F.lit(float(p)) * (F.col("_n") - 1)
+    holds = lambda rank: (F.col("_upto") - F.col("_c") <= rank) & (rank < F.col("_upto"))
+    ends = ranked.groupBy(*by).agg(F.max("_n").alias("_n"), *[
+        F.max(F.when(holds(f(at(p))), F.col("_v"))).alias(f"_{side}{i}") for i, p in enumerate(probs.values()) for side, f in (("lo", F.floor), ("hi", F.ceil))])
+    line = lambda i, p: F.col(f"_lo{i}") + (at(p) - F.floor(at(p))) * (F.col(f"_hi{i}") - F.col(f"_lo{i}"))
+    return ends.select(*by, *[line(i, p).alias(name) for i, (name, p) in enumerate(probs.items())])

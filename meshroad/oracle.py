@@ -284,6 +284,12 @@ from (select station_id, cos(radians(station_lat)) * cos(radians(station_lon)) a
     "best_history_year": _with([*NEAR_CTES, _BEST], f"""select Crash_ID, Crash_Year, Nearest_Station_LocationId, Station_Count, Station_Year, year_gap,
   round(Station_Count * (a.vmt / b.vmt), 6) as Adt_Curnt_Amt
 from best left join {VMT.format('a')} on a.vmt_year = Crash_Year left join {VMT.format('b')} on b.vmt_year = Station_Year where k = 1"""),
+    "history_every_year": _with([CRASHES_RAW, STATIONS_RAW, RECORDS, f"""asked as (select case when Crash_ID % 3 = 0 then 'S7' else concat('S', Crash_ID % 1000) end as id,
+    cast(year({DATE}) + Crash_ID % 61 - 30 as int) as Crash_Year, count(*) as rows from crashes_raw group by 1, 2)""",
+    """ranked as (select a.*, r.Station_Count, r.Station_Year, abs(a.Crash_Year::bigint - r.Station_Year) as year_gap,
+    row_number() over (partition by a.id, a.Crash_Year order by abs(a.Crash_Year::bigint - r.Station_Year) asc nulls last, r.Station_Year desc, r.Station_Count desc) as k
+  from asked a left join records r on r.station_id = a.id and a.Crash_Year is not null)"""],
+    "select id as Nearest_Station_LocationId, Crash_Year, Station_Count, Station_Year, year_gap, rows from ranked where k = 1"),
     "volume_adjust": _with(ADJUSTED_CTES, f"""select Crash_ID, Crash_Year, Station_Year, Station_Count, year_gap, VMT_Crash, VMT_Station,
   {_r('VMT_Multiplier, Adt_Curnt_Amt')}, Adt_Curnt_Year, aadt_match_type from adjusted"""),
     "zip_edges": _with([TILES], _EDGES),

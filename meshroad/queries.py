@@ -125,6 +125,15 @@ def best_history_year(spark, d):
         "Crash_ID", "Crash_Year", "Nearest_Station_LocationId", "Station_Count", "Station_Year", "year_gap", "Adt_Curnt_Amt"))
 
 
+def history_every_year(spark, d):
+    """Best record for each station and year that is asked for, far outside the processed years too; a third of the rows ask one station."""
+    asked = clean.with_crash_year(testdata.crashes_raw(spark, d), STATE).selectExpr(
+        "case when Crash_ID % 3 = 0 then 'S7' else concat('S', Crash_ID % 1000) end as Nearest_Station_LocationId",
+        "cast(Crash_Year + Crash_ID % 61 - 30 as int) as Crash_Year", "cast(null as double) as Station_Count", "cast(null as bigint) as Station_Year")
+    found = nearest.best_history(asked, _records(spark, d))
+    return found.groupBy(*found.columns).agg(F.count(F.lit(1)).alias("rows"))
+
+
 def volume_adjust(spark, d):
     adjusted = volume.adjust_volume(_matched(spark, d), vmt_table(spark, [STATE]))
     return _round(adjusted.select(
@@ -345,6 +354,6 @@ QUERIES: dict[str, Query] = {
         sample_filled, per_year_summary, missing_reasons, fill_totals, distance_stats, year_gap_dist, volume_range,
         hist_year_gap, hist_distance, hist_volume, distance_bins, distance_bins_right_closed, validation_report,
         csv_crashes, csv_stations, validation_from_csv, audit_of_errors, audit_examples, zip_overlaps, name_match, audit_by_year,
-        state_validation,
+        state_validation, history_every_year,
     )
 }

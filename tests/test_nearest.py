@@ -166,9 +166,9 @@ def test_best_history(spark):
         "Crash_ID long, Crash_Year int, Nearest_Station_LocationId string").selectExpr(
         "*", "cast(null as double) as Station_Count", "cast(null as bigint) as Station_Year")
     want = {1: (10.0, 2016, 0), 2: (21.0, 2019, 1), 3: (7.0, None, None), 4: (2.0, 2021, 3), 5: (None, None, None)}
-    for bytes_ in (nearest.BROADCAST_BYTES, 0):
-        got = {r.Crash_ID: (r.Station_Count, r.Station_Year, r.year_gap) for r in nearest.best_history(m, rec, broadcast_bytes=bytes_).collect()}
-        assert got == want
+    for bytes_, rows in ((nearest.BROADCAST_BYTES, 10**6), (0, 10**6), (0, 2)):
+        found = nearest.best_history(m, rec, broadcast_bytes=bytes_, slice_rows=rows)
+        assert {r.Crash_ID: (r.Station_Count, r.Station_Year, r.year_gap) for r in found.collect()} == want
 
 
 def test_the_way_down_several_levels_takes_one_join(spark):
