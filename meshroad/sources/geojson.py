@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from meshroad.session import materialize
+from meshroad.sources.json_split import array_objects
 
 _POLYGON = "array<array<array<double>>>"
 # Geometry types that enclose no area.
@@ -41,7 +42,7 @@ def unreadable_features(features: DataFrame) -> DataFrame:
 
 
 def read_features(spark: SparkSession, path: str, zip_attribute: str = "ZCTA5CE10", line_delimited: bool = False) -> DataFrame:
-    """Features of a FeatureCollection document, or one feature per line for files too big for one task.
+    """Features of FeatureCollection documents, or one feature per line. Large documents are read by many tasks, too.
 
     Each feature gets an id of its own, also if another one is equal: equal features are kept as they are, and
     a point in both gets both codes. The parts of a GeometryCollection become features that share the id. The
@@ -52,8 +53,10 @@ def read_features(spark: SparkSession, path: str, zip_attribute: str = "ZCTA5CE1
     if line_delimited:
         rows = spark.read.schema(f"properties {properties}, geometry {geometry}").json(path).filter("properties is not null or geometry is not null")
     else:
-        doc = spark.read.schema(f"features array<struct<properties: {properties}, geometry: {geometry}>>").option("multiLine", True).json(path)
-        rows = doc.select(F.explode("features").alias("f")).select("f.properties", "f.geometry")
+        found = array_objects(spark, path).select("text", F.from_json("text", f"type string, properties {properties}, geometry {geometry}").alias("f"))
+        # Other arrays of a document may hold objects that are no features; what cannot be read is kept, to be found unreadable.
+        other = F.coalesce(F.col("f.type") != "Feature", F.col("f.properties").isNull() & F.col("f.geometry").isNull() & F.col("f.type").isNull())
+        rows = found.filter(~(other & F.get_json_object("text", "$").isNotNull())).select("f.properties", "f.geometry")
     rows = rows.withColumn("polygon_id", F.monotonically_increasing_id())
     parts = F.when(F.col("geometry.type") == "GeometryCollection", F.col("geometry.geometries")).otherwise(
         F.array(F.struct(F.col("geometry.type").alias("type"), F.col("geometry.coordinates").alias("coordinates"))))
