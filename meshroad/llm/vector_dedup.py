@@ -4,10 +4,10 @@ A vector is turned by three rounds of random signs and fast Hadamard transforms;
 magnitude, with its sign. A bucket of a table is given by several such hashes, the last one over the first few
 coordinates only, so that a table has at least `ROOM` times as many buckets as the largest label has classes (in few
 dimensions, as many as neighbourhoods of cosine 0.93 fill the sphere). Rows that meet a random vector of 32 dimensions in a
-table: 5.4, 7.5 and 11.3 of 5,000, 20,000 and 80,000, where the fewest functions give 5.4, 22 and 88. `FUNCTIONS` hashes are the fewest, with `TABLES` tables; each further one takes
-`MORE_TABLES` times the tables, as a pair of cosine 0.93 then meets in about 0.62 of the tables it met in before. Each
-vector stands in its own bucket and is also looked up in the buckets that it missed by least (multiprobe), `PROBES` in all.
-Vectors that meet in a bucket, at least one of them standing there, are compared in double precision.
+table: 5.4, 7.5 and 11.3 of 5,000, 20,000 and 80,000, measured. `FUNCTIONS` hashes are the fewest, with `TABLES` tables; each
+further one takes `MORE_TABLES` times the tables, as a pair of cosine 0.93 then meets in about 0.62 of the tables it met in
+before. Each vector stands in its own bucket and is also looked up in the buckets that it missed by least (multiprobe),
+`PROBES` in all. Vectors that meet in a bucket, at least one of them standing there, are compared in double precision.
 
 Equal vectors of one label form a class and are hashed once. Buckets of more than `BLOCK` rows are cut into blocks, and
 pairs of blocks are compared in tasks of bounded size. Pairs are never written out: a task gives the number of links of
