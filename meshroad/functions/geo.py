@@ -41,6 +41,11 @@ def chord(a: tuple[str, str, str], b: tuple[str, str, str]) -> str:
     return "sqrt(" + " + ".join(f"({p} - {q}) * ({p} - {q})" for p, q in zip(a, b)) + ")"
 
 
+def chord_miles(a: tuple[str, str, str], b: tuple[str, str, str]) -> str:
+    """Straight-line distance in miles, at most as long as the arc."""
+    return f"({num(EARTH_RADIUS_MILES)} * {chord(a, b)})"
+
+
 def chord_to_miles(c: str) -> str:
     return f"({num(2.0 * EARTH_RADIUS_MILES)} * asin(least({c} / 2D, 1D)))"
 

@@ -92,11 +92,23 @@ class Grid:
 
     def half_diagonal_miles(self, row: str, level: int | str = 0) -> str:
         """Upper bound on the distance from the centre of a cell to any point in it."""
+        along_col, along_row = self._half_sides(row, level)
+        return f"({num(EARTH_RADIUS_MILES)} * ({along_col} + {along_row}) + {num(EPS_MILES)})"
+
+    def half_chord_miles(self, row: str, level: int | str = 0) -> str:
+        """Upper bound on the straight line from the centre of a cell to any point in it.
+
+        The square of a chord is 4 (sin2(dlat / 2) + cos(lat1) cos(lat2) sin2(dlon / 2)), no more than the squared sides.
+        """
+        along_col, along_row = self._half_sides(row, level)
+        return f"({num(EARTH_RADIUS_MILES)} * sqrt(pow({along_col}, 2D) + pow({along_row}, 2D)) + {num(EPS_MILES)})"
+
+    def _half_sides(self, row: str, level: int | str) -> tuple[str, str]:
+        """Half a cell's height, and half its width where it is widest, as angles."""
         dlat, dlon = (num(math.radians(size) / 2) for size in (self.height, self.width))
         mid = self.bottom(f"{row} + 0.5D", level)
         nearest_equator = f"greatest(abs({mid}) - {num(self.height / 2)} / {_scale(level)}, 0D)"
-        along_row = f"{dlon} / {_scale(level)} * cos(radians({nearest_equator}))"
-        return f"({num(EARTH_RADIUS_MILES)} * ({dlat} / {_scale(level)} + {along_row}) + {num(EPS_MILES)})"
+        return f"{dlat} / {_scale(level)}", f"{dlon} / {_scale(level)} * cos(radians({nearest_equator}))"
 
     def with_reach(self, df: DataFrame, lat: str, lon: str, miles: float) -> DataFrame:
         """Adds `_r0`, `_r1`, `_c0`, `_c1`: the level-0 rows and columns a circle can reach.

@@ -21,16 +21,20 @@ def lookup_join(
     broadcastable: bool,
     slice_rows: int = SLICE_ROWS,
     how: str = "left",
+    most: int | None = None,
 ) -> DataFrame:
     """Join `right`, which has at most one row per key, onto `left`.
 
     With a right side of proven small size this is a broadcast join and `left` is not shuffled.
     Otherwise both sides are shuffled on the key plus a slice number. A key with n rows on the
-    left gets ceil(n / slice_rows) slices, and its one right row is copied to each of them.
+    left gets ceil(n / slice_rows) slices, and its one right row is copied to each of them. `most` tells the largest n
+    where it is known, so that it need not be counted.
     """
     on = list(on)
     if broadcastable:
         return left.join(F.broadcast(right), on, how)
+    if most is not None and most <= slice_rows:
+        return left.join(right.hint("shuffle_merge"), on, how)
     # At most total_rows / slice_rows keys are hot, so this table stays small. It is written out, as
     # a plan that held `left` three times would triple with every further join.
     hot = materialize(

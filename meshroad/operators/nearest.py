@@ -5,7 +5,8 @@ nearest one for some point of the cell. A station s can be that only if
     d(centre, s) <= min over stations of d(centre, .) + 2 * half diagonal,
 by the triangle inequality, and if it beats the centre's nearest station at some corner. Cells that keep too many stations are split and pruned again,
 so no cell's list grows with the data, however dense the stations are in one place. The points
-then need one equi join on the cell.
+then need one equi join on the cell. Pruning compares chords, which need no inverse functions: they obey the triangle
+inequality too, and none is longer than its arc.
 """
 
 from __future__ import annotations
@@ -17,10 +18,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from meshroad.config import BBox, EARTH_RADIUS_MILES, MAX_STATION_MILES
-from meshroad.functions.geo import chord, haversine_miles, num, unit_xyz
+from meshroad.functions.geo import chord, chord_miles, haversine_miles, num, unit_xyz
 from meshroad.operators.asof import closest_in_time
 from meshroad.operators.clean import first_per_key
-from meshroad.operators.grid import EPS_MILES, MAX_LEVEL, PARTS, SPLIT, WIDE_ENTRIES, CellIndex, Grid
+from meshroad.operators.grid import EPS_DEGREES, EPS_MILES, MAX_LEVEL, PARTS, SPLIT, TREE_LEVELS, WIDE_ENTRIES, CellIndex, Grid
 from meshroad.operators.joins import lookup_join, union_all
 from meshroad.operators.slices import SLICE_ROWS
 from meshroad.session import BROADCAST_BYTES, materialize
@@ -31,10 +32,14 @@ MAX_CANDIDATES = 128
 SPLIT_ABOVE = 32
 # Upper bound of one station entry in the index, in bytes.
 ENTRY_BYTES = 128
-# Upper bound of one split cell in the index: each may be the only one in a bit map of 69 words.
+# Upper bound of the splits below one cell in the index, a bit map of 69 words.
 TREE_BYTES = 69 * 8 + 64
+# Upper bound of a cell's closest station as it is broadcast, in bytes.
+CLOSEST_BYTES = 256
 # Levels that box cells and station cells go down together, at most.
 COARSE_LEVELS = 6
+# Box cells go down with station cells while they have so many times the wanted candidates; below that stations cost less.
+COARSE_ABOVE = 64
 # A cell of so many stations stays whole if its parts together have so many times its entries.
 STUCK_ABOVE, STUCK_GROWTH = 1024, 3
 # Distances are compared in steps of 1e-9 mile, so that rounding noise cannot break a tie.
@@ -86,7 +91,7 @@ def radius_index(
         leaves = _gather(pairs.withColumn("cell", F.expr(grid.cell("_row", "_col"))), [*by, "cell"])
         return CellIndex(grid, leaves, None, 0, by, (crowd.copies or 0) * ENTRY_BYTES <= broadcast_bytes)
     pairs = grid.explode_reach(spread(_one_per_place(stations, by)))
-    return _refine(pairs.selectExpr("*", "0 as _level"), grid, by, radius_miles, crowd.copies, min(max_candidates, SPLIT_ABOVE), broadcast_bytes)
+    return _refine(pairs.selectExpr("*", "0 as _level"), grid, by, radius_miles, min(max_candidates, SPLIT_ABOVE), broadcast_bytes)
 
 
 def unbounded_index(
@@ -112,8 +117,7 @@ def unbounded_index(
     places = materialize(_one_per_place(stations, by), "places")
     depth = min(COARSE_LEVELS, max(0, math.ceil(math.log(max(1, places.count()) / max_candidates, SPLIT * SPLIT))))
     pairs, splits = _descend(places, grid, by, bounds, depth, max_candidates, broadcast_bytes)
-    roots = (bounds["_r1"] - bounds["_r0"] + 1) * (bounds["_c1"] - bounds["_c0"] + 1)
-    return _refine(pairs, grid, by, None, roots * SPLIT ** (2 * depth), max_candidates, broadcast_bytes, splits)
+    return _refine(pairs, grid, by, None, max_candidates, broadcast_bytes, splits)
 
 
 def _station_cells(places: DataFrame, grid: Grid, by: tuple[str, ...], depth: int) -> DataFrame:
@@ -136,11 +140,13 @@ def _descend(places: DataFrame, grid: Grid, by: tuple[str, ...], bounds: dict[st
         scored = pairs.select(*here).selectExpr(
             "*", f"{haversine_miles(*q, 'one.lat', 'one.lon')} as _one", f"{haversine_miles(*q, *c)} as _d",
             f"{grid.half_diagonal_miles('_row', level)} as _h", f"{grid.half_diagonal_miles('_sr', level)} as _hs")
-        least = scored.groupBy(*keys).agg(F.min("_one").alias("_u"))
-        near = scored.join(least.hint("shuffle_merge"), keys).filter(f"_d - _hs <= _u + 2D * _h + {num(EPS_MILES)}")
+        least = materialize(scored.groupBy(*keys).agg(F.min("_one").alias("_u"), F.count(F.lit(1)).alias("_rows")), "least")
+        cells = least.agg(F.count(F.lit(1)).alias("n"), F.max("_rows").alias("most")).first()
+        near = lookup_join(scored, least.drop("_rows"), keys, broadcastable=cells.n * CLOSEST_BYTES <= broadcast_bytes, how="inner", most=cells.most).filter(
+            f"_d - _hs <= _u + 2D * _h + {num(EPS_MILES)}")
         kept = materialize(near.select(*here), "cell-pairs")
         sizes = kept.groupBy(*keys).agg(F.sum("n").alias("_all"))
-        crowded = materialize(sizes.filter(F.col("_all") > 4 * max_candidates).select(*keys), "crowded") if level < depth else None
+        crowded = materialize(sizes.filter(F.col("_all") > COARSE_ABOVE * max_candidates).select(*keys), "crowded") if level < depth else None
         n_crowded = crowded.count() if crowded is not None else 0
         if not n_crowded:
             ready.append(kept)
@@ -162,34 +168,78 @@ def _descend(places: DataFrame, grid: Grid, by: tuple[str, ...], bounds: dict[st
     return union_all(out), splits
 
 
-def _mark_beaten(near: DataFrame, grid: Grid, keep: Sequence[str]) -> DataFrame:
-    """Adds `_beaten`: the cell's `_closest._p` is nearer than `_p` to every point of the cell.
+def _corners(closest: DataFrame, grid: Grid, keep: Sequence[str]) -> DataFrame:
+    """Sines and cosines of each cell's borders, and how much the cell bulges out of its corners, for `_BEATEN`.
 
-    p is nearer to a than to b where p . (a - b) > 0. That is linear in p, so the four corners
-    decide, up to the little that a cell on the sphere bulges out of its corners' flat hull.
-    Built in small steps, as one large expression would be too big for the JVM to compile.
+    Made once per cell, and in small steps, as a method that is too long is not compiled by the JVM and runs many times slower.
     """
     degrees = {"_s": grid.bottom("_row", "_level"), "_n": grid.bottom("_row + 1", "_level"),
                "_w": grid.left("_col", "_level"), "_e": grid.left("_col + 1", "_level")}
-    steps = near.selectExpr(
-        *keep, "_h", *[f"_closest._p.{c} - _p.{c} as _{c}" for c in "xyz"], *[f"radians({v}) as {k}" for k, v in degrees.items()])
-    steps = steps.selectExpr(
-        *keep, "sqrt(_x * _x + _y * _y + _z * _z) as _length", f"_h / {num(EARTH_RADIUS_MILES)} as _angle",
-        "cos(_s) as _cs", "cos(_n) as _cn", "sin(_s) * _z as _zs", "sin(_n) * _z as _zn",
-        "cos(_w) * _x + sin(_w) * _y as _aw", "cos(_e) * _x + sin(_e) * _y as _ae")
-    bulge = "_length * _angle * _angle * (1D + 1D / least(_cs, _cn)) + 1e-15D"
-    worst = "least(_cs * _aw + _zs, _cs * _ae + _zs, _cn * _aw + _zn, _cn * _ae + _zn)"
-    return steps.selectExpr(*keep, f"(least(_cs, _cn) > 0.01D and {worst} > {bulge}) as _beaten")
+    steps = closest.selectExpr(*keep, f"{grid.half_diagonal_miles('_row', '_level')} / {num(EARTH_RADIUS_MILES)} as _angle",
+                               f"{grid.half_chord_miles('_row', '_level')} as _h", *[f"radians({v}) as {k}" for k, v in degrees.items()])
+    steps = steps.selectExpr(*keep, "_angle", "_h", *[f"{f}({v}) as {f}{v}" for v in degrees for f in ("sin", "cos")])
+    return steps.selectExpr(*keep, "_h", *[f"{f}{v}" for v in degrees for f in ("sin", "cos")],
+                            "if(least(cos_s, cos_n) > 0.01D, _angle * _angle * (1D + 1D / least(cos_s, cos_n)), null) as _bulge")
+
+
+# The cell's closest station, at c, is nearer than the station, at p, to every point of the cell. A point q is nearer to c
+# where q . (c - p) > 0. That is linear in q, so the four corners decide, up to the little that a cell on the sphere bulges
+# out of its corners' flat hull. Null near the poles, where nothing is left out.
+_CORNER = "cos{a} * (cos{o} * (_cx - _px) + sin{o} * (_cy - _py)) + sin{a} * (_cz - _pz)"
+_BEATEN = "least({}) > sqrt(pow(_cx - _px, 2D) + pow(_cy - _py, 2D) + pow(_cz - _pz, 2D)) * _bulge + 1e-15D".format(
+    ", ".join(_CORNER.format(a=a, o=o) for a in ("_s", "_n") for o in ("_w", "_e")))
+
+
+def _spread(before: DataFrame, grid: Grid, by: tuple[str, ...], station_cols: Sequence[str], broadcast_bytes: int) -> DataFrame:
+    """(part, station) pairs of cells that are split, those parts left out that are clearly too far from the station.
+
+    The stations inside a cell bound the distance from the centre of each of its parts, so a station matters only to
+    parts near it. In a cell without a station of its own all pairs are made.
+    """
+    keys, cell = [*by, "cell"], ["_row", "_col", "_level"]
+    inside = f"_row = {grid.row('station_lat', '_level')} and _col = {grid.wrap(grid.col('station_lon', '_level'), '_level')}"
+    parts = before.filter(inside).selectExpr(*keys, "station_lat", "station_lon", *cell, f"explode({PARTS}) as _q").selectExpr(
+        *keys, "station_lat", "station_lon", f"_row * {SPLIT} + _q.r as _row", f"_col * {SPLIT} + _q.c as _col", "_level + 1 as _level")
+    bounds = _scored(parts, grid, keys).groupBy(*keys, "_row", "_col").agg(F.min("_d").alias("_d")).groupBy(*keys).agg(F.max("_d").alias("_far"))
+    bounds = materialize(bounds, "reach")
+    near = lookup_join(before, bounds, keys, broadcastable=bounds.count() * CLOSEST_BYTES <= broadcast_bytes)
+    # Half the diagonal of the whole is twice that of a part. An angle as wide as the chord, and its extent in longitude.
+    miles = f"(_far + {grid.half_chord_miles('_row', '_level')} / 2D + {num(3 * EPS_MILES)})"
+    near = near.selectExpr(*station_cols, *cell, f"2D * asin(least({miles} / {num(2 * EARTH_RADIUS_MILES)}, 1D)) as _angle")
+    near = near.selectExpr(*station_cols, *cell, "degrees(_angle) as _north",
+                           "case when abs(station_lat) + degrees(_angle) < 89.9D then degrees(asin(least(sin(_angle) / cos(radians(station_lat)), 1D))) end as _east")
+    # Columns are not cut where the extent is unknown or crosses the antimeridian. Small steps, so that the JVM can compile them.
+    near = near.selectExpr(*station_cols, "_row", "_col", "_level + 1 as _level", "_north", "_east",
+                           "(_east is not null and station_lon - _east > -179.9D and station_lon + _east < 179.9D) as _cut")
+    ends = [("_r0", "_row", "_north is not null", grid.row(f"(station_lat - _north - {num(EPS_DEGREES)})", "_level"), 0),
+            ("_r1", "_row", "_north is not null", grid.row(f"(station_lat + _north + {num(EPS_DEGREES)})", "_level"), SPLIT - 1),
+            ("_c0", "_col", "_cut", grid.col(f"(station_lon - _east - {num(EPS_DEGREES)})", "_level"), 0),
+            ("_c1", "_col", "_cut", grid.col(f"(station_lon + _east + {num(EPS_DEGREES)})", "_level"), SPLIT - 1)]
+    near = near.selectExpr(*station_cols, "_row", "_col", "_level", *[f"if({known}, {at}, null) as {name}" for name, _, known, at, _ in ends])
+    near = near.selectExpr(*station_cols, "_level", *[
+        f"{'least' if last else 'greatest'}({whole} * {SPLIT} + {last}, {name}) as {name}" for name, whole, _, _, last in ends])
+    span = lambda a, b: f"if({a} <= {b}, sequence({a}, {b}), array())"
+    near = near.selectExpr(*station_cols, "_level", "_c0", "_c1", f"explode({span('_r0', '_r1')}) as _row")
+    return near.selectExpr(*station_cols, "_row", f"explode({span('_c0', '_c1')}) as _col", "_level")
+
+
+def _scored(pairs: DataFrame, grid: Grid, keep: Sequence[str]) -> DataFrame:
+    """Adds the station's position (`_px`, `_py`, `_pz`) and its chord from the cell's centre in miles (`_d`)."""
+    station = unit_xyz("station_lat", "station_lon")
+    center = grid.center("_row", "_col", "_level")
+    steps = pairs.selectExpr(*keep, "_row", "_col", "_level", *[f"{v} as _p{c}" for c, v in zip("xyz", station)], f"{center[0]} as _qa", f"{center[1]} as _qo")
+    steps = steps.selectExpr(*keep, "_row", "_col", "_level", "_px", "_py", "_pz", *[f"{v} as _q{c}" for c, v in zip("xyz", unit_xyz("_qa", "_qo"))])
+    return steps.selectExpr(*keep, "_row", "_col", "_level", "_px", "_py", "_pz", f"{chord_miles(('_px', '_py', '_pz'), ('_qx', '_qy', '_qz'))} as _d")
 
 
 def _refine(
-    pairs: DataFrame, grid: Grid, by: tuple[str, ...], radius: float | None, cells_bound: int,
+    pairs: DataFrame, grid: Grid, by: tuple[str, ...], radius: float | None,
     max_candidates: int, broadcast_bytes: int, splits: Sequence[DataFrame] = (),
 ) -> CellIndex:
     """Prune (cell, station) pairs and split crowded cells until every list is short.
 
     The pairs may be of cells of several levels (`_level`). The loop runs on the driver; the pairs stay in tables in the
-    shared folder. `cells_bound` is an upper bound on the number of cells at first, `splits` those split before. Cells whose
+    shared folder. `splits` are the cells split before. Cells whose
     parts do not get shorter lists, and those of the last level that are still too long, get several rows.
     """
     keys = [*by, "cell"]
@@ -199,17 +249,16 @@ def _refine(
     before, n_before = None, 0  # rows of the cells that were split last
     parent = grid.cell(f"(_row div {SPLIT})", f"(_col div {SPLIT})", "(_level - 1)")
     while True:
-        scored = pairs.selectExpr(
-            *station_cols, *cell, f"{grid.cell('_row', '_col', '_level')} as cell",
-            f"{haversine_miles(*grid.center('_row', '_col', '_level'), 'station_lat', 'station_lon')} as _d",
-            f"{grid.half_diagonal_miles('_row', '_level')} as _h",
-            "struct({} as x, {} as y, {} as z) as _p".format(*unit_xyz("station_lat", "station_lon")))
-        if radius is not None:
-            scored = scored.filter(f"_d <= {num(radius)} + _h")
-        closest = scored.groupBy(*keys).agg(F.min(F.struct("_d", "_p")).alias("_closest"))
-        near = lookup_join(scored, closest, keys, broadcastable=cells_bound * 64 <= broadcast_bytes, how="inner").filter(
-            f"_d <= _closest._d + 2D * _h + {num(EPS_MILES)}")
-        kept = materialize(_mark_beaten(near, grid, [*station_cols, *cell, "cell"]).filter("not _beaten").drop("_beaten"), "candidates")
+        scored = _scored(pairs, grid, station_cols).withColumn("cell", F.expr(grid.cell("_row", "_col", "_level")))
+        closest = scored.groupBy(*keys).agg(
+            F.min("_d").alias("_least"), *[F.min_by(f"_p{c}", "_d").alias(f"_c{c}") for c in "xyz"], F.count(F.lit(1)).alias("_rows"))
+        closest = closest.selectExpr("*", *[f"{v} as {k}" for k, v in grid.place("cell").items()])
+        closest = materialize(_corners(closest, grid, [*keys, "_least", "_cx", "_cy", "_cz", "_rows"]), "closest")
+        cells = closest.agg(F.count(F.lit(1)).alias("n"), F.max("_rows").alias("most")).first()
+        near = lookup_join(scored, closest.drop("_rows"), keys, broadcastable=cells.n * CLOSEST_BYTES <= broadcast_bytes, how="inner", most=cells.most)
+        reach = f"_least + 2D * _h + {num(EPS_MILES)}"
+        near = near.filter(f"_d <= {reach if radius is None else f'least({reach}, {num(radius)} + _h)'}")
+        kept = materialize(near.filter(f"not coalesce({_BEATEN}, false)").select(*station_cols, *cell, "cell"), "candidates")
         if before is not None:
             # Where the parts together have much more than the whole had, splitting does not shorten the lists fast enough
             # (stations around a circle, seen from near its centre): the whole stays, in several rows.
@@ -239,10 +288,8 @@ def _refine(
         if not total.crowded:
             break
         splits.append(full.filter(f"cell % 16 < {MAX_LEVEL}").select(*keys))
-        cells_bound = total.crowded * SPLIT * SPLIT
         before = marked.filter(f"_n is not null and _level < {MAX_LEVEL}")
-        pairs = before.selectExpr(*station_cols, *cell, f"explode({PARTS}) as _q").selectExpr(
-            *station_cols, f"_row * {SPLIT} + _q.r as _row", f"_col * {SPLIT} + _q.c as _col", "_level + 1 as _level")
+        pairs = materialize(_spread(before, grid, by, station_cols, broadcast_bytes), "parts")
     several = None
     if wide:
         part = f"cast(pmod(xxhash64(station_id, station_lat, station_lon), ceil(_n / {WIDE_ENTRIES})) as int) as _part"
@@ -253,9 +300,10 @@ def _refine(
     if not splits:
         return CellIndex(grid, table, None, 0, by, fits, wide=several, wide_broadcastable=n_wide * ENTRY_BYTES <= broadcast_bytes)
     found = materialize(union_all(splits).withColumn("_level", F.expr("cell % 16")), "split-cells")
-    size = found.agg(F.count(F.lit(1)).alias("n"), F.max("_level").alias("deepest")).first()
+    # A bit map belongs to a split cell of every fourth level.
+    size = found.agg(F.count_if(F.col("_level") % TREE_LEVELS == 0).alias("trees"), F.max("_level").alias("deepest")).first()
     return CellIndex(grid, materialize(table, "station-cells"), found.drop("_level"), 0 if size.deepest is None else size.deepest + 1, by, fits,
-                     size.n * TREE_BYTES <= broadcast_bytes, several, n_wide * ENTRY_BYTES <= broadcast_bytes)
+                     size.trees * TREE_BYTES <= broadcast_bytes, several, n_wide * ENTRY_BYTES <= broadcast_bytes)
 
 
 def _best_station(points: DataFrame, index: CellIndex, lat: str, lon: str) -> DataFrame:

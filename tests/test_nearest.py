@@ -242,3 +242,16 @@ def test_two_trees_pair_few_stations(spark):
     index = unbounded_index(s, BBox(29, 31, -99, -97))
     entries = index.leaves.selectExpr("sum(size(stations)) as n", "max(size(stations)) as longest").first()
     assert entries.longest <= nearest.SPLIT_ABOVE and entries.n <= 8 * len(stations)
+
+
+def test_parts_of_a_cell_are_paired_with_near_stations_only(spark):
+    stations = cloud(4000, 31, (30.0, 30.1), (-98.1, -98.0))
+    _, s = frames(spark, [(30, -98)], stations)
+    grid = radius_index(frames(spark, [(0, 0)], [(0, 0)])[1], max_abs_lat=31).grid
+    whole = grid.explode_reach(grid.with_reach(s, "station_lat", "station_lon", 1.0)).selectExpr("*", "0 as _level", f"{grid.cell('_row', '_col')} as cell")
+    parts = nearest._spread(whole, grid, (), s.columns, nearest.BROADCAST_BYTES)
+    inner = parts.filter("station_lat between 30.04 and 30.06 and station_lon between -98.06 and -98.04")
+    rows, n = inner.count(), inner.select("station_id").distinct().count()
+    assert n > 100 and rows <= 40 * n  # 16 parts of 9 cells and more, if all were paired
+    own = inner.filter(f"_row = {grid.row('station_lat', 1)} and _col = {grid.wrap(grid.col('station_lon', 1), 1)}")
+    assert own.count() == n
