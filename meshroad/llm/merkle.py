@@ -19,6 +19,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import re
+import struct
 from bisect import bisect_left
 from collections import Counter
 
@@ -44,20 +45,29 @@ def _hash(parts: bytes) -> bytes:
     return hashlib.blake2b(parts, digest_size=16).digest()
 
 
-def fingerprint(text: str | None) -> str:
-    """The Merkle tree of a text as one string."""
+def _paragraph(line: str) -> tuple[bytes, bytes, bytes]:
+    """Of one line the hash, its entry in a fingerprint and those of its leaves."""
+    end = len(line) if len(line) <= BEGINNING else line.rfind(" ", 0, BEGINNING) + 1 or BEGINNING
+    pieces = WORD_LEAF.findall(line[:end]) + LEAF.findall(line[end:]) or [""]
+    pieces[-1] += "\n"  # the last line gets one too, which all texts share
+    hashes = [xxhash.xxh3_128_digest(p.encode()) for p in pieces]
+    node = _hash(b"p" + b"".join(hashes))
+    return node, node[:6] + len(pieces).to_bytes(4, "big"), b"".join([h[:3] + bytes((min(len(p), 255),)) for h, p in zip(hashes, pieces)])
+
+
+def fingerprint(text: str | None, known: dict[str, tuple[bytes, bytes, bytes]] | None = None) -> str:
+    """The Merkle tree of a text as one string. `known` holds paragraphs by line, and gets those of this text."""
     text = text or ""
+    known = {} if known is None else known
     sections, paragraphs, leaves = [], [], []
     open_section: list[bytes] = []
-    digest = xxhash.xxh3_128_digest
     for line in text.split("\n") if text else []:
-        end = len(line) if len(line) <= BEGINNING else line.rfind(" ", 0, BEGINNING) + 1 or BEGINNING
-        pieces = WORD_LEAF.findall(line[:end]) + LEAF.findall(line[end:]) or [""]
-        pieces[-1] += "\n"  # the last line gets one too, which all texts share
-        hashes = [digest(p.encode()) for p in pieces]
-        leaves += [h[:3] + bytes((min(len(p), 255),)) for h, p in zip(hashes, pieces)]
-        node = _hash(b"p" + b"".join(hashes))
-        paragraphs.append(node[:6] + len(pieces).to_bytes(4, "big"))
+        made = known.get(line)
+        if made is None:
+            made = known[line] = _paragraph(line)
+        node, paragraph, below = made
+        paragraphs.append(paragraph)
+        leaves.append(below)
         open_section.append(node)
         if node[-1] % SECTION_EVERY == 0:
             sections.append((_hash(b"s" + b"".join(open_section)), len(open_section)))
@@ -84,13 +94,16 @@ class Tree:
         return int((self.leaves & 255).sum())
 
 
-def _in_order(a: np.ndarray, b: np.ndarray) -> list[tuple[int, int]]:
+def _in_order(a: list[int], b: list[int]) -> list[tuple[int, int]]:
     """Places of equal values in both lists, ascending in both: the k-th of a value meets the k-th, then the longest ascending run counts."""
-    mine, theirs = np.flatnonzero(np.isin(a, b)).tolist(), np.flatnonzero(np.isin(b, a)).tolist()
+    common = set(a).intersection(b)
+    if not common:
+        return []
     waiting: dict[int, list[int]] = {}
-    for j in reversed(theirs):
-        waiting.setdefault(int(b[j]), []).append(j)
-    met = [(i, q.pop()) for i in mine if (q := waiting[int(a[i])])]
+    for j in range(len(b) - 1, -1, -1):
+        if b[j] in common:
+            waiting.setdefault(b[j], []).append(j)
+    met = [(i, q.pop()) for i, v in enumerate(a) if v in common and (q := waiting[v])]
     ends, tails, before = [], [], []
     for n, (_, j) in enumerate(met):
         k = bisect_left(ends, j)
@@ -112,42 +125,53 @@ def _gaps(matched: list[tuple[int, int]], a: tuple[int, int], b: tuple[int, int]
         i0, j0 = i + 1, j + 1
 
 
-def _levels(body: str) -> list[tuple[np.ndarray, np.ndarray]]:
+Levels = list[tuple[list[int], list[int]]]
+
+
+def _levels(body: str) -> Levels:
     """Per level of the tree the hashes of its nodes, and where the nodes below each begin (for leaves: the characters)."""
     sections, paragraphs, leaves = (base64.b64decode(p) for p in body.split("."))
     out = []
     for raw in (sections, paragraphs):
-        nodes = np.frombuffer(raw, dtype=np.dtype([("high", ">u2"), ("low", ">u4"), ("n", ">u4")]))
-        out.append(((nodes["high"].astype(np.int64) << 32) | nodes["low"], np.concatenate([[0], np.cumsum(nodes["n"].astype(np.int64))])))
+        nodes = struct.Struct(">HII")
+        hashes, starts = [], [0]
+        for high, low, n in nodes.iter_unpack(raw):
+            hashes.append((high << 32) | low)
+            starts.append(starts[-1] + n)
+        out.append((hashes, starts))
     values = np.frombuffer(leaves, dtype=">u4").astype(np.int64)
-    return [*out, (values, np.concatenate([[0], np.cumsum(values & 255)]))]
+    return [*out, (values.tolist(), [0, *np.cumsum(values & 255).tolist()])]
+
+
+def opened(mark: str) -> tuple[str, Levels]:
+    """A fingerprint as its root and its levels, to be compared several times."""
+    root, _, body = mark.partition(".")
+    return root, _levels(body)
 
 
-def likeness(a: str, b: str) -> float:
+def likeness(a: str | tuple[str, Levels], b: str | tuple[str, Levels]) -> float:
     """Length of what two trees share in the same order, as a share of the length of both.
 
     Equal roots are equal texts. Below differing roots, sections with equal hashes that stand in the same order are shared
     whole; what lies between them is opened into paragraphs, and what lies between shared paragraphs into leaves.
     """
-    root_a, _, body_a = a.partition(".")
-    root_b, _, body_b = b.partition(".")
+    (root_a, x), (root_b, y) = (opened(m) if isinstance(m, str) else m for m in (a, b))
     if root_a == root_b:
         return 1.0
-    x, y = _levels(body_a), _levels(body_b)
-    total, shared = int(x[2][1][-1] + y[2][1][-1]), 0
+    total, shared = x[2][1][-1] + y[2][1][-1], 0
     todo = [((0, len(x[0][0])), (0, len(y[0][0])))]
     for level in range(3):
         (hashes, below), (others, other_below) = x[level], y[level]
-        opened = []
+        between = []
         for (i0, i1), (j0, j1) in todo:
             matched = [(i0 + i, j0 + j) for i, j in _in_order(hashes[i0:i1], others[j0:j1])]
             for i, _ in matched:
                 first, last = below[i], below[i + 1]
                 for deeper in x[level + 1:]:  # down to characters
                     first, last = deeper[1][first], deeper[1][last]
-                shared += int(last - first)
-            opened += [((int(below[p]), int(below[q])), (int(other_below[r]), int(other_below[t]))) for (p, q), (r, t) in _gaps(matched, (i0, i1), (j0, j1))]
-        todo = opened
+                shared += last - first
+            between += [((below[p], below[q]), (other_below[r], other_below[t])) for (p, q), (r, t) in _gaps(matched, (i0, i1), (j0, j1))]
+        todo = between
     return min(1.0, 2.0 * shared / total) if total else 0.0
 
 
@@ -240,13 +264,15 @@ def with_neighbour_edits(docs: DataFrame, doc_id: str = "doc_id", text: str = "t
         for batch in batches:
             made = []
             for key, words, part, copy in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "_text", "_part", "_copy"))):
-                mark = fingerprint(words)
+                lines: dict[str, tuple[bytes, bytes, bytes]] = {}
+                mark = fingerprint(words, lines)
+                tree = opened(mark)
                 if held is not None and held[2] == part:
                     new = edited(held[1], words)
-                    after = fingerprint(new)
+                    after = fingerprint(new, held[5] | lines)  # most lines of the edited text are those of the two
                     made.append((held[0], len(held[1]), hashlib.sha256(new.encode()).hexdigest(), held[3], after,
-                                 likeness(held[3], after), likeness(held[3], mark)))
-                held = None if copy else (key, words, part, mark)
+                                 likeness(held[4], opened(after)), likeness(held[4], tree)))
+                held = None if copy else (key, words, part, mark, tree, lines)
             if made:
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*made), schema)], schema=schema)
 

@@ -155,3 +155,13 @@ def test_edited_texts_are_nearer_than_the_next_documents(spark, sf_dir):
         assert r.near_edited == pytest.approx(merkle.likeness(r.fingerprint, merkle.fingerprint(edited)))
         assert len(t) <= 200 or t == n or r.near_edited > r.near_next, (r.doc_id, r.near_edited, r.near_next)
         assert 0 <= r.near_next <= 1 and 0 <= r.near_edited <= 1
+
+
+def test_a_line_is_hashed_once_for_a_text_and_its_edited_text(monkeypatch):
+    text, following = ("\n".join(f"{name} line {i} of the text." for i in range(40)) for name in ("one", "next"))
+    known, made, paragraph = {}, [], merkle._paragraph
+    monkeypatch.setattr(merkle, "_paragraph", lambda line: made.append(line) or paragraph(line))
+    marks = [merkle.fingerprint(t, known) for t in (text, following, merkle.edited(text, following))]
+    assert len(made) <= 82  # the edited text adds the two lines that were cut
+    assert marks == [merkle.fingerprint(t) for t in (text, following, merkle.edited(text, following))]
+    assert merkle.likeness(merkle.opened(marks[0]), merkle.opened(marks[2])) == merkle.likeness(marks[0], marks[2])
