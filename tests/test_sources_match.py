@@ -3,7 +3,7 @@ import json
 import pytest
 
 from meshroad.config import BBox, INCIDENT_NAME_VARIANTS, STATION_NAME_VARIANTS, StateConfig, TEXAS, TEXAS_VMT
-from meshroad.operators.match import match_names, propose_names
+from meshroad.operators.match import candidate_pairs, match_names, propose_names
 from meshroad.plans.enrich import OUTPUT_COLUMNS, enrich
 from meshroad.sources import sinks
 from meshroad.sources.csv import csv_columns, file_columns, read_crashes, read_csv_text, read_stations
@@ -191,3 +191,15 @@ def test_names_of_two_tables(spark):
         assert "Cross" not in plan and "SortMergeJoin" in df._jdf.queryExecution().executedPlan().toString()
     with pytest.raises(ValueError, match="least"):
         match_names(df, df, least=60)
+
+
+def test_names_of_few_words_meet_few_others(spark):
+    """Names made of few words share most pieces; the candidates must not be all pairs."""
+    colours, things, brands, kinds = "large small red blue hot cold".split(), "ring bolt plate screw".split(), range(1, 26), "ECONOMY LARGE PROMO".split()
+    right = [f"{c} {t} Brand#{b} {k}" for c in colours for t in things for b in brands for k in kinds]
+    left = [n[:i % len(n)] + n[i % len(n) + 1:] for i, n in enumerate(right)]
+    frames = [spark.createDataFrame([(n,) for n in names], "name string") for names in (left, right)]
+    plain = [f.selectExpr("lower(regexp_replace(name, '[^A-Za-z0-9]', '')) as plain").distinct() for f in frames]
+    assert candidate_pairs(*plain, 95).count() < len(left) * len(right) / 10
+    got = {r.name: (r.match, r.score) for r in match_names(*frames).collect()}
+    assert set(got) == set(left) and all(m is not None and s >= 90 for m, s in got.values())
