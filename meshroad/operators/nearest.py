@@ -168,8 +168,8 @@ def _descend(places: DataFrame, grid: Grid, by: tuple[str, ...], bounds: dict[st
     return union_all(out), splits
 
 
-def _corners(closest: DataFrame, grid: Grid, keep: Sequence[str]) -> DataFrame:
-    """Sines and cosines of each cell's borders, and how much the cell bulges out of its corners, for `_BEATEN`.
+def _corners(closest: DataFrame, grid: Grid, keep: Sequence[str], reach: str) -> DataFrame:
+    """Sines and cosines of each cell's borders, how much the cell bulges out of its corners, for `_BEATEN`, and `reach`.
 
     Made once per cell, and in small steps, as a method that is too long is not compiled by the JVM and runs many times slower.
     """
@@ -178,16 +178,17 @@ def _corners(closest: DataFrame, grid: Grid, keep: Sequence[str]) -> DataFrame:
     steps = closest.selectExpr(*keep, f"{grid.half_diagonal_miles('_row', '_level')} / {num(EARTH_RADIUS_MILES)} as _angle",
                                f"{grid.half_chord_miles('_row', '_level')} as _h", *[f"radians({v}) as {k}" for k, v in degrees.items()])
     steps = steps.selectExpr(*keep, "_angle", "_h", *[f"{f}({v}) as {f}{v}" for v in degrees for f in ("sin", "cos")])
-    return steps.selectExpr(*keep, "_h", *[f"{f}{v}" for v in degrees for f in ("sin", "cos")],
-                            "if(least(cos_s, cos_n) > 0.01D, _angle * _angle * (1D + 1D / least(cos_s, cos_n)), null) as _bulge")
+    return steps.selectExpr(*[c for c in keep if c != "_least"], f"{reach} as _reach", *[f"{f}{v}" for v in degrees for f in ("sin", "cos")],
+                            "if(least(cos_s, cos_n) > 0.01D, _angle * _angle * (1D + 1D / least(cos_s, cos_n)), 1e9D) as _bulge")
 
 
 # The cell's closest station, at c, is nearer than the station, at p, to every point of the cell. A point q is nearer to c
 # where q . (c - p) > 0. That is linear in q, so the four corners decide, up to the little that a cell on the sphere bulges
-# out of its corners' flat hull. Null near the poles, where nothing is left out.
-_CORNER = "cos{a} * (cos{o} * (_cx - _px) + sin{o} * (_cy - _py)) + sin{a} * (_cz - _pz)"
-_BEATEN = "least({}) > sqrt(pow(_cx - _px, 2D) + pow(_cy - _py, 2D) + pow(_cz - _pz, 2D)) * _bulge + 1e-15D".format(
-    ", ".join(_CORNER.format(a=a, o=o) for a in ("_s", "_n") for o in ("_w", "_e")))
+# out of its corners' flat hull. Near the poles the bulge is given as so large that nothing is left out. Of two corners on one parallel the same one is the
+# lower for both parallels, as cosines of latitudes are positive. This is short on purpose: see `_corners`.
+_SIDE = "least({})".format(", ".join(f"cos_{o} * (_cx - _px) + sin_{o} * (_cy - _py)" for o in "we"))
+_BEATEN = "least({}) > {} * _bulge + 1e-15D".format(
+    ", ".join(f"cos_{a} * {_SIDE} + sin_{a} * (_cz - _pz)" for a in "sn"), chord(("_cx", "_cy", "_cz"), ("_px", "_py", "_pz")))
 
 
 def _spread(before: DataFrame, grid: Grid, by: tuple[str, ...], station_cols: Sequence[str], broadcast_bytes: int) -> DataFrame:
@@ -246,19 +247,22 @@ def _refine(
     cell = ["_row", "_col", "_level"]
     station_cols = [c for c in pairs.columns if c not in cell]
     leaves, splits, wide, entries, n_wide = [], list(splits), [], 0, 0
+    # The parts that are written have their cell's number beside them, as what follows is then short enough to be compiled.
+    numbered = lambda df: df.withColumn("cell", F.expr(grid.cell("_row", "_col", "_level")))
+    pairs = numbered(pairs)
+    reach = f"_least + 2D * _h + {num(EPS_MILES)}"
+    reach = reach if radius is None else f"least({reach}, {num(radius)} + _h)"
     before, n_before = None, 0  # rows of the cells that were split last
     parent = grid.cell(f"(_row div {SPLIT})", f"(_col div {SPLIT})", "(_level - 1)")
     while True:
-        scored = _scored(pairs, grid, station_cols).withColumn("cell", F.expr(grid.cell("_row", "_col", "_level")))
+        scored = _scored(pairs, grid, [*station_cols, "cell"])
         closest = scored.groupBy(*keys).agg(
             F.min("_d").alias("_least"), *[F.min_by(f"_p{c}", "_d").alias(f"_c{c}") for c in "xyz"], F.count(F.lit(1)).alias("_rows"))
         closest = closest.selectExpr("*", *[f"{v} as {k}" for k, v in grid.place("cell").items()])
-        closest = materialize(_corners(closest, grid, [*keys, "_least", "_cx", "_cy", "_cz", "_rows"]), "closest")
+        closest = materialize(_corners(closest, grid, [*keys, "_least", "_cx", "_cy", "_cz", "_rows"], reach), "closest")
         cells = closest.agg(F.count(F.lit(1)).alias("n"), F.max("_rows").alias("most")).first()
         near = lookup_join(scored, closest.drop("_rows"), keys, broadcastable=cells.n * CLOSEST_BYTES <= broadcast_bytes, how="inner", most=cells.most)
-        reach = f"_least + 2D * _h + {num(EPS_MILES)}"
-        near = near.filter(f"_d <= {reach if radius is None else f'least({reach}, {num(radius)} + _h)'}")
-        kept = materialize(near.filter(f"not coalesce({_BEATEN}, false)").select(*station_cols, *cell, "cell"), "candidates")
+        kept = materialize(near.filter("_d <= _reach").filter(f"not ({_BEATEN})").select(*station_cols, *cell, "cell"), "candidates")
         if before is not None:
             # Where the parts together have much more than the whole had, splitting does not shorten the lists fast enough
             # (stations around a circle, seen from near its centre): the whole stays, in several rows.
@@ -289,7 +293,7 @@ def _refine(
             break
         splits.append(full.filter(f"cell % 16 < {MAX_LEVEL}").select(*keys))
         before = marked.filter(f"_n is not null and _level < {MAX_LEVEL}")
-        pairs = materialize(_spread(before, grid, by, station_cols, broadcast_bytes), "parts")
+        pairs = materialize(numbered(_spread(before, grid, by, station_cols, broadcast_bytes)), "parts")
     several = None
     if wide:
         part = f"cast(pmod(xxhash64(station_id, station_lat, station_lon), ceil(_n / {WIDE_ENTRIES})) as int) as _part"

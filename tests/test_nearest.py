@@ -255,3 +255,27 @@ def test_parts_of_a_cell_are_paired_with_near_stations_only(spark):
     assert n > 100 and rows <= 40 * n  # 16 parts of 9 cells and more, if all were paired
     own = inner.filter(f"_row = {grid.row('station_lat', 1)} and _col = {grid.wrap(grid.col('station_lon', 1), 1)}")
     assert own.count() == n
+
+
+@pytest.mark.parametrize("by", [(), ("state",)])
+def test_pruning_is_compiled(spark, monkeypatch, by):
+    """The JVM does not compile methods of more than 8,000 bytes, which then run many times slower."""
+    from meshroad.operators import nearest
+
+    sizes, write = {}, nearest.materialize
+
+    def measured(df, name):
+        stages = df._jdf.queryExecution().debug().codegenToSeq()
+        sizes[name] = max([sizes.get(name, 0), *[stages.apply(i)._3().maxMethodCodeSize() for i in range(stages.size())]])
+        return write(df, name)
+
+    monkeypatch.setattr(nearest, "materialize", measured)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")  # whole stages are known beforehand then
+    try:
+        stations = frames(spark, [], [(30 + i / 40_000, -98 + (i * 7 % 400) / 40_000) for i in range(400)])[1]
+        if by:
+            stations = stations.selectExpr("if(station_lat > 30.005, 'a', 'b') as state", "*")
+        radius_index(stations, max_candidates=8, by=by)
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert {"closest", "candidates", "parts"} <= set(sizes) and max(sizes.values()) < 8000, sizes
