@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from meshroad.config import EARTH_RADIUS_MILES
 from meshroad.functions.geo import num
-from meshroad.operators.joins import lookup_join
+from meshroad.operators.joins import SLICE_ROWS, lookup_join
 from meshroad.session import BROADCAST_BYTES, materialize
 
 SPLIT = 4  # a crowded cell becomes SPLIT * SPLIT cells
@@ -30,6 +30,8 @@ EPS_MILES = 1e-7
 TREE_LEVELS = 4
 # Entries that a row of a leaf with several rows has, about.
 WIDE_ENTRIES = 1024
+# Bits of a rank that hold the place in a leaf's list.
+PLACE_BITS = 18
 
 # The parts of a crowded cell, to be exploded.
 PARTS = f"transform(sequence(0L, {SPLIT * SPLIT - 1}L), i -> struct(i div {SPLIT} as r, i % {SPLIT} as c))"
@@ -203,23 +205,31 @@ class CellIndex:
         leaf = f"case {' '.join(tests)} else {deepest} end" if tests else deepest
         return found.selectExpr(*[f"`{c}`" for c in points.columns], f"{leaf} as cell")
 
-    def attach(self, points: DataFrame, lat: str, lon: str, value: str, merge: str, given: Sequence[str] = ()) -> DataFrame:
+    def attach(self, points: DataFrame, lat: str, lon: str, value: str, merge: str, given: Sequence[str] = (),
+               least: tuple[str, str, str] | None = None) -> DataFrame:
         """Adds `_value`, computed from the point and the payload of its leaf (null without one).
 
         `value` is SQL text over the payload and the coordinates, `given` are columns that it shares. In a leaf of several
         rows each row gives a value, and `merge` is the aggregate that makes one of them.
+
+        `least` says the same of a value that is made of the list's entry of smallest rank, the first of equal ones: the list, the
+        rank of an entry `s` (a whole number below 2^45), and the value of `s` and `_rank`. It is used where points and leaves meet by a shuffle.
         """
         keys = [*self.by, "cell"]
-        if not self.broadcastable or self.wide is not None:
+        again = not self.broadcastable or self.wide is not None
+        if again and self.depth and not self.splits_broadcastable:
             # The work so far should not be repeated for what is counted or looked up again.
             points = materialize(points, "points")
         plain = [f"`{c}`" for c in points.columns]
         payload = [c for c in self.leaves.columns if c not in keys]
         found = self._located(points, lat, lon)
-        if self.wide is not None:
+        if again:
             found = materialize(found, "located")
-        hit = lookup_join(found, self.leaves, keys, broadcastable=self.broadcastable)
-        out = hit.selectExpr(*plain, "cell", *payload, *given).selectExpr(*plain, "cell", f"{value} as _value")
+        if least is not None and not self.broadcastable:
+            out = self._least(found, plain, payload, given, *least)
+        else:
+            hit = lookup_join(found, self.leaves, keys, broadcastable=self.broadcastable)
+            out = hit.selectExpr(*plain, "cell", *payload, *given).selectExpr(*plain, "cell", f"{value} as _value")
         if self.wide is None:
             return out.drop("cell")
         # Points at one place have one value. Their number is bounded by the size of a cell that cannot be split.
@@ -230,3 +240,23 @@ class CellIndex:
         merged = materialize(each.groupBy(*at).agg(F.expr(merge).alias("_merged")), "wide-values")
         small = merged.count() * 256 <= BROADCAST_BYTES
         return lookup_join(out, merged, at, broadcastable=small).selectExpr(*plain, "coalesce(_merged, _value) as _value")
+
+    def _least(self, found: DataFrame, plain: Sequence[str], payload: Sequence[str], given: Sequence[str], entries: str, rank: str, value: str) -> DataFrame:
+        """`_value` of the entry of smallest rank in each point's leaf, by a row for each entry and a minimum.
+
+        These are compiled, a lambda over the list is interpreted and takes about ten times as long for an entry. Points stay in the
+        tasks that the join on the cell put them in. Equal points are one group, and come as often as they were.
+        """
+        keys = [*self.by, "cell"]
+        most = found.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
+        hit = lookup_join(found, self.leaves, keys, broadcastable=False, most=most)
+        names = [g.rsplit(" as ", 1)[1] for g in given]
+        each = hit.selectExpr(*plain, "cell", *payload, *given).selectExpr(*plain, "cell", *names, f"posexplode_outer({entries}) as (_place, s)")
+        ranked = each.selectExpr(*plain, "cell", f"shiftleft({rank}, {PLACE_BITS}) | _place as _code", "if(coalesce(_place, 0) = 0, 1, null) as _one")
+        firsts = ranked.groupBy(*[c.strip("`") for c in plain], "cell").agg(F.min("_code").alias("_code"), F.count("_one").alias("_copies"))
+        if most > SLICE_ROWS:
+            firsts = materialize(firsts, "least")
+        best = lookup_join(firsts, self.leaves, keys, broadcastable=False, most=most).selectExpr(
+            *plain, "cell", "_copies", f"shiftright(_code, {PLACE_BITS}) as _rank", f"{entries}[cast(_code & {2**PLACE_BITS - 1}L as int)] as s")
+        best = best.selectExpr(*plain, "cell", "_copies", f"if(_rank is null, null, {value}) as _value")
+        return best.selectExpr(*plain, "cell", "_value", "explode(array_repeat(0, cast(_copies as int))) as _copy").drop("_copy")

@@ -28,8 +28,9 @@ from meshroad.session import BROADCAST_BYTES, materialize
 
 # Lists up to this length are taken as they come; beyond it cells are split.
 MAX_CANDIDATES = 128
-# Length up to which a cell is not split further.
-SPLIT_ABOVE = 32
+# Length up to which a cell is not split further where the index is broadcast. One that is shuffled stays smaller with longer
+# lists, and its lists are read faster (`CellIndex.attach`).
+SPLIT_ABOVE, SPLIT_SHUFFLED_ABOVE = 32, 128
 # Upper bound of one station entry in the index, in bytes.
 ENTRY_BYTES = 128
 # Upper bound of the splits below one cell in the index, a bit map of 69 words.
@@ -47,12 +48,12 @@ TIE_STEPS_PER_MILE = 1e9
 
 
 def _gather(pairs: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """One row per cell; the lists are bounded because crowded cells were split before."""
+    """One row per cell, its stations by id; the lists are bounded because crowded cells were split before."""
     x, y, z = unit_xyz("station_lat", "station_lon")
     entry = F.expr(
         f"struct(station_id as id, {x} as x, {y} as y, {z} as z, station_lat as lat, station_lon as lon, "
         "Station_Count as count, Station_Year as year)")
-    return pairs.groupBy(*keys).agg(F.collect_list(entry).alias("stations"))
+    return pairs.groupBy(*keys).agg(F.sort_array(F.collect_list(entry)).alias("stations"))
 
 
 def _one_per_place(stations: DataFrame, by: Sequence[str]) -> DataFrame:
@@ -89,9 +90,10 @@ def radius_index(
     if 9 * (crowd.n or 0) <= max_candidates:
         pairs = grid.explode_reach(spread(stations))
         leaves = _gather(pairs.withColumn("cell", F.expr(grid.cell("_row", "_col"))), [*by, "cell"])
-        return CellIndex(grid, leaves, None, 0, by, (crowd.copies or 0) * ENTRY_BYTES <= broadcast_bytes)
-    pairs = grid.explode_reach(spread(_one_per_place(stations, by)))
-    return _refine(pairs.selectExpr("*", "0 as _level"), grid, by, radius_miles, min(max_candidates, SPLIT_ABOVE), broadcast_bytes)
+        fits = (crowd.copies or 0) * ENTRY_BYTES <= broadcast_bytes
+        return CellIndex(grid, leaves if fits else materialize(leaves, "station-cells"), None, 0, by, fits)
+    pairs = grid.explode_reach(spread(materialize(_one_per_place(stations, by), "places")))
+    return _refine(pairs.selectExpr("*", "0 as _level"), grid, by, radius_miles, max_candidates, broadcast_bytes)
 
 
 def unbounded_index(
@@ -99,7 +101,7 @@ def unbounded_index(
     box: BBox,
     *,
     by: Sequence[str] = (),
-    max_candidates: int = SPLIT_ABOVE,
+    max_candidates: int = MAX_CANDIDATES,
     broadcast_bytes: int = BROADCAST_BYTES,
     roots_per_side: int = 4,
 ) -> CellIndex:
@@ -115,8 +117,9 @@ def unbounded_index(
     bounds = {"_r0": math.floor((box.lat_min + 90) / grid.height), "_r1": math.floor((box.lat_max + 90) / grid.height),
               "_c0": math.floor((box.lon_min + 180) / grid.width), "_c1": math.floor((box.lon_max + 180) / grid.width)}
     places = materialize(_one_per_place(stations, by), "places")
-    depth = min(COARSE_LEVELS, max(0, math.ceil(math.log(max(1, places.count()) / max_candidates, SPLIT * SPLIT))))
-    pairs, splits = _descend(places, grid, by, bounds, depth, max_candidates, broadcast_bytes)
+    wanted = min(max_candidates, SPLIT_ABOVE)
+    depth = min(COARSE_LEVELS, max(0, math.ceil(math.log(max(1, places.count()) / wanted, SPLIT * SPLIT))))
+    pairs, splits = _descend(places, grid, by, bounds, depth, wanted, broadcast_bytes)
     return _refine(pairs, grid, by, None, max_candidates, broadcast_bytes, splits)
 
 
@@ -252,7 +255,8 @@ def _refine(
     pairs = numbered(pairs)
     reach = f"_least + 2D * _h + {num(EPS_MILES)}"
     reach = reach if radius is None else f"least({reach}, {num(radius)} + _h)"
-    before, n_before = None, 0  # rows of the cells that were split last
+    before = None  # rows of the cells that were split last
+    longest = sorted({min(max_candidates, SPLIT_ABOVE), min(max_candidates, SPLIT_SHUFFLED_ABOVE)})
     parent = grid.cell(f"(_row div {SPLIT})", f"(_col div {SPLIT})", "(_level - 1)")
     while True:
         scored = _scored(pairs, grid, [*station_cols, "cell"])
@@ -278,18 +282,20 @@ def _refine(
                 kept = materialize(parts.drop("cell").withColumnRenamed("_cell", "cell"), "candidates")
         sizes = kept.groupBy(*keys, "_level").agg(F.count(F.lit(1)).alias("_n"))
         last = F.col("_level") >= MAX_LEVEL
-        total = sizes.agg(F.sum("_n").alias("entries"), F.count_if((F.col("_n") > max_candidates) & ~last).alias("crowded"),
-                          F.count_if((F.col("_n") > max_candidates) & last).alias("last")).first()
+        counts = [c for n in longest for c in (F.count_if((F.col("_n") > n) & ~last).alias(f"crowded{n}"), F.count_if((F.col("_n") > n) & last).alias(f"last{n}"))]
+        total = sizes.agg(F.sum("_n").alias("entries"), *counts).first()
         entries += total.entries or 0  # an upper bound: entries of split cells count again below
-        if not total.crowded and not total.last:
+        max_candidates = longest[0] if entries * ENTRY_BYTES <= broadcast_bytes else longest[-1]
+        crowded, at_end = total[f"crowded{max_candidates}"], total[f"last{max_candidates}"]
+        if not crowded and not at_end:
             leaves.append(kept)
             break
         full = materialize(sizes.filter(F.col("_n") > max_candidates).select(*keys, "_n"), "crowded")
-        marked = lookup_join(kept, full, keys, broadcastable=(total.crowded + total.last) * 64 <= broadcast_bytes)
+        marked = lookup_join(kept, full, keys, broadcastable=(crowded + at_end) * 64 <= broadcast_bytes)
         leaves.append(marked.filter("_n is null").drop("_n"))
-        if total.last:
+        if at_end:
             wide.append(marked.filter(f"_n is not null and _level >= {MAX_LEVEL}"))
-        if not total.crowded:
+        if not crowded:
             break
         splits.append(full.filter(f"cell % 16 < {MAX_LEVEL}").select(*keys))
         before = marked.filter(f"_n is not null and _level < {MAX_LEVEL}")
@@ -302,6 +308,7 @@ def _refine(
     table = _gather(union_all(leaves), keys)
     fits = entries * ENTRY_BYTES <= broadcast_bytes
     if not splits:
+        table = table if fits else materialize(table, "station-cells")
         return CellIndex(grid, table, None, 0, by, fits, wide=several, wide_broadcastable=n_wide * ENTRY_BYTES <= broadcast_bytes)
     found = materialize(union_all(splits).withColumn("_level", F.expr("cell % 16")), "split-cells")
     # A bit map belongs to a split cell of every fourth level.
@@ -316,7 +323,9 @@ def _best_station(points: DataFrame, index: CellIndex, lat: str, lon: str) -> Da
     x, y, z = unit_xyz(f"`{lat}`", f"`{lon}`")
     steps = f"floor({chord(('s.x', 's.y', 's.z'), ('_x', '_y', '_z'))} * {num(EARTH_RADIUS_MILES * TIE_STEPS_PER_MILE)} + 0.5D)"
     ranked = f"array_min(transform(stations, s -> struct({steps} as steps, s.id as id, s as s)))"
-    found = index.attach(points, f"`{lat}`", f"`{lon}`", ranked, "min(_value)", [f"{x} as _x", f"{y} as _y", f"{z} as _z"])
+    # A leaf's stations come by id, so the first of the nearest ones has the smallest.
+    least = ("stations", steps, "struct(_rank as steps, s.id as id, s as s)")
+    found = index.attach(points, f"`{lat}`", f"`{lon}`", ranked, "min(_value)", [f"{x} as _x", f"{y} as _y", f"{z} as _z"], least)
     return found.selectExpr(*plain, "_value.s as _best").selectExpr(
         *plain, "_best", f"{haversine_miles(f'`{lat}`', f'`{lon}`', '_best.lat', '_best.lon')} as _miles")
 

@@ -279,3 +279,36 @@ def test_pruning_is_compiled(spark, monkeypatch, by):
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
     assert {"closest", "candidates", "parts"} <= set(sizes) and max(sizes.values()) < 8000, sizes
+
+
+def test_a_shuffled_index_is_read_by_rows_and_keeps_every_point(spark):
+    """Equal points, ties, points without a station or a place; no lambda over the lists, which would be interpreted."""
+    stations = cloud(400, 31, (30.0, 30.05), (-98.0, -97.95)) + [(30.5, -98.0)] * 3
+    points = cloud(200, 32, (30.0, 30.05), (-98.0, -97.95)) + [(30.5, -98.0), (30.8, -98.5)]
+    p, s = frames(spark, points, stations)
+    p = p.union(p).union(spark.createDataFrame([(7777, None, None)], p.schema))
+    index = radius_index(s, max_abs_lat=31, broadcast_bytes=0)
+    found = nearest_within(p, index)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "posexplode" in plan and "lambdafunction" not in plan
+    rows, want = found.collect(), brute(points, stations)
+    assert sorted(r.Crash_ID for r in rows) == sorted([*range(len(points))] * 2 + [7777])
+    for r in rows:
+        sid, d = want.get(r.Crash_ID, (None, None))
+        hit = d is not None and d <= 1.0
+        assert r.Nearest_Station_LocationId == (sid if hit else None)
+        assert (r.Distance_Miles is None) == (not hit) and (not hit or r.Distance_Miles == pytest.approx(d, abs=1e-7))
+
+
+def test_a_shuffled_index_is_split_less(spark):
+    """Lists that are too long for a broadcast index stay whole in one that is shuffled, and the rows are the same."""
+    stations, points = cloud(400, 33, (30.0, 30.1), (-98.1, -98.0)), cloud(100, 34, (30.0, 30.1), (-98.1, -98.0))
+    p, s = frames(spark, points, stations)
+    box = BBox(29.95, 30.15, -98.15, -97.95)
+    sizes = {}
+    for kind, how in (("broadcast", {}), ("shuffled", dict(broadcast_bytes=0))):
+        index = unbounded_index(s, box, **how)
+        sizes[kind] = index.leaves.selectExpr("sum(size(stations))", "max(size(stations))").first()
+        check(nearest_unbounded(p, index), points, stations, cap=1.0, keep_distance=True)
+    assert sizes["broadcast"][1] <= 32 < sizes["shuffled"][1] <= 128
+    assert sizes["shuffled"][0] < sizes["broadcast"][0]
