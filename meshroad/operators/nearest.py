@@ -139,14 +139,17 @@ def _descend(places: DataFrame, grid: Grid, by: tuple[str, ...], bounds: dict[st
     here = [*keys, "_level", "_sr", "_sc", "n", "one"]
     pairs = grid.explode_reach(tree.filter("_l = 0").selectExpr("*", *[f"{v}L as {c}" for c, v in bounds.items()])).withColumnRenamed("_l", "_level")
     for level in range(depth + 1):
-        q, c = grid.center("_row", "_col", level), grid.center("_sr", "_sc", level)
-        scored = pairs.select(*here).selectExpr(
-            "*", f"{haversine_miles(*q, 'one.lat', 'one.lon')} as _one", f"{haversine_miles(*q, *c)} as _d",
-            f"{grid.half_diagonal_miles('_row', level)} as _h", f"{grid.half_diagonal_miles('_sr', level)} as _hs")
-        least = materialize(scored.groupBy(*keys).agg(F.min("_one").alias("_u"), F.count(F.lit(1)).alias("_rows")), "least")
+        # Written, and measured by chords in small steps, so that the JVM can compile them: see `_corners`.
+        pairs = materialize(pairs.select(*here), "box-pairs")
+        ones = _scored(pairs.selectExpr(*keys, "_level", "one.lat as station_lat", "one.lon as station_lon"), grid, by)
+        reach = f"_u + 2D * {grid.half_chord_miles('_row', level)} + {num(EPS_MILES)}"
+        least = ones.groupBy(*keys).agg(F.min("_d").alias("_u"), F.count(F.lit(1)).alias("_rows"))
+        least = materialize(least.selectExpr(*keys, f"{reach} as _reach", "_rows"), "least")
         cells = least.agg(F.count(F.lit(1)).alias("n"), F.max("_rows").alias("most")).first()
+        c = grid.center("_sr", "_sc", level)
+        scored = _scored(pairs.selectExpr(*here, f"{c[0]} as station_lat", f"{c[1]} as station_lon"), grid, [*by, "_sr", "_sc", "n", "one"])
         near = lookup_join(scored, least.drop("_rows"), keys, broadcastable=cells.n * CLOSEST_BYTES <= broadcast_bytes, how="inner", most=cells.most).filter(
-            f"_d - _hs <= _u + 2D * _h + {num(EPS_MILES)}")
+            f"_d - {grid.half_chord_miles('_sr', level)} <= _reach")
         kept = materialize(near.select(*here), "cell-pairs")
         sizes = kept.groupBy(*keys).agg(F.sum("n").alias("_all"))
         crowded = materialize(sizes.filter(F.col("_all") > COARSE_ABOVE * max_candidates).select(*keys), "crowded") if level < depth else None
