@@ -8,7 +8,7 @@ Expressions are SQL text, as in `functions.geo`; a level is a number, or SQL tex
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -32,6 +32,8 @@ TREE_LEVELS = 4
 WIDE_ENTRIES = 1024
 # Bits of a rank that hold the place in a leaf's list.
 PLACE_BITS = 18
+# Entries of a leaf's list that are ranked in one row: as many as stay short enough to be compiled.
+RUN = 8
 
 # The parts of a crowded cell, to be exploded.
 PARTS = f"transform(sequence(0L, {SPLIT * SPLIT - 1}L), i -> struct(i div {SPLIT} as r, i % {SPLIT} as c))"
@@ -206,14 +208,14 @@ class CellIndex:
         return found.selectExpr(*[f"`{c}`" for c in points.columns], f"{leaf} as cell")
 
     def attach(self, points: DataFrame, lat: str, lon: str, value: str, merge: str, given: Sequence[str] = (),
-               least: tuple[str, str, str] | None = None) -> DataFrame:
+               least: tuple[str, Callable[[str], str], str] | None = None) -> DataFrame:
         """Adds `_value`, computed from the point and the payload of its leaf (null without one).
 
         `value` is SQL text over the payload and the coordinates, `given` are columns that it shares. In a leaf of several
         rows each row gives a value, and `merge` is the aggregate that makes one of them.
 
         `least` says the same of a value that is made of the list's entry of smallest rank, the first of equal ones: the list, the
-        rank of an entry `s` (a whole number below 2^45), and the value of `s` and `_rank`. It is used where points and leaves meet by a shuffle.
+        rank of an entry (a whole number below 2^45), and the value of the entry `s` and `_rank`. It is used where points and leaves meet by a shuffle.
         """
         keys = [*self.by, "cell"]
         again = not self.broadcastable or self.wide is not None
@@ -226,7 +228,7 @@ class CellIndex:
         if again:
             found = materialize(found, "located")
         if least is not None and not self.broadcastable:
-            out = self._least(found, plain, payload, given, *least)
+            out = self._least(found, plain, given, *least)
         else:
             hit = lookup_join(found, self.leaves, keys, broadcastable=self.broadcastable)
             out = hit.selectExpr(*plain, "cell", *payload, *given).selectExpr(*plain, "cell", f"{value} as _value")
@@ -241,18 +243,21 @@ class CellIndex:
         small = merged.count() * 256 <= BROADCAST_BYTES
         return lookup_join(out, merged, at, broadcastable=small).selectExpr(*plain, "coalesce(_merged, _value) as _value")
 
-    def _least(self, found: DataFrame, plain: Sequence[str], payload: Sequence[str], given: Sequence[str], entries: str, rank: str, value: str) -> DataFrame:
-        """`_value` of the entry of smallest rank in each point's leaf, by a row for each entry and a minimum.
+    def _least(self, found: DataFrame, plain: Sequence[str], given: Sequence[str], entries: str,
+               rank: Callable[[str], str], value: str) -> DataFrame:
+        """`_value` of the entry of smallest rank in each point's leaf, by a row for each run of `RUN` entries and a minimum.
 
-        These are compiled, a lambda over the list is interpreted and takes about ten times as long for an entry. Points stay in the
-        tasks that the join on the cell put them in. Equal points are one group, and come as often as they were.
+        The leaves are cut in runs before they meet the points. These steps are compiled, a lambda over the list is interpreted and
+        takes about ten times as long for an entry. Points stay in the tasks that the join on the cell put them in. Equal points are one group, and come as often as they were.
         """
         keys = [*self.by, "cell"]
         most = found.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
-        hit = lookup_join(found, self.leaves, keys, broadcastable=False, most=most)
+        at = self.leaves.filter(f"size({entries}) > 0").selectExpr(*keys, entries, f"posexplode(sequence(0, size({entries}) - 1, {RUN})) as (_run, _at)")
+        runs = at.selectExpr(*keys, "_run", f"slice({entries}, _at + 1, {RUN}) as _s")
         names = [g.rsplit(" as ", 1)[1] for g in given]
-        each = hit.selectExpr(*plain, "cell", *payload, *given).selectExpr(*plain, "cell", *names, f"posexplode_outer({entries}) as (_place, s)")
-        ranked = each.selectExpr(*plain, "cell", f"shiftleft({rank}, {PLACE_BITS}) | _place as _code", "if(coalesce(_place, 0) = 0, 1, null) as _one")
+        each = lookup_join(found, runs, keys, broadcastable=False, most=most).selectExpr(*plain, "cell", "_run", "_s", *given)
+        codes = ", ".join(f"shiftleft({rank(f'get(_s, {i})')}, {PLACE_BITS}) | (_run * {RUN} + {i})" for i in range(RUN))
+        ranked = each.selectExpr(*plain, "cell", f"least({codes}) as _code", "if(coalesce(_run, 0) = 0, 1, null) as _one")
         firsts = ranked.groupBy(*[c.strip("`") for c in plain], "cell").agg(F.min("_code").alias("_code"), F.count("_one").alias("_copies"))
         if most > SLICE_ROWS:
             firsts = materialize(firsts, "least")

@@ -14,7 +14,7 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
 from meshroad.config import BBox, EARTH_RADIUS_MILES, MAX_STATION_MILES
@@ -43,6 +43,9 @@ COARSE_LEVELS = 6
 COARSE_ABOVE = 64
 # A cell of so many stations stays whole if its parts together have so many times its entries.
 STUCK_ABOVE, STUCK_GROWTH = 1024, 3
+# Where stations are dense, points are first matched within a radius whose square has so many stations on average. Of points among
+# stations strewn evenly, one in 300,000 then has none within it.
+NEAR_STATIONS = 4
 # Distances are compared in steps of 1e-9 mile, so that rounding noise cannot break a tie.
 TIE_STEPS_PER_MILE = 1e9
 
@@ -61,6 +64,14 @@ def _one_per_place(stations: DataFrame, by: Sequence[str]) -> DataFrame:
     return first_per_key(stations, [*by, "station_lat", "station_lon"], [F.col("station_id").asc_nulls_last()])
 
 
+def _crowd(stations: DataFrame, grid: Grid, by: Sequence[str], radius_miles: float) -> Row:
+    """Most stations of a cell (`n`), cells that hold some, and (cell, station) pairs within the radius, at most."""
+    spread = grid.with_reach(stations, "station_lat", "station_lon", radius_miles)
+    cells = spread.selectExpr(*by, f"{grid.cell_of('station_lat', 'station_lon')} as cell", "(_r1 - _r0 + 1) * (_c1 - _c0 + 1) as copies").groupBy(
+        *by, "cell").agg(F.count(F.lit(1)).alias("n"), F.sum("copies").alias("copies"))
+    return cells.agg(F.max("n").alias("n"), F.count(F.lit(1)).alias("cells"), F.sum("copies").alias("copies")).first()
+
+
 def radius_index(
     stations: DataFrame,
     *,
@@ -70,32 +81,85 @@ def radius_index(
     crowd_bound: DataFrame | None = None,
     max_candidates: int = MAX_CANDIDATES,
     broadcast_bytes: int = BROADCAST_BYTES,
+    crowd: Row | None = None,
+    only: DataFrame | None = None,
 ) -> CellIndex:
     """Index for "nearest station within `radius_miles`".
 
     `crowd_bound` may name a superset of the stations that is cheaper to scan (the records before
-    they are reduced to one per station); it is used only to bound list lengths and table size.
+    they are reduced to one per station); it is used only to bound list lengths and table size. `crowd` tells
+    what was found in it before. `only` names the cells of level 0 in which points will be asked for, as a written table.
     """
     by = tuple(by)
     grid = Grid.for_radius(radius_miles, max_abs_lat)
     spread = lambda df: grid.with_reach(df, "station_lat", "station_lon", radius_miles)
 
-    crowd = (
-        spread(crowd_bound if crowd_bound is not None else stations)
-        .selectExpr(*by, f"{grid.cell_of('station_lat', 'station_lon')} as cell", "(_r1 - _r0 + 1) * (_c1 - _c0 + 1) as copies")
-        .groupBy(*by, "cell").agg(F.count(F.lit(1)).alias("n"), F.sum("copies").alias("copies"))
-        .agg(F.max("n").alias("n"), F.sum("copies").alias("copies")).first()
-    )
+    if crowd is None:
+        crowd = _crowd(crowd_bound if crowd_bound is not None else stations, grid, by, radius_miles)
     # A circle of the cells' own size touches at most nine of them, away from the poles.
-    if 9 * (crowd.n or 0) <= max_candidates:
+    if only is None and 9 * (crowd.n or 0) <= max_candidates:
         pairs = grid.explode_reach(spread(stations))
         leaves = _gather(pairs.withColumn("cell", F.expr(grid.cell("_row", "_col"))), [*by, "cell"])
         fits = (crowd.copies or 0) * ENTRY_BYTES <= broadcast_bytes
         return CellIndex(grid, leaves if fits else materialize(leaves, "station-cells"), None, 0, by, fits)
     pairs = grid.explode_reach(spread(materialize(_one_per_place(stations, by), "places")))
+    if only is not None:
+        pairs = lookup_join(pairs.withColumn("cell", F.expr(grid.cell("_row", "_col"))), only, [*by, "cell"],
+                            broadcastable=only.count() * 64 <= broadcast_bytes, how="left_semi").drop("cell")
     return _refine(pairs.selectExpr("*", "0 as _level"), grid, by, radius_miles, max_candidates, broadcast_bytes)
 
 
+def nearest_in_radius(
+    points: DataFrame,
+    stations: DataFrame,
+    *,
+    radius_miles: float = MAX_STATION_MILES,
+    max_abs_lat: float = 45.0,
+    by: Sequence[str] = (),
+    crowd_bound: DataFrame | None = None,
+    max_candidates: int = MAX_CANDIDATES,
+    broadcast_bytes: int = BROADCAST_BYTES,
+    near_stations: int = NEAR_STATIONS,
+    lat: str = "Latitude",
+    lon: str = "Longitude",
+) -> DataFrame:
+    """`nearest_within` of a `radius_index`, where stations are dense in two steps.
+
+    Most points then have a station within a small part of the radius. A grid as fine as that finds it from lists that need no
+    pruning and no splits. Points without one, and those of cells with too many stations, are matched by the whole index,
+    which is made only for the cells they lie in.
+    """
+    by = tuple(by)
+    grid = Grid.for_radius(radius_miles, max_abs_lat)
+    crowd = _crowd(crowd_bound if crowd_bound is not None else stations, grid, by, radius_miles)
+    matched = lambda df, index: nearest_within(df, index, radius_miles=radius_miles, lat=lat, lon=lon)
+    index = lambda df, **kw: radius_index(
+        df, radius_miles=radius_miles, max_abs_lat=max_abs_lat, by=by, max_candidates=max_candidates, broadcast_bytes=broadcast_bytes, crowd=crowd, **kw)
+    if 9 * (crowd.n or 0) <= max_candidates:
+        return matched(points, index(stations))
+    places = materialize(_one_per_place(stations, by), "places")
+    near_miles = radius_miles * math.sqrt(near_stations * crowd.cells / max(1, places.count()))
+    if near_miles >= radius_miles:
+        return matched(points, index(places))
+    fine = Grid.for_radius(near_miles, max_abs_lat)
+    keys = [*by, "cell"]
+    pairs = fine.explode_reach(fine.with_reach(places, "station_lat", "station_lon", near_miles)).withColumn("cell", F.expr(fine.cell("_row", "_col")))
+    full = materialize(pairs.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > max_candidates).select(*keys), "crowded")
+    n_full = full.count()
+    if n_full:
+        pairs = lookup_join(pairs, full, keys, broadcastable=n_full * 64 <= broadcast_bytes, how="left_anti")
+    leaves = materialize(_gather(pairs, keys), "near-cells")
+    found = materialize(_best_station(points, CellIndex(fine, leaves, None, 0, by), lat, lon), "near")
+    # A distance that is shorter than the small radius by more than a tie is the shortest of all.
+    settled = F.expr(f"coalesce(_miles < {num(near_miles)} - {num(EPS_MILES)}, false)")
+    here = _station_columns(points, found.filter(settled), radius_miles, f"case when _miles <= {num(radius_miles)} then _miles end")
+    rest = found.filter(~settled).select(*points.columns)
+    only = materialize(rest.selectExpr(*by, f"{grid.cell_of(f'`{lat}`', f'`{lon}`')} as cell").distinct(), "open-cells")
+    if only.isEmpty():
+        return here
+    return here.unionByName(matched(rest, index(places, only=only)))
+
+
 def unbounded_index(
     stations: DataFrame,
     box: BBox,
@@ -324,8 +388,8 @@ def _best_station(points: DataFrame, index: CellIndex, lat: str, lon: str) -> Da
     """Adds `_best`, the nearest station's entry (ties by id), and `_miles`, its distance."""
     plain = [f"`{c}`" for c in points.columns]
     x, y, z = unit_xyz(f"`{lat}`", f"`{lon}`")
-    steps = f"floor({chord(('s.x', 's.y', 's.z'), ('_x', '_y', '_z'))} * {num(EARTH_RADIUS_MILES * TIE_STEPS_PER_MILE)} + 0.5D)"
-    ranked = f"array_min(transform(stations, s -> struct({steps} as steps, s.id as id, s as s)))"
+    steps = lambda s: f"floor({chord((f'{s}.x', f'{s}.y', f'{s}.z'), ('_x', '_y', '_z'))} * {num(EARTH_RADIUS_MILES * TIE_STEPS_PER_MILE)} + 0.5D)"
+    ranked = f"array_min(transform(stations, s -> struct({steps('s')} as steps, s.id as id, s as s)))"
     # A leaf's stations come by id, so the first of the nearest ones has the smallest.
     least = ("stations", steps, "struct(_rank as steps, s.id as id, s as s)")
     found = index.attach(points, f"`{lat}`", f"`{lon}`", ranked, "min(_value)", [f"{x} as _x", f"{y} as _y", f"{z} as _z"], least)

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 
 from meshroad.config import MAX_STATION_MILES, StateConfig, vmt_table
 from meshroad.operators.clean import canonical_stations, clean_crashes, latest_per_station
-from meshroad.operators.nearest import nearest_within, radius_index
+from meshroad.operators.nearest import nearest_in_radius
 from meshroad.operators.polygons import assign_zip, polygon_index
 from meshroad.operators.volume import adjust_volume
 
@@ -28,11 +28,10 @@ def match_stations(
 ) -> DataFrame:
     """Nearest station of each crash, from station-year records (latest year per station)."""
     box = state.bbox
-    index = radius_index(
-        latest_per_station(station_records, by), radius_miles=radius_miles, by=by,
+    return nearest_in_radius(
+        crashes, latest_per_station(station_records, by), radius_miles=radius_miles, by=by,
         max_abs_lat=max(abs(box.lat_min), abs(box.lat_max)), crowd_bound=station_records,
     )
-    return nearest_within(crashes, index, radius_miles=radius_miles)
 
 
 def enrich(

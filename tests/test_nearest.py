@@ -6,7 +6,7 @@ import pytest
 
 from meshroad.config import BBox, EARTH_RADIUS_MILES as R
 from meshroad.operators import nearest
-from meshroad.operators.nearest import nearest_unbounded, nearest_within, radius_index, unbounded_index
+from meshroad.operators.nearest import nearest_in_radius, nearest_unbounded, nearest_within, radius_index, unbounded_index
 
 DLAT = math.degrees(1 / R)
 
@@ -312,3 +312,81 @@ def test_a_shuffled_index_is_split_less(spark):
         check(nearest_unbounded(p, index), points, stations, cap=1.0, keep_distance=True)
     assert sizes["broadcast"][1] <= 32 < sizes["shuffled"][1] <= 128
     assert sizes["shuffled"][0] < sizes["broadcast"][0]
+
+
+def written(monkeypatch):
+    """Names and tables of what the station match writes, as it goes."""
+    tables, write = {}, nearest.materialize
+
+    def noted(df, name):
+        tables[name] = write(df, name)
+        return tables[name]
+
+    monkeypatch.setattr(nearest, "materialize", noted)
+    return tables
+
+
+def test_dense_stations_need_no_pruned_index(spark, monkeypatch):
+    """Points with a station at hand are matched from short lists; no cell is pruned or split for them."""
+    from meshroad.plans.enrich import match_stations
+    from meshroad.sources.testdata import STATE
+
+    side = [(30 + i * 0.001, -98 + j * 0.001) for i in range(40) for j in range(40)]
+    points = cloud(200, 20, (30.001, 30.038), (-97.999, -97.962))
+    p, s = frames(spark, points, side)
+    tables = written(monkeypatch)
+    check(match_stations(p, s, STATE), points, side, cap=1.0)
+    assert "near-cells" in tables and "candidates" not in tables
+    assert tables["near-cells"].selectExpr("max(size(stations)) as n").first().n <= 128
+
+
+@pytest.mark.parametrize("how", [dict(), dict(broadcast_bytes=0), dict(max_candidates=16, broadcast_bytes=0), dict(near_stations=1)],
+                         ids=["plain", "shuffle", "crowded", "narrow"])
+def test_dense_stations_and_points_far_from_them(spark, monkeypatch, how):
+    stations = cloud(500, 21, (30.0, 30.05), (-98.0, -97.95)) + cloud(200, 22, (30.02, 30.0205), (-97.98, -97.9795)) + cloud(5, 23)
+    stations += [stations[3]] * 3 + [(30.1, -97.9), (30.1, -97.898)]
+    points = cloud(200, 24, (29.98, 30.07), (-98.02, -97.93)) + cloud(60, 25, (30.019, 30.0215), (-97.981, -97.979)) + cloud(40, 26)
+    points += [points[0], (30.1, -97.899), stations[3], (-89.99, 170.0)]
+    p, s = frames(spark, points, stations)
+    tables = written(monkeypatch)
+    check(nearest_in_radius(p, s, max_abs_lat=31, **how), points, stations, cap=1.0)
+    # The whole index has only cells in which a point is left.
+    assert "near-cells" in tables and tables["open-cells"].count() > 0
+    grid = nearest.Grid.for_radius(1.0, 31)
+    cells = {r.cell for r in tables["open-cells"].collect()}
+    roots = tables["candidates"].selectExpr(f"{grid.cell('_row div shiftleft(1L, 2 * _level)', '_col div shiftleft(1L, 2 * _level)')} as cell").distinct().collect()
+    assert {r.cell for r in roots} <= cells
+
+
+def test_dense_stations_by_state_and_points_off_the_globe(spark):
+    stations = cloud(400, 27, (30.0, 30.04), (-98.0, -97.96))
+    points = cloud(100, 28, (30.0, 30.04), (-98.0, -97.96))
+    p, s = frames(spark, points, stations)
+    p = p.selectExpr("if(Crash_ID % 2 = 0, 'a', 'b') as state", "*")
+    s = s.selectExpr("if(cast(substr(station_id, 2) as int) % 2 = 0, 'a', 'b') as state", "*")
+    odd = spark.createDataFrame([("a", 1000, None, -98.0), ("b", 1001, float("nan"), -98.0), (None, 1002, 30.0, -98.0), ("c", 1003, 30.02, -97.98)],
+                                "state string, Crash_ID long, Latitude double, Longitude double")
+    got = nearest_in_radius(p.unionByName(odd), s, max_abs_lat=31, by=("state",)).collect()
+    assert len(got) == 104 and all(r.Nearest_Station_LocationId is None for r in got if r.Crash_ID >= 1000)
+    for k, state in enumerate("ab"):
+        mine = stations[k::2]
+        want = brute(points, mine)
+        for r in got:
+            if r.state == state and r.Crash_ID < 1000:
+                sid, d = want[r.Crash_ID]
+                assert r.Nearest_Station_LocationId == f"s{2 * int(sid[1:]) + k:05d}" and r.Distance_Miles == pytest.approx(d, abs=1e-7)
+
+
+def test_ranking_in_runs_is_compiled(spark):
+    """A leaf's entries are ranked several in a row; the method is short enough for the JVM to compile."""
+    stations = cloud(60, 29, (30.0, 30.01), (-98.0, -97.99))
+    p, s = frames(spark, cloud(20, 30, (30.0, 30.01), (-98.0, -97.99)), stations)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        found = nearest_within(p, radius_index(s, broadcast_bytes=0))
+        stages = found._jdf.queryExecution().debug().codegenToSeq()
+        size = max(stages.apply(i)._3().maxMethodCodeSize() for i in range(stages.size()))
+        text = found._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert size < 8000 and "least(" in text
