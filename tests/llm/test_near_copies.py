@@ -1,11 +1,15 @@
-from collections import defaultdict
+import time
+from collections import Counter, defaultdict
+from pathlib import Path
 
 import numpy as np
 import pytest
 from conftest import clashing, documents
 
 from meshroad.llm import shingle_join, vector_dedup
+from meshroad.llm.common import SHUFFLE_CLEANUP, Scratch
 from meshroad.llm.components import components
+from meshroad.session import scratch_dir
 
 
 def words_of(text):
@@ -98,6 +102,64 @@ def test_divide_skip_counts_like_a_plain_count():
             assert shingle_join.divide_skip(query, lists, least) == {x: n for x, n in counts.items() if n >= least}
 
 
+@pytest.mark.parametrize("probed", [1, 3, 64])
+def test_divide_skip_leaves_out_what_is_skipped(monkeypatch, probed):
+    monkeypatch.setattr(shingle_join, "PROBED", probed)
+    rng = np.random.default_rng(probed)
+    for _ in range(60):
+        lists = {t: np.unique(rng.integers(0, 40, rng.integers(1, 30))) for t in range(25)}
+        query = rng.permutation(25)[:15].tolist()
+        counts = Counter(x for t in query for x in lists[t].tolist())
+        for least in (1, 4, 9, 15):
+            assert shingle_join.divide_skip(query, lists, least, lambda x: x % 3 == 0) == {x: n for x, n in counts.items() if n >= least and x % 3}
+
+
+@pytest.mark.parametrize("most_bits", [28, 20, 14])
+def test_the_map_of_shared_shingles_loses_none(monkeypatch, most_bits):
+    monkeypatch.setattr(shingle_join, "MOST_BITS", most_bits)
+    rng = np.random.default_rng(most_bits)
+    one, several, last = rng.integers(0, 1 << 60, 200_000), rng.integers(0, 1 << 60, 20_000), rng.integers(0, 1 << 60, 100) | shingle_join.LAST
+    shared, held = shingle_join.SharedTokens(200_000), defaultdict(list)
+    for part in (np.concatenate([one[:120_000], several, last]), np.concatenate([one[120_000:], several, several, last]), several[:0]):
+        for group, low in zip(*shared.grouped(part)):
+            held[group].append(low)
+    shared.put({g: bits for g, low in held.items() if (bits := shared.marked(low)) is not None})
+    assert shared.has(several).all() and shared.has(last).all() and not len(shared.has(several[:0]))
+    assert most_bits < 20 or shared.has(one).mean() < 0.1
+
+
+def test_only_shingles_of_several_classes_become_rows_of_lists(spark):
+    rng = np.random.default_rng(5)
+    texts = [" ".join(f"w{k}" for k in rng.integers(0, 10 ** 9, 200)) for _ in range(100)]
+    docs = spark.createDataFrame([*enumerate(texts), (1000, texts[0] + " x"), (1001, texts[0])], "_id long, _text string")
+    classes = shingle_join._signatures(docs, np.zeros(0, np.int64)).dropDuplicates(["cls"]).select("cls", "n", "prefix").cache()
+    found = shingle_join._postings(classes, shingle_join._shared_tokens(classes)).collect()
+    prefixes = [(r.cls, r.n, np.frombuffer(r.prefix, np.int64).tolist()) for r in classes.collect()]
+    counts = Counter(t for _, _, p in prefixes for t in p)
+    need = {(t, cls, n, k) for cls, n, p in prefixes for k, t in enumerate(p) if counts[t] > 1}
+    every = {(t, cls, n, k) for cls, n, p in prefixes for k, t in enumerate(p)}
+    assert len(need) >= 80 and need <= {tuple(r) for r in found} <= every and len(found) < len(need) + 0.02 * len(every)
+
+
+def test_a_join_leaves_no_large_tables_nor_shuffles(spark, copies):
+    docs = documents(spark, [(i, t, "en", "s") for i, t in copies])
+    blocks = lambda: {str(b) for b in spark.sparkContext._jvm.scala.jdk.javaapi.CollectionConverters.asJava(
+        spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllBlocks()) if str(b).startswith("shuffle_")}
+    scratch, before, setting = Scratch(spark), blocks(), spark.conf.get(SHUFFLE_CLEANUP, None)
+    scratch.write(docs.groupBy("text").count(), "kept")
+    for _ in range(50):
+        if blocks() <= before:
+            break
+        time.sleep(0.1)
+    assert blocks() <= before and spark.conf.get(SHUFFLE_CLEANUP, None) == setting
+    scratch.drop("kept")
+    here = lambda: {p.name.rsplit("-", 1)[0] for p in Path(scratch_dir(spark).removeprefix("file://")).iterdir() if p.name not in there}
+    there = {p.name for p in Path(scratch_dir(spark).removeprefix("file://")).iterdir()}
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in shingle_join.join(docs).collect()}
+    assert got == brute(copies)
+    assert here() and not here() & {"kept", "join-signatures", "join-classes", "join-lists", "join-texts", "join-long-texts", "join-members"}
+
+
 def vectors(spark, rows):
     return spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")
 
